@@ -31,9 +31,7 @@ def truncate(text: Column, length: int, unit: str = "chars") -> Column:
 
 
 def strip_prefix(text: Column, prefix: str) -> Column:
-    return F.when(
-        F.startswith(text, F.lit(prefix)), F.substr(text, F.lit(len(prefix) + 1))
-    ).otherwise(text)
+    return F.regexp_replace(text, rf"^\Q{prefix}\E", "")
 
 
 def title_case(text: Column) -> Column:
@@ -62,17 +60,11 @@ def split_city_state(label: Column, legacy: bool = False) -> tuple[Column, Colum
             F.element_at(words, -1)
         )
         return F.lower(city), F.lower(state)
-    comma = r"^(.*),\s*([^,]*)$"
-    blank = r"^(.*\S)\s+([A-Z]{2})$"
-    city = (
-        F.when(text.rlike(comma), F.rtrim(F.regexp_extract(text, comma, 1)))
-        .when(text.rlike(blank), F.regexp_extract(text, blank, 1))
-        .otherwise(text)
-    )
-    state = F.when(
-        text.rlike(comma), F.substring(F.regexp_extract(text, comma, 2), 1, 2)
-    ).when(text.rlike(blank), F.regexp_extract(text, blank, 2))
-    return F.lower(city), F.lower(empty_to_null(state))
+    # City, then either a comma and the state, or a blank and a two-letter state.
+    pattern = r"^(.*?)(?:\s*,\s*([^,]*)|\s+([A-Z]{2}))?$"
+    tail = F.concat(F.regexp_extract(text, pattern, 2), F.regexp_extract(text, pattern, 3))
+    city = F.regexp_extract(text, pattern, 1)
+    return F.lower(city), empty_to_null(F.lower(F.substring(tail, 1, 2)))
 
 
 def as_text(value: Column, kind: str = "string") -> Column:

@@ -31,8 +31,11 @@ def median_by_group(df: DataFrame, group: list[str], value: str, name: str = "me
     )
     order = [*[F.col(g) for g in group], F.col("_value")]
     placed = running_total(counted, order, "_n")
-    totals = placed.groupBy(*group).agg(F.sum("_n").alias("_all"), F.min(BEFORE).alias("_base"))
-    same = [placed[g].eqNullSafe(totals[g]) for g in group]
+    names = {g: f"_group_{i}" for i, g in enumerate(group)}
+    totals = placed.groupBy(*[F.col(g).alias(a) for g, a in names.items()]).agg(
+        F.sum("_n").alias("_all"), F.min(BEFORE).alias("_base")
+    )
+    same = [F.col(g).eqNullSafe(F.col(a)) for g, a in names.items()]
     first = F.col(BEFORE) - F.col("_base")
     lower, upper = F.floor((F.col("_all") - 1) / 2), F.floor(F.col("_all") / 2)
 
@@ -40,9 +43,7 @@ def median_by_group(df: DataFrame, group: list[str], value: str, name: str = "me
         return (first <= position) & (position < first + F.col("_n"))
 
     middle = placed.join(totals, same).where(covers(lower) | covers(upper))
-    return middle.groupBy(*[placed[g] for g in group]).agg(
-        F.avg(F.col("_value").cast("double")).alias(name)
-    )
+    return middle.groupBy(*group).agg(F.avg(F.col("_value").cast("double")).alias(name))
 
 
 def count_by_group(df: DataFrame, group: list[str], column: str, name: str = "n") -> DataFrame:

@@ -86,8 +86,9 @@ def dense_key(
         return saved.join(offsets, PART).select(*columns, number.cast("bigint").alias(name))
     counted = df.groupBy(*columns).agg(F.count("*").alias(COPIES))
     placed = running_total(counted, [*by, *[F.col(c) for c in columns]], COPIES, partitions)
-    chunk = F.explode(F.sequence(F.lit(0), F.col(COPIES) - 1, F.lit(UNFOLD)))
-    chunks = placed.withColumn("_chunk", chunk.cast("bigint")).hint("rebalance")
+    zero, step = F.lit(0).cast("bigint"), F.lit(UNFOLD).cast("bigint")
+    chunk = F.explode(F.sequence(zero, F.col(COPIES) - 1, step))
+    chunks = placed.withColumn("_chunk", chunk).hint("rebalance")
     last = F.least(F.col("_chunk") + F.lit(UNFOLD), F.col(COPIES)) - 1
     copy = F.explode(F.sequence(F.col("_chunk"), last))
     number = F.col(BEFORE) + F.col("_copy") + F.lit(start)

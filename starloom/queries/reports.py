@@ -132,12 +132,12 @@ _NEWEST = """FROM (SELECT *, row_number() OVER (PARTITION BY {key} ORDER BY ts D
     f"WITH {shapes.PLAYS_SQL} SELECT artist, song, cast(cast(length AS decimal(15,5)) AS double) "
     "AS duration " + _NEWEST.format(
         key="sessionId, itemInSession", rest="artist DESC, song DESC, length DESC",
-        where="sessionId = 338 AND itemInSession = 4",
+        where="sessionId = 1046 AND itemInSession = 2",
     ),
 )
 def q_song_by_session_item(t):
     table = query_tables.song_by_item_in_session(_typed(t))
-    hit = analytics.song_by_session_item(table, 338, 4)
+    hit = analytics.song_by_session_item(table, 1046, 2)
     return hit.withColumn("duration", F.col("duration").cast("double"))
 
 
@@ -147,11 +147,11 @@ def q_song_by_session_item(t):
     "first_name, lastName AS last_name " + _NEWEST.format(
         key="userId, sessionId, itemInSession", rest="artist DESC, song DESC",
         where="userId = '{user}' AND sessionId = {session}",
-    ).format(user=10, session=182),
+    ).format(user=681, session=1046),
 )
 def q_session_history(t):
     table = query_tables.history_by_session(_typed(t))
-    return analytics.session_history(table, 10, 182)
+    return analytics.session_history(table, 681, 1046)
 
 
 @query(

@@ -128,7 +128,7 @@ USERS_SQL = """SELECT user_id, arg_max(first_name, r) AS first_name, arg_max(las
 
 @query("pipe_play_star_users", f"WITH {shapes.PLAYS_SQL} {USERS_SQL}")
 def pipe_play_star_users(t):
-    return _star(t, plays.UPSERT)["users"]
+    return plays.build_users(plays.plays_of(shapes.play_log(t)), plays.UPSERT.users)
 
 
 @query(
@@ -138,7 +138,7 @@ def pipe_play_star_users(t):
            lastName AS last_name, gender, level FROM plays""",
 )
 def pipe_play_star_users_distinct(t):
-    return _star(t, plays.LAKE)["users"]
+    return plays.build_users(plays.plays_of(shapes.play_log(t)), plays.LAKE.users)
 
 
 def _times_sql(start: str, weekday: str) -> str:
@@ -150,12 +150,14 @@ def _times_sql(start: str, weekday: str) -> str:
 
 @query("pipe_play_star_times", _times_sql(MILLIS, "(isodow(start_time) - 1)::int"))
 def pipe_play_star_times(t):
-    return _star(t, plays.UPSERT)["times"]
+    preset = plays.UPSERT
+    return plays.build_times(plays.plays_of(shapes.play_log(t)), preset.precision, preset.weekday)
 
 
 @query("pipe_play_star_times_seconds", _times_sql(SECONDS, "dayofweek(start_time)::int"))
 def pipe_play_star_times_seconds(t):
-    return _star(t, plays.WAREHOUSE)["times"]
+    preset = plays.WAREHOUSE
+    return plays.build_times(plays.plays_of(shapes.play_log(t)), preset.precision, preset.weekday)
 
 
 # --- query tables ---
@@ -235,13 +237,13 @@ dim_imm AS (
     AND i94port IN (SELECT code FROM ports WHERE is_valid)
     AND cast(i94cit AS int) IN (SELECT code FROM countries WHERE is_valid)),
 fact_all AS (
-  SELECT i.year, i.month, upper(country[1]) || country[2:] AS origin_country, i.port_code,
+  SELECT i.year, i.month, upper(c.country[1]) || c.country[2:] AS origin_country, i.port_code,
          i.arr_date, i.dep_date, i.mode, i.addr_state_abbr, i.age, i.reason, i.gender,
          t.avg_temperature AS temperature_avg, d.median_age AS city_median_age,
          d.total_population AS city_total_population
   FROM dim_imm i JOIN dim_temp t ON i.port_code = t.port_code AND i.month = month(t.d)
   JOIN {{demo}} d ON i.port_code = d.port_code
-  LEFT JOIN countries ON origin_country_code = code)
+  LEFT JOIN countries c ON origin_country_code = c.code)
 """
 ONE_CITY = "(SELECT DISTINCT port_code, median_age, total_population FROM dim_demo)"
 

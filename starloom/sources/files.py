@@ -87,10 +87,7 @@ def scan_for_run(
 
 
 def _is_valid(label: Column) -> Column:
-    bad = F.lit(False)
-    for marker in INVALID_MARKERS:
-        bad = bad | F.startswith(label, F.lit(marker))
-    return ~bad
+    return ~label.rlike(f"^(?:{'|'.join(INVALID_MARKERS)})")
 
 
 # The strict line patterns of the legacy parse.
@@ -108,11 +105,15 @@ def parse_codes(lines: DataFrame, pattern: str = CODE_LINE, legacy: bool = False
     text = F.col("value")
     raw = F.rtrim(F.regexp_extract(text, pattern, 2))
     label = raw if legacy else F.replace(F.trim(raw), F.lit("''"), F.lit("'"))
-    return lines.where(text.rlike(pattern)).select(
-        F.regexp_extract(text, pattern, 1).alias("code"),
-        strip_prefix(label, "INVALID: ").alias("label"),
-        _is_valid(label).alias("is_valid"),
-        *[c for c in lines.columns if c != "value"],
+    rest = [c for c in lines.columns if c != "value"]
+    parsed = lines.where(text.rlike(pattern)).select(
+        F.regexp_extract(text, pattern, 1).alias("code"), label.alias("label"), *rest
+    )
+    return parsed.select(
+        "code",
+        strip_prefix(F.col("label"), "INVALID: ").alias("label"),
+        _is_valid(F.col("label")).alias("is_valid"),
+        *rest,
     )
 
 
