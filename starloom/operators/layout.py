@@ -7,10 +7,13 @@ distribution of the key.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql.types import ArrayType, BinaryType, MapType, StringType, StructType
 
-# Estimated size up to which a table may be copied to every executor.
+# Size up to which a table may be copied to every executor.
 REPLICATE_BYTES = 64 * 1024 * 1024
 # A bucket may hold this many times the mean before the table is clustered without buckets.
 BUCKET_SKEW = 4.0
@@ -37,10 +40,30 @@ def estimated_bytes(df: DataFrame) -> int:
     return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 
+def measured_bytes(df: DataFrame) -> int:
+    """Size of the values of a result, by one aggregate."""
+    widths = []
+    for f in df.schema:
+        column = F.col(f"`{f.name}`")
+        if isinstance(f.dataType, (StringType, BinaryType)):
+            width = F.octet_length(column)
+        elif isinstance(f.dataType, (ArrayType, MapType, StructType)):
+            width = F.octet_length(F.to_json(F.struct(column)))
+        else:
+            width = F.lit(8)
+        widths.append(F.coalesce(width, F.lit(0)).cast("bigint"))
+    total = df.agg(F.sum(reduce(Column.__add__, widths)).alias("b")).first().b
+    return int(total or 0)
+
+
 def replicate(df: DataFrame, limit: int = REPLICATE_BYTES) -> DataFrame:
-    """Mark a dimension for copying to every executor if its size is within the limit; a larger
-    one is left to a shuffle join."""
-    return F.broadcast(df) if estimated_bytes(df) <= limit else df
+    """Mark a dimension for copying to every executor if its measured size is within the limit.
+
+    A table that Spark already estimates as larger is not measured. A larger one is left to a
+    shuffle join.
+    """
+    small = estimated_bytes(df) <= limit and measured_bytes(df) <= limit
+    return F.broadcast(df) if small else df
 
 
 def cached(df: DataFrame, columns: list[str] | None = None) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from starloom.contracts import (
     ARRIVALS, CITY_DEMOGRAPHICS_CSV, CITY_TEMPERATURE_CSV, DIM_CITY_DEMOS, DIM_IMMIGRATIONS,
@@ -159,18 +159,34 @@ CONTRACTS = {
 }
 
 
-def write_arrivals_star(spark: SparkSession, star: dict[str, DataFrame], out: str) -> None:
-    """Write the dimensions, then check what was written, then build the fact from them.
+def run_arrivals_star(
+    arrivals: DataFrame, temperatures: DataFrame, demographics: DataFrame,
+    ports: DataFrame, countries: DataFrame, out: str, distinct: bool = False,
+) -> dict[str, str]:
+    """Write the dimensions, build and write the fact from them, and check all four tables.
 
-    Checks read the written tables, so nothing is computed twice for them.
+    The fact and the checks read what was written, so no dimension is computed twice.
     """
-    for name, contract in CONTRACTS.items():
-        problems = required_columns(star[name], contract.column_names)
+    spark = arrivals.sparkSession
+    paths = {name: f"{out}/{name}" for name in CONTRACTS}
+
+    def save(name: str, table: DataFrame) -> DataFrame:
+        contract = CONTRACTS[name]
+        problems = required_columns(table, contract.column_names)
         if problems:
             raise QualityError(f"{name}: {problems}")
-    tables = {}
-    for name, contract in CONTRACTS.items():
-        path = f"{out}/{name}"
-        write_table(star[name], path, contract.partition_by)
-        tables[name] = spark.read.parquet(path)
+        write_table(table, paths[name], contract.partition_by)
+        return contract.conform(spark.read.parquet(paths[name]))
+
+    cleaned = clean_arrivals(arrivals, ports, countries)
+    tables = {
+        "dim_immigrations": save("dim_immigrations", dim_immigrations(cleaned)),
+        "dim_temperatures": save(
+            "dim_temperatures", dim_temperatures(clean_temperatures(temperatures), ports)
+        ),
+        "dim_city_demos": save("dim_city_demos", dim_city_demos(demographics, ports)),
+    }
+    fact = fact_immigrations(*tables.values(), countries, distinct)
+    tables["fact_immigrations"] = save("fact_immigrations", fact)
     assert_quality(has_rows(tables))
+    return paths
