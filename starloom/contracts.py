@@ -238,7 +238,7 @@ DIM_TEMPERATURES = TableContract(
     "dim_temperatures",
     "date date, avg_temperature double, city string, country string, latitude string, "
     "longitude string, port_code string",
-    partition_by=("port_code",),
+    sort_by=("port_code", "date"),
 )
 
 DIM_CITY_DEMOS = TableContract(
@@ -247,7 +247,7 @@ DIM_CITY_DEMOS = TableContract(
     "female_population bigint, total_population bigint, veteran_population bigint, "
     "foreign_born_population bigint, avg_household_size double, state_abbr string, "
     "race string, race_count bigint, port_code string",
-    partition_by=("port_code",),
+    sort_by=("port_code",),
 )
 
 FACT_IMMIGRATIONS = TableContract(

@@ -18,16 +18,18 @@ def rows_at_max(df: DataFrame, group: list[str], measure: str) -> DataFrame:
     return matched.join(peaks, [*group, "_peak"], "left_semi").drop("_peak")
 
 
-def median_by_group(df: DataFrame, group: list[str], value: str, name: str = "median") -> DataFrame:
+def median_by_group(
+    df: DataFrame, group: list[str], value: str, name: str = "median", weight: str | None = None
+) -> DataFrame:
     """Exact median per group (mean of the two middle values); NULLs are left out.
 
-    Equal values are counted first; the counts are put in order over range partitions, and the
+    A row counts `weight` times, or once. Equal values are counted first; the counts are put in order over range partitions, and the
     middle values are found by position. No group is gathered in one task.
     """
     counted = (
         df.where(F.col(value).isNotNull())
         .groupBy(*group, F.col(value).alias("_value"))
-        .agg(F.count("*").alias("_n"))
+        .agg((F.sum(weight) if weight else F.count("*")).alias("_n"))
     )
     order = [*[F.col(g) for g in group], F.col("_value")]
     placed = running_total(counted, order, "_n")

@@ -25,13 +25,15 @@ def _partitions(spark: SparkSession) -> int:
 def _offsets(sizes: DataFrame) -> DataFrame:
     """(part, size) of every partition to (part, sum of the earlier sizes).
 
-    There is one row per shuffle partition, so the driver adds them up.
+    There is one row per shuffle partition, whatever the size of the data, so the driver adds
+    them up and every executor gets a copy.
     """
     rows, total = [], 0
     for part, size in sorted((r[0], r[1]) for r in sizes.collect()):
         rows.append((part, total))
         total += size
-    return sizes.sparkSession.createDataFrame(rows or [(0, 0)], f"{PART} int, _offset bigint")
+    offsets = sizes.sparkSession.createDataFrame(rows, f"{PART} int, _offset bigint")
+    return F.broadcast(offsets)
 
 
 def _ranged(df: DataFrame, order: list[Column], partitions: int | None) -> DataFrame:

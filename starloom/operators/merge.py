@@ -17,21 +17,27 @@ from starloom.functions.text import blank_to_null
 GENERATION = "_generation"
 
 
-def _rank(order: list[str], ties: list[str]) -> Column:
-    return F.struct(GENERATION, *order, *[F.col(c).alias(f"_tie_{c}") for c in ties])
-
-
-def with_target(batch: DataFrame, target: DataFrame | None, order: list[str]) -> DataFrame:
-    """Batch and target rows, the target's marked as older if it lacks order columns."""
-    newer = batch.withColumn(GENERATION, F.lit(1))
+def with_target(
+    batch: DataFrame, target: DataFrame | None, order: list[str]
+) -> tuple[DataFrame, list[Column]]:
+    """Batch and target rows, and the columns that put them in order."""
     if target is None:
-        return newer
+        return batch, _order(order)
     missing = [c for c in order if c not in target.columns]
     if order and not missing:
-        return newer.unionByName(target.withColumn(GENERATION, F.lit(1)))
+        return batch.unionByName(target), _order(order)
     blank = {c: F.lit(None).cast(batch.schema[c].dataType) for c in missing}
-    older = target.withColumns(blank) if blank else target
-    return older.withColumn(GENERATION, F.lit(0)).unionByName(newer)
+    older = target.withColumns({**blank, GENERATION: F.lit(0)})
+    newer = batch.withColumn(GENERATION, F.lit(1))
+    return older.unionByName(newer), _order([GENERATION, *order])
+
+
+def _order(columns: list[str]) -> list[Column]:
+    return [F.col(c).alias(f"_order_{i}") for i, c in enumerate(columns)]
+
+
+def _values(batch: DataFrame, key: list[str], order: list[str]) -> list[str]:
+    return [c for c in batch.columns if c not in key and c not in order]
 
 
 def last_wins(
@@ -39,25 +45,25 @@ def last_wins(
     keep_order: bool = False,
 ) -> DataFrame:
     """The newest row replaces all columns; `keep_order` leaves the order columns in."""
-    values = [c for c in batch.columns if c not in key and (keep_order or c not in order)]
-    newest = F.max(F.struct(_rank(order, values).alias("rank"), *values)).alias("_newest")
-    rows = with_target(batch, target, order).groupBy(*key).agg(newest)
-    return rows.select(*key, *[F.col("_newest")[c].alias(c) for c in values])
+    values = _values(batch, key, [] if keep_order else order)
+    rows, rank = with_target(batch, target, order)
+    newest = rows.groupBy(*key).agg(F.max(F.struct(*rank, *values)).alias("_newest"))
+    return newest.select(*key, *[F.col(f"_newest.{c}") for c in values])
+
+
+def first_wins(batch: DataFrame, key: list[str], order: list[str]) -> DataFrame:
+    """The oldest row of each key, without the order columns."""
+    values = _values(batch, key, order)
+    oldest = batch.groupBy(*key).agg(F.min(F.struct(*_order(order), *values)).alias("_oldest"))
+    return oldest.select(*key, *[F.col(f"_oldest.{c}") for c in values])
 
 
 def insert_ignore(
     batch: DataFrame, key: list[str], order: list[str], target: DataFrame | None = None
 ) -> DataFrame:
     """Rows to insert: the oldest of each key that the target does not hold yet."""
-    values = [c for c in batch.columns if c not in key and c not in order]
-    new = batch
-    if target is not None:
-        new = batch.join(target.select(*key), key, "left_anti")
-    oldest = F.min(
-        F.struct(F.struct(*order, *values).alias("rank"), *values)
-    ).alias("_oldest")
-    rows = new.groupBy(*key).agg(oldest)
-    return rows.select(*key, *[F.col("_oldest")[c].alias(c) for c in values])
+    rows = first_wins(batch, key, order)
+    return rows if target is None else rows.join(target.select(*key), key, "left_anti")
 
 
 def fill_zero(
@@ -66,22 +72,16 @@ def fill_zero(
 ) -> DataFrame:
     """The oldest row stays; only `column` is replaced, once, by the first positive value if
     the stored one is 0."""
-    values = [c for c in batch.columns if c not in key and c not in order]
-    rank = _rank(order, values)
-    rows = (
-        with_target(batch, target, order)
-        .groupBy(*key)
-        .agg(
-            F.min(F.struct(rank.alias("rank"), *values)).alias("_oldest"),
-            F.min(
-                F.when(F.col(column) > 0, F.struct(rank.alias("rank"), F.col(column)))
-            ).alias("_filled"),
-        )
+    values = _values(batch, key, order)
+    rows, rank = with_target(batch, target, order)
+    positive = F.when(F.col(column) > 0, F.struct(*rank, column))
+    merged = rows.groupBy(*key).agg(
+        F.min(F.struct(*rank, *values)).alias("_oldest"), F.min(positive).alias("_filled")
     )
-    stored = F.col("_oldest")[column]
-    filled = F.when(stored == 0, F.coalesce(F.col("_filled")[column], stored)).otherwise(stored)
-    return rows.select(
-        *key, *[(filled if c == column else F.col("_oldest")[c]).alias(c) for c in values]
+    stored, first = F.col(f"_oldest.{column}"), F.col(f"_filled.{column}")
+    filled = F.when(stored == 0, F.coalesce(first, stored)).otherwise(stored).alias(column)
+    return merged.select(
+        *key, *[filled if c == column else F.col(f"_oldest.{c}") for c in values]
     )
 
 
@@ -93,21 +93,18 @@ def coalesce_newest(
 
     NaN and blank count as NULL.
     """
-    values = [c for c in batch.columns if c not in key and c not in order]
-    rows = with_target(batch, target, order)
+    values = _values(batch, key, order)
+    rows, rank = with_target(batch, target, order)
     kinds = dict(rows.dtypes)
     clean = {c: nan_to_null(F.col(c)) for c in values if kinds[c] in ("double", "float")}
     clean |= {c: blank_to_null(F.col(c)) for c in values if kinds[c] == "string"}
     rows = rows.withColumns(clean) if clean else rows
-    rank = _rank(order, values).alias("rank")
-    aggregates = [F.min(F.struct(rank, *keep)).alias("_oldest")] if keep else []
-    for c in values:
-        if c not in keep:
-            aggregates.append(
-                F.max(F.when(F.col(c).isNotNull(), F.struct(rank, c))).alias(f"_newest_{c}")
-            )
-    return rows.groupBy(*key).agg(*aggregates).select(
+    merged = rows.groupBy(*key).agg(
+        F.min(F.struct(*rank, *keep)).alias("_oldest"),
+        *[F.max(F.when(F.col(c).isNotNull(), F.struct(*rank, c))).alias(f"_newest_{c}")
+          for c in values if c not in keep],
+    )
+    return merged.select(
         *key,
-        *[(F.col("_oldest")[c] if c in keep else F.col(f"_newest_{c}")[c]).alias(c)
-          for c in values],
+        *[F.col(f"_oldest.{c}" if c in keep else f"_newest_{c}.{c}").alias(c) for c in values],
     )

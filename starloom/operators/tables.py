@@ -101,11 +101,8 @@ def append_fact(
     spark = df.sparkSession
     if drop_first:
         drop_table(spark, path)
-    values = [c for c in df.columns if c not in key]
-    oldest = F.min(F.struct(F.struct(*order).alias("_rank"), *values)).alias("_oldest")
-    batch = df.groupBy(*key).agg(oldest).select(
-        *key, *[F.col("_oldest")[c].alias(c) for c in values]
-    ).select(*df.columns)
+    ranked = df.withColumns({f"_rank_{c}": F.col(c) for c in order})
+    batch = policies.first_wins(ranked, key, [f"_rank_{c}" for c in order]).select(*df.columns)
     if not exists(spark, path):
         write_table(batch, path, partition_by, mode="append")
         return

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from starloom.operators.aggregates import counts_with_names, median_by_group, rows_at_max, top_k
 from starloom.operators.cleaning import latest_window, lookup
+from starloom.session import written
 
 
 # --- plays ---
@@ -147,29 +148,46 @@ def hot_cold_month_delta(fact: DataFrame) -> DataFrame:
     )
 
 
-def ages_by_temperature(fact: DataFrame, at_least: float | None, below: float | None) -> DataFrame:
-    """Mean and median age of arrivals per port whose mean temperature is within bounds.
+def _age_counts(fact: DataFrame) -> DataFrame:
+    """Arrivals and the sum of their temperatures per (port, age)."""
+    return fact.groupBy("port_code", "age").agg(
+        F.count("*").alias("n"),
+        F.count("temperature_avg").alias("n_t"),
+        F.sum("temperature_avg").alias("t"),
+    )
 
-    Arrivals are counted per (port, age) once; mean, temperature and median come from that.
-    """
-    means = fact.groupBy("port_code").agg(
-        F.avg("temperature_avg").alias("_t"), F.round(F.avg("age"), 6).alias("avg_age")
+
+def _age_means(counts: DataFrame, at_least: float | None, below: float | None) -> DataFrame:
+    """Mean age of the ports whose mean temperature is within the bounds."""
+    known = F.when(F.col("age").isNotNull(), F.col("n"))
+    means = counts.groupBy("port_code").agg(
+        (F.sum("t") / F.sum("n_t")).alias("_t"),
+        F.round(F.sum(F.col("age") * F.col("n")) / F.sum(known), 6).alias("avg_age"),
     )
     if at_least is not None:
         means = means.where(F.col("_t") >= at_least)
     if below is not None:
         means = means.where(F.col("_t") < below)
-    chosen = fact.select("port_code", "age").join(means.select("port_code"), "port_code", "left_semi")
-    medians = median_by_group(chosen, ["port_code"], "age", "median_age")
-    return means.join(medians, "port_code").select("port_code", "avg_age", "median_age")
+    return means.select("port_code", "avg_age")
 
 
-def mean_age_by_temperature(fact: DataFrame, below: float) -> DataFrame:
-    """Mean age per port whose mean temperature is below a bound."""
-    means = fact.groupBy("port_code").agg(
-        F.avg("temperature_avg").alias("_t"), F.round(F.avg("age"), 6).alias("avg_age")
-    )
-    return means.where(F.col("_t") < below).select("port_code", "avg_age")
+def ages_by_temperature(
+    fact: DataFrame, at_least: float | None = None, below: float | None = None
+) -> DataFrame:
+    """Mean and median age of arrivals per port whose mean temperature is within bounds.
+
+    The fact is read once, for the counts per (port, age); all the rest comes from them.
+    """
+    counts = written(_age_counts(fact), "age-counts")
+    means = _age_means(counts, at_least, below)
+    medians = median_by_group(counts, ["port_code"], "age", "median_age", weight="n")
+    return means.join(medians, "port_code")
+
+
+def mean_age_by_temperature(
+    fact: DataFrame, at_least: float | None = None, below: float | None = None
+) -> DataFrame:
+    return _age_means(_age_counts(fact), at_least, below)
 
 
 def origins_of_youngest_cities(fact: DataFrame, cities: int = 5, k: int = 10) -> DataFrame:
