@@ -109,9 +109,18 @@ def orphans(child: DataFrame, column: str, parent: DataFrame, parent_column: str
 def foreign_key(
     child: DataFrame, column: str, parent: DataFrame, parent_column: str, name: str = "foreign_key"
 ) -> DataFrame:
-    """Number of orphan rows, joined on the distinct values only."""
-    counts = child.groupBy(column).agg(F.count("*").alias("_n"))
-    lost = orphans(counts, column, parent, parent_column)
+    """Number of orphan rows.
+
+    Child rows are counted per value first. An outer join keeps it that way: an anti join would
+    be moved below the aggregate, to all the rows of the child.
+    """
+    counts = child.where(F.col(column).isNotNull()).groupBy(F.col(column).alias("_value")).agg(
+        F.count("*").alias("_n")
+    )
+    known = parent.select(F.col(parent_column).alias("_value")).distinct()
+    lost = counts.join(known.withColumn("_found", F.lit(True)), "_value", "left").where(
+        "_found IS NULL"
+    )
     return lost.agg(F.coalesce(F.sum("_n"), F.lit(0)).cast("bigint").alias("violations")).select(
         F.lit(f"{name}:{column}").alias("check_name"), "violations"
     )

@@ -183,7 +183,7 @@ def run_arrivals_star(
             folders = ("port_code",) if by_port else ()
             table = table.sort(*contract.sort_by)
         write_table(table, paths[name], folders)
-        return contract.conform(spark.read.parquet(paths[name]))
+        return contract.conform(spark.read.schema(table.schema).parquet(paths[name]))
 
     cleaned = clean_arrivals(arrivals, ports, countries)
     tables = {
