@@ -4,15 +4,22 @@ from __future__ import annotations
 
 from dataclasses import dataclass, replace
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from starloom.contracts import ARTISTS, SONGS, USERS
+from starloom.contracts import (
+    ARTISTS, PLAY_LOG, SONG_CATALOG, SONGPLAYS, SONGS, STAGED_EVENTS, STAGED_SONGS, TIMES, USERS,
+    TableContract,
+)
 from starloom.functions.text import blank_to_null
 from starloom.functions.timeparts import calendar_parts, start_time
 from starloom.operators import merge
 from starloom.operators.cleaning import equals, require
 from starloom.operators.keys import dense_key, hashed_key, monotonic_key
 from starloom.operators.matching import catalog_of, match_plays, match_plays_two_step
+from starloom.operators.quality import assert_quality, has_rows, null_counts
+from starloom.operators.tables import write_table
+from starloom.sources.files import scan_json
+from starloom.sources.staging import stage_json
 
 # Fixed value: the page of a play.
 PLAY_PAGE = "NextSong"
@@ -185,3 +192,56 @@ def build_play_star(
 def partitioned_by_month(fact: DataFrame) -> DataFrame:
     """Add the partition columns of the fact and time tables."""
     return fact.withColumns({"year": F.year("start_time"), "month": F.month("start_time")})
+
+
+PRESETS = {
+    "default": DEFAULT, "upsert": UPSERT, "warehouse": WAREHOUSE, "lake": LAKE,
+    "scheduled": SCHEDULED,
+}
+LAYOUTS: dict[str, TableContract] = {
+    "songs": SONGS, "artists": ARTISTS, "users": USERS, "times": TIMES, "songplays": SONGPLAYS,
+}
+
+
+def read_inputs(
+    spark: SparkSession, log_path: str, song_path: str, staged: bool = False
+) -> tuple[DataFrame, DataFrame]:
+    """Events and catalog records from JSON folders, plainly or through the staging load."""
+    if staged:
+        return (
+            stage_json(spark, log_path, STAGED_EVENTS), stage_json(spark, song_path, STAGED_SONGS)
+        )
+    return scan_json(spark, log_path, PLAY_LOG), scan_json(spark, song_path, SONG_CATALOG)
+
+
+def run_play_star(
+    spark: SparkSession, log_path: str, song_path: str, out: str, preset: Preset = DEFAULT,
+    staged: bool = False,
+) -> dict[str, str]:
+    """JSON folders to the five written tables, then the checks.
+
+    The plays are parsed once and kept for the three tables made of them; the fact is matched
+    with the written dimensions. Songs are partitioned by year, times and the fact by month.
+    """
+    events, records = read_inputs(spark, log_path, song_path, staged)
+    paths = {name: f"{out}/{name}" for name in LAYOUTS}
+    tables: dict[str, DataFrame] = {}
+
+    def save(name: str, table: DataFrame) -> None:
+        write_table(table, paths[name], LAYOUTS[name].partition_by)
+        tables[name] = spark.read.schema(table.schema).parquet(paths[name])
+
+    plays = plays_of(events).persist()
+    try:
+        for name, table in build_song_dims(records, preset).items():
+            save(name, table)
+        save("users", build_users(plays, preset.users))
+        save("times", build_times(plays, preset.precision, preset.weekday))
+        dims = {name: tables[name] for name in ("songs", "artists")}
+        fact = build_songplays(plays, records, dims, preset)
+        save("songplays", partitioned_by_month(fact))
+    finally:
+        plays.unpersist()
+    assert_quality(has_rows(tables))
+    assert_quality(null_counts(tables["songplays"], ["songplay_id", "start_time", "session_id"]))
+    return paths

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from starloom.operators.tables import merge_table
+from starloom.operators.tables import merge_table, write_json
 from starloom.plans import arrivals, plays, query_tables, refresh
 from starloom.queries import shapes
 from starloom.queries.joins import DIMS_SQL, FIRST_SQL, TEMP_SQL
@@ -119,6 +119,41 @@ def pipe_play_star_scheduled(t):
     return _star(t, plays.SCHEDULED)["songplays"]
 
 
+def _from_files(t, preset, staged):
+    """The star from JSON folders, as a job runs it."""
+    root = t.folder("star-from-files")
+    write_json(shapes.play_log(t), f"{root}/log")
+    write_json(shapes.catalog(t).drop("_order"), f"{root}/songs")
+    paths = plays.run_play_star(
+        t.spark, f"{root}/log", f"{root}/songs", f"{root}/out", preset, staged
+    )
+    return t.spark.read.parquet(paths["songplays"])
+
+
+_MONTHS = "year(start_time)::int AS year, month(start_time)::int AS month"
+
+
+@query(
+    "pipe_play_star_files",
+    f"""{PC}, {FIRST_SQL}, fact AS ({_fact_sql("matched", SECONDS, True)})
+    SELECT md5(session_id || strftime(start_time, '%Y-%m-%d %H:%M:%S')) AS songplay_id, *, {_MONTHS}
+    FROM fact""",
+)
+def pipe_play_star_files(t):
+    return _from_files(t, plays.DEFAULT, staged=False)
+
+
+@query(
+    "pipe_play_star_staged",
+    f"""{PC}, fact AS ({_fact_sql(
+        "plays JOIN catalog ON song = title AND artist = artist_name", SECONDS, True)})
+    SELECT row_number() OVER (ORDER BY {ORDER}) - 1 AS songplay_id, *, {_MONTHS} FROM fact""",
+)
+def pipe_play_star_staged(t):
+    """The same through the staging load, with the warehouse's semantics."""
+    return _from_files(t, plays.WAREHOUSE, staged=True)
+
+
 USERS_SQL = """SELECT user_id, arg_max(first_name, r) AS first_name, arg_max(last_name, r)
   AS last_name, arg_max(gender, r) AS gender, arg_max(level, r) AS level FROM (
   SELECT cast(userId AS int) AS user_id, firstName AS first_name, lastName AS last_name, gender,

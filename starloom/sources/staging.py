@@ -10,7 +10,7 @@ from __future__ import annotations
 import re
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
-from pyspark.sql.types import DataType, DecimalType, StringType
+from pyspark.sql.types import DataType, DecimalType, IntegralType, StringType
 
 from starloom.contracts import TableContract
 from starloom.functions.numbers import fit_decimal
@@ -49,6 +49,9 @@ def _fit(text: Column, kind: DataType, decimal_mode: str) -> Column:
         return fit_decimal(text, kind.scale, decimal_mode, kind.precision)
     if isinstance(kind, StringType):
         return text
+    if isinstance(kind, IntegralType):
+        # Whole numbers may be written as 1.5E12 or 338.0.
+        return F.coalesce(text.try_cast(kind), text.try_cast("decimal(38,6)").try_cast(kind))
     return text.try_cast(kind)
 
 

@@ -148,6 +148,11 @@ def test_staging_options(spark):
     assert got[1] == ("abcdef", 247) and got[2][0] == " \t"
 
 
+def test_whole_numbers_may_be_written_as_doubles(spark):
+    staged = staging.stage_lines(lines(spark, '{"id": 1.5E3}', '{"id": 338.0}', '{"id": "7"}'), STAGE)
+    assert sorted(r.id for r in staging.enforce_max_error(staged).collect()) == [7, 338, 1500]
+
+
 @pytest.mark.parametrize("bad", ["not json", '{"id": "x"}', '{"name": "a"}'])
 def test_a_bad_line_stops_the_load(spark, bad):
     staged = staging.stage_lines(lines(spark, '{"id": 1}', bad), STAGE)
