@@ -7,9 +7,17 @@ from pyspark.sql import Column, functions as F
 from starloom.functions.timeparts import SECOND_FORMAT
 
 
+# What counts as whitespace, as \\s does in a regular expression.
+WHITESPACE = " \t\n\x0b\f\r"
+
+
 def blank_to_null(text: Column) -> Column:
-    """NULL for an empty or whitespace-only string (tabs and newlines included)."""
-    return F.when(text.rlike(r"^\s*$"), F.lit(None)).otherwise(text)
+    """NULL for an empty or whitespace-only string (tabs and newlines included).
+
+    Trimming on the left stops at the first other character, which a regular expression search
+    would not.
+    """
+    return F.when(F.ltrim(text, F.lit(WHITESPACE)) != "", text)
 
 
 def empty_to_null(text: Column) -> Column:

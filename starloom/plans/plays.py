@@ -70,6 +70,11 @@ SCHEDULED = Preset(
 DEFAULT = replace(UPSERT, precision="s", dedup=True, key="md5", weekday="sun0")
 
 CATALOG_ORDER = "_order"
+# What the tables of the star need of a play.
+PLAY_COLUMNS = [
+    "artist", "firstName", "gender", "itemInSession", "lastName", "length", "level", "location",
+    "sessionId", "song", "ts", "userAgent", "userId",
+]
 
 
 def plays_of(events: DataFrame) -> DataFrame:
@@ -209,7 +214,8 @@ def read_inputs(
     """Events and catalog records from JSON folders, plainly or through the staging load."""
     if staged:
         return (
-            stage_json(spark, log_path, STAGED_EVENTS), stage_json(spark, song_path, STAGED_SONGS)
+            stage_json(spark, log_path, STAGED_EVENTS, mapping="exact"),
+            stage_json(spark, song_path, STAGED_SONGS, mapping="exact"),
         )
     return scan_json(spark, log_path, PLAY_LOG), scan_json(spark, song_path, SONG_CATALOG)
 
@@ -231,7 +237,7 @@ def run_play_star(
         write_table(table, paths[name], LAYOUTS[name].partition_by)
         tables[name] = spark.read.schema(table.schema).parquet(paths[name])
 
-    plays = plays_of(events).persist()
+    plays = plays_of(events).select(*PLAY_COLUMNS).persist()
     try:
         for name, table in build_song_dims(records, preset).items():
             save(name, table)

@@ -17,6 +17,9 @@ from starloom.functions.numbers import fit_decimal
 from starloom.functions.text import blank_to_null, empty_to_null, truncate
 
 BAD = "_bad"
+# Number of a line. A filter that uses it stays above the parse: without it the optimizer would
+# move the check for bad lines below, and every line would be parsed twice.
+LINE = "_line"
 
 
 def replace_invalid_utf8(text: Column, substitute: str = "�") -> Column:
@@ -35,13 +38,40 @@ def read_lines(spark: SparkSession, path: str, glob: str = "*.json") -> DataFram
     )
 
 
-def _field(fields: Column, line: Column, name: str, path: str | None) -> Column:
-    if path is None:
-        return F.try_element_at(fields, F.lit(name.lower()))
-    simple = re.fullmatch(r"\$(?:\.(\w+)|\['(\w+)'\])", path)
-    if simple:
-        return F.try_element_at(fields, F.lit((simple[1] or simple[2])))
-    return F.get_json_object(line, path)
+CORRUPT = "_corrupt"
+
+
+def _simple_name(path: str) -> str | None:
+    """The field of a top-level JSON path, or None for a deeper one."""
+    found = re.fullmatch(r"\$(?:\.(\w+)|\['(\w+)'\])", path)
+    return (found[1] or found[2]) if found else None
+
+
+def _raw_fields(lines: DataFrame, names: list[str], mapping: str | list[str]) -> DataFrame:
+    """All fields of each line as text, under the column names, and whether it was JSON.
+
+    Known field names are parsed straight into a struct. Names in any letter case need a map of
+    the whole record, which costs several times as much.
+    """
+    line = F.col("value")
+    if mapping == "auto":
+        keyed = F.transform_keys(F.from_json(line, "map<string,string>"), lambda k, _: F.lower(k))
+        return lines.select(keyed.alias("f")).select(
+            F.col("f").isNull().alias("_not_json"),
+            *[F.try_element_at("f", F.lit(n.lower())).alias(n) for n in names],
+        )
+    paths = [f"$.{n}" for n in names] if mapping == "exact" else list(mapping)
+    if len(paths) != len(names):
+        raise ValueError("one JSON path per column is needed")
+    fields = {p: _simple_name(p) for p in paths}
+    known = sorted({f for f in fields.values() if f})
+    schema = ", ".join(f"`{f}` string" for f in [*known, CORRUPT])
+    parsed = F.from_json(line, schema, {"columnNameOfCorruptRecord": CORRUPT})
+    return lines.select(line, parsed.alias("f")).select(
+        F.col(f"f.{CORRUPT}").isNotNull().alias("_not_json"),
+        *[(F.col(f"f.{fields[p]}") if fields[p] else F.get_json_object(line, p)).alias(n)
+          for n, p in zip(names, paths)],
+    )
 
 
 def _fit(text: Column, kind: DataType, decimal_mode: str) -> Column:
@@ -67,42 +97,37 @@ def stage_lines(
     replace_invalid: str | None = "�",
     decimal_mode: str = "truncate",
 ) -> DataFrame:
-    """Columns of the contract plus `_bad`, from text lines (column `value`).
+    """Columns of the contract plus `_bad` and `_line`, from text lines (column `value`).
 
-    `mapping` is "auto" (by name, in any letter case) or a list of JSON paths in column order.
+    `mapping` is "auto" (by name, in any letter case), "exact" (by name) or a list of JSON paths
+    in column order. Each step is its own projection, so no value is computed twice.
     """
-    line = F.col("value")
     if replace_invalid is not None:
-        lines = lines.select(replace_invalid_utf8(line, replace_invalid).alias("value"))
-    parsed = F.from_json(line, "map<string,string>")
-    if mapping == "auto":
-        parsed = F.transform_keys(parsed, lambda k, _: F.lower(k))
-        paths: list[str | None] = [None] * len(contract.schema)
-    else:
-        paths = list(mapping)
-        if len(paths) != len(contract.schema):
-            raise ValueError("one JSON path per column is needed")
-    raw = lines.select(line, parsed.alias("fields")).select(
-        F.col("fields").isNull().alias("not_json"),
-        *[_field(F.col("fields"), line, f.name, p).alias(f.name)
-          for f, p in zip(contract.schema, paths)],
-    )
-    columns, bad = [], F.col("not_json")
-    for f in contract.schema:
-        text = F.col(f.name)
-        if blanks_as_null:
-            text = blank_to_null(text)
-        elif empty_as_null:
-            text = empty_to_null(text)
-        value = _fit(text, f.dataType, decimal_mode)
+        lines = lines.select(replace_invalid_utf8(F.col("value"), replace_invalid).alias("value"))
+    fields = list(contract.schema)
+    clean = blank_to_null if blanks_as_null else empty_to_null if empty_as_null else None
+    rows = _raw_fields(lines, [f.name for f in fields], mapping)
+    if clean is not None:
+        rows = rows.select("_not_json", *[clean(F.col(f.name)).alias(f.name) for f in fields])
+    texts = {f.name: f"_text_{f.name}" for f in fields if not isinstance(f.dataType, StringType)}
+    fitted = []
+    for f in fields:
+        value = _fit(F.col(f.name), f.dataType, decimal_mode)
         if truncate_columns and f.name in contract.max_length:
             value = truncate(value, contract.max_length[f.name], length_unit)
-        if not isinstance(f.dataType, StringType):
-            bad = bad | (text.isNotNull() & value.isNull())
+        fitted.append(value.alias(f.name))
+    rows = rows.select("_not_json", *fitted, *[F.col(n).alias(t) for n, t in texts.items()])
+    bad = F.col("_not_json")
+    for f in fields:
         if f.name in contract.not_null:
-            bad = bad | value.isNull()
-        columns.append(value.alias(f.name))
-    return raw.select(*columns, F.coalesce(bad, F.lit(False)).alias(BAD))
+            bad = bad | F.col(f.name).isNull()
+        elif f.name in texts:
+            bad = bad | (F.col(texts[f.name]).isNotNull() & F.col(f.name).isNull())
+    return rows.select(
+        *[f.name for f in fields],
+        F.coalesce(bad, F.lit(False)).alias(BAD),
+        F.monotonically_increasing_id().alias(LINE),
+    )
 
 
 def enforce_max_error(staged: DataFrame, max_error: int = 0) -> DataFrame:
@@ -112,13 +137,13 @@ def enforce_max_error(staged: DataFrame, max_error: int = 0) -> DataFrame:
     """
     if max_error == 0:
         stop = F.raise_error(F.lit("a line could not be loaded and max_error is 0"))
-        kept = staged.where(F.when(F.col(BAD), stop.cast("boolean")).otherwise(F.lit(True)))
+        kept = staged.where(F.when(F.col(BAD), stop.cast("boolean")).otherwise(F.col(LINE) >= 0))
     else:
         found = staged.where(BAD).limit(max_error + 1).count()
         if found > max_error:
             raise ValueError(f"more than {max_error} lines could not be loaded")
-        kept = staged.where(~F.col(BAD))
-    return kept.drop(BAD)
+        kept = staged.where(~F.col(BAD) & (F.col(LINE) >= 0))
+    return kept.drop(BAD, LINE)
 
 
 def stage_json(

@@ -153,15 +153,27 @@ def test_whole_numbers_may_be_written_as_doubles(spark):
     assert sorted(r.id for r in staging.enforce_max_error(staged).collect()) == [7, 338, 1500]
 
 
+def test_exact_names_and_paths(spark):
+    rows = lines(spark, '{"id": 1, "name": "a", "amount": "2.5", "in": {"x": "deep"}}',
+                 '{"ID": 5, "id": 2}')
+    exact = staging.enforce_max_error(staging.stage_lines(rows, STAGE, mapping="exact"))
+    assert {(r.id, r.name) for r in exact.collect()} == {(1, "a"), (2, None)}
+    by_path = staging.stage_lines(rows, STAGE, mapping=["$.id", "$.in.x", "$['amount']"])
+    assert {(r.id, r.name) for r in by_path.collect()} == {(1, "dee"), (2, None)}
+    with pytest.raises(ValueError):
+        staging.stage_lines(rows, STAGE, mapping=["$.id"])
+
+
+@pytest.mark.parametrize("mapping", ["auto", "exact"])
 @pytest.mark.parametrize("bad", ["not json", '{"id": "x"}', '{"name": "a"}'])
-def test_a_bad_line_stops_the_load(spark, bad):
-    staged = staging.stage_lines(lines(spark, '{"id": 1}', bad), STAGE)
+def test_a_bad_line_stops_the_load(spark, bad, mapping):
+    staged = staging.stage_lines(lines(spark, '{"id": 1}', bad), STAGE, mapping=mapping)
     with pytest.raises(Exception, match="could not be loaded"):
         staging.enforce_max_error(staged).select(F.lit(1)).collect()
     assert staging.enforce_max_error(staged, max_error=1).count() == 1
     with pytest.raises(ValueError):
         staging.enforce_max_error(
-            staging.stage_lines(lines(spark, bad, bad), STAGE), max_error=1
+            staging.stage_lines(lines(spark, bad, bad), STAGE, mapping=mapping), max_error=1
         )
 
 
