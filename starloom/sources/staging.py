@@ -51,7 +51,7 @@ def _raw_fields(lines: DataFrame, names: list[str], mapping: str | list[str]) ->
     """All fields of each line as text, under the column names, and whether it was JSON.
 
     Known field names are parsed straight into a struct. Names in any letter case need a map of
-    the whole record, which costs several times as much.
+    the whole record, which costs more.
     """
     line = F.col("value")
     if mapping == "auto":
