@@ -157,12 +157,11 @@ def placed(
     )
 
 
-def by_position(rows: DataFrame, column: str = "position", partitions: int | None = None) -> DataFrame:
-    """Range-sort: part files follow each other in training order."""
+def by_position(rows: DataFrame, partitions: int | None = None) -> DataFrame:
+    """Range-sort: part files follow each other in training order, rows without a position last."""
     n = partitions or int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return rows.repartitionByRange(n, F.col(column).asc_nulls_last()).sortWithinPartitions(
-        F.col(column).asc_nulls_last()
-    )
+    order = [F.col("position").asc_nulls_last(), F.col("doc_id").asc_nulls_last()]
+    return rows.repartitionByRange(n, *order).sortWithinPartitions(*order)
 
 
 def training_set(docs: DataFrame, **options) -> DataFrame:
