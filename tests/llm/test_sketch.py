@@ -1,0 +1,100 @@
+"""Scaled sketches against xxhash on plain Python strings."""
+
+import hashlib
+import re
+
+import xxhash
+
+from starloom.llm.sketch import (
+    THRESHOLD, containment, edited_fingerprints, fingerprint, likeness, merged, with_sketch,
+)
+
+GAP = re.compile(r"[\x20\x09-\x0D]+")
+
+
+def plain_sketch(text):
+    words = [w for w in GAP.split((text or "").lower()) if w]
+    runs = [words[k:k + 5] for k in range(len(words) - 4)] if len(words) >= 5 else [words] * bool(words)
+    hashes = set()
+    for run in runs:
+        seed = 42
+        for w in run:
+            seed = xxhash.xxh64_intdigest(w.encode(), seed)
+        hashes.add(seed - (1 << 64) if seed >> 63 else seed)
+    low = sorted(h for h in hashes if h < THRESHOLD)
+    return low or sorted(hashes)[:1]
+
+
+def plain_print(sketch):
+    return "".join(f"{h % (1 << 64):016X}" for h in sketch)
+
+
+def plain_likeness(a, b):
+    a, b = set(a), set(b)
+    return len(a & b) / len(a | b) if a | b else 1.0
+
+
+def brute_force(rows):
+    """Rows (doc_id, text), ids distinct, by descending id; after the last comes the first."""
+    rows = sorted(((i, t or "") for i, t in rows), reverse=True)
+    out = {}
+    for (i, t), (_, after) in zip(rows, rows[1:] + rows[:1]):
+        half = len(t) // 2
+        edited = t[:len(t) - half] + after[:half]
+        a, b, c = map(plain_sketch, (t, edited, after))
+        out[i] = (len(t), hashlib.sha256(edited.encode()).hexdigest(), plain_print(a), plain_print(b),
+                  plain_likeness(a, b), plain_likeness(a, c))
+    return out
+
+
+def test_query_matches_brute_force(spark):
+    from starloom.llm.queries import QUERIES
+
+    sf_dir = "/root/testdata/sf0.001"
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text").collect()
+    got = QUERIES["op10_scaled_sketch"](spark, sf_dir)
+    assert got.columns == ["doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint",
+                           "near_edited", "near_next"]
+    rows = got.collect()
+    want = brute_force([tuple(d) for d in docs])
+    assert len(rows) == len(docs)
+    for r in rows:
+        w = want[r.doc_id]
+        assert tuple(r)[1:5] == w[:4]
+        assert abs(r.near_edited - w[4]) < 1e-12 and abs(r.near_next - w[5]) < 1e-12
+
+
+def test_odd_rows(spark):
+    rows = [(1, None, "x"), (2, "", "x"), (3, "one two", "x"), (4, "é" * 7 + " \U0001F600 b c d e f", "x"),
+            (5, "word " * 100_000, "x")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, n_chars string")
+    got = {r.doc_id: tuple(r)[1:] for r in edited_fingerprints(docs).collect()}
+    want = brute_force([r[:2] for r in rows])
+    assert {k: v[:4] for k, v in got.items()} == {k: v[:4] for k, v in want.items()}
+    assert got[1][4:] == (1.0, 0.0) or got[1][4] == 1.0
+    repeated = docs.where("doc_id = 3").union(docs.where("doc_id = 3")).union(docs.where("doc_id = 4"))
+    got = [tuple(r) for r in edited_fingerprints(repeated).collect()]
+    assert sorted(r[0] for r in got) == [3, 3, 4]
+    assert sorted(r[6] for r in got if r[0] == 3) == [0.0, 1.0]
+    alone = edited_fingerprints(docs.where("doc_id = 4")).collect()
+    assert len(alone) == 1 and alone[0].near_next == 1.0
+    nameless = docs.selectExpr("cast(null AS bigint) AS doc_id", "text").union(docs.select("doc_id", "text"))
+    assert edited_fingerprints(nameless).count() == 10
+    assert edited_fingerprints(docs.limit(0)).collect() == []
+
+
+def test_merging_and_containment(spark):
+    whole = " ".join(f"w{k * k % 977}" for k in range(3000))
+    part = " ".join(whole.split()[500:900])
+    rows = with_sketch(spark.createDataFrame([(1, whole), (2, part)], "id bigint, text string"))
+    a, b = (r.sketch for r in rows.orderBy("id").collect())
+    assert list(a) == plain_sketch(whole) and list(b) == plain_sketch(part)
+    both = spark.createDataFrame([(list(a), list(b), [], [5])], "a array<bigint>, b array<bigint>, c array<bigint>, d array<bigint>")
+    r = both.select(
+        merged("a", "b").alias("m"), containment("b", "a").alias("in"), likeness("a", "b").alias("like"),
+        merged("c", "d").alias("one"), merged("d", "b").alias("low"), likeness("c", "c").alias("none"),
+        fingerprint("b").alias("f"),
+    ).first()
+    assert list(r.m) == list(a) and r["in"] == 1.0
+    assert abs(r.like - plain_likeness(a, b)) < 1e-12
+    assert list(r.one) == [5] and list(r.low) == list(b) and r.none == 1.0 and r.f == plain_print(b)
