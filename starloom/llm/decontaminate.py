@@ -29,9 +29,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from starloom.llm.filters import bucket_of, key_filter, without
-from starloom.llm.shingles import (
-    _BASE, _STEP, _TABLE, BLOCK, LOWER, _pieces, _power, blocks, mixed,
-)
+from starloom.llm.shingles import _STEP, BLOCK, _pieces, blocks, mixed
+from starloom.llm.tokens import FIRST, INSIDE, NUMBER, tokens
 from starloom.session import written
 
 WIDTH, WORDS, COVER = 5, 3, 0.8
@@ -58,89 +57,12 @@ GIVEN_NAMES = (
     "simon sophie steve susan thomas tim tina tom toby victor weng will"
 ).split()
 
-_ALPHA = np.zeros(256, bool)
-_ALPHA[48:58] = _ALPHA[65:91] = _ALPHA[97:123] = _ALPHA[128:] = True
-_DIGIT = np.zeros(256, bool)
-_DIGIT[48:58] = True
-_STOP = np.zeros(256, bool)
-_STOP[[ord(c) for c in ".!?:;\n"]] = True
 NUM, UNIT, NAME = (mixed(np.array([k], np.uint64))[0] for k in (1, 2, 3))
 
 
-def _lowered(raw: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Small letters for the capitals of ASCII, Latin-1, Greek and Cyrillic, and where they were."""
-    out = LOWER[raw]
-    capital = out != raw
-    lead, at = raw[:-1], raw[1:]
-
-    def fold(first, low, high, lead_to, shift):
-        hit = np.flatnonzero((lead == first) & (at >= low) & (at <= high) & (at != 0x97 if first == 0xC3 else True))
-        out[hit], capital[hit] = lead_to, True
-        out[hit + 1] = raw[hit + 1] + np.uint8(shift % 256)
-
-    fold(0xC3, 0x80, 0x9E, 0xC3, 0x20)
-    if (raw >= 0xCE).any():
-        fold(0xCE, 0x91, 0x9F, 0xCE, 0x20)
-        fold(0xCE, 0xA0, 0xA9, 0xCF, -0x20)
-        fold(0xD0, 0x90, 0x9F, 0xD0, 0x20)
-        fold(0xD0, 0xA0, 0xAF, 0xD1, -0x20)
-    return out, capital
-
-
-def _tokens(raw: np.ndarray, begins: np.ndarray, fresh: bool = True):
-    """Tokens of these bytes: starts, hashes, kinds and whether a sentence ends after the last.
-
-    Tokens are runs of letters and digits; a point or comma between digits belongs to them.
-    Kinds: 0 word, 1 with a digit, 2 capitalised inside a sentence, 3 capitalised at its begin.
-    """
-    none = np.zeros(0, np.int64)
-    if not len(raw):
-        return none, none.astype(np.uint64), none, fresh
-    small, capital = _lowered(raw)
-    own = _ALPHA[raw]
-    digit = _DIGIT[raw]
-    inner = (raw == 46) | (raw == 44)
-    inner[1:] &= digit[:-1]
-    inner[:-1] &= digit[1:]
-    inner[[0, -1]] = False
-    own |= inner
-    edge = np.ones(len(raw) + 1, bool)
-    edge[1:-1] = ~own[:-1]
-    edge[begins[begins < len(raw)]] = True
-    starts = np.flatnonzero(edge[:-1] & own)
-    edge[:-1] = ~own
-    edge[begins[begins < len(raw)]] = True
-    ends = np.flatnonzero(edge[1:] & own) + 1
-
-    def count(flags, a, b):
-        total = np.zeros(len(raw) + 1, np.int32)
-        np.cumsum(flags, out=total[1:])
-        return total[b] - total[a]
-
-    total = np.zeros(len(raw) + 1, np.uint64)
-    np.cumsum(_TABLE[small] * _power(_BASE, len(raw)), out=total[1:])
-    hashes = (total[ends] - total[starts]) * _power(pow(_BASE, -1, 1 << 64), len(raw))[starts]
-    hashes = mixed(hashes + (ends - starts).astype(np.uint64))
-    # one capital in front; a word all in capitals is no name
-    capital = capital[starts] & (count(capital, starts, ends) == 1) & (ends - starts > 1)
-    stop = _STOP[raw]
-    after = np.r_[0, ends[:-1]] if len(ends) else none
-    new = count(stop, after, starts) > 0
-    new |= np.searchsorted(begins, starts, "right") != np.searchsorted(begins, after, "right") if len(
-        starts) else False
-    if len(starts):
-        new[0] = fresh or bool(stop[:starts[0]].any())
-        # the first token of a text begins a sentence
-        text = np.searchsorted(begins, starts, "right")
-        new[1:] |= text[1:] != text[:-1]
-    kind = np.where(count(digit, starts, ends) > 0, 1, np.where(capital, np.where(new, 3, 2), 0))
-    last = ends[-1] if len(ends) else 0
-    return starts, hashes, kind, bool(stop[last:].any()) or (fresh and not len(ends))
-
-
 def _hash_list(words) -> np.ndarray:
     raw = np.frombuffer(" ".join(words).encode(), np.uint8)
-    return np.sort(_tokens(raw, np.zeros(1, np.int64))[1])
+    return np.sort(tokens(raw, np.zeros(1, np.int64)).hashes)
 
 
 _NUMBERS, _UNITS, _NAMES = map(_hash_list, (NUMBER_WORDS, UNITS, GIVEN_NAMES))
@@ -148,10 +70,10 @@ _NUMBERS, _UNITS, _NAMES = map(_hash_list, (NUMBER_WORDS, UNITS, GIVEN_NAMES))
 
 def template(text: np.ndarray, hashes: np.ndarray, kind: np.ndarray):
     """Template tokens: text number, hash, slot value (0 for a word). `text` rises."""
-    number = (kind == 1) | np.isin(hashes, _NUMBERS)
+    number = (kind == NUMBER) | np.isin(hashes, _NUMBERS)
     unit = np.zeros(len(hashes), bool)
     unit[1:] = number[:-1] & (text[1:] == text[:-1]) & np.isin(hashes[1:], _UNITS)
-    name = ((kind == 2) | ((kind == 3) & np.isin(hashes, _NAMES))) & ~number & ~unit
+    name = ((kind == INSIDE) | ((kind == FIRST) & np.isin(hashes, _NAMES))) & ~number & ~unit
     again = np.zeros(len(hashes), bool)
     again[1:] = name[1:] & name[:-1] & (text[1:] == text[:-1])
     keep = np.flatnonzero(~again)
@@ -167,13 +89,15 @@ def windows(texts: pa.Array):
         if last == first + 1 and len(raw) > BLOCK:
             parts, fresh = [], True
             for piece in _pieces(raw):
-                _, h, k, fresh = _tokens(piece, np.zeros(1, np.int64), fresh)
-                parts.append((h, k))
+                t = tokens(piece, np.zeros(1, np.int64), fresh)
+                fresh = t.ended
+                parts.append((t.hashes, t.kinds))
             hashes, kind = (np.concatenate(x) for x in zip(*parts))
             text = np.zeros(len(hashes), np.int64)
         else:
-            starts, hashes, kind, _ = _tokens(raw, offsets[:-1])
-            text = np.searchsorted(offsets, starts, "right") - 1
+            t = tokens(raw, offsets[:-1])
+            hashes, kind = t.hashes, t.kinds
+            text = np.searchsorted(offsets, t.starts, "right") - 1
         text, token, value = template(text, hashes, kind)
         begin = np.searchsorted(text, np.arange(last - first + 1))
         size = np.diff(begin)
