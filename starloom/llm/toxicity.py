@@ -9,7 +9,7 @@ toxic ones, by the number of features that tell toxic from clean texts.
 
 Learning takes a bounded sample: the SAMPLE labelled documents with the lowest keyed hash of each
 label, texts of up to MAX_CHARS. Features are words (letters and digits, in lower case) and their
-first 3 to 6 bytes, which inflected forms share, hashed to 2^BITS buckets, as present or not;
+first 3 to 8 bytes, which inflected forms share, hashed to 2^BITS buckets, as present or not;
 those enter that speak for toxicity (z of Z or more), that SUPPORT toxic texts and a SHARE of
 them have, and that are in toxic texts in PURITY of their cases. Weights are 0 or more: no word makes a text less toxic. Of near copies in the
 sample, which would make all their words telling, one counts. The sample holds as many toxic as clean texts, which is made up for in the thresholds. Everything
@@ -30,11 +30,11 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from starloom.llm.shingles import BLOCK, _pieces, blocks, mixed
+from starloom.llm.shingles import BLOCK, _pieces, blocks, shingle_sets
 from starloom.llm.tokens import tokens
 
 GRADES, BITS = 4, 22
-PREFIXES = (3, 4, 5, 6)  # bytes
+PREFIXES = (3, 4, 5, 6, 7, 8)  # bytes
 SAMPLE, MAX_CHARS = 3000, 200_000
 Z, SUPPORT, SHARE, PURITY = 4.0, 5, 0.005, 0.8
 
@@ -126,9 +126,10 @@ def train(texts: list[str], toxic: np.ndarray, odds: float | None = None) -> Mod
         return none
     parts = [(first + rows, buckets) for first, _, rows, buckets in features(pa.array(texts, pa.string()))]
     rows, buckets = (np.concatenate(x) for x in zip(*parts))
-    # Near copies share their smallest bucket number, mixed, with most likelihood; one of them counts.
-    smallest = np.full(n, np.iinfo(np.uint64).max, np.uint64)
-    np.minimum.at(smallest, rows, mixed(buckets.astype(np.uint64)))
+    # Near copies most likely share their smallest shingle hash; one of them counts.
+    smallest = np.zeros(n, np.uint64)
+    for k, h in shingle_sets(pa.array(texts, pa.string())):
+        smallest[k] = h[0] if len(h) else 0
     _, kept = np.unique(np.stack([smallest, toxic.astype(np.uint64)]), axis=1, return_index=True)
     number = np.full(n, -1)
     number[kept] = np.arange(len(kept))
@@ -171,7 +172,7 @@ def fit(docs: DataFrame, labels: DataFrame, seed: str = "toxicity") -> Model:
     if picked is None:
         return train([], np.zeros(0))
     # At most SAMPLE ids of each label, so they go to every task and no text is shuffled.
-    texts = docs.where(F.length("text") <= MAX_CHARS).join(F.broadcast(picked), "doc_id")
+    texts = docs.select("doc_id", "text").where(F.length("text") <= MAX_CHARS).join(F.broadcast(picked), "doc_id")
     rows = sorted((r.doc_id, r.text, r.toxic) for r in texts.select("doc_id", "text", "toxic").collect())
     toxic = sum(c for x, c in counts.items() if x > 0)
     odds = toxic / max(sum(counts.values()) - toxic, 1)

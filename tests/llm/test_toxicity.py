@@ -97,7 +97,7 @@ def test_query_finds_toxic_documents(spark):
     assert len(got) == spark.read.parquet(f"{sf_dir}/documents.parquet").count()
     toxic = [r for r in labels if r.toxic]
     clean = [r for r in labels if not r.toxic]
-    assert np.mean([got[r.doc_id].toxic for r in toxic]) > 0.95
+    assert np.mean([got[r.doc_id].toxic for r in toxic]) > 0.9
     assert np.mean([got[r.doc_id].toxic for r in clean]) < 0.01
     insults = re.compile(r"\b(idiot|moron|scum|trash|loser)\b", re.I)
     texts = {r.doc_id: r.text for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect()}
