@@ -143,7 +143,7 @@ def placed(
     def one(n: int) -> Column:
         at = F.col("start") + F.lit(n) * F.col("source_size")
         words = F.greatest(F.lit(0).cast("bigint"), F.least(F.col("size"), quota - at))
-        middle = (at + words / F.lit(2.0)) / quota
+        middle = (at + words / F.lit(2.0)) / F.greatest(quota, F.lit(1))
         return F.struct(
             F.lit(n).alias("pass"), words.alias("words"),
             moment(middle, F.col("rank"), schedules).alias("position"),

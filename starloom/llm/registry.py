@@ -20,6 +20,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{str(sf_dir).rstrip('/')}/{name}.parquet")
 
 
+def prepare(spark: SparkSession) -> None:
+    configure(spark)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", ARROW_ROWS)
+
+
 @contextmanager
 def arrow_rows(spark: SparkSession, rows: int) -> Iterator[None]:
     """Another number of rows in a batch, for what is written inside."""
@@ -37,8 +42,7 @@ def query(name: str, sql: str | None = None):
 
     def register(build: Callable[[SparkSession, str], DataFrame]):
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-            configure(spark)
-            spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", ARROW_ROWS)
+            prepare(spark)
             return build(spark, sf_dir)
 
         QUERIES[name] = run
