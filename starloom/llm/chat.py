@@ -1,8 +1,8 @@
 """Reply trees as conversations.
 
 A node replies to its parent. Ancestor tables are built by self-joins that double the distance
-each time, so a tree of depth d takes about log2(d) joins; a node thereby learns its root, its
-depth and the sum of the scores above it. The leaves of a root are ranked by the mean score of
+each time, so a tree of depth d takes about log2(d) joins, each only of the nodes that have so many
+ancestors; a node thereby learns its root, its depth and the sum of the scores above it. The leaves of a root are ranked by the mean score of
 their path, and walking the ancestor tables down again marks the nodes of the chosen paths.
 
 The template is `<|im_start|>role<|im_sep|>text<|im_end|>`. Inside texts and roles every string
@@ -63,44 +63,38 @@ def best_paths(tree: DataFrame, per_root: int = 1) -> DataFrame:
         F.coalesce("n.text", F.lit("")).alias("text"), F.coalesce("n.score", F.lit(0.0)).alias("score"),
     )
     nodes = written(nodes, "nodes")
-    links = nodes.where("parent IS NOT NULL AND parent <> node").select("node", "parent")
+    links = nodes.where("parent IS NOT NULL AND parent <> node").select("node", "parent", "score")
     links = links.join(nodes.select(F.col("node").alias("parent")), "parent", "left_semi")
-    light = nodes.select("node", "score").join(links, "node", "left").select(
-        "node", F.col("parent").alias("jump"), F.lit(1).cast("bigint").alias("steps"),
-        F.col("score").alias("total"),
-    )
-    # `jump` is the ancestor `steps` up; `total` is the score of the node and those below `jump`.
-    levels = [written(light, "jumps")]
-    limit = levels[0].count()
-    while levels[-1].where("jump IS NOT NULL").limit(1).count() and 1 << (len(levels) - 1) <= limit:
-        a, b = levels[-1].alias("a"), levels[-1].alias("b")
-        joined = a.join(b, F.col("a.jump") == F.col("b.node"), "left")
-        levels.append(written(joined.select(
-            "a.node", F.col("b.jump").alias("jump"),
-            (F.col("a.steps") + F.coalesce("b.steps", F.lit(0))).alias("steps"),
-            (F.col("a.total") + F.coalesce("b.total", F.lit(0.0))).alias("total"),
-        ), "jumps"))
-    whole = levels[-1].where("jump IS NULL").select("node", F.col("steps").alias("depth"), "total")
+    # level k has the nodes with 2^k ancestors or more: `jump` is that ancestor, `total` the score
+    # of the node and those below `jump`. `done` has the nodes whose root is known.
+    level = written(links.select("node", F.col("parent").alias("jump"), F.col("score").alias("total")), "jumps")
+    done = written(nodes.join(links, "node", "left_anti").select(
+        "node", F.col("node").alias("root"), F.lit(1).cast("bigint").alias("depth"),
+        F.col("score").alias("total")), "done")
+    levels, steps, limit = [level], 1, nodes.count()
+    while level.limit(1).count() and steps <= limit:
+        a, b, end = level.alias("a"), level.alias("b"), done.alias("b")
+        total = (F.col("a.total") + F.col("b.total")).alias("total")
+        met = F.col("a.jump") == F.col("b.node")
+        found = a.join(end, met).select(
+            "a.node", "b.root", (F.col("b.depth") + F.lit(steps)).alias("depth"), total)
+        level = written(a.join(b, met).select("a.node", F.col("b.jump").alias("jump"), total), "jumps")
+        done = done.unionByName(written(found, "done"))
+        levels.append(level)
+        steps *= 2
     inner = links.select(F.col("parent").alias("node")).distinct()
-    leaves = whole.join(inner, "node", "left_anti")
-    # Walk up from each leaf to its root: the longest jumps first.
-    at = leaves.select(F.col("node").alias("leaf"), F.col("node").alias("top"), "depth", "total")
-    for level in reversed(levels[:-1]):
-        up = level.where("jump IS NOT NULL").select(F.col("node").alias("top"), "jump")
-        at = at.join(up, "top", "left").select(
-            "leaf", F.coalesce("jump", "top").alias("top"), "depth", "total")
+    leaves = done.join(inner, "node", "left_anti")
     # Only the best few of a root are kept on the way: ranked by a bounded aggregate, not a sort.
     mean = F.col("total") / F.col("depth")
-    ranked = _best(at.select(F.col("top").alias("root"), "leaf", "depth", mean.alias("mean")), per_root)
+    ranked = _best(leaves.select("root", F.col("node").alias("leaf"), "depth", mean.alias("mean")), per_root)
     ranked = written(ranked, "chosen")
     marked = ranked.select("root", "leaf", "rank", "depth", F.col("leaf").alias("node"),
                            F.col("depth").alias("place"))
     for k in reversed(range(len(levels) - 1)):
-        level = levels[k].where("jump IS NOT NULL").select("node", "jump")
-        up = marked.join(level, "node").select(
+        up = marked.join(levels[k].select("node", "jump"), "node").select(
             "root", "leaf", "rank", "depth", F.col("jump").alias("node"),
             (F.col("place") - F.lit(1 << k)).alias("place"))
-        marked = marked.unionByName(up)
+        marked = written(marked.unionByName(up), "marked")
     texts = nodes.select("node", "role", "text")
     return marked.join(texts, "node").select(
         "root", "leaf", "rank", F.col("place").alias("depth"), "role", "text")
