@@ -1,6 +1,17 @@
 """All queries of this subpackage."""
 
-from starloom.llm import chat_query, decontaminate_query, language_query, mixing_query, ngram_join_query, sketch_query, surrogates_query, toxicity_query, warc_query  # noqa: F401
+from starloom.llm import (  # noqa: F401
+    chat_query,
+    decontaminate_query,
+    language_query,
+    masked_lm_query,
+    mixing_query,
+    ngram_join_query,
+    sketch_query,
+    surrogates_query,
+    toxicity_query,
+    warc_query,
+)
 from starloom.llm.registry import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]
