@@ -112,8 +112,9 @@ def edited_fingerprints(docs: DataFrame) -> DataFrame:
     rows = rows.withColumn("key", F.xxhash64("doc_id", "text"))
     order = written(next_rows(rows), "order")
     sketched = with_sketch(rows)
-    once = sketched.groupBy("key").agg(*[F.first(c).alias(c) for c in ("doc_id", "text", "sketch")])
-    own = once.join(order, "key")
+    # One struct, so that both uses need the same columns and share one shuffle.
+    once = sketched.groupBy("key").agg(F.first(F.struct("doc_id", "text", "sketch")).alias("row"))
+    own = once.join(order, "key").select("*", "row.*").drop("row")
     half = F.floor(F.col("next_of_n") / 2).cast("int")
     sent = own.select(
         F.col("next_of").alias("key"), F.substr(F.col("text"), F.lit(1), half).alias("front"),
