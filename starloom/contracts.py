@@ -6,7 +6,7 @@ by Spark jobs (`operators.quality`), not enforced by storage.
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import StructType
@@ -127,7 +127,7 @@ SONGS = TableContract(
     checks={"year_range": "year >= 0", "duration_range": "duration > 0"},
     max_length={"song_id": 18, "title": 256, "artist_id": 18},
     partition_by=("year",),
-    sort_by=("song_id",),
+    sort_by=("artist_id", "song_id"),
 )
 
 TIMES = TableContract(
@@ -164,6 +164,12 @@ SONGPLAYS = TableContract(
     sort_by=("start_time",),
 )
 
+# Facts with a digest as key: of what makes a row, or of session and time, which several rows share.
+SONGPLAYS_BY_ROW = replace(
+    SONGPLAYS, columns=SONGPLAYS.columns.replace("songplay_id bigint", "songplay_id string")
+)
+SONGPLAYS_BY_SESSION_TIME = replace(SONGPLAYS_BY_ROW, primary_key=())
+
 # --- query tables ---
 
 SONG_BY_ITEM_IN_SESSION = TableContract(

@@ -2,7 +2,8 @@
 
     python -m starloom.jobs star --log LOG --songs SONGS --out OUT [--preset lake] [--staged]
     python -m starloom.jobs query-tables --events CSV_FOLDER --out OUT
-    python -m starloom.jobs refresh --log LOG --songs SONGS --out OUT
+    python -m starloom.jobs refresh --log LOG --songs SONGS --out OUT [--preset hourly]
+        [--plain] [--max-error N] [--files-per-batch N]
     python -m starloom.jobs arrivals --arrivals PARQUET --temperatures CSV --demographics CSV
         --ports TXT --countries TXT --out OUT [--distinct]
 
@@ -15,15 +16,19 @@ import argparse
 
 from starloom.contracts import CITY_DEMOGRAPHICS_CSV, CITY_TEMPERATURE_CSV, SONG_CATALOG
 from starloom.plans.arrivals import run_arrivals_star
-from starloom.plans.plays import PRESETS, run_play_star
+from starloom.plans.plays import HOURLY, PRESETS, run_play_star
 from starloom.plans.query_tables import run_query_tables
 from starloom.plans.refresh import run_hourly
-from starloom.session import build_session
+from starloom.session import build_session, clear_scratch
 from starloom.sources.files import (
     scan_arrivals, scan_country_codes, scan_csv, scan_json, scan_port_codes,
 )
 
 
+# Presets with a key that an incremental fact can rely on.
+REFRESH_PRESETS = {"hourly": HOURLY, **{k: p for k, p in PRESETS.items() if p.key == "row"}}
+
+
 def _arguments(argv: list[str] | None) -> argparse.Namespace:
     parser = argparse.ArgumentParser(prog="starloom.jobs")
     jobs = parser.add_subparsers(dest="job", required=True)
@@ -41,6 +46,11 @@ def _arguments(argv: list[str] | None) -> argparse.Namespace:
         if job == "star":
             sub.add_argument("--preset", choices=list(PRESETS), default="default")
             sub.add_argument("--staged", action="store_true")
+        if job == "refresh":
+            sub.add_argument("--preset", choices=list(REFRESH_PRESETS), default="hourly")
+            sub.add_argument("--plain", dest="staged", action="store_false")
+            sub.add_argument("--max-error", type=int, default=0)
+            sub.add_argument("--files-per-batch", type=int)
         if job == "arrivals":
             sub.add_argument("--distinct", action="store_true")
             sub.add_argument("--format", default="parquet")
@@ -57,7 +67,10 @@ def main(argv: list[str] | None = None) -> dict[str, str]:
     elif args.job == "query-tables":
         paths = run_query_tables(spark, args.events, args.out)
     elif args.job == "refresh":
-        paths = run_hourly(spark, args.log, scan_json(spark, args.songs, SONG_CATALOG), args.out)
+        paths = run_hourly(
+            spark, args.log, scan_json(spark, args.songs, SONG_CATALOG, arrival=True), args.out,
+            REFRESH_PRESETS[args.preset], args.staged, args.max_error, args.files_per_batch,
+        )
     else:
         paths = run_arrivals_star(
             scan_arrivals(spark, args.arrivals, args.format),
@@ -68,6 +81,7 @@ def main(argv: list[str] | None = None) -> dict[str, str]:
             args.out,
             args.distinct,
         )
+    clear_scratch(spark)
     return paths
 
 

@@ -23,9 +23,13 @@ def median_by_group(
 ) -> DataFrame:
     """Exact median per group (mean of the two middle values); NULLs are left out.
 
-    A row counts `weight` times, or once. Equal values are counted first; the counts are put in order over range partitions, and the
-    middle values are found by position. No group is gathered in one task.
+    A row counts `weight` times, or once. Equal values are counted first; the counts are put in
+    order over range partitions, and the middle values are found by position. No group is gathered
+    in one task. Without group columns all rows are one group.
     """
+    if not group:
+        whole = df.withColumn("_whole", F.lit(0))
+        return median_by_group(whole, ["_whole"], value, name, weight).drop("_whole")
     counted = (
         df.where(F.col(value).isNotNull())
         .groupBy(*group, F.col(value).alias("_value"))

@@ -67,10 +67,17 @@ def latest_window(df: DataFrame, ts: str, interval: str = "1 week") -> DataFrame
     """Rows no older than `interval` before the newest one.
 
     The newest time is an uncorrelated scalar subquery: one aggregate over one column, whose
-    result reaches the scan of `df` as a range filter.
+    result reaches the scan of `df` as a range filter. If the table has folders by `year` and
+    `month`, only those of the interval are opened.
     """
     newest = df.select(F.max(ts)).scalar()
-    return df.where(F.col(ts).between(newest - F.expr(f"INTERVAL {interval}"), newest))
+    oldest = newest - F.expr(f"INTERVAL {interval}")
+    rows = df.where(F.col(ts).between(oldest, newest))
+    if {"year", "month"} <= set(df.columns):
+        y, m = F.col("year"), F.col("month")
+        rows = rows.where((y > F.year(oldest)) | ((y == F.year(oldest)) & (m >= F.month(oldest))))
+        rows = rows.where((y < F.year(newest)) | ((y == F.year(newest)) & (m <= F.month(newest))))
+    return rows
 
 
 def valid_codes(df: DataFrame, checks: dict[str, tuple[DataFrame, str]]) -> DataFrame:

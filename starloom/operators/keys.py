@@ -2,8 +2,9 @@
 
 A global window would sort the table in one task. Here the rows are range-partitioned by the
 order, each partition numbers its own rows, and the partition sizes (one row per partition)
-give the offsets. The partitioned rows are written once, because range bounds are sampled anew
-by every execution.
+give the offsets. The rows are written once before that, so that the plan above them runs once
+and the number of partitions follows from their size, and once after it, because range bounds
+are sampled anew by every execution.
 """
 
 from __future__ import annotations
@@ -11,15 +12,21 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from starloom.functions.text import as_text, md5_key
-from starloom.session import written
+from starloom.session import kept, scratch_path, stored_bytes, written
 
 PART, POS, COPIES, BEFORE = "_part", "_pos", "_copies", "_before"
 # Rows one task emits when it unfolds the copies of one row.
 UNFOLD = 1_000_000
 
 
-def _partitions(spark: SparkSession) -> int:
-    return int(spark.conf.get("spark.sql.shuffle.partitions"))
+# Stored bytes of a range partition.
+RANGE_BYTES = 32 * 1024 * 1024
+
+
+def _partitions(spark: SparkSession, path: str) -> int:
+    """As many as the session's own number, or more for a large table."""
+    least = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return max(least, -(-stored_bytes(spark, path) // RANGE_BYTES))
 
 
 def _offsets(sizes: DataFrame) -> DataFrame:
@@ -37,14 +44,17 @@ def _offsets(sizes: DataFrame) -> DataFrame:
 
 
 def _ranged(df: DataFrame, order: list[Column], partitions: int | None) -> DataFrame:
-    n = partitions or _partitions(df.sparkSession)
-    return written(
-        df.repartitionByRange(n, *order)
-        .sortWithinPartitions(*order)
-        .withColumn(PART, F.spark_partition_id())
-        .withColumn(POS, F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1)),
-        "ranged",
-    )
+    spark = df.sparkSession
+    path = scratch_path(spark, "unranged")
+    with kept(df, "unranged", path) as rows:
+        n = partitions or _partitions(spark, path)
+        return written(
+            rows.repartitionByRange(n, *order)
+            .sortWithinPartitions(*order)
+            .withColumn(PART, F.spark_partition_id())
+            .withColumn(POS, F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1)),
+            "ranged",
+        )
 
 
 def running_total(
@@ -102,6 +112,19 @@ def monotonic_key(df: DataFrame, name: str = "id") -> DataFrame:
     return df.withColumn(name, F.monotonically_increasing_id())
 
 
+def row_key(df: DataFrame, columns: list[str], name: str = "id") -> DataFrame:
+    """md5 of the columns' texts with a bar after each; NULL counts as a text of its own, so that
+    every row gets a key and different values different ones."""
+    kinds = dict(df.dtypes)
+    texts = [
+        F.coalesce(
+            as_text(F.col(c), "timestamp" if kinds[c].startswith("timestamp") else "string"),
+            F.lit("-"))
+        for c in columns
+    ]
+    return df.withColumn(name, F.md5(F.concat_ws("|", *texts)))
+
+
 def hashed_key(df: DataFrame, columns: list[str], name: str = "id") -> DataFrame:
     """md5 of the columns' texts put together; times as yyyy-MM-dd HH:mm:ss."""
     kinds = dict(df.dtypes)

@@ -15,8 +15,6 @@ from pyspark.sql.types import ArrayType, BinaryType, MapType, StringType, Struct
 
 # Size up to which a table may be copied to every executor.
 REPLICATE_BYTES = 64 * 1024 * 1024
-# A bucket may hold this many times the mean before the table is clustered without buckets.
-BUCKET_SKEW = 4.0
 
 
 def distribute_sort(df: DataFrame, key: list[str], sort: list[str]) -> DataFrame:
@@ -82,18 +80,12 @@ def largest_bucket_share(df: DataFrame, keys: list[str], buckets: int) -> float:
 
 def bucket_table(
     df: DataFrame, table: str, path: str, keys: list[str], sort: list[str], buckets: int
-) -> bool:
+) -> None:
     """Save as a bucketed table for joins without a shuffle.
 
-    If one bucket would be much larger than the others, the table is saved clustered but
-    without buckets, so that its joins shuffle and AQE can split the hot key. Returns whether
-    it was bucketed.
+    One task writes one bucket, and one joins it later: `largest_bucket_share` tells before
+    whether a hot key makes a bucket too large. `distribute_sort` is the layout for such a key;
+    its joins shuffle, and AQE splits them.
     """
-    even = largest_bucket_share(df, keys, buckets) <= BUCKET_SKEW
-    if even:
-        (df.repartition(buckets, *keys).write.mode("overwrite").option("path", path)
-         .bucketBy(buckets, *keys).sortBy(*sort).saveAsTable(table))
-    else:
-        (distribute_sort(df, keys, [*keys, *sort]).write.mode("overwrite").option("path", path)
-         .saveAsTable(table))
-    return even
+    (df.repartition(buckets, *keys).write.mode("overwrite").option("path", path)
+     .bucketBy(buckets, *keys).sortBy(*sort).saveAsTable(table))

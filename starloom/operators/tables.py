@@ -2,17 +2,21 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, Row, SparkSession, functions as F
 
 from starloom.contracts import TableContract
 from starloom.operators import merge as policies
 from starloom.operators.layout import repartition_by_columns
+from starloom.session import kept
 
 MICROS = "yyyy-MM-dd HH:mm:ss.SSSSSS"
-# Partition values of one batch up to which the append reads only those partitions.
-PRUNE_PARTITIONS = 5_000
+
+
+class KeyConflict(ValueError):
+    """A batch holds different rows of one key."""
 
 
 def _filesystem(spark: SparkSession, path: str):
@@ -34,10 +38,14 @@ def drop_table(spark: SparkSession, path: str) -> None:
 def write_table(
     df: DataFrame, path: str, partition_by: list[str] | tuple[str, ...] = (),
     mode: str = "overwrite", only_touched: bool = False,
+    sort_by: list[str] | tuple[str, ...] = (),
 ) -> None:
     """Write parquet. Partitioned writes bring the rows of a partition value together first,
-    splitting hot ones; `only_touched` replaces just the partitions present in `df`."""
+    splitting hot ones; `only_touched` replaces just the partitions present in `df`. Files are
+    sorted by `sort_by`, so that a lookup skips row groups."""
     out = repartition_by_columns(df, list(partition_by)) if partition_by else df
+    if sort_by:
+        out = out.sortWithinPartitions(*partition_by, *sort_by)
     writer = out.write.mode(mode)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
@@ -72,57 +80,82 @@ def insert_select(df: DataFrame, contract: TableContract, path: str) -> None:
     contract.conform(df).write.mode("append").parquet(path)
 
 
-def _touched(existing: DataFrame, batch: DataFrame, columns: list[str]) -> DataFrame:
-    """`existing` cut to the partitions that occur in the batch, where they are few enough to
-    list; else whole."""
-    values = batch.select(*columns).distinct().limit(PRUNE_PARTITIONS + 1).collect()
-    if not values or len(values) > PRUNE_PARTITIONS:
-        return existing
-    options = [
-        reduce(Column.__and__, [F.col(c).eqNullSafe(F.lit(row[c])) for c in columns])
-        for row in values
-    ]
-    if len(columns) == 1:
-        known = [row[columns[0]] for row in values if row[columns[0]] is not None]
-        if len(known) == len(values):
-            return existing.where(F.col(columns[0]).isin(known))
-    return existing.where(reduce(Column.__or__, options))
+def _from(columns: list[str], row: Row, at_least: bool) -> Column:
+    """`columns`, compared in their order, are at or beyond the values of `row`."""
+    out = None
+    for c in reversed(columns):
+        value = F.lit(row[c])
+        beyond = F.col(c) > value if at_least else F.col(c) < value
+        out = beyond | (F.col(c) == value) & (F.lit(True) if out is None else out)
+    return out
+
+
+def _touched(existing: DataFrame, batch: DataFrame, columns: list[str]) -> DataFrame | None:
+    """`existing` cut to the partitions from the least to the greatest of the batch, and to
+    those with a null if the batch has one. None if the batch is empty."""
+    values, missing = F.struct(*columns), reduce(Column.__or__, [F.col(c).isNull() for c in columns])
+    known = F.when(~missing, values)
+    span = batch.agg(
+        F.min(known).alias("low"), F.max(known).alias("high"), F.max(missing).alias("missing")
+    ).first()
+    if span.missing is None:
+        return None
+    part = F.lit(False)
+    if span.low is not None:
+        part = _from(columns, span.low, True) & _from(columns, span.high, False)
+    return existing.where(part | missing if span.missing else part)
 
 
 def append_fact(
-    df: DataFrame, path: str, key: list[str], order: list[str],
-    partition_by: list[str] | tuple[str, ...] = (), drop_first: bool = False,
+    df: DataFrame, path: str, key: list[str], partition_by: list[str] | tuple[str, ...] = (),
+    drop_first: bool = False, check: Callable[[DataFrame], None] | None = None,
 ) -> None:
     """Append the rows whose key is new, creating the table if needed; safe to run again.
 
-    Within the batch the oldest row of a key is kept. Partition columns must follow from the
-    key: then only the partitions that the batch touches are read for the comparison.
+    Rows that are alike in all columns are one row. Different rows of one key are an error, and
+    nothing is appended: a key must be the key of the fact's rows. Rows with a NULL in the key
+    have no key; they are compared as a whole, and of alike ones as many are stored as the batch
+    or the table has, whichever has more. Partition columns must follow from the key: then only
+    the partitions between the batch's first and last are read. `check` sees the batch before it
+    is appended and may raise.
     """
     spark = df.sparkSession
     if drop_first:
         drop_table(spark, path)
-    ranked = df.withColumns({f"_rank_{c}": F.col(c) for c in order})
-    batch = policies.first_wins(ranked, key, [f"_rank_{c}" for c in order]).select(*df.columns)
-    if not exists(spark, path):
-        write_table(batch, path, partition_by, mode="append")
-        return
-    existing = spark.read.schema(df.schema).parquet(path)
-    if partition_by:
-        batch = batch.persist()
-        existing = _touched(existing, batch, list(partition_by))
-    new = batch.join(existing.select(*key), key, "left_anti").select(*df.columns)
-    write_table(new, path, partition_by, mode="append")
-    batch.unpersist()
+    unknown = reduce(Column.__or__, [F.col(c).isNull() for c in key])
+    with kept(df, "batch") as batch:
+        rows, loose = batch.where(~unknown).distinct(), batch.where(unknown)
+        repeated = rows.groupBy(*key).count().where("count > 1").count()
+        if repeated:
+            raise KeyConflict(f"{repeated} keys ({', '.join(key)}) have different rows in a batch")
+        if check is not None:
+            check(batch)
+        if exists(spark, path):
+            existing = spark.read.schema(df.schema).parquet(path)
+            if partition_by:
+                existing = _touched(existing, batch, list(partition_by))
+            elif batch.isEmpty():
+                existing = None
+            if existing is None:
+                return
+            rows = rows.join(existing.where(~unknown).select(*key), key, "left_anti")
+            loose = loose.exceptAll(existing.where(unknown).select(*df.columns))
+        new = rows.select(*df.columns).unionByName(loose)
+        write_table(new, path, partition_by, mode="append")
 
 
 def load_dimension(
     df: DataFrame, path: str, truncate: bool = True, drop_first: bool = False,
     partition_by: list[str] | tuple[str, ...] = (),
 ) -> None:
-    """Rebuild a dimension (`truncate`), or add rows to it."""
+    """Rebuild a dimension (`truncate`), or add rows to it. A rebuilt one replaces the old one
+    whole, after it is written."""
     if drop_first:
         drop_table(df.sparkSession, path)
-    write_table(df, path, partition_by, mode="overwrite" if truncate else "append")
+    if truncate:
+        swap_in(df, path, partition_by)
+    else:
+        write_table(df, path, partition_by, mode="append")
 
 
 def recover(spark: SparkSession, path: str) -> None:
@@ -133,15 +166,21 @@ def recover(spark: SparkSession, path: str) -> None:
         fs.rename(old_path, target)
 
 
-def swap_in(df: DataFrame, path: str, partition_by: list[str] | tuple[str, ...] = ()) -> None:
-    """Replace a table that `df` itself may read: the new table is written whole beside the old
-    one and then renamed, so a failed run leaves the old table as it was."""
-    spark = df.sparkSession
-    fresh, old = f"{path.rstrip('/')}__new", f"{path.rstrip('/')}__old"
-    write_table(df, fresh, partition_by)
+def stage_in(
+    df: DataFrame, path: str, partition_by: list[str] | tuple[str, ...] = (),
+    sort_by: list[str] | tuple[str, ...] = (),
+) -> DataFrame:
+    """Write a new table beside the one at `path`; the new one, to be checked and published."""
+    fresh = f"{path.rstrip('/')}__new"
+    write_table(df, fresh, partition_by, sort_by=sort_by)
+    return df.sparkSession.read.schema(df.schema).parquet(fresh)
+
+
+def publish(spark: SparkSession, path: str) -> None:
+    """Rename what `stage_in` wrote to `path`; a failure leaves the old table as it was."""
     fs, target = _filesystem(spark, path)
-    _, fresh_path = _filesystem(spark, fresh)
-    _, old_path = _filesystem(spark, old)
+    _, fresh_path = _filesystem(spark, f"{path.rstrip('/')}__new")
+    _, old_path = _filesystem(spark, f"{path.rstrip('/')}__old")
     fs.delete(old_path, True)
     if fs.exists(target) and not fs.rename(target, old_path):
         raise OSError(f"could not move {path} aside")
@@ -151,6 +190,13 @@ def swap_in(df: DataFrame, path: str, partition_by: list[str] | tuple[str, ...]
     fs.delete(old_path, True)
 
 
+def swap_in(df: DataFrame, path: str, partition_by: list[str] | tuple[str, ...] = ()) -> None:
+    """Replace a table that `df` itself may read: the new table is written whole beside the old
+    one and then renamed."""
+    stage_in(df, path, partition_by)
+    publish(df.sparkSession, path)
+
+
 POLICIES = {
     "last_wins": policies.last_wins,
     "insert_ignore": policies.insert_ignore,
@@ -180,11 +226,8 @@ def merge_table(
 def load_targets(source: DataFrame, targets: dict[str, tuple]) -> None:
     """Feed one input to several tables: {path: (function of the input, partition columns)}.
 
-    The input is persisted once and released at the end.
+    The input is written once to the shared folder and removed at the end.
     """
-    source = source.persist()
-    try:
+    with kept(source, "source") as rows:
         for path, (build, partition_by) in targets.items():
-            write_table(build(source), path, partition_by)
-    finally:
-        source.unpersist()
+            write_table(build(rows), path, partition_by)

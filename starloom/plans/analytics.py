@@ -6,6 +6,8 @@ or joined, whatever the share of the hottest key.
 
 from __future__ import annotations
 
+from datetime import datetime, timedelta
+
 from pyspark.sql import DataFrame, functions as F
 
 from starloom.operators.aggregates import counts_with_names, median_by_group, rows_at_max, top_k
@@ -46,13 +48,24 @@ def top_locations(songplays: DataFrame, k: int = 10) -> DataFrame:
     return top_k(plays, "plays", k, ["location"])
 
 
-def plays_on_day(
-    songplays: DataFrame, times: DataFrame, year: int, month: int, day: int
-) -> DataFrame:
-    """Plays on one day, through the time dimension. Plays are counted per time first."""
+def plays_on_day(songplays: DataFrame, year: int, month: int, day: int) -> DataFrame:
+    """Plays on one day: a range of times, and the month's folder if the fact has such."""
+    begin = datetime(year, month, day)
+    bounds = [F.lit(x.isoformat(" ")).cast("timestamp_ntz") for x in (begin, begin + timedelta(days=1))]
+    time = F.col("start_time")
+    rows = songplays.where((time >= bounds[0]) & (time < bounds[1]))
+    if {"year", "month"} <= set(songplays.columns):
+        rows = rows.where((F.col("year") == year) & (F.col("month") == month))
+    return rows.agg(F.count("start_time").alias("plays"))
+
+
+def plays_at(songplays: DataFrame, times: DataFrame, **parts: int) -> DataFrame:
+    """Plays at times with these calendar parts, such as a weekday, which are no range.
+
+    Plays are counted per time before they meet the time dimension.
+    """
     counts = songplays.groupBy("start_time").agg(F.count("*").alias("_n"))
-    wanted = lookup(times, year=year, month=month, day=day).select("start_time")
-    joined = counts.join(wanted, "start_time")
+    joined = counts.join(lookup(times, **parts).select("start_time"), "start_time")
     return joined.agg(F.coalesce(F.sum("_n"), F.lit(0)).cast("bigint").alias("plays"))
 
 

@@ -109,20 +109,31 @@ def dim_city_demos(demographics: DataFrame, ports: DataFrame, legacy: bool = Fal
     return renamed.withColumns(numbers)
 
 
+def readings_of(dim_temp: DataFrame, distinct: bool = False) -> DataFrame:
+    """(port_code, month, temperature_avg): the newest reading, the warmer of two of one day; all
+    readings with `distinct`."""
+    rows = dim_temp.select(
+        "port_code", F.month("date").alias("month"), "date", F.col("avg_temperature").alias("temperature_avg")
+    )
+    if distinct:
+        return rows.drop("date")
+    newest = F.max(F.struct("date", "temperature_avg")).alias("_newest")
+    return rows.groupBy("port_code", "month").agg(newest).select(
+        "port_code", "month", F.col("_newest.temperature_avg").alias("temperature_avg"))
+
+
 def fact_immigrations(
     dim_imm: DataFrame, dim_temp: DataFrame, dim_demo: DataFrame, countries: DataFrame,
-    distinct: bool = False,
+    distinct: bool = False, keep_unmatched: bool = False,
 ) -> DataFrame:
     """Arrivals with the temperature of their port and month and the city's age and size.
 
-    Temperature is joined on port and calendar month, whatever the year. By default the city
-    has one row per port before the join, so each arrival stays one row per temperature
-    reading. With `distinct` the race rows multiply and a distinct on the fact, a shuffle of all
-    of it, merges them and identical travellers too.
+    Temperature is joined on port and calendar month, whatever the year. By default a port has
+    one reading a month and one city before the joins, so each arrival is one row. With
+    `distinct` all readings and race rows multiply and a distinct on the fact, a shuffle of all
+    of it, merges them and identical travellers too. Arrivals whose port has no reading of the
+    month or no city are left out, unless `keep_unmatched`.
     """
-    temperature = dim_temp.select(
-        "port_code", F.month("date").alias("month"), F.col("avg_temperature").alias("temperature_avg")
-    )
     city = dim_demo.select(
         "port_code",
         F.col("median_age").alias("city_median_age"),
@@ -132,13 +143,24 @@ def fact_immigrations(
         city = city.groupBy("port_code").agg(
             F.min(F.struct("city_median_age", "city_total_population")).alias("_city")
         ).select("port_code", "_city.*")
+    how = "left" if keep_unmatched else "inner"
     origins = countries.select("code", title_case(F.col("country")).alias("origin_country"))
-    joined = dim_imm.join(temperature, ["port_code", "month"]).join(city, "port_code")
-    named = add_lookup(joined, origins, {"origin_country_code": "code"}, ["origin_country"])
+    joined = dim_imm.join(readings_of(dim_temp, distinct), ["port_code", "month"], how)
+    named = add_lookup(
+        joined.join(city, "port_code", how), origins, {"origin_country_code": "code"}, ["origin_country"])
     fact = FACT_IMMIGRATIONS.conform(named)
     return fact.distinct() if distinct else fact
 
 
+def matched_arrivals(dim_imm: DataFrame, dim_temp: DataFrame, dim_demo: DataFrame) -> int:
+    """Arrivals whose port has a reading of the month and a city; counted per port and month
+    before they meet the readings."""
+    counts = dim_imm.groupBy("port_code", "month").count()
+    known = counts.join(readings_of(dim_temp), ["port_code", "month"], "left_semi").join(
+        dim_demo.select("port_code"), "port_code", "left_semi")
+    return known.agg(F.sum("count")).first()[0] or 0
+
+
 def build_arrivals_star(
     arrivals: DataFrame, temperatures: DataFrame, demographics: DataFrame,
     ports: DataFrame, countries: DataFrame, distinct: bool = False, legacy: bool = False,
@@ -196,4 +218,8 @@ def run_arrivals_star(
     fact = fact_immigrations(*tables.values(), countries, distinct)
     tables["fact_immigrations"] = save("fact_immigrations", fact)
     assert_quality(has_rows(tables))
+    if not distinct:
+        rows, wanted = tables["fact_immigrations"].count(), matched_arrivals(*list(tables.values())[:3])
+        if rows != wanted:
+            raise QualityError(f"fact_immigrations has {rows} rows for {wanted} matched arrivals")
     return paths

@@ -7,18 +7,19 @@ from dataclasses import dataclass, replace
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from starloom.contracts import (
-    ARTISTS, PLAY_LOG, SONG_CATALOG, SONGPLAYS, SONGS, STAGED_EVENTS, STAGED_SONGS, TIMES, USERS,
-    TableContract,
+    ARTISTS, PLAY_LOG, SONG_CATALOG, SONGPLAYS, SONGPLAYS_BY_ROW, SONGPLAYS_BY_SESSION_TIME, SONGS,
+    STAGED_EVENTS, STAGED_SONGS, TIMES, USERS, TableContract,
 )
 from starloom.functions.text import blank_to_null
 from starloom.functions.timeparts import calendar_parts, start_time
 from starloom.operators import merge
 from starloom.operators.cleaning import equals, require
-from starloom.operators.keys import dense_key, hashed_key, monotonic_key
+from starloom.operators.keys import dense_key, hashed_key, monotonic_key, row_key
 from starloom.operators.matching import catalog_of, match_plays, match_plays_two_step
-from starloom.operators.quality import assert_quality, has_rows, null_counts
-from starloom.operators.tables import write_table
-from starloom.sources.files import scan_json
+from starloom.operators.quality import assert_quality, contract_report, has_rows
+from starloom.operators.tables import publish, stage_in
+from starloom.session import kept
+from starloom.sources.files import ARRIVAL, scan_json
 from starloom.sources.staging import stage_json
 
 # Fixed value: the page of a play.
@@ -30,8 +31,9 @@ class Preset:
     """How each step of the build behaves.
 
     precision: 'ms' or 's'. match: 'keys' or 'two_step'. catalog: match the raw 'records' or
-    the merged 'dims'. duration_scale: None leaves the duration out of the match. dedup: distinct fact rows after the time is cut. key: 'dense',
-    'monotonic' or 'md5'. users: 'last_wins', 'distinct' or 'distinct_complete'. songs:
+    the merged 'dims'. duration_scale: None leaves the duration out of the match. dedup: distinct
+    fact rows after the time is cut. key: 'dense', 'monotonic', 'md5' (of session and time, which
+    several rows may share) or 'row' (of session, time, item and song, one per row). users: 'last_wins', 'distinct' or 'distinct_complete'. songs:
     'fill_zero', 'distinct' or 'distinct_required'. artists: 'coalesce', 'distinct' or
     'distinct_required'.
     """
@@ -67,9 +69,11 @@ LAKE = Preset(
 SCHEDULED = Preset(
     duration_scale=0, duration_mode="truncate", how="left", key="md5", users="distinct",
 )
-DEFAULT = replace(UPSERT, precision="s", dedup=True, key="md5", weekday="sun0")
+# The scheduled build with a key that an incremental fact can rely on.
+HOURLY = replace(SCHEDULED, key="row", users="last_wins")
+DEFAULT = replace(UPSERT, precision="s", dedup=True, key="row", weekday="sun0")
 
-CATALOG_ORDER = "_order"
+CATALOG_ORDER = ARRIVAL
 # What the tables of the star need of a play.
 PLAY_COLUMNS = [
     "artist", "firstName", "gender", "itemInSession", "lastName", "length", "level", "location",
@@ -158,16 +162,20 @@ def build_songplays(
         F.col("location"),
         F.col("userAgent").alias("user_agent"),
     ]
-    rows = matched.select(*fact)
+    columns = ["start_time", "user_id", "level", "song_id", "artist_id", "session_id", "location",
+               "user_agent"]
+    by_row = preset.key == "row"
+    rows = matched.select(*fact, *[F.col("itemInSession").alias("_item")] * by_row)
     if preset.dedup:
         rows = rows.distinct()
-    columns = rows.columns
     if preset.key == "dense":
         order = ["start_time", "session_id", *[c for c in columns
                                                if c not in ("start_time", "session_id")]]
         rows = dense_key(rows, order, "songplay_id", preset.key_start, unique=preset.dedup)
     elif preset.key == "monotonic":
         rows = monotonic_key(rows, "songplay_id")
+    elif by_row:
+        rows = row_key(rows, ["session_id", "start_time", "_item", "song_id"], "songplay_id")
     else:
         rows = hashed_key(rows, ["session_id", "start_time"], "songplay_id")
     return rows.select("songplay_id", *columns)
@@ -203,42 +211,87 @@ PRESETS = {
     "default": DEFAULT, "upsert": UPSERT, "warehouse": WAREHOUSE, "lake": LAKE,
     "scheduled": SCHEDULED,
 }
-LAYOUTS: dict[str, TableContract] = {
-    "songs": SONGS, "artists": ARTISTS, "users": USERS, "times": TIMES, "songplays": SONGPLAYS,
-}
+_FACTS = {"row": SONGPLAYS_BY_ROW, "md5": SONGPLAYS_BY_SESSION_TIME}
+
+
+def layouts(preset: Preset) -> dict[str, TableContract]:
+    """The contracts of the five tables under a preset.
+
+    Merged dimensions have one row per key; where rows are only made distinct, a key may have
+    several and is not declared. The fact's key has the type and the uniqueness of its kind.
+    """
+    def dim(contract: TableContract, merged: bool) -> TableContract:
+        return contract if merged else replace(contract, primary_key=())
+
+    return {
+        "songs": dim(SONGS, preset.songs == "fill_zero"),
+        "artists": dim(ARTISTS, preset.artists == "coalesce"),
+        "users": dim(USERS, preset.users == "last_wins"),
+        "times": TIMES,
+        "songplays": _FACTS.get(preset.key, SONGPLAYS),
+    }
+
+
+def star_report(tables: dict[str, DataFrame], preset: Preset) -> DataFrame:
+    """All checks of the contracts of the star, as (table_name, check_name, violations)."""
+    report = None
+    for name, contract in layouts(preset).items():
+        part = contract_report(tables[name], contract, tables).withColumn("table_name", F.lit(name))
+        report = part if report is None else report.unionByName(part)
+    return report.select("table_name", "check_name", "violations")
+
+
+def report_names(preset: Preset) -> list[tuple[str, str]]:
+    """(table, check) of every row of `star_report`."""
+    out = []
+    for name, c in layouts(preset).items():
+        checks = [f"not_null:{x}" for x in c.not_null] + [f"check:{x}" for x in c.checks]
+        checks += [f"max_length:{x}" for x in c.max_length]
+        checks += [f"primary_key:{','.join(c.primary_key)}"] * bool(c.primary_key)
+        out += [(name, x) for x in [*checks, *[f"foreign_key:{x}" for x in c.foreign_keys]]]
+    return out
 
 
 def read_inputs(
     spark: SparkSession, log_path: str, song_path: str, staged: bool = False
 ) -> tuple[DataFrame, DataFrame]:
-    """Events and catalog records from JSON folders, plainly or through the staging load."""
+    """Events and catalog records from JSON folders, plainly or through the staging load.
+
+    The records carry their order of arrival, which the merges of songs and artists follow.
+    """
     if staged:
         return (
             stage_json(spark, log_path, STAGED_EVENTS, mapping="exact"),
-            stage_json(spark, song_path, STAGED_SONGS, mapping="exact"),
+            stage_json(spark, song_path, STAGED_SONGS, mapping="exact", arrival=True),
         )
-    return scan_json(spark, log_path, PLAY_LOG), scan_json(spark, song_path, SONG_CATALOG)
+    return (
+        scan_json(spark, log_path, PLAY_LOG),
+        scan_json(spark, song_path, SONG_CATALOG, arrival=True),
+    )
 
 
 def run_play_star(
     spark: SparkSession, log_path: str, song_path: str, out: str, preset: Preset = DEFAULT,
     staged: bool = False,
 ) -> dict[str, str]:
-    """JSON folders to the five written tables, then the checks.
+    """JSON folders to the five written tables.
 
-    The plays are parsed once and kept for the three tables made of them; the fact is matched
-    with the written dimensions. Songs are partitioned by year, times and the fact by month.
+    Plays and records are parsed once, written to the shared folder and read from there; the
+    fact is matched with the written dimensions. The tables are written beside the old ones,
+    checked against their contracts and only then published. Songs are partitioned by year and
+    sorted by artist, times and the fact by month.
     """
     events, records = read_inputs(spark, log_path, song_path, staged)
-    paths = {name: f"{out}/{name}" for name in LAYOUTS}
+    contracts = layouts(preset)
+    paths = {name: f"{out}/{name}" for name in contracts}
     tables: dict[str, DataFrame] = {}
 
     def save(name: str, table: DataFrame) -> None:
-        write_table(table, paths[name], LAYOUTS[name].partition_by)
-        tables[name] = spark.read.schema(table.schema).parquet(paths[name])
+        sort = contracts[name].sort_by if name == "songs" else ()
+        tables[name] = stage_in(table, paths[name], contracts[name].partition_by, sort)
 
-    plays = plays_of(events).select(*PLAY_COLUMNS).persist()
-    try:
+    plays = plays_of(events).select(*PLAY_COLUMNS)
+    with kept(plays, "plays") as plays, kept(records, "records") as records:
         for name, table in build_song_dims(records, preset).items():
             save(name, table)
         save("users", build_users(plays, preset.users))
@@ -246,8 +299,8 @@ def run_play_star(
         dims = {name: tables[name] for name in ("songs", "artists")}
         fact = build_songplays(plays, records, dims, preset)
         save("songplays", partitioned_by_month(fact))
-    finally:
-        plays.unpersist()
     assert_quality(has_rows(tables))
-    assert_quality(null_counts(tables["songplays"], ["songplay_id", "start_time", "session_id"]))
+    assert_quality(star_report(tables, preset))
+    for path in paths.values():
+        publish(spark, path)
     return paths

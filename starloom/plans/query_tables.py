@@ -10,6 +10,7 @@ from starloom.contracts import (
 from starloom.operators import merge
 from starloom.operators.cleaning import drop_blank
 from starloom.operators.layout import distribute_sort
+from starloom.session import kept
 from starloom.sources.files import scan_csv
 
 # The columns of the cleaned union, in order.
@@ -71,13 +72,10 @@ def build_query_tables(plays: DataFrame) -> dict[str, DataFrame]:
 
 def run_query_tables(spark: SparkSession, source: str, out: str) -> dict[str, str]:
     """CSV folder to three written tables; the typed plays are read from CSV once."""
-    plays = typed_plays(scan_csv(spark, source, EVENT_CSV)).persist()
     paths = {}
-    try:
+    with kept(typed_plays(scan_csv(spark, source, EVENT_CSV)), "typed-plays") as plays:
         for contract, build in BUILDERS:
             paths[contract.name] = f"{out}/{contract.name}"
             table = distribute_sort(build(plays), list(contract.cluster_by), list(contract.sort_by))
             table.write.mode("overwrite").parquet(paths[contract.name])
-    finally:
-        plays.unpersist()
     return paths

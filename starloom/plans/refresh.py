@@ -1,22 +1,31 @@
-"""The scheduled refresh: stage new files, append the fact, refresh dimensions, check."""
+"""The scheduled refresh: stage new files, check and append the fact, refresh dimensions.
+
+The cost of a run follows its batch: the fact and the times are compared only in the months that
+the batch touches, users are merged once per run, and checks look at the batch before it is
+appended.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from starloom.contracts import PLAY_LOG, TIMES
+from starloom.contracts import PLAY_LOG, STAGED_EVENTS, TIMES
 from starloom.functions.timeparts import calendar_parts
-from starloom.operators.quality import assert_quality, null_counts, primary_key
-from starloom.operators.tables import load_dimension, merge_table, write_table
+from starloom.operators.merge import last_wins
+from starloom.operators.quality import assert_quality, contract_report, row_checks
+from starloom.operators.tables import append_fact, merge_table, publish, recover, stage_in
 from starloom.plans.plays import (
-    SCHEDULED, Preset, build_song_dims, build_songplays, partitioned_by_month, plays_of,
+    HOURLY, PLAY_COLUMNS, Preset, build_song_dims, build_songplays, layouts, partitioned_by_month,
+    plays_of,
 )
+from starloom.sources.staging import enforce_max_error, stage_lines
 from starloom.streaming.incremental import run_incremental
 
+USER_ORDER = ["last_ts", "last_item"]
+
 
-def merge_users(events: DataFrame, path: str) -> None:
-    """Upsert the users of a batch; the target keeps the time of their last event, so that
-    batches may come in any order."""
+def users_of(events: DataFrame) -> DataFrame:
+    """The newest row of each user of a batch, with the time of that event."""
     users = plays_of(events).select(
         F.col("userId").try_cast("int").alias("user_id"),
         F.col("firstName").alias("first_name"),
@@ -26,46 +35,58 @@ def merge_users(events: DataFrame, path: str) -> None:
         F.col("ts").alias("last_ts"),
         F.col("itemInSession").alias("last_item"),
     ).where(F.col("user_id").isNotNull())
-    merge_table(users, path, ["user_id"], ["last_ts", "last_item"], keep_order=True)
+    return last_wins(users, ["user_id"], USER_ORDER, keep_order=True)
 
 
-def refresh_times(fact: DataFrame, path: str) -> None:
-    """Rebuild the time dimension from the fact: one row per start time."""
-    times = fact.select("start_time").distinct()
-    rows = times.select("start_time", *calendar_parts(F.col("start_time")))
-    load_dimension(rows, path, partition_by=TIMES.partition_by)
+def append_times(plays: DataFrame, path: str, preset: Preset) -> None:
+    """Add the start times of a batch that the time dimension does not have yet."""
+    times = plays.select("start_time").distinct()
+    rows = times.select("start_time", *calendar_parts(F.col("start_time"), preset.weekday))
+    append_fact(rows, path, ["start_time", "year", "month"], TIMES.partition_by)
 
 
 def run_hourly(
-    spark: SparkSession, log_path: str, catalog: DataFrame, out: str, preset: Preset = SCHEDULED
+    spark: SparkSession, log_path: str, catalog: DataFrame, out: str, preset: Preset = HOURLY,
+    staged: bool = True, max_error: int = 0, files_per_batch: int | None = None, **options,
 ) -> dict[str, str]:
     """One run over the log files that have not been seen.
 
-    The dimensions of the catalog are rebuilt, the fact grows by the plays whose key is new,
-    and users are merged per batch. Plays without a song are legal; a missing key is not. The
-    key must be the same in every run, so it is the hashed one.
+    The lines are staged with the options of `sources.staging.stage_lines`, and a batch with more
+    than `max_error` bad lines stops the run before anything of it is appended; with
+    `staged=False` the files are read plainly. The dimensions of the catalog are rebuilt, checked
+    and swapped; the fact grows by the plays whose key is new. Plays without a song are legal; a
+    missing key is not. The key must be the same in every run and one per row.
     """
-    if preset.key != "md5":
-        raise ValueError("an incremental fact needs a key that is the same in every run")
+    if preset.key != "row":
+        raise ValueError("an incremental fact needs a key that is the same in every run, one per row")
+    contracts = layouts(preset)
     paths = {t: f"{out}/{t}" for t in ("songplays", "users", "songs", "artists", "times")}
+    dims = {}
     for name, table in build_song_dims(catalog, preset).items():
-        write_table(table, paths[name])
-    dims = {name: spark.read.parquet(paths[name]) for name in ("songs", "artists")}
+        recover(spark, paths[name])
+        fresh = stage_in(table, paths[name])
+        assert_quality(contract_report(fresh, contracts[name]))
+        publish(spark, paths[name])
+        dims[name] = spark.read.schema(fresh.schema).parquet(paths[name])
+
+    def stage(lines: DataFrame) -> DataFrame:
+        rows = stage_lines(lines, STAGED_EVENTS, mapping=options.get("mapping", "exact"),
+                           **{k: v for k, v in options.items() if k != "mapping"})
+        return enforce_max_error(rows, max_error).select("page", *PLAY_COLUMNS)
 
     def to_fact(events: DataFrame) -> DataFrame:
         return partitioned_by_month(build_songplays(plays_of(events), catalog, dims, preset))
 
+    def check(batch: DataFrame) -> None:
+        assert_quality(row_checks(batch, contracts["songplays"]))
+        append_times(batch, paths["times"], preset)
+
     run_incremental(
         spark, log_path, PLAY_LOG, paths["songplays"], f"{out}/_checkpoint",
-        key=["songplay_id", "year", "month"], order=["start_time"], transform=to_fact,
-        partition_by=["year", "month"],
-        refresh=lambda events: merge_users(events, paths["users"]),
+        key=["songplay_id", "year", "month"], transform=to_fact, partition_by=["year", "month"],
+        collect=users_of, check=check, stage=stage if staged else None,
+        refresh=lambda users: merge_table(
+            users, paths["users"], ["user_id"], USER_ORDER, keep_order=True),
+        fmt="text" if staged else "json", files_per_batch=files_per_batch,
     )
-    schema = to_fact(spark.createDataFrame([], PLAY_LOG.schema)).schema
-    fact = spark.read.schema(schema).parquet(paths["songplays"])
-    refresh_times(fact, paths["times"])
-    assert_quality(null_counts(fact, ["songplay_id", "start_time", "session_id"]))
-    assert_quality(primary_key(fact, ["songplay_id"]))
-    assert_quality(null_counts(dims["songs"], ["title"]))
-    assert_quality(null_counts(dims["artists"], ["artist_name"]))
     return paths

@@ -46,18 +46,33 @@ def sink_csv_quoted(t):
     return files.scan_csv(t.spark, path, EVENTS)
 
 
-@query("load_append_fact", EVENTS_SQL)
+# Every 50th event has lost its key; every 100th of these arrives twice in its batch.
+_KEYLESS = {"event_id": "case when event_id % 50 = 7 then null else event_id end"}
+_FACT = "ts, user_id, event_type, value, props"
+
+
+@query(
+    "load_append_fact",
+    f"""WITH rows AS (SELECT {_KEYLESS["event_id"]} AS id, event_id AS n, {_FACT} FROM events)
+    SELECT id AS event_id, {_FACT} FROM rows
+    UNION ALL SELECT id AS event_id, {_FACT} FROM rows WHERE id IS NULL AND n % 100 = 7""",
+)
 def load_append_fact(t):
-    """Two batches that share a third of the events, and a rerun of the second."""
+    """Two batches that share a third of the events, some without a key, and a rerun of both."""
     path = t.folder("fact")
     events = t("events")
     n = events.count()
-    key, order = ["event_id"], ["ts"]
-    tables.append_fact(events.where(F.col("event_id") < n * 2 // 3), path, key, order)
-    late = events.where(F.col("event_id") >= n // 3)
-    tables.append_fact(late, path, key, order)
-    tables.append_fact(late, path, key, order)
-    return t.spark.read.parquet(path)
+    twice = events.where("event_id % 100 = 7")
+    rows = events.unionByName(twice)
+
+    def batch(part):
+        return part.selectExpr(f"{_KEYLESS['event_id']} AS event_id", *_FACT.split(", "))
+
+    early = batch(rows.where(F.col("event_id") < n * 2 // 3))
+    late = batch(rows.where(F.col("event_id") >= n // 3))
+    for part in (early, late, late, early):
+        tables.append_fact(part, path, ["event_id"])
+    return t.spark.read.schema(EVENTS.schema).parquet(path)
 
 
 @query(
@@ -73,10 +88,11 @@ def load_append_fact_partitioned(t):
     middle = events.select(F.max("ts").alias("b"), F.min("ts").alias("a")).first()
     cut = middle.a + (middle.b - middle.a) / 2
     cut = F.lit(cut.isoformat(sep=" ")).cast("timestamp_ntz")
-    key, order = ["event_id", "day"], ["ts"]
-    tables.append_fact(events.where(F.col("ts") < cut), path, key, order, ["day"])
+    key = ["event_id", "day"]
+    tables.append_fact(events.where(F.col("ts") < cut), path, key, ["day"])
     overlap = F.timestamp_add("DAY", F.lit(-5), cut)
-    tables.append_fact(events.where(F.col("ts") >= overlap), path, key, order, ["day"])
+    tables.append_fact(events.where(F.col("ts") >= overlap), path, key, ["day"])
+    tables.append_fact(events.where("event_id < 0"), path, key, ["day"])
     return t.spark.read.schema("event_id bigint, ts timestamp_ntz, user_id bigint, day string"
                                ).parquet(path)
 

@@ -6,12 +6,15 @@ from pyspark.sql import functions as F
 
 from starloom.operators.matching import match_plays
 from starloom.plans import analytics, query_tables
-from starloom.plans.plays import build_artists, build_songs, build_times, plays_of
+from starloom.operators.tables import write_table
+from starloom.plans.plays import (
+    build_artists, build_songs, build_times, partitioned_by_month, plays_of,
+)
 from starloom.functions.timeparts import start_time
 from starloom.queries import shapes
 from starloom.queries.joins import FIRST_SQL
 from starloom.queries.registry import query
-from starloom.queries.stars import ARRIVALS_STAR, ONE_CITY, SECONDS, arrivals_star
+from starloom.queries.stars import ARRIVALS_STAR, ONE, SECONDS, arrivals_star
 
 FACT_SQL = f"""WITH {shapes.PLAYS_CATALOG_SQL}, {FIRST_SQL}, fact AS (
   SELECT {SECONDS} AS start_time, song_id, artist_id, sessionId AS session_id, location
@@ -29,6 +32,13 @@ def fact(t):
     )
 
 
+def written_fact(t):
+    """The fact as it is stored, in folders by month."""
+    path = t.folder("fact-by-month")
+    write_table(partitioned_by_month(fact(t)), path, ["year", "month"])
+    return t.spark.read.parquet(path)
+
+
 def dims(t):
     """Songs, and artists with one row per id."""
     records = shapes.catalog(t)
@@ -83,8 +93,18 @@ def q_top_locations(t):
     "AND month(start_time) = 11 AND day(start_time) = 21",
 )
 def q_plays_on_day(t):
+    return analytics.plays_on_day(written_fact(t), 1998, 11, 21)
+
+
+@query(
+    "q_plays_on_weekday",
+    FACT_SQL + "SELECT count(start_time) AS plays FROM fact WHERE dayofweek(start_time) = 6 "
+    "AND hour(start_time) = 11",
+)
+def q_plays_on_weekday(t):
+    """Calendar parts that are no range go through the time dimension."""
     times = build_times(plays_of(shapes.play_log(t)))
-    return analytics.plays_on_day(fact(t), times, 1998, 11, 21)
+    return analytics.plays_at(fact(t), times, weekday=6, hour=11)
 
 
 @query(
@@ -114,7 +134,7 @@ def q_top_songs(t):
     ),
 )
 def q_top_songs_latest_week(t):
-    return analytics.top_songs_latest(fact(t), *dims(t))
+    return analytics.top_songs_latest(written_fact(t), *dims(t))
 
 
 # --- query tables, built from the whole log and looked up by key ---
@@ -165,7 +185,7 @@ def q_users_by_song(t):
 
 # --- arrivals ---
 
-STAR = ARRIVALS_STAR.format(demo=ONE_CITY)
+STAR = ARRIVALS_STAR.format(**ONE)
 
 
 def _arrivals(t):

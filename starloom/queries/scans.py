@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-from datetime import datetime
-from functools import reduce
-
 from pyspark.sql import DataFrame, functions as F
 
 from starloom.contracts import TableContract
@@ -101,19 +98,17 @@ def scan_arrivals(t):
 
 @query("scan_incremental", EVENTS_SQL)
 def scan_incremental(t):
-    """One scan per daily run, over all days."""
+    """The input of the daily runs: all days in one scan, but for one day that its run reads."""
     path = t.folder("incremental")
     events = t("events").withColumn("day", F.date_format("ts", "yyyy-MM-dd"))
-    days = [r.day for r in events.select("day").distinct().collect()]
     (events.hint("rebalance", "day").write.partitionBy("day")
      .option("timestampNTZFormat", files.MICROS).json(path))
-    runs = [
-        files.scan_for_run(
-            t.spark, path + "/day={run:%Y-%m-%d}", datetime.strptime(d, "%Y-%m-%d"), EVENTS
-        )
-        for d in sorted(days)
-    ]
-    return reduce(DataFrame.unionByName, runs)
+    first = t("events").agg(F.min("ts")).first()[0]
+    template = path + "/day={run:%Y-%m-%d}"
+    one = files.scan_for_run(t.spark, template, first, EVENTS)
+    rest = files.scan_all_runs(t.spark, template, EVENTS)
+    after = F.lit(first.strftime("%Y-%m-%d")).cast("timestamp_ntz") + F.expr("INTERVAL 1 day")
+    return one.unionByName(rest.where(F.col("ts") >= after))
 
 
 # --- staging ---

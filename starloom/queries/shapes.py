@@ -102,6 +102,17 @@ CATALOG_SQL = f"catalog AS ({select_sql(_CATALOG, 'part')})"
 PLAYS_CATALOG_SQL = f"{PLAYS_SQL}, {CATALOG_SQL}"
 
 
+# Songs that arrive several times, under other titles and artists; artists likewise.
+_ARRIVED = {**_CATALOG, "song_id": "('SO' || (p_partkey % 61))", "artist_id": "('AR' || (p_partkey % 17))"}
+
+
+def arrived_catalog(t: Tables) -> DataFrame:
+    return t("part").selectExpr(*columns(_ARRIVED))
+
+
+ARRIVED_SQL = f"arrived AS ({select_sql(_ARRIVED, 'part')})"
+
+
 # --- dirty events: nulls, blanks and empty strings among the event types ---
 
 _DIRTY = {

@@ -4,13 +4,15 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from starloom.contracts import SONG_CATALOG, USERS
+from starloom.operators.merge import last_wins
 from starloom.operators.tables import merge_table, write_json
 from starloom.plans import arrivals, plays, query_tables, refresh
 from starloom.queries import shapes
 from starloom.queries.joins import DIMS_SQL, FIRST_SQL, TEMP_SQL
 from starloom.queries.registry import query
 from starloom.queries.scans import EVENTS, EVENTS_SQL
-from starloom.sources.files import country_codes, port_codes, typed_arrivals
+from starloom.sources.files import country_codes, port_codes, scan_json, typed_arrivals
 from starloom.streaming.incremental import run_incremental
 
 PC = f"WITH {shapes.PLAYS_CATALOG_SQL}"
@@ -50,6 +52,55 @@ def pipe_song_dims_artists(t):
     return plays.build_song_dims(shapes.catalog(t), plays.UPSERT)["artists"]
 
 
+SONGS_ARRIVED_SQL = """SELECT song_id, arg_min(title, _order) AS title, arg_min(artist_id, _order) AS artist_id,
+           CASE WHEN arg_min(year, _order) = 0
+                THEN coalesce(arg_min(year, _order) FILTER (WHERE year > 0), 0)
+                ELSE arg_min(year, _order) END AS year,
+           cast(arg_min(duration, _order) AS double) AS duration
+    FROM arrived GROUP BY song_id"""
+
+
+@query("pipe_song_dims_repeated", f"WITH {shapes.ARRIVED_SQL} {SONGS_ARRIVED_SQL}")
+def pipe_song_dims_repeated(t):
+    """Songs that arrive several times, with other titles, artists, years and durations."""
+    return plays.build_song_dims(shapes.arrived_catalog(t), plays.UPSERT)["songs"]
+
+
+def _arrived_files(t):
+    """The same records as files, the later ones written first and the earlier ones after them,
+    with paths and names that agree with the order of arrival only in part."""
+    root = t.folder("arrived")
+    rows = shapes.arrived_catalog(t)
+    for part in range(3):
+        lines = rows.where(F.pmod("_order", F.lit(3)) == part).orderBy("_order")
+        lines.drop("_order").coalesce(1).write.json(f"{root}/{'cab'[part]}")
+    return scan_json(t.spark, root, SONG_CATALOG, arrival=True)
+
+
+_FILE_ORDER = shapes.ARRIVED_SQL.replace("p_partkey AS _order", "[p_partkey % 3, p_partkey] AS _order")
+
+
+@query("pipe_song_dims_files", f"WITH {_FILE_ORDER} {SONGS_ARRIVED_SQL}")
+def pipe_song_dims_files(t):
+    """The order of arrival comes from the files: one after the other, line by line."""
+    return plays.build_song_dims(_arrived_files(t), plays.UPSERT)["songs"]
+
+
+@query(
+    "pipe_song_dims_artists_files",
+    f"""WITH {_FILE_ORDER} SELECT artist_id, arg_min(artist_name, _order) AS artist_name,
+           arg_max(artist_location, _order) FILTER (WHERE trim(artist_location) <> '')
+             AS artist_location,
+           arg_max(artist_latitude, _order) FILTER (WHERE artist_latitude IS NOT NULL)
+             AS artist_latitude,
+           arg_max(artist_longitude, _order) FILTER (WHERE artist_longitude IS NOT NULL)
+             AS artist_longitude
+    FROM arrived GROUP BY artist_id""",
+)
+def pipe_song_dims_artists_files(t):
+    return plays.build_song_dims(_arrived_files(t), plays.UPSERT)["artists"]
+
+
 @query(
     "pipe_song_dims_artists_distinct",
     f"WITH {shapes.CATALOG_SQL}, {DIMS_SQL} SELECT * FROM artists",
@@ -133,11 +184,19 @@ def _from_files(t, preset, staged):
 _MONTHS = "year(start_time)::int AS year, month(start_time)::int AS month"
 
 
+# The key of one row: session, second, item and song.
+ROW_KEY = ("md5(concat_ws('|', session_id, strftime(start_time, '%Y-%m-%d %H:%M:%S'), itemInSession, "
+           "coalesce(song_id, '-')))")
+
+
+def _keyed_fact_sql(source: str, distinct: bool = False) -> str:
+    fact = _fact_sql(source, SECONDS, distinct).replace(" FROM ", ", itemInSession FROM ", 1)
+    return f"SELECT {ROW_KEY} AS songplay_id, * EXCLUDE (itemInSession), {_MONTHS} FROM ({fact})"
+
+
 @query(
     "pipe_play_star_files",
-    f"""{PC}, {FIRST_SQL}, fact AS ({_fact_sql("matched", SECONDS, True)})
-    SELECT md5(session_id || strftime(start_time, '%Y-%m-%d %H:%M:%S')) AS songplay_id, *, {_MONTHS}
-    FROM fact""",
+    f"{PC}, {FIRST_SQL} {_keyed_fact_sql('matched', True)}",
 )
 def pipe_play_star_files(t):
     return _from_files(t, plays.DEFAULT, staged=False)
@@ -154,6 +213,28 @@ def pipe_play_star_staged(t):
     return _from_files(t, plays.WAREHOUSE, staged=True)
 
 
+@query(
+    "pipe_play_star_report",
+    """SELECT preset, table_name, check_name, 0::BIGINT AS violations FROM (VALUES """
+    + ", ".join(
+        f"('{preset}', '{table}', '{check}')"
+        for preset in plays.PRESETS for table, check in plays.report_names(plays.PRESETS[preset])
+    ) + ") AS v(preset, table_name, check_name)",
+)
+def pipe_play_star_report(t):
+    """All checks of the contracts of the written star, under every preset."""
+    root = t.folder("reported")
+    write_json(shapes.play_log(t), f"{root}/log")
+    write_json(shapes.catalog(t).drop("_order"), f"{root}/songs")
+    reports = None
+    for name, preset in plays.PRESETS.items():
+        paths = plays.run_play_star(t.spark, f"{root}/log", f"{root}/songs", f"{root}/{name}", preset)
+        tables = {k: t.spark.read.parquet(p) for k, p in paths.items()}
+        part = plays.star_report(tables, preset).select(F.lit(name).alias("preset"), "*")
+        reports = part if reports is None else reports.unionByName(part)
+    return reports
+
+
 USERS_SQL = """SELECT user_id, arg_max(first_name, r) AS first_name, arg_max(last_name, r)
   AS last_name, arg_max(gender, r) AS gender, arg_max(level, r) AS level FROM (
   SELECT cast(userId AS int) AS user_id, firstName AS first_name, lastName AS last_name, gender,
@@ -276,11 +357,17 @@ fact_all AS (
          i.arr_date, i.dep_date, i.mode, i.addr_state_abbr, i.age, i.reason, i.gender,
          t.avg_temperature AS temperature_avg, d.median_age AS city_median_age,
          d.total_population AS city_total_population
-  FROM dim_imm i JOIN dim_temp t ON i.port_code = t.port_code AND i.month = month(t.d)
+  FROM dim_imm i JOIN {{temp}} t ON i.port_code = t.port_code AND i.month = t.m
   JOIN {{demo}} d ON i.port_code = d.port_code
   LEFT JOIN countries c ON origin_country_code = c.code)
 """
-ONE_CITY = "(SELECT DISTINCT port_code, median_age, total_population FROM dim_demo)"
+# One reading per port and month, and one city per port; or all of them.
+ONE = {
+    "temp": "(SELECT port_code, month(d) AS m, arg_max(avg_temperature, (d, avg_temperature)) "
+            "AS avg_temperature FROM dim_temp GROUP BY ALL)",
+    "demo": "(SELECT DISTINCT port_code, median_age, total_population FROM dim_demo)",
+}
+ALL = {"temp": "(SELECT *, month(d) AS m FROM dim_temp)", "demo": "dim_demo"}
 
 
 def _arrival_inputs(t):
@@ -302,7 +389,7 @@ def _dates_as_text(df):
 
 @query(
     "pipe_arrivals_star",
-    ARRIVALS_STAR.format(demo=ONE_CITY) + "SELECT * FROM fact_all",
+    ARRIVALS_STAR.format(**ONE) + "SELECT * FROM fact_all",
 )
 def pipe_arrivals_star(t):
     """The fact, as written and read back after the checks."""
@@ -312,7 +399,7 @@ def pipe_arrivals_star(t):
 
 @query(
     "pipe_arrivals_star_distinct",
-    ARRIVALS_STAR.format(demo="dim_demo") + "SELECT DISTINCT * FROM fact_all",
+    ARRIVALS_STAR.format(**ALL) + "SELECT DISTINCT * FROM fact_all",
 )
 def pipe_arrivals_star_distinct(t):
     """The fact with race rows joined and merged by a distinct."""
@@ -321,7 +408,7 @@ def pipe_arrivals_star_distinct(t):
 
 @query(
     "pipe_arrivals_star_immigrations",
-    ARRIVALS_STAR.format(demo="dim_demo") + "SELECT * FROM dim_imm",
+    ARRIVALS_STAR.format(**ALL) + "SELECT * FROM dim_imm",
 )
 def pipe_arrivals_star_immigrations(t):
     return _dates_as_text(arrivals_star(t)["dim_immigrations"])
@@ -360,7 +447,7 @@ def incremental_fact_append(t):
         part = events.where(F.col("event_id").between(low, high - 1))
         _drop(part, f"{source}/drop={low}")
         run_incremental(
-            t.spark, source, EVENTS, fact, checkpoint, key=["event_id"], order=["ts"]
+            t.spark, source, EVENTS, fact, checkpoint, key=["event_id"]
         )
     return t.spark.read.schema(EVENTS.schema).parquet(fact)
 
@@ -372,50 +459,66 @@ def incremental_fact_append(t):
     "arg_max(event_id, (ts, event_id)) AS event_id FROM events GROUP BY user_id",
 )
 def incremental_dim_refresh(t):
-    """After each of three fact batches, in no order of time, the users are merged."""
+    """After each of three runs of several batches, in no order of time, the users are merged."""
     root = t.folder("incremental-dim")
     events = t("events")
     for i in (1, 2, 0):
         _drop(events.where(F.pmod("event_id", F.lit(3)) == i), f"{root}/in/drop={i}")
         run_incremental(
             t.spark, f"{root}/in", EVENTS, f"{root}/fact", f"{root}/_checkpoint",
-            key=["event_id"], order=["ts"],
-            refresh=lambda batch: merge_table(
-                batch.drop("props"), f"{root}/users", ["user_id"], ["ts", "event_id"],
-                keep_order=True,
-            ),
+            key=["event_id"], files_per_batch=2,
+            collect=lambda batch: last_wins(
+                batch.drop("props"), ["user_id"], ["ts", "event_id"], keep_order=True),
+            refresh=lambda users: merge_table(
+                users, f"{root}/users", ["user_id"], ["ts", "event_id"], keep_order=True),
         )
     return t.spark.read.parquet(f"{root}/users")
 
 
-def _hourly(t):
-    """Two drops of whole sessions, one run after each."""
+def _hourly(t, dirty=False):
+    """Two drops of whole sessions, one run after each, and a third run without new files.
+
+    With `dirty` there are lines that are cut short, blank lines and a blank column among them.
+    """
     root = t.folder("hourly")
     log, catalog = shapes.play_log(t), shapes.catalog(t)
+    if dirty:
+        log = log.withColumn("location", F.when(F.col("itemInSession") == 2, " ").otherwise(F.col("location")))
     paths = {}
     for i in range(2):
-        _drop(log.where(F.pmod("sessionId", F.lit(2)) == i), f"{root}/log/drop={i}")
-        paths = refresh.run_hourly(t.spark, f"{root}/log", catalog, f"{root}/out")
-    return paths
+        rows = log.where(F.pmod("sessionId", F.lit(2)) == i)
+        if dirty:
+            bad = F.col("itemInSession") == 3
+            line = F.to_json(F.struct("*"))
+            cut = F.when(bad, F.expr("substring(_line, 1, 40)")).otherwise(F.col("_line"))
+            lines = rows.select("itemInSession", line.alias("_line")).select(
+                F.explode(F.array(cut, F.lit("  "))).alias("value"))
+            lines.write.mode("append").text(f"{root}/log/drop={i}")
+        else:
+            _drop(rows, f"{root}/log/drop={i}")
+        paths = refresh.run_hourly(
+            t.spark, f"{root}/log", catalog, f"{root}/out", max_error=10**9 if dirty else 0)
+    return refresh.run_hourly(t.spark, f"{root}/log", catalog, f"{root}/out")
+
+
+SCHEDULED_MATCH = ("{plays} LEFT JOIN catalog ON song = title AND artist = artist_name "
+                   "AND trunc(length)::bigint = trunc(duration)::bigint")
+
+
+@query("pipe_hourly_refresh", f"{PC} {_keyed_fact_sql(SCHEDULED_MATCH.format(plays='plays'))}")
+def pipe_hourly_refresh(t):
+    """Every play with every match, also after reruns."""
+    return t.spark.read.parquet(_hourly(t)["songplays"])
 
 
-HOURLY = f"""{PC}, fact AS ({_fact_sql(
-    "plays LEFT JOIN catalog ON song = title AND artist = artist_name "
-    "AND trunc(length)::bigint = trunc(duration)::bigint", SECONDS)}),
-keyed AS (
-  SELECT md5(session_id || strftime(start_time, '%Y-%m-%d %H:%M:%S')) AS songplay_id, *,
-         row_number() OVER (PARTITION BY session_id, start_time ORDER BY user_id, level,
-           song_id NULLS FIRST, artist_id NULLS FIRST, location, user_agent) AS rn
-  FROM fact)"""
+_CLEAN = """(SELECT * REPLACE (CASE WHEN itemInSession = 2 THEN NULL ELSE location END AS location)
+  FROM plays WHERE itemInSession <> 3) AS p"""
 
 
-@query(
-    "pipe_hourly_refresh",
-    HOURLY + " SELECT * EXCLUDE (rn), year(start_time)::int AS year, "
-    "month(start_time)::int AS month FROM keyed WHERE rn = 1",
-)
-def pipe_hourly_refresh(t):
-    return t.spark.read.parquet(_hourly(t)["songplays"])
+@query("pipe_hourly_refresh_dirty", f"{PC} {_keyed_fact_sql(SCHEDULED_MATCH.format(plays=_CLEAN))}")
+def pipe_hourly_refresh_dirty(t):
+    """Lines that cannot be loaded are counted and left out; blank values are null."""
+    return t.spark.read.parquet(_hourly(t, dirty=True)["songplays"])
 
 
 @query(
@@ -429,7 +532,7 @@ def pipe_hourly_refresh(t):
 )
 def pipe_hourly_refresh_users(t):
     users = t.spark.read.parquet(_hourly(t)["users"])
-    return users.drop("last_ts", "last_item")
+    return users.select(*USERS.column_names)
 
 
 @query("pipe_hourly_refresh_times", _times_sql(SECONDS, "dayofweek(start_time)::int"))

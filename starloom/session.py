@@ -2,8 +2,13 @@
 
 from __future__ import annotations
 
+import atexit
+import re
+import shutil
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -41,22 +46,56 @@ def build_session(
 
 
 _local_scratch: str | None = None
+_scratch_paths: set[str] = set()
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A fresh path in the folder named by `spark.checkpoint.dir`, which all executors share.
 
-    Only a local session may fall back to a temporary folder of this machine.
+    Only a session in one process may fall back to a temporary folder of this machine, which
+    goes when the process ends. `clear_scratch` removes the paths at the end of a run.
     """
     global _local_scratch
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
-        if not spark.sparkContext.master.startswith("local"):
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         if _local_scratch is None:
             _local_scratch = tempfile.mkdtemp(prefix="starloom-")
+            atexit.register(shutil.rmtree, _local_scratch, ignore_errors=True)
         base = _local_scratch
-    return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    path = f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    _scratch_paths.add(path)
+    return path
+
+
+def _remove(spark: SparkSession, path: str) -> None:
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+    _scratch_paths.discard(path)
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Remove every intermediate table of this session; results that read them must be done."""
+    for path in list(_scratch_paths):
+        _remove(spark, path)
+
+
+def stored_bytes(spark: SparkSession, path: str) -> int:
+    """Size of the files under a path."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()).getContentSummary(target).getLength()
+
+
+@contextmanager
+def kept(df: DataFrame, label: str, path: str | None = None) -> Iterator[DataFrame]:
+    """`df` written once to the shared folder, for several reads, and removed afterwards."""
+    path = path or scratch_path(df.sparkSession, label)
+    try:
+        df.write.parquet(path)
+        yield df.sparkSession.read.schema(df.schema).parquet(path)
+    finally:
+        _remove(df.sparkSession, path)
 
 
 def written(df: DataFrame, label: str) -> DataFrame:

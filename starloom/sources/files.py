@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, DataFrameReader, SparkSession, functions as F
@@ -25,11 +26,27 @@ def _tree(spark: SparkSession, schema: StructType, glob: str) -> DataFrameReader
     )
 
 
+ARRIVAL = "_order"
+
+
+def arrival_order() -> Column:
+    """Where a row of a file scan stands in the order of arrival: the file's time and path, the
+    block and the row. Row numbers rise within a block, and are compared in no wider range. Must
+    be selected from the scan itself."""
+    file = F.col("_metadata")
+    return F.struct(
+        file["file_modification_time"].alias("time"), file["file_path"].alias("path"),
+        file["file_block_start"].alias("block"), F.monotonically_increasing_id().alias("row"),
+    ).alias(ARRIVAL)
+
+
 def scan_json(
-    spark: SparkSession, path: str, contract: TableContract, glob: str = "*.json"
+    spark: SparkSession, path: str, contract: TableContract, glob: str = "*.json",
+    arrival: bool = False,
 ) -> DataFrame:
-    """JSON lines, or one record per file, from a directory tree."""
-    return _tree(spark, contract.schema, glob).json(path)
+    """JSON lines, or one record per file, from a directory tree; `arrival` adds the order."""
+    rows = _tree(spark, contract.schema, glob).json(path)
+    return rows.select("*", arrival_order()) if arrival else rows
 
 
 def scan_csv(
@@ -79,7 +96,17 @@ def scan_for_run(
 ) -> DataFrame:
     """Read only the input of one run: `{...}` fields of the template are filled from the run
     time, e.g. "log/{run:%Y}/{run:%m}/{run:%Y-%m-%d}.json"."""
-    path = template.format(run=run_time)
+    return _scan_runs(spark, template.format(run=run_time), contract, fmt)
+
+
+def scan_all_runs(
+    spark: SparkSession, template: str, contract: TableContract, fmt: str = "json"
+) -> DataFrame:
+    """The input of all runs in one scan: the fields of the template match anything."""
+    return _scan_runs(spark, re.sub(r"\{[^}]*\}", "*", template), contract, fmt)
+
+
+def _scan_runs(spark: SparkSession, path: str, contract: TableContract, fmt: str) -> DataFrame:
     reader = spark.read.schema(contract.schema).option("timestampNTZFormat", MICROS)
     if fmt == "csv":
         reader = reader.option("header", True)

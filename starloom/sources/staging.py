@@ -15,6 +15,8 @@ from pyspark.sql.types import DataType, DecimalType, IntegralType, StringType
 from starloom.contracts import TableContract
 from starloom.functions.numbers import fit_decimal
 from starloom.functions.text import blank_to_null, empty_to_null, truncate
+from starloom.session import written
+from starloom.sources.files import ARRIVAL, arrival_order
 
 BAD = "_bad"
 # Number of a line. A filter that uses it stays above the parse: without it the optimizer would
@@ -32,10 +34,11 @@ def replace_invalid_utf8(text: Column, substitute: str = "�") -> Column:
     return fixed
 
 
-def read_lines(spark: SparkSession, path: str, glob: str = "*.json") -> DataFrame:
-    return (
-        spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", glob).text(path)
-    )
+def read_lines(
+    spark: SparkSession, path: str, glob: str = "*.json", arrival: bool = False
+) -> DataFrame:
+    lines = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", glob).text(path)
+    return lines.select("value", arrival_order()) if arrival else lines
 
 
 CORRUPT = "_corrupt"
@@ -47,7 +50,9 @@ def _simple_name(path: str) -> str | None:
     return (found[1] or found[2]) if found else None
 
 
-def _raw_fields(lines: DataFrame, names: list[str], mapping: str | list[str]) -> DataFrame:
+def _raw_fields(
+    lines: DataFrame, names: list[str], mapping: str | list[str], extra: list[str]
+) -> DataFrame:
     """All fields of each line as text, under the column names, and whether it was JSON.
 
     Known field names are parsed straight into a struct. Names in any letter case need a map of
@@ -56,8 +61,8 @@ def _raw_fields(lines: DataFrame, names: list[str], mapping: str | list[str]) ->
     line = F.col("value")
     if mapping == "auto":
         keyed = F.transform_keys(F.from_json(line, "map<string,string>"), lambda k, _: F.lower(k))
-        return lines.select(keyed.alias("f")).select(
-            F.col("f").isNull().alias("_not_json"),
+        return lines.select(keyed.alias("f"), *extra).select(
+            F.col("f").isNull().alias("_not_json"), *extra,
             *[F.try_element_at("f", F.lit(n.lower())).alias(n) for n in names],
         )
     paths = [f"$.{n}" for n in names] if mapping == "exact" else list(mapping)
@@ -67,8 +72,8 @@ def _raw_fields(lines: DataFrame, names: list[str], mapping: str | list[str]) ->
     known = sorted({f for f in fields.values() if f})
     schema = ", ".join(f"`{f}` string" for f in [*known, CORRUPT])
     parsed = F.from_json(line, schema, {"columnNameOfCorruptRecord": CORRUPT})
-    return lines.select(line, parsed.alias("f")).select(
-        F.col(f"f.{CORRUPT}").isNotNull().alias("_not_json"),
+    return lines.select(line, parsed.alias("f"), *extra).select(
+        F.col(f"f.{CORRUPT}").isNotNull().alias("_not_json"), *extra,
         *[(F.col(f"f.{fields[p]}") if fields[p] else F.get_json_object(line, p)).alias(n)
           for n, p in zip(names, paths)],
     )
@@ -100,15 +105,19 @@ def stage_lines(
     """Columns of the contract plus `_bad` and `_line`, from text lines (column `value`).
 
     `mapping` is "auto" (by name, in any letter case), "exact" (by name) or a list of JSON paths
-    in column order. Each step is its own projection, so no value is computed twice.
+    in column order. Each step is its own projection, so no value is computed twice. Lines
+    without a character other than blanks are no lines. The order of arrival is kept, if given.
     """
+    extra = [ARRIVAL] if ARRIVAL in lines.columns else []
+    lines = lines.where(F.trim("value", F.lit(" \t\r")) != "")
     if replace_invalid is not None:
-        lines = lines.select(replace_invalid_utf8(F.col("value"), replace_invalid).alias("value"))
+        fixed = replace_invalid_utf8(F.col("value"), replace_invalid).alias("value")
+        lines = lines.select(fixed, *extra)
     fields = list(contract.schema)
     clean = blank_to_null if blanks_as_null else empty_to_null if empty_as_null else None
-    rows = _raw_fields(lines, [f.name for f in fields], mapping)
+    rows = _raw_fields(lines, [f.name for f in fields], mapping, extra)
     if clean is not None:
-        rows = rows.select("_not_json", *[clean(F.col(f.name)).alias(f.name) for f in fields])
+        rows = rows.select("_not_json", *extra, *[clean(F.col(f.name)).alias(f.name) for f in fields])
     texts = {f.name: f"_text_{f.name}" for f in fields if not isinstance(f.dataType, StringType)}
     fitted = []
     for f in fields:
@@ -116,7 +125,7 @@ def stage_lines(
         if truncate_columns and f.name in contract.max_length:
             value = truncate(value, contract.max_length[f.name], length_unit)
         fitted.append(value.alias(f.name))
-    rows = rows.select("_not_json", *fitted, *[F.col(n).alias(t) for n, t in texts.items()])
+    rows = rows.select("_not_json", *extra, *fitted, *[F.col(n).alias(t) for n, t in texts.items()])
     bad = F.col("_not_json")
     for f in fields:
         if f.name in contract.not_null:
@@ -125,6 +134,7 @@ def stage_lines(
             bad = bad | (F.col(texts[f.name]).isNotNull() & F.col(f.name).isNull())
     return rows.select(
         *[f.name for f in fields],
+        *extra,
         F.coalesce(bad, F.lit(False)).alias(BAD),
         F.monotonically_increasing_id().alias(LINE),
     )
@@ -133,12 +143,14 @@ def stage_lines(
 def enforce_max_error(staged: DataFrame, max_error: int = 0) -> DataFrame:
     """Drop `_bad` rows, failing if there are more than `max_error`.
 
-    At 0 the check is part of the scan itself and costs no extra pass.
+    At 0 the check is part of the scan itself and costs no extra pass. Above 0 the rows are
+    written once, so that what is counted is what is loaded.
     """
     if max_error == 0:
         stop = F.raise_error(F.lit("a line could not be loaded and max_error is 0"))
         kept = staged.where(F.when(F.col(BAD), stop.cast("boolean")).otherwise(F.col(LINE) >= 0))
     else:
+        staged = written(staged, "staged")
         found = staged.where(BAD).limit(max_error + 1).count()
         if found > max_error:
             raise ValueError(f"more than {max_error} lines could not be loaded")
@@ -147,7 +159,9 @@ def enforce_max_error(staged: DataFrame, max_error: int = 0) -> DataFrame:
 
 
 def stage_json(
-    spark: SparkSession, path: str, contract: TableContract, *, max_error: int = 0, **options
+    spark: SparkSession, path: str, contract: TableContract, *, max_error: int = 0,
+    arrival: bool = False, **options
 ) -> DataFrame:
     """Staging load of every JSON file under `path`; options as for `stage_lines`."""
-    return enforce_max_error(stage_lines(read_lines(spark, path), contract, **options), max_error)
+    lines = read_lines(spark, path, arrival=arrival)
+    return enforce_max_error(stage_lines(lines, contract, **options), max_error)

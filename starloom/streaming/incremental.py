@@ -2,6 +2,8 @@
 
 A file stream with `availableNow` replaces the scheduled restaging of the whole log. The
 stream's checkpoint remembers the files; the keyed append makes a repeated micro-batch harmless.
+Each batch is written once to the shared folder, so nothing is parsed twice, also after an
+executor is lost.
 """
 
 from __future__ import annotations
@@ -11,29 +13,29 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from starloom.contracts import TableContract
-from starloom.operators.tables import MICROS, append_fact
+from starloom.operators.tables import MICROS, append_fact, drop_table, exists
+from starloom.session import kept
 
 
 def file_stream(
     spark: SparkSession, path: str, contract: TableContract, fmt: str = "json",
     files_per_batch: int | None = None,
 ) -> DataFrame:
-    reader = (
-        spark.readStream.schema(contract.schema)
-        .option("recursiveFileLookup", True)
-        .option("timestampNTZFormat", MICROS)
-    )
+    """New files of a folder; with format "text", their lines in column `value`."""
+    reader = spark.readStream.option("recursiveFileLookup", True)
+    if fmt != "text":
+        reader = reader.schema(contract.schema).option("timestampNTZFormat", MICROS)
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
     return reader.format(fmt).load(path)
 
 
 def run_batches(
-    stream: DataFrame, checkpoint: str, on_batch: Callable[[DataFrame], None]
+    stream: DataFrame, checkpoint: str, on_batch: Callable[[DataFrame, int], None]
 ) -> None:
     """Process everything that is new, then stop."""
     query = (
-        stream.writeStream.foreachBatch(lambda batch, _: on_batch(batch))
+        stream.writeStream.foreachBatch(on_batch)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
@@ -48,23 +50,34 @@ def run_incremental(
     fact: str,
     checkpoint: str,
     key: list[str],
-    order: list[str],
     transform: Callable[[DataFrame], DataFrame] | None = None,
     partition_by: list[str] | tuple[str, ...] = (),
     refresh: Callable[[DataFrame], None] | None = None,
+    collect: Callable[[DataFrame], DataFrame] | None = None,
+    check: Callable[[DataFrame], None] | None = None,
+    stage: Callable[[DataFrame], DataFrame] | None = None,
     fmt: str = "json",
     files_per_batch: int | None = None,
 ) -> None:
-    """Append new source files to the fact, then refresh the dimensions from the same batch."""
+    """Append new source files to the fact, then refresh the dimensions once.
+
+    `stage` turns the raw batch into rows. `collect` takes what the refresh needs from a batch,
+    e.g. the newest row of each key; it is stored under the number of the batch, so that a
+    repeated batch replaces its own rows. After the last batch `refresh` gets all of them at
+    once. A run that stops before leaves them to the next run. `check` sees the fact rows of a
+    batch before they are appended.
+    """
+    pending = f"{checkpoint.rstrip('/')}-pending"
 
-    def on_batch(batch: DataFrame) -> None:
-        if refresh is not None:
-            batch = batch.persist()
-        rows = transform(batch) if transform else batch
-        append_fact(rows, fact, key, order, partition_by)
-        if refresh is not None:
-            refresh(batch)
-            batch.unpersist()
+    def on_batch(batch: DataFrame, number: int) -> None:
+        with kept(stage(batch) if stage else batch, "micro-batch") as rows:
+            append_fact(
+                transform(rows) if transform else rows, fact, key, partition_by, check=check)
+            if refresh is not None:
+                taken = collect(rows) if collect else rows
+                taken.write.mode("overwrite").parquet(f"{pending}/batch={number}")
 
-    stream = file_stream(spark, source, contract, fmt, files_per_batch)
-    run_batches(stream, checkpoint, on_batch)
+    run_batches(file_stream(spark, source, contract, fmt, files_per_batch), checkpoint, on_batch)
+    if refresh is not None and exists(spark, pending):
+        refresh(spark.read.parquet(pending).drop("batch"))
+        drop_table(spark, pending)

@@ -97,6 +97,18 @@ def test_race_rows_do_not_multiply_arrivals(people, temperatures, demographics,
     assert merged.count() == 1
 
 
+def test_readings_do_not_multiply_arrivals(spark, people, temperatures, demographics, ports, countries):
+    twice = temperatures.unionByName(temperatures.withColumn("AverageTemperature", F.lit("40")))
+    star = arrivals.build_arrivals_star(people, twice, demographics, ports, countries)
+    assert [r.temperature_avg for r in star["fact_immigrations"].collect()] == [40.0, 40.0]
+    kept = arrivals.fact_immigrations(
+        *[star[n] for n in ("dim_immigrations", "dim_temperatures", "dim_city_demos")], countries,
+        keep_unmatched=True)
+    assert kept.count() == star["dim_immigrations"].count() == 3
+    assert arrivals.matched_arrivals(
+        *[star[n] for n in ("dim_immigrations", "dim_temperatures", "dim_city_demos")]) == 2
+
+
 def test_run_writes_and_checks(spark, people, temperatures, demographics, ports, countries, tmp_path):
     paths = arrivals.run_arrivals_star(
         people, temperatures, demographics, ports, countries, str(tmp_path / "a"), by_port=True

@@ -17,7 +17,7 @@ def test_runs_see_each_file_once_and_each_event_once(spark, tmp_path):
 
     def run():
         run_incremental(
-            spark, source, EVENTS, fact, checkpoint, key=["id"], order=["o"],
+            spark, source, EVENTS, fact, checkpoint, key=["id"],
             refresh=lambda b: merge_table(
                 b.drop("id"), users, ["user"], ["o"], keep_order=True
             ),

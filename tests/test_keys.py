@@ -3,6 +3,7 @@ import statistics
 import pytest
 from pyspark.sql import functions as F
 
+from starloom import session
 from starloom.operators import aggregates, keys
 
 
@@ -65,3 +66,39 @@ def test_rows_at_max_keeps_ties(spark):
     )
     got = sorted(r.v for r in aggregates.rows_at_max(df, ["g"], "m").collect())
     assert got == ["w", "y", "z"]
+
+
+def test_row_keys_tell_nulls_and_borders_apart(spark):
+    rows = [(1, "a", "b"), (1, "ab", ""), (1, None, "b"), (None, "a", "b"), (1, "a", None)]
+    df = keys.row_key(spark.createDataFrame(rows, "s int, x string, y string"), ["s", "x", "y"], "k")
+    assert len({r.k for r in df.collect()}) == 5 and df.where("k IS NULL").isEmpty()
+
+
+def test_median_without_a_group(spark):
+    df = spark.range(1, 5).select(F.col("id").cast("double").alias("v"))
+    rows = aggregates.median_by_group(df, [], "v").collect()
+    assert [tuple(r) for r in rows] == [(2.5,)]
+
+
+def test_scratch_is_removed(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(session, "_local_scratch", str(tmp_path))
+    monkeypatch.setattr(session, "_scratch_paths", set())
+    with session.kept(spark.range(3), "t") as rows:
+        assert rows.count() == 3 and len(list(tmp_path.iterdir())) == 1
+    assert not list(tmp_path.iterdir())
+    assert keys.dense_key(spark.range(3), ["id"], "n").count() == 3
+    assert list(tmp_path.iterdir())
+    session.clear_scratch(spark)
+    assert not list(tmp_path.iterdir())
+
+
+def test_only_a_session_in_one_process_may_use_a_local_folder(monkeypatch):
+    class Fake:
+        class conf:
+            get = staticmethod(lambda key, default: default)
+
+        class sparkContext:
+            master = "local-cluster[3,2,1024]"
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        session.scratch_path(Fake, "t")

@@ -5,7 +5,8 @@ from pyspark.sql import functions as F
 
 from starloom.contracts import PLAY_LOG, SONG_CATALOG, SONGPLAYS
 from starloom.plans import analytics, plays, query_tables, refresh
-from starloom.operators.tables import write_json
+from starloom.operators.quality import QualityError
+from starloom.operators.tables import exists, write_json, write_table
 
 
 def event(ts, item=0, user="10", level="free", song="T", artist="A", length=246.9, page="NextSong",
@@ -104,8 +105,9 @@ def test_reports(spark, events, catalog):
     assert analytics.matched_plays(fact).count() == 5
     chain = analytics.song_plays_chain(fact, songs, artists).collect()
     assert [r.total_plays for r in chain] == [1, 4]
-    assert analytics.plays_on_day(fact, tables["times"], 2018, 11, 21).first().plays == 5
-    assert analytics.plays_on_day(fact, tables["times"], 2017, 1, 1).first().plays == 0
+    assert analytics.plays_on_day(fact, 2018, 11, 21).first().plays == 5
+    assert analytics.plays_on_day(fact, 2017, 1, 1).first().plays == 0
+    assert analytics.plays_at(fact, tables["times"], year=2018, month=11, day=21).first().plays == 5
     assert analytics.top_songs_latest(fact, songs, artists, interval="3 seconds").first().plays == 2
     assert analytics.top_locations(fact).first().plays == 6
 
@@ -136,3 +138,49 @@ def test_hourly_refresh_in_two_runs_equals_one(spark, events, catalog, tmp_path)
     assert len(one["users"]) == 1 and "free" in one["users"][0]
     again = run("two", [late, early])  # the same files are not read twice
     assert again["songplays"] == two["songplays"]
+
+
+def test_a_refresh_keeps_every_row_and_stops_at_bad_lines(spark, events, catalog, tmp_path):
+    """Two plays of one session in one second, and a line that cannot be loaded."""
+    known = events.where("userId <> '' AND page = 'NextSong'")
+    twin = known.limit(1).withColumn("itemInSession", F.col("itemInSession") + 500)
+    write_json(known.unionByName(twin), f"{tmp_path}/log/0")
+    paths = refresh.run_hourly(spark, f"{tmp_path}/log", catalog, f"{tmp_path}/o")
+    fact = spark.read.parquet(paths["songplays"])
+    rows = fact.count()
+    assert rows >= known.count() + 1 == known.unionByName(twin).count()
+    assert fact.select("songplay_id").distinct().count() == rows
+    spark.createDataFrame([("{cut",), ("",)], "value string").write.text(f"{tmp_path}/log/1")
+    with pytest.raises(Exception, match="max_error"):
+        refresh.run_hourly(spark, f"{tmp_path}/log", catalog, f"{tmp_path}/o")
+    refresh.run_hourly(spark, f"{tmp_path}/log", catalog, f"{tmp_path}/o", max_error=1)
+    assert spark.read.parquet(paths["songplays"]).count() == rows
+
+
+def test_checks_come_before_the_tables_are_public(spark, events, catalog, tmp_path):
+    write_json(events, f"{tmp_path}/log")
+    bad = catalog.withColumn("artist_name", F.lit("x" * 300))
+    write_json(bad.drop("_order"), f"{tmp_path}/songs")
+    with pytest.raises(QualityError, match="max_length:artist_name"):
+        plays.run_play_star(spark, f"{tmp_path}/log", f"{tmp_path}/songs", f"{tmp_path}/out")
+    assert not exists(spark, f"{tmp_path}/out/songplays") and not exists(spark, f"{tmp_path}/out/artists")
+
+
+def test_day_and_week_open_only_their_folders(spark, events, tmp_path):
+    from starloom.operators.cleaning import latest_window
+
+    times = [f"2018-{m:02d}-{d:02d} 10:00:00" for m in (10, 11, 12) for d in (1, 30)]
+    fact = spark.createDataFrame([(t,) for t in times], "t string").select(
+        F.col("t").cast("timestamp_ntz").alias("start_time"))
+    write_table(plays.partitioned_by_month(fact), str(tmp_path / "f"), ["year", "month"])
+    stored = spark.read.parquet(str(tmp_path / "f"))
+    day = analytics.plays_on_day(stored, 2018, 11, 30)
+    plan = day._jdf.queryExecution().executedPlan().toString()
+    filters = plan.split("PartitionFilters: ")[1].split("]")[0]
+    assert "year" in filters and "month" in filters and day.first().plays == 1
+    week = latest_window(stored, "start_time", "31 days")
+    mode = spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted")
+    plan = week._jdf.queryExecution().explainString(mode)
+    filters = plan.split("PartitionFilters: ")[1].split("\n")[0]
+    assert "year#" in filters and "month#" in filters
+    assert week.count() == 3

@@ -1,4 +1,5 @@
 import json
+import os
 from datetime import datetime
 
 import pytest
@@ -183,3 +184,26 @@ def test_invalid_bytes_are_replaced(spark, tmp_path):
     assert row.name == "a?b"
     row = staging.stage_json(spark, str(tmp_path), STAGE).first()
     assert row.name == "a�b"
+
+
+@pytest.mark.parametrize("mapping", ["auto", "exact", ["$.page", "$.ts"]])
+def test_blank_lines_are_no_lines(spark, mapping):
+    contract = TableContract("c", "page string, ts bigint")
+    text = ['{"page": "a", "ts": 1}', "", "  \t", '{"page": "b"}', "\r", "{cut"]
+    lines = spark.createDataFrame([(x,) for x in text], "value string")
+    staged = staging.stage_lines(lines, contract, mapping=mapping)
+    assert sorted((r.page, r.ts, r._bad) for r in staged.collect() if r.page) == [
+        ("a", 1, False), ("b", None, False)]
+    assert staged.count() == 3 and staged.where("_bad").count() == 1
+
+
+def test_arrival_order_follows_files_and_lines(spark, tmp_path):
+    (tmp_path / "z.json").write_text("".join(json.dumps({"page": f"z{i}"}) + "\n" for i in range(50)))
+    os.utime(tmp_path / "z.json", (1_000_000_000, 1_000_000_000))
+    (tmp_path / "a.json").write_text("".join(json.dumps({"page": f"a{i}"}) + "\n" for i in range(50)))
+    rows = files.scan_json(spark, str(tmp_path), PLAY_LOG, arrival=True)
+    got = [r.page for r in rows.orderBy(files.ARRIVAL).collect()]
+    assert got == [f"z{i}" for i in range(50)] + [f"a{i}" for i in range(50)]
+    staged = staging.stage_json(
+        spark, str(tmp_path), TableContract("c", "page string"), mapping="exact", arrival=True)
+    assert [r.page for r in staged.orderBy(files.ARRIVAL).collect()] == got

@@ -23,27 +23,61 @@ def test_ensure_table_is_idempotent_and_may_drop(spark, path):
     assert tables.ensure_table(spark, CONTRACT, path, drop_first=True).isEmpty()
 
 
+SCHEMA = "k int, day string, v string"
+
+
 def test_append_fact_twice_is_append_once(spark, path):
-    batch = spark.createDataFrame([(1, 5, "late"), (1, 2, "early"), (2, 1, "b")],
-                                  "k int, o int, v string")
-    tables.append_fact(batch, path, ["k"], ["o"])
-    tables.append_fact(batch, path, ["k"], ["o"])
-    assert rows(spark, path) == [(1, 2, "early"), (2, 1, "b")]
-    tables.append_fact(batch.where("k = 2"), path, ["k"], ["o"], drop_first=True)
-    assert rows(spark, path) == [(2, 1, "b")]
-
-
-def test_append_compares_only_touched_partitions(spark, path):
-    schema = "k int, day string, o int"
-    tables.append_fact(spark.createDataFrame([(1, "a", 1), (2, "b", 1)], schema), path,
-                       ["k", "day"], ["o"], ["day"])
-    batch = spark.createDataFrame([(2, "b", 9), (3, "b", 9)], schema)
+    batch = spark.createDataFrame([(1, "a"), (1, "a"), (2, "b")], "k int, v string")
+    tables.append_fact(batch, path, ["k"])
+    tables.append_fact(batch, path, ["k"])
+    assert rows(spark, path) == [(1, "a"), (2, "b")]
+    tables.append_fact(batch.where("k = 2"), path, ["k"], drop_first=True)
+    assert rows(spark, path) == [(2, "b")]
+
+
+def test_different_rows_of_a_key_fail_and_append_nothing(spark, path):
+    good = spark.createDataFrame([(1, "a")], "k int, v string")
+    tables.append_fact(good, path, ["k"])
+    with pytest.raises(tables.KeyConflict, match="1 keys"):
+        tables.append_fact(
+            spark.createDataFrame([(2, "b"), (2, "c"), (3, "d")], "k int, v string"), path, ["k"])
+    with pytest.raises(RuntimeError, match="checked"):
+        def check(batch):
+            raise RuntimeError("checked")
+        tables.append_fact(spark.createDataFrame([(4, "e")], "k int, v string"), path, ["k"], check=check)
+    assert rows(spark, path) == [(1, "a")]
+
+
+@pytest.mark.parametrize("folders", [[], ["day"]])
+def test_rows_without_a_key_are_neither_lost_nor_repeated(spark, path, folders):
+    first = [(1, "a", "x"), (None, "a", "y"), (None, "a", "y"), (None, "a", "z"), (2, None, "w")]
+    second = [(None, "a", "y"), (None, "b", "y"), (3, "b", "v"), (2, None, "w")]
+    for batch in (first, first, second, second):
+        tables.append_fact(spark.createDataFrame(batch, SCHEMA), path, ["k", "day"], folders)
+    got = [tuple(r) for r in spark.read.schema(SCHEMA).parquet(path).select("k", "day", "v").collect()]
+    assert sorted(got, key=str) == sorted([*first, (None, "b", "y"), (3, "b", "v")], key=str)
+
+
+def test_append_reads_only_touched_partitions(spark, path):
+    schema = "k int, y int, m int"
+    old = [(k, 2000 + k // 12, 1 + k % 12) for k in range(36)]
+    tables.append_fact(spark.createDataFrame(old, schema), path, ["k", "y", "m"], ["y", "m"])
+    batch = spark.createDataFrame([(11, 2000, 12), (90, 2001, 1)], schema)
     existing = spark.read.schema(schema).parquet(path)
-    plan = tables._touched(existing, batch, ["day"])._jdf.queryExecution().executedPlan().toString()
-    assert "PartitionFilters: [isnotnull(day" in plan or "day#" in plan.split("PartitionFilters")[1]
-    tables.append_fact(batch, path, ["k", "day"], ["o"], ["day"])
-    got = sorted((r.k, r.day, r.o) for r in spark.read.schema(schema).parquet(path).collect())
-    assert got == [(1, "a", 1), (2, "b", 1), (3, "b", 9)]
+    touched = tables._touched(existing, batch, ["y", "m"])
+    plan = touched._jdf.queryExecution().executedPlan().toString()
+    assert "2000" in plan.split("PartitionFilters")[1] and "DataFilters: []" in plan
+    assert sorted((r.y, r.m) for r in touched.collect()) == [(2000, 12), (2001, 1)]
+    tables.append_fact(batch, path, ["k", "y", "m"], ["y", "m"])
+    assert spark.read.schema(schema).parquet(path).count() == 37
+
+
+def test_an_empty_batch_reads_nothing(spark, path):
+    assert tables._touched(spark.range(3), spark.range(0), ["id"]) is None
+    tables.append_fact(spark.createDataFrame([(1, "a", "x")], SCHEMA), path, ["k"], ["day"])
+    tables.drop_table(spark, path + "/day=a")
+    (spark.range(1).withColumn("broken", F.lit(1)).write.mode("append").parquet(path + "/day=a"))
+    tables.append_fact(spark.createDataFrame([], SCHEMA), path, ["k"], ["day"])
 
 
 def test_load_dimension_replaces_or_adds(spark, path):
@@ -115,12 +149,13 @@ def test_load_targets_releases_the_input(spark, path):
     assert not df.is_cached
 
 
-def test_bucket_table_falls_back_for_a_hot_key(spark, path):
+def test_buckets_stay_for_a_hot_key(spark, path):
     even = spark.range(1000).withColumnRenamed("id", "k")
-    assert layout.bucket_table(even, "t_even", path + "/e", ["k"], ["k"], 8)
     hot = even.withColumn("k", F.when(F.col("k") < 700, F.lit(1)).otherwise(F.col("k")))
-    assert not layout.bucket_table(hot, "t_hot", path + "/h", ["k"], ["k"], 8)
+    assert layout.largest_bucket_share(even, ["k"], 8) < 2 < layout.largest_bucket_share(hot, ["k"], 8)
+    layout.bucket_table(hot, "t_hot", path + "/h", ["k"], ["k"], 8)
     assert spark.table("t_hot").count() == 1000
+    assert "8" in {r.data_type for r in spark.sql("DESCRIBE EXTENDED t_hot").collect() if r.col_name == "Num Buckets"}
 
 
 def test_replicate_checks_the_size(spark):
