@@ -75,12 +75,25 @@ def _remove(spark: SparkSession, path: str) -> None:
     _scratch_paths.discard(path)
 
 
-def clear_scratch(spark: SparkSession) -> None:
-    """Remove every intermediate table of this session; results that read them must be done."""
-    for path in list(_scratch_paths):
+def remove_scratch(spark: SparkSession, paths: set[str]) -> None:
+    """Remove these intermediate tables; results that read them must be done."""
+    for path in paths & _scratch_paths:
         _remove(spark, path)
 
 
+def clear_scratch(spark: SparkSession) -> None:
+    """Remove every intermediate table of this session."""
+    remove_scratch(spark, set(_scratch_paths))
+
+
+@contextmanager
+def scratch_made() -> Iterator[set[str]]:
+    """The paths that are made inside, once it is over."""
+    before, made = set(_scratch_paths), set()
+    yield made
+    made.update(_scratch_paths - before)
+
+
 def stored_bytes(spark: SparkSession, path: str) -> int:
     """Size of the files under a path."""
     target = spark._jvm.org.apache.hadoop.fs.Path(path)

@@ -80,16 +80,23 @@ def test_median_without_a_group(spark):
     assert [tuple(r) for r in rows] == [(2.5,)]
 
 
-def test_scratch_is_removed(spark, tmp_path, monkeypatch):
-    monkeypatch.setattr(session, "_local_scratch", str(tmp_path))
+def test_scratch_is_removed(spark, monkeypatch):
     monkeypatch.setattr(session, "_scratch_paths", set())
+
+    def stored():
+        return [p for p in session._scratch_paths if session.stored_bytes(spark, p)]
+
     with session.kept(spark.range(3), "t") as rows:
-        assert rows.count() == 3 and len(list(tmp_path.iterdir())) == 1
-    assert not list(tmp_path.iterdir())
-    assert keys.dense_key(spark.range(3), ["id"], "n").count() == 3
-    assert list(tmp_path.iterdir())
+        assert rows.count() == 3 and len(stored()) == 1
+    assert not session._scratch_paths
+    with session.scratch_made() as made:
+        assert keys.dense_key(spark.range(3), ["id"], "n").count() == 3
+    assert set(stored()) == made != set()
+    path = next(iter(made))
     session.clear_scratch(spark)
-    assert not list(tmp_path.iterdir())
+    assert not session._scratch_paths
+    with pytest.raises(Exception, match="does not exist"):
+        session.stored_bytes(spark, path)
 
 
 def test_only_a_session_in_one_process_may_use_a_local_folder(monkeypatch):
