@@ -73,6 +73,13 @@ def _bucket(hashes: np.ndarray) -> np.ndarray:
     return (hashes >> np.uint64(64 - BITS)).astype(np.int64)
 
 
+def _distinct(texts: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(row, bucket) of the distinct features of each text, block by block."""
+    for first, _, rows, buckets in features(pa.array(texts, pa.string())):
+        pairs = np.unique((first + rows) << BITS | buckets)
+        yield pairs >> BITS, pairs & ((1 << BITS) - 1)
+
+
 def _sigmoid(x):
     return 0.5 * (1 + np.tanh(x / 2))
 
@@ -124,34 +131,29 @@ def train(texts: list[str], toxic: np.ndarray, odds: float | None = None) -> Mod
     n, positives = len(texts), int(toxic.sum())
     if not 0 < positives < n:
         return none
-    parts = [(first + rows, buckets) for first, _, rows, buckets in features(pa.array(texts, pa.string()))]
-    rows, buckets = (np.concatenate(x) for x in zip(*parts))
     # Near copies most likely share their smallest shingle hash; one of them counts.
     smallest = np.zeros(n, np.uint64)
     for k, h in shingle_sets(pa.array(texts, pa.string())):
         smallest[k] = h[0] if len(h) else 0
     _, kept = np.unique(np.stack([smallest, toxic.astype(np.uint64)]), axis=1, return_index=True)
-    number = np.full(n, -1)
-    number[kept] = np.arange(len(kept))
-    hit = number[rows] >= 0
-    rows, buckets, toxic, n = number[rows[hit]], buckets[hit], toxic[kept], len(kept)
+    texts, toxic, n = [texts[k] for k in kept], toxic[kept], len(kept)
     positives = int(toxic.sum())
-    pairs = np.unique(rows << BITS | buckets)
-    p_rows, p_buckets = pairs >> BITS, pairs & ((1 << BITS) - 1)
-    have = np.bincount(p_buckets, minlength=1 << BITS).astype(float)
-    hits = np.bincount(p_buckets, weights=toxic[p_rows], minlength=1 << BITS)
+    # Counted block by block: the features of the whole sample never meet in memory.
+    have, hits = np.zeros(1 << BITS, np.int32), np.zeros(1 << BITS, np.int32)
+    for rows, buckets in _distinct(texts):
+        np.add.at(have, buckets, 1)
+        np.add.at(hits, buckets[toxic[rows] > 0], 1)
     rate = positives / n
     z = (hits - have * rate) / np.sqrt(np.maximum(have * rate * (1 - rate), 1e-9))
     used = np.flatnonzero((z >= Z) & (hits >= max(SUPPORT, SHARE * positives)) & (hits >= PURITY * have))
     telling = np.zeros(1 << BITS, bool)
     telling[used] = True
-    signs = np.bincount(p_rows, weights=telling[p_buckets], minlength=n)
+    found = [(rows[telling[b]], b[telling[b]]) for rows, b in _distinct(texts)]
+    p_rows, p_buckets = (np.concatenate(x) for x in zip(*found))
+    signs = np.bincount(p_rows, minlength=n)
     cuts = np.quantile(signs[toxic > 0], np.arange(1, GRADES - 1) / (GRADES - 1))
     grades = np.where(toxic > 0, 1 + np.searchsorted(cuts, signs, "left"), 0)
-    column = np.full(1 << BITS, -1, np.int32)
-    column[used] = np.arange(len(used))
-    keep = column[p_buckets] >= 0
-    weights, thresholds = fit_ordinal(p_rows[keep], column[p_buckets[keep]], len(used), grades)
+    weights, thresholds = fit_ordinal(p_rows, np.searchsorted(used, p_buckets), len(used), grades)
     if odds:
         thresholds = thresholds + np.log(positives / (n - positives) / odds)
     return Model(used, weights, thresholds)
