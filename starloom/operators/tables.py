@@ -108,7 +108,7 @@ def _touched(existing: DataFrame, batch: DataFrame, columns: list[str]) -> DataF
 
 def append_fact(
     df: DataFrame, path: str, key: list[str], partition_by: list[str] | tuple[str, ...] = (),
-    drop_first: bool = False, check: Callable[[DataFrame], None] | None = None,
+    drop_first: bool = False, before: Callable[[DataFrame], None] | None = None,
 ) -> None:
     """Append the rows whose key is new, creating the table if needed; safe to run again.
 
@@ -116,20 +116,17 @@ def append_fact(
     nothing is appended: a key must be the key of the fact's rows. Rows with a NULL in the key
     have no key; they are compared as a whole, and of alike ones as many are stored as the batch
     or the table has, whichever has more. Partition columns must follow from the key: then only
-    the partitions between the batch's first and last are read. `check` sees the batch before it
-    is appended and may raise.
+    the partitions between the batch's first and last are read. `before` gets the batch before it
+    is appended: it may refuse it by raising, or load what the batch refers to.
     """
     spark = df.sparkSession
     if drop_first:
         drop_table(spark, path)
     unknown = reduce(Column.__or__, [F.col(c).isNull() for c in key])
     with kept(df, "batch") as batch:
-        rows, loose = batch.where(~unknown).distinct(), batch.where(unknown)
-        repeated = rows.groupBy(*key).count().where("count > 1").count()
-        if repeated:
-            raise KeyConflict(f"{repeated} keys ({', '.join(key)}) have different rows in a batch")
-        if check is not None:
-            check(batch)
+        rows, loose = _one_per_key(batch.where(~unknown), key), batch.where(unknown)
+        if before is not None:
+            before(batch)
         if exists(spark, path):
             existing = spark.read.schema(df.schema).parquet(path)
             if partition_by:
@@ -141,7 +138,27 @@ def append_fact(
             rows = rows.join(existing.where(~unknown).select(*key), key, "left_anti")
             loose = loose.exceptAll(existing.where(unknown).select(*df.columns))
         new = rows.select(*df.columns).unionByName(loose)
-        write_table(new, path, partition_by, mode="append")
+        try:
+            write_table(new, path, partition_by, mode="append")
+        except Exception as error:
+            if CONFLICT in str(error):
+                raise KeyConflict(f"a key ({', '.join(key)}) has different rows in a batch") from error
+            raise
+
+
+CONFLICT = "different rows of one key"
+
+
+def _one_per_key(rows: DataFrame, key: list[str]) -> DataFrame:
+    """The row of each key; rows of one key that differ fail the job that reads the result."""
+    values = [c for c in rows.columns if c not in key]
+    if not values:
+        return rows.distinct()
+    row = F.struct(*values)
+    both = rows.groupBy(*key).agg(F.min(row).alias("_least"), F.max(row).alias("_greatest"))
+    stop = F.raise_error(F.lit(CONFLICT)).cast("boolean")
+    alike = F.col("_least").eqNullSafe(F.col("_greatest"))
+    return both.where(F.when(alike, True).otherwise(stop)).select(*key, "_least.*")
 
 
 def load_dimension(

@@ -77,14 +77,14 @@ def run_hourly(
     def to_fact(events: DataFrame) -> DataFrame:
         return partitioned_by_month(build_songplays(plays_of(events), catalog, dims, preset))
 
-    def check(batch: DataFrame) -> None:
+    def before(batch: DataFrame) -> None:
         assert_quality(row_checks(batch, contracts["songplays"]))
         append_times(batch, paths["times"], preset)
 
     run_incremental(
         spark, log_path, PLAY_LOG, paths["songplays"], f"{out}/_checkpoint",
         key=["songplay_id", "year", "month"], transform=to_fact, partition_by=["year", "month"],
-        collect=users_of, check=check, stage=stage if staged else None,
+        collect=users_of, before=before, stage=stage if staged else None,
         refresh=lambda users: merge_table(
             users, paths["users"], ["user_id"], USER_ORDER, keep_order=True),
         fmt="text" if staged else "json", files_per_batch=files_per_batch,

@@ -54,7 +54,7 @@ def run_incremental(
     partition_by: list[str] | tuple[str, ...] = (),
     refresh: Callable[[DataFrame], None] | None = None,
     collect: Callable[[DataFrame], DataFrame] | None = None,
-    check: Callable[[DataFrame], None] | None = None,
+    before: Callable[[DataFrame], None] | None = None,
     stage: Callable[[DataFrame], DataFrame] | None = None,
     fmt: str = "json",
     files_per_batch: int | None = None,
@@ -64,15 +64,15 @@ def run_incremental(
     `stage` turns the raw batch into rows. `collect` takes what the refresh needs from a batch,
     e.g. the newest row of each key; it is stored under the number of the batch, so that a
     repeated batch replaces its own rows. After the last batch `refresh` gets all of them at
-    once. A run that stops before leaves them to the next run. `check` sees the fact rows of a
-    batch before they are appended.
+    once. A run that stops before leaves them to the next run. `before` gets the fact rows of a
+    batch before they are appended and may raise.
     """
     pending = f"{checkpoint.rstrip('/')}-pending"
 
     def on_batch(batch: DataFrame, number: int) -> None:
         with kept(stage(batch) if stage else batch, "micro-batch") as rows:
             append_fact(
-                transform(rows) if transform else rows, fact, key, partition_by, check=check)
+                transform(rows) if transform else rows, fact, key, partition_by, before=before)
             if refresh is not None:
                 taken = collect(rows) if collect else rows
                 taken.write.mode("overwrite").parquet(f"{pending}/batch={number}")

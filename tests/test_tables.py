@@ -38,13 +38,13 @@ def test_append_fact_twice_is_append_once(spark, path):
 def test_different_rows_of_a_key_fail_and_append_nothing(spark, path):
     good = spark.createDataFrame([(1, "a")], "k int, v string")
     tables.append_fact(good, path, ["k"])
-    with pytest.raises(tables.KeyConflict, match="1 keys"):
+    with pytest.raises(tables.KeyConflict, match="different rows"):
         tables.append_fact(
             spark.createDataFrame([(2, "b"), (2, "c"), (3, "d")], "k int, v string"), path, ["k"])
     with pytest.raises(RuntimeError, match="checked"):
-        def check(batch):
+        def refuse(batch):
             raise RuntimeError("checked")
-        tables.append_fact(spark.createDataFrame([(4, "e")], "k int, v string"), path, ["k"], check=check)
+        tables.append_fact(spark.createDataFrame([(4, "e")], "k int, v string"), path, ["k"], before=refuse)
     assert rows(spark, path) == [(1, "a")]
 
 
