@@ -14,6 +14,8 @@ go for another reason. An empty table gives an empty result at every stage.
 
 from __future__ import annotations
 
+from functools import wraps
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from starloom.llm.decontaminate import clean
@@ -22,34 +24,54 @@ from starloom.llm.mixing import training_set
 from starloom.llm.ngram_join import one_per_component
 from starloom.llm.registry import prepare, table
 from starloom.llm.surrogates import replaced
-from starloom.session import written
+from starloom.session import remove_scratch, scratch_made, scratch_path
+
+_earlier: set[str] = set()
+
+
+def staged(stage):
+    """A stage that first removes what the stage before it left in the shared folder.
+
+    Its documents are the written result of that stage, so nothing reads that any more.
+    """
+    @wraps(stage)
+    def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        prepare(spark)
+        remove_scratch(spark, _earlier)
+        with scratch_made() as made:
+            result = stage(spark, docs, sf_dir)
+        _earlier.clear()
+        _earlier.update(made)
+        return result
+
+    return run_stage
 
 
+@staged
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    prepare(spark)
     model = fit(docs.where(~held_out(F.col("doc_id"))).select("text", "lang"))
     return keep_known(docs, model)
 
 
+@staged
 def copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    prepare(spark)
     return one_per_component(docs)
 
 
+@staged
 def benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    prepare(spark)
     return clean(docs, table(spark, sf_dir, "benchmark"))
 
 
+@staged
 def personal(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    prepare(spark)
     done = replaced(docs)
     size = F.when(F.col("n_entities") > 0, F.length("text").cast("bigint")).otherwise(F.col("n_chars"))
     return done.withColumn("n_chars", size).select(*docs.columns)
 
 
+@staged
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    prepare(spark)
     return training_set(docs)
 
 
@@ -68,5 +90,7 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES:
-        docs = written(stage(spark, docs, sf_dir), name)
+        path = scratch_path(spark, name)
+        stage(spark, docs, sf_dir).write.parquet(path)
+        docs = spark.read.parquet(path)
     return docs

@@ -118,9 +118,19 @@ def placed(
     `carry` names columns to take along.
     """
     carry = carry or []
+    return _placed(
+        docs.select("doc_id", "source", word_count(F.col("text")).alias("size"), *carry), carry,
+        weights, schedules, share, limit, seed)
+
+
+def _placed(
+    sized: DataFrame, carry: list[str], weights=WEIGHTS, schedules=SCHEDULES, share: float = SHARE,
+    limit: float = LIMIT, seed: str = "mix",
+) -> DataFrame:
+    """`placed`, from (doc_id, source, size) and the columns in `carry`."""
     key = F.md5(F.concat_ws(":", F.lit(seed), F.coalesce(F.col("doc_id").cast("string"), F.lit("-"))))
-    sized = docs.select("doc_id", "source", word_count(F.col("text")).alias("size"), key.alias("key"), *carry)
-    sized = written(sized.withColumn("slice", F.substring("key", 1, SLICE_DIGITS)), "sized")
+    keyed = sized.withColumn("key", key).withColumn("slice", F.substring("key", 1, SLICE_DIGITS))
+    sized = written(keyed, "sized")
     goal = targets(sized, weights, share, limit)
     slices = sized.groupBy("source", "slice").agg(F.sum("size").alias("words"))
     earlier = Window.partitionBy("source").orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
@@ -171,14 +181,16 @@ def training_set(docs: DataFrame, **options) -> DataFrame:
     Rows with the same doc_id and text are one document here; of their other columns, the
     smallest values stay.
     """
-    rest = [c for c in docs.columns if c != "doc_id"]
-    keyed = docs.withColumn("_text", F.xxhash64("text"))
-    once = keyed.groupBy("doc_id", "_text").agg(F.min(F.struct(*rest)).alias("_row"))
-    once = once.select("doc_id", "_text", "_row.*")
-    plan = placed(once, carry=["_text"], **options)
-    plan = plan.select("doc_id", "_text", F.explode("passes").alias("_p"))
-    plan = plan.select("doc_id", "_text", "_p.pass", "_p.words", "_p.position")
-    a, b = once.alias("a"), plan.alias("b")
-    same = F.col("a.doc_id").eqNullSafe(F.col("b.doc_id")) & (F.col("a._text") == F.col("b._text"))
-    kept = [F.col(f"a.{c}") for c in docs.columns if c not in ("pass", "words", "position")]
-    return by_position(a.join(b, same).select(*kept, "b.pass", "b.words", "b.position"))
+    keyed = docs.withColumn("_key", F.xxhash64("doc_id", "text"))
+    rest = [c for c in docs.columns if c not in ("doc_id", "text")]
+    once = keyed.groupBy("_key").agg(
+        F.first(F.struct("doc_id", "text")).alias("_a"), F.min(F.struct(*rest)).alias("_b"))
+    # The plan is made from the sizes alone; the texts are shuffled to meet it, and once more
+    # into training order.
+    sized = keyed.withColumn("_size", word_count(F.col("text"))).groupBy("_key").agg(
+        F.first("doc_id").alias("doc_id"), F.min(F.struct(*rest)).alias("_b"), F.first("_size").alias("size"))
+    plan = _placed(sized.select("_key", "doc_id", "_b.source", "size"), ["_key"], **options)
+    plan = plan.select("_key", F.explode("passes").alias("_p")).select("_key", "_p.pass", "_p.words", "_p.position")
+    kept = [F.col(f"_a.{c}") if c in ("doc_id", "text") else F.col(f"_b.{c}")
+            for c in docs.columns if c not in ("pass", "words", "position")]
+    return by_position(once.join(plan, "_key").select(*kept, "pass", "words", "position"))
