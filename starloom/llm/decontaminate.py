@@ -28,7 +28,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from starloom.llm.filters import bucket_of, key_filter, without
+from starloom.llm.filters import in_filter, key_filter, without
 from starloom.llm.shingles import _STEP, BLOCK, _pieces, blocks, mixed
 from starloom.llm.tokens import FIRST, INSIDE, NUMBER, tokens
 from starloom.session import written
@@ -131,8 +131,7 @@ def _evidence(rows: DataFrame, held: np.ndarray | None = None) -> DataFrame:
         for batch in batches:
             for row, place, window, slots in windows(batch.column(2)):
                 if shared is not None:
-                    at = bucket_of(window.view(np.int64), FILTER_BITS)
-                    hit = ((shared.value[at >> 3] >> (7 - (at & 7)).astype(np.uint8)) & 1).astype(bool)
+                    hit = in_filter(shared.value, window.view(np.int64), FILTER_BITS)
                     row, place, window, slots = row[hit], place[hit], window[hit], slots[hit]
                 if len(row):
                     at = pa.array(row)

@@ -22,7 +22,7 @@ DROP_BITS = 23
 
 
 def _chunks(total: np.ndarray) -> Iterator[pa.RecordBatch]:
-    parts = total.reshape(-1, CHUNK)
+    parts = total.reshape(-1, min(CHUNK, len(total)))
     at = np.flatnonzero(parts.any(axis=1))
     if len(at):
         yield pa.RecordBatch.from_arrays(
@@ -31,24 +31,14 @@ def _chunks(total: np.ndarray) -> Iterator[pa.RecordBatch]:
         )
 
 
-def bucket_counts(
-    rows: DataFrame, buckets: Callable[[pa.RecordBatch], Iterator[np.ndarray]], bits: int
-) -> np.ndarray:
-    """How many of the numbers that `buckets` gives for the batches fall on each of 2^bits."""
-
-    def count(batches):
-        total = np.zeros(1 << bits, np.uint32)
-        for batch in batches:
-            for at in buckets(batch):
-                total += np.bincount(at, minlength=1 << bits).astype(np.uint32)
-        yield from _chunks(total)
-
+def _combined(tables: DataFrame, combine, kind, size: int) -> np.ndarray:
+    """The chunks of all tasks combined, first in tasks and then as one array on the driver."""
     def add(batches):
         total: dict[int, np.ndarray] = {}
         for batch in batches:
             for chunk, counts in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                part = np.frombuffer(counts, np.uint32)
-                total[chunk] = total[chunk] + part if chunk in total else part
+                part = np.frombuffer(counts, kind)
+                total[chunk] = combine(total[chunk], part) if chunk in total else part
         if total:
             yield pa.RecordBatch.from_arrays(
                 [pa.array(list(total), pa.int32()),
@@ -56,24 +46,46 @@ def bucket_counts(
                 ["chunk", "counts"],
             )
 
-    parts = rows.mapInArrow(count, SCHEMA).repartition("chunk").mapInArrow(add, SCHEMA)
-    out = np.zeros((1 << bits) // CHUNK * CHUNK, np.uint32).reshape(-1, CHUNK)
-    for chunk, counts in parts.toLocalIterator():
-        out[chunk] += np.frombuffer(counts, np.uint32)
+    out = np.zeros(size, kind).reshape(-1, min(CHUNK, size))
+    for chunk, counts in tables.repartition("chunk").mapInArrow(add, SCHEMA).toLocalIterator():
+        out[chunk] = np.frombuffer(counts, kind)
     return out.ravel()
 
 
+def bucket_counts(
+    rows: DataFrame, buckets: Callable[[pa.RecordBatch], Iterator[np.ndarray]], bits: int
+) -> np.ndarray:
+    """How many of the numbers that `buckets` gives for the batches fall on each of 2^bits."""
+
+    def count(batches):
+        total = np.zeros(1 << bits, np.uint32)
+        for batch in batches:
+            for at in buckets(batch):
+                total += np.bincount(at, minlength=1 << bits).astype(np.uint32)
+        yield from _chunks(total)
+
+    return _combined(rows.mapInArrow(count, SCHEMA), np.add, np.uint32, 1 << bits)
+
+
 def bucket_of(keys: np.ndarray, bits: int) -> np.ndarray:
     return (mixed(keys.astype(np.int64).view(np.uint64)) >> np.uint64(64 - bits)).astype(np.int64)
 
 
 def key_filter(keys: DataFrame, bits: int = DROP_BITS) -> np.ndarray:
-    """Which buckets hold a key of this one-column table of longs."""
+    """Which buckets hold a key of this one-column table of longs: one bit each."""
+
+    def mark(batches):
+        held = np.zeros(1 << bits, bool)
+        for batch in batches:
+            held[bucket_of(pc.drop_null(batch.column(0)).to_numpy(zero_copy_only=False), bits)] = True
+        yield from _chunks(np.packbits(held))
+
+    return _combined(keys.mapInArrow(mark, SCHEMA), np.bitwise_or, np.uint8, 1 << bits - 3)
 
-    def buckets(batch):
-        yield bucket_of(pc.drop_null(batch.column(0)).to_numpy(zero_copy_only=False), bits)
 
-    return np.packbits(bucket_counts(keys, buckets, bits) > 0)
+def in_filter(held: np.ndarray, keys: np.ndarray, bits: int = DROP_BITS) -> np.ndarray:
+    at = bucket_of(keys, bits)
+    return ((held[at >> 3] >> (7 - (at & 7)).astype(np.uint8)) & 1).astype(bool)
 
 
 def split_by_filter(rows: DataFrame, key: str, held: np.ndarray, bits: int = DROP_BITS):
@@ -84,9 +96,8 @@ def split_by_filter(rows: DataFrame, key: str, held: np.ndarray, bits: int = DRO
         def choose(batches):
             for batch in batches:
                 keys = batch.column(batch.schema.get_field_index(key))
-                at = bucket_of(pc.fill_null(keys, 0).to_numpy(zero_copy_only=False), bits)
-                hit = (shared.value[at >> 3] >> (7 - (at & 7)).astype(np.uint8)) & 1
-                hit = hit.astype(bool) & pc.is_valid(keys).to_numpy(zero_copy_only=False)
+                numbers = pc.fill_null(keys, 0).to_numpy(zero_copy_only=False)
+                hit = in_filter(shared.value, numbers, bits) & pc.is_valid(keys).to_numpy(zero_copy_only=False)
                 yield batch.filter(pa.array(hit if wanted else ~hit))
 
         return rows.mapInArrow(choose, rows.schema)
