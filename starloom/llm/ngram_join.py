@@ -262,6 +262,9 @@ def dealt(lists: DataFrame, limit: int = LIST) -> DataFrame:
     """
     long = lists.groupBy("token").count().where(F.col("count") > limit)
     long = long.select("token", F.ceil(F.col("count") / limit).cast("int").alias("blocks"))
+    long = written(long, "long")
+    if not long.limit(1).count():
+        return lists.withColumns({"block": F.lit(0), "part": F.lit(-1)})
     rows = lists.join(long, "token", "left")
     rows = rows.withColumn("block", F.pmod(F.xxhash64("class"), F.coalesce("blocks", F.lit(1))).cast("int"))
     low = F.least(F.col("block"), F.col("other")) * F.col("blocks") + F.greatest("block", "other")
@@ -301,11 +304,20 @@ def linked(docs: DataFrame, width: int = WIDTH, limit: int = LIST) -> DataFrame:
     groups = dealt(named, limit).select("token", "part", "n", "class", "at", "component", "block")
     groups = groups.repartition("token", "part").sortWithinPartitions("token", "part", "n", "class")
     with arrow_rows(docs.sparkSession, LIGHT_ROWS):
-        pairs = written(groups.mapInArrow(pair_up, "a bigint, b bigint").distinct(), "met")
-    pairs = written(pairs.join(first.select("a", "b"), ["a", "b"], "left_anti"), "pairs")
+        met = groups.mapInArrow(pair_up, "a bigint, b bigint").distinct()
+        pairs = written(met.join(first.select("a", "b"), ["a", "b"], "left_anti"), "pairs")
     second = checked(docs, classes, pairs, width)
-    edges = first.where("linked").unionByName(second.where("linked"))
-    roots = components(edges)
+    # The second links join components of the first.
+    left = second.where("linked").select("a", "b")
+    for end in ("a", "b"):
+        known = roots.select(F.col("node").alias(end), "root")
+        left = left.join(known, end, "left").withColumn(end, F.coalesce("root", end)).drop("root")
+    joined = components(left)
+    roots = roots.unionByName(
+        joined.select("node", F.col("node").alias("root"))
+        .join(roots.select("node"), "node", "left_anti"))
+    roots = roots.join(joined.select(F.col("node").alias("root"), F.col("root").alias("to")), "root", "left")
+    roots = roots.select("node", F.coalesce("to", "root").alias("root"))
     whole = classes.join(roots.select(F.col("node").alias("class"), "root"), "class", "left")
     whole = written(whole.withColumn("root", F.coalesce("root", "class")), "whole")
     names = whole.groupBy("root").agg(F.min("smallest").alias("component_id"))
