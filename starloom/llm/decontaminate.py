@@ -8,16 +8,19 @@ A text becomes a template: words in lower case, and typed placeholders for its s
   Neighbouring names are one slot. (What a word is must not depend on the rest of the text, or a
   passage would read differently inside a document.)
 
-Windows of five template tokens with three words or more are evidence. The windows of the items
+Windows of five template tokens are evidence. Those with fewer than three words count with the
+values of their slots, so they are met by exact copies only (their hashes are odd, the others
+even). The first word of an item is read both as a word and as a name, as it may stand inside a
+sentence of a document. The windows of the items
 set bits in a table of fixed size, which lets the tasks that read the documents pass on only
 windows that may match; these are joined on their hash. Matches of a document and an item that
 keep the same distance lie on one diagonal, and a diagonal counts if its slots are consistent:
 equal values in the item have equal values in the document. A document repeats an item if
-the diagonals that count cover COVER of the item's windows.
+the diagonals that count cover COVER of the item's windows, or of its windows with three words.
 
 Defined cases: null texts and texts without tokens have no windows. Fewer than five tokens: the
-whole text is the one window, and it needs as many words as it has tokens up to three. An item
-without such a window is never matched. Rows that repeat an item_id are alternatives of it; the
+whole text is the one window, exact unless it has as many words as tokens up to three; such an
+item is found as a whole text, not inside a longer one. Rows that repeat an item_id are alternatives of it; the
 best covered counts. Rows with equal doc_id and text give one result; a null doc_id is kept as
 null. Extra columns are ignored by `repeats` and kept by `clean`.
 """
@@ -26,7 +29,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from starloom.llm.filters import in_filter, key_filter, without
 from starloom.llm.shingles import _STEP, BLOCK, _pieces, blocks, mixed
@@ -83,8 +86,20 @@ def template(text: np.ndarray, hashes: np.ndarray, kind: np.ndarray):
     return text[keep], token, value
 
 
-def windows(texts: pa.Array):
-    """(row, place, hash, slot values by place in the window) of the evidence of each text."""
+def _names_first(text: np.ndarray, kind: np.ndarray) -> np.ndarray:
+    """Kinds in which the first token of each text is as inside a sentence."""
+    first = np.ones(len(text), bool)
+    first[1:] = text[1:] != text[:-1]
+    return np.where(first & (kind == FIRST), INSIDE, kind)
+
+
+def windows(texts: pa.Array, inside: bool = False):
+    """(row, place, hash, slot values by place in the window) of the evidence of each text.
+
+    Exact windows have odd hashes and no slots. `inside`: texts are read as if they began inside
+    a sentence.
+    """
+    one = np.uint64(1)
     for first, last, offsets, raw in blocks(texts):
         if last == first + 1 and len(raw) > BLOCK:
             parts, fresh = [], True
@@ -98,38 +113,56 @@ def windows(texts: pa.Array):
             t = tokens(raw, offsets[:-1])
             hashes, kind = t.hashes, t.kinds
             text = np.searchsorted(offsets, t.starts, "right") - 1
+        if inside:
+            kind = _names_first(text, kind)
         text, token, value = template(text, hashes, kind)
+        own = np.where(value == 0, token, mixed(token ^ value))
         begin = np.searchsorted(text, np.arange(last - first + 1))
         size = np.diff(begin)
         if len(token) >= WIDTH:
             h = np.zeros(len(token) - WIDTH + 1, np.uint64)
-            words = np.zeros(len(h), np.int64)
+            as_is, words = np.zeros_like(h), np.zeros(len(h), np.int64)
             for k in range(WIDTH):
                 h += token[k:len(h) + k] * _STEP[k]
+                as_is += own[k:len(h) + k] * _STEP[k]
                 words += value[k:len(h) + k] == 0
-            at = np.flatnonzero((text[: len(h)] == text[WIDTH - 1:]) & (words >= WORDS))
-            slots = np.stack([value[at + k] for k in range(WIDTH)], axis=1) if len(at) else None
+            at = np.flatnonzero(text[: len(h)] == text[WIDTH - 1:])
             if len(at):
-                yield first + text[at], at - begin[text[at]], mixed(h[at] + np.uint64(WIDTH)), slots
+                exact = words[at] < WORDS
+                slots = np.stack([value[at + k] for k in range(WIDTH)], axis=1)
+                slots[exact] = 0
+                found = mixed(np.where(exact, as_is[at], h[at]) + np.uint64(WIDTH))
+                yield first + text[at], at - begin[text[at]], np.where(exact, found | one, found & ~one), slots
         for row in np.flatnonzero((size > 0) & (size < WIDTH)):
             t, v = token[begin[row]:begin[row + 1]], value[begin[row]:begin[row + 1]]
-            if (v == 0).sum() >= min(WORDS, len(v)):
-                h = np.uint64(len(t)) + (t * _STEP[:len(t)]).sum(dtype=np.uint64)
-                slots = np.zeros((1, WIDTH), np.uint64)
+            exact = (v == 0).sum() < min(WORDS, len(v))
+            t = own[begin[row]:begin[row + 1]] if exact else t
+            h = np.uint64(len(t)) + (t * _STEP[:len(t)]).sum(dtype=np.uint64)
+            slots = np.zeros((1, WIDTH), np.uint64)
+            if not exact:
                 slots[0, :len(v)] = v
-                yield np.array([first + row]), np.zeros(1, np.int64), mixed(np.array([h])), slots
+            found = mixed(np.array([h]))
+            yield np.array([first + row]), np.zeros(1, np.int64), found | one if exact else found & ~one, slots
 
 
 SCHEMA = "row bigint, key bigint, place int, window bigint, slots array<bigint>"
 
 
 def _evidence(rows: DataFrame, held: np.ndarray | None = None) -> DataFrame:
-    """Windows of (row, key, text); only those that the filter may hold."""
+    """Windows of (row, key, text); only those that the filter may hold. Without a filter, also
+    the first window of the other reading of the first token."""
     shared = None if held is None else rows.sparkSession.sparkContext.broadcast(held)
 
+    def read(texts):
+        yield from windows(texts)
+        if shared is None:
+            for found in windows(texts, inside=True):
+                at = found[1] == 0
+                yield tuple(x[at] for x in found)
+
     def find(batches):
         for batch in batches:
-            for row, place, window, slots in windows(batch.column(2)):
+            for row, place, window, slots in read(batch.column(2)):
                 if shared is not None:
                     hit = in_filter(shared.value, window.view(np.int64), FILTER_BITS)
                     row, place, window, slots = row[hit], place[hit], window[hit], slots[hit]
@@ -153,33 +186,42 @@ def repeats(docs: DataFrame, items: DataFrame, cover: float = COVER) -> DataFram
     """
     key = F.xxhash64(F.coalesce("text", F.lit(""))).alias("key")
     bench = _evidence(items.select(F.col("item_id").cast("bigint").alias("row"), key, "text"))
-    bench = written(bench.distinct(), "evidence")
+    # A place is exact if its window is in the item's own reading, which has the most words.
+    place = Window.partitionBy("row", "key", "place")
+    bench = bench.distinct().withColumn("exact", F.min(F.col("window").bitwiseAND(F.lit(1))).over(place))
+    bench = written(bench, "evidence")
     held = key_filter(bench.select("window"), FILTER_BITS)
     hits = _evidence(docs.select(F.col("doc_id").cast("bigint").alias("row"), key, "text"), held)
     hits = hits.select(
         F.col("row").alias("doc_id"), F.col("key").alias("text_key"), "place", "window", "slots")
     ours = bench.select(F.col("row").alias("item_id"), F.col("key").alias("item_key"),
-                        F.col("place").alias("at"), "window", F.col("slots").alias("was"))
+                        F.col("place").alias("at"), "window", F.col("slots").alias("was"), "exact")
     slot = F.filter(F.arrays_zip("was", "slots"), lambda s: s["was"] != 0)
     met = hits.join(ours, "window").select(
         "doc_id", "text_key", "item_id", "item_key", (F.col("place") - F.col("at")).alias("diagonal"),
-        "at", slot.alias("slot"),
+        "at", "exact", slot.alias("slot"),
     )
     keys = ["doc_id", "text_key", "item_id", "item_key"]
     # At most the windows of one item meet in a group.
     lines = met.groupBy(*keys, "diagonal").agg(
-        F.collect_set("at").alias("at"), F.array_distinct(F.flatten(F.collect_set("slot"))).alias("slot"))
+        F.collect_set(F.struct("at", "exact")).alias("at"), F.array_distinct(F.flatten(F.collect_set("slot"))).alias("slot"))
     values = F.size(F.array_distinct(F.transform("slot", lambda s: s["was"])))
     changed = F.size(F.filter("slot", lambda s: s["was"] != s["slots"]))
     lines = lines.where(values == F.size("slot")).withColumn("changed", changed)
     # A line that repeats covers the same windows: sets of places, at most as large as the item.
     found = lines.select(*keys, F.explode("at").alias("at"), "changed").groupBy(*keys, "at").agg(
         F.min("changed").alias("changed"))
+    templates = F.count_if(F.col("at.exact") == 0)
     found = found.groupBy(*keys).agg(
-        F.count("*").alias("covered"), F.max("changed").cast("bigint").alias("changed_slots"))
-    sizes = bench.select(F.col("row").alias("item_id"), F.col("key").alias("item_key"), "place").distinct()
-    sizes = sizes.groupBy("item_id", "item_key").agg(F.count("*").alias("windows"))
+        F.count("*").alias("covered"), templates.alias("covered_templates"), F.max("changed").cast("bigint").alias("changed_slots"))
+    sizes = bench.select(F.col("row").alias("item_id"), F.col("key").alias("item_key"), "place", "exact").distinct()
+    sizes = sizes.groupBy("item_id", "item_key").agg(
+        F.count("*").alias("windows"), F.count_if(F.col("exact") == 0).alias("templates"))
+    ways = F.array(F.struct("windows", "covered"), F.struct(
+        F.col("templates").alias("windows"), F.col("covered_templates").alias("covered")))
     both = found.join(sizes, ["item_id", "item_key"]).withColumn(
+        "way", F.explode(F.filter(ways, lambda w: w["windows"] > 0))).select(*keys, "way.*", "changed_slots")
+    both = both.withColumn(
         "coverage", F.col("covered") / F.col("windows")).where(F.col("coverage") >= F.lit(cover))
     best = F.max(F.struct("coverage", "windows", "covered", -F.col("changed_slots"))).alias("b")
     return both.groupBy("doc_id", "text_key", "item_id").agg(best).select(

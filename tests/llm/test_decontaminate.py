@@ -57,6 +57,23 @@ def test_short_items_match_whole_texts_only(spark):
     assert [r.doc_id for r in found.collect()] == [0]
 
 
+def test_items_of_slots_are_found_as_exact_copies(spark):
+    items = ["Compute 12, 7, 3 and 45 plus 9", "3 1 4 1 5 9 2 6", "7 8"]
+    texts = [FILL + items[0] + ". " + FILL, FILL + items[1] + " " + FILL, "7 8", FILL,
+             FILL + items[0].replace("12", "13").replace("45", "44"), FILL + "3 1 4 2 5 9 2 7", "7 9"]
+    found = repeats(docs_of(spark, texts), items_of(spark, items)).collect()
+    assert sorted((r.doc_id, r.item_id) for r in found) == [(0, 0), (1, 1), (2, 2)]
+    assert all(r.coverage == 1 and r.changed_slots == 0 for r in found)
+
+
+def test_first_word_of_an_item_inside_a_sentence(spark):
+    item = "What is the capital of that"
+    texts = [f"some 12) {item}", f'and he said, "{item}"', FILL + item, FILL, "others ask the capital of that"]
+    found = repeats(docs_of(spark, texts), items_of(spark, [item])).collect()
+    assert sorted(r.doc_id for r in found) == [0, 1, 2]
+    assert all(r.covered == r.windows == 2 for r in found)
+
+
 def test_pieces_of_long_texts_read_alike(monkeypatch):
     text = (FILL + CHANGED + "\n" + "É" * 9 + " Ünd Ört. ") * 40
 
