@@ -1,7 +1,8 @@
 """Threshold-scaled sketches of documents.
 
 The sketch of a text is every hash of a five-word shingle below a fixed fraction of all hashes.
-If none is below, it is the smallest one. So a text of any length has a sketch in proportion to
+Half of all hashes are below, so that short texts have some, too. If none is below, it is the
+smallest one. So a text of any length has a sketch in proportion to
 it, and texts of very unequal lengths can be compared: of the shingles of a text, its sketch is
 a sample that another text's sketch either holds or not.
 
@@ -10,7 +11,8 @@ both below the threshold or, if there are none, the smallest.
 
 Words are separated by blanks and the control characters 9 to 13, in lower case. Fewer than five
 words are one shingle. Defined cases: null is the empty text; a text without words has an empty
-sketch, which is like another empty one (1) and like no other (0).
+sketch, which is like another empty one (1) and like no other (0). The containment of a text
+without a hash below the threshold is unknown (null): a longer text drops the one that it keeps.
 """
 
 from __future__ import annotations
@@ -20,7 +22,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from starloom.operators.keys import dense_key
 from starloom.session import written
 
-SCALE, WIDTH = 16, 5
+SCALE, WIDTH = 2, 5
 THRESHOLD = -(1 << 63) + (1 << 64) // SCALE
 
 
@@ -59,9 +61,10 @@ def merged(a: Column, b: Column) -> Column:
 
 
 def containment(part: Column, whole: Column) -> Column:
-    """Estimated share of the shingles of `part` that `whole` has."""
+    """Estimated share of the shingles of `part` that `whole` has; null if `part` has no sample."""
     common = F.size(F.array_intersect(part, whole))
-    return F.when(F.size(part) == 0, (F.size(whole) == 0).cast("double")).otherwise(common / F.size(part))
+    return F.when(F.size(part) == 0, (F.size(whole) == 0).cast("double")).when(
+        F.array_min(part) < F.lit(THRESHOLD), common / F.size(part))
 
 
 def likeness(a: Column, b: Column) -> Column:
@@ -105,16 +108,16 @@ def edited_fingerprints(docs: DataFrame) -> DataFrame:
     In the edited text, the last half of the code points (rounded down) is replaced by the first
     as many (or all) of the next document in order of descending doc_id.
 
-    The texts are shuffled once. Each then sends the front of itself, which the document before
-    it needs, to that document.
+    The texts are shuffled once. Each then sends the front of itself and its sketch, which the
+    document before it needs, to that document.
     """
     rows = docs.select(F.col("doc_id").cast("bigint"), F.coalesce("text", F.lit("")).alias("text"))
     rows = rows.withColumn("key", F.xxhash64("doc_id", "text"))
     order = written(next_rows(rows), "order")
-    sketched = with_sketch(rows)
-    # One struct, so that both uses need the same columns and share one shuffle.
-    once = sketched.groupBy("key").agg(F.first(F.struct("doc_id", "text", "sketch")).alias("row"))
-    own = once.join(order, "key").select("*", "row.*").drop("row")
+    # One struct, so that both uses need the same columns and share one shuffle. Sketches are made
+    # after it, as they are about as large as the texts.
+    once = rows.groupBy("key").agg(F.first(F.struct("doc_id", "text")).alias("row"))
+    own = with_sketch(once.join(order, "key").select("*", "row.*").drop("row"))
     half = F.floor(F.col("next_of_n") / 2).cast("int")
     sent = own.select(
         F.col("next_of").alias("key"), F.substr(F.col("text"), F.lit(1), half).alias("front"),

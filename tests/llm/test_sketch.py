@@ -83,6 +83,20 @@ def test_odd_rows(spark):
     assert edited_fingerprints(docs.limit(0)).collect() == []
 
 
+def test_short_parts_of_a_long_text(spark):
+    words = [f"w{k * k % 977}x{k}" for k in range(3000)]
+    parts = [" ".join(words[60 * k:60 * k + 5 + k]) for k in range(46)]
+    rows = spark.createDataFrame([(k, t, " ".join(words)) for k, t in enumerate(parts)], "id int, text string, whole string")
+    both = with_sketch(with_sketch(rows), "whole", "long")
+    got = {r.id: r["in"] for r in both.select("id", containment("sketch", "long").alias("in")).collect()}
+    for k, t in enumerate(parts):
+        assert got[k] == (1.0 if plain_sketch(t)[0] < THRESHOLD else None)
+    assert all(got[k] == 1.0 for k in range(12, 46)) and sum(x is None for x in got.values()) <= 4
+    above = spark.createDataFrame([([THRESHOLD + 7], [THRESHOLD - 9])], "a array<bigint>, b array<bigint>")
+    r = above.select(containment("a", "b").alias("up"), containment("b", "a").alias("down")).first()
+    assert r.up is None and r.down == 0.0
+
+
 def test_merging_and_containment(spark):
     whole = " ".join(f"w{k * k % 977}" for k in range(3000))
     part = " ".join(whole.split()[500:900])
