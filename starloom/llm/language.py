@@ -7,8 +7,10 @@ only; the tables of two neighbouring places are joined for prediction. Training
 on windows of a bounded sample of labelled texts. Prediction covers all windows of a text; a
 text's probabilities are the mean of its windows'.
 
-The sample: the documents of lowest keyed hash, about PER_LANGUAGE of each language, and of each
-WINDOWS windows at keyed places. It is the only thing that comes to the driver.
+The sample: the distinct texts of lowest keyed hash, PER_LANGUAGE of each language, and of each
+WINDOWS windows at keyed places. Copies of a text in a language are one. With more than LANGUAGES
+languages, each has fewer texts (SAMPLE in all), but at least one. The sample and the number of
+texts of each language are all that comes to the driver.
 
 Defined cases: null texts and texts without letters are `und` with score 0. Texts shorter than a
 window are padded with zero bytes. Null and blank languages are no labels. Without any label all
@@ -29,6 +31,8 @@ from starloom.llm.shingles import _bytes
 
 WIDTHS, FILTERS, WINDOW = (2, 3, 4, 5), 8, 128
 PER_LANGUAGE, LANGUAGES, WINDOWS, EPOCHS = 600, 200, 4, 12
+SAMPLE = PER_LANGUAGE * LANGUAGES
+STEPS = 100  # of training at least, however few the texts
 REJECT = 0.35  # a text whose best language is less likely than this is rejected
 UND = "und"
 ROWS = 4096  # windows at once
@@ -88,7 +92,7 @@ def train(windows: np.ndarray, labels: np.ndarray, languages: list[str], seed: i
     share = np.bincount(labels, minlength=len(languages)).astype(np.float64)
     weight = len(labels) / np.maximum(share, 1) / max((share > 0).sum(), 1)
     step = 0
-    for _ in range(EPOCHS):
+    for _ in range(max(EPOCHS, -(-STEPS // max(-(-len(labels) // 64), 1)))):
         order = rng.permutation(len(labels))
         for at in range(0, len(order), 64):
             rows = order[at:at + 64]
@@ -160,29 +164,33 @@ def probabilities(texts: pa.Array, model: Model, paired) -> np.ndarray:
 def fit(labelled: DataFrame, seed: str = "language") -> Model:
     """Train on a bounded sample of (text, lang)."""
     rows = labelled.where("lang IS NOT NULL AND trim(lang) <> '' AND text IS NOT NULL AND text <> ''")
-    counts = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(LANGUAGES).collect()
+    h = F.xxhash64(F.lit(seed), F.md5("text"))
+    counts = rows.select("lang", h.alias("h")).distinct().groupBy("lang").count().collect()
     if not counts:
         return Model([], [], np.zeros(0), np.zeros((1, 0)))
-    # A fraction of the hash range gives each language about its number; large ones are thinned.
-    shares = F.create_map(*[x for r in counts for x in (
-        F.lit(r["lang"]), F.lit(min(1.0, 2 * PER_LANGUAGE / r["count"])))])
-    h = F.xxhash64(F.lit(seed), F.md5("text"))
+    each = max(min(PER_LANGUAGE, SAMPLE // len(counts)), 1)
+    # A fraction of the hash range gives each language about twice its number, or all if it has few.
+    few = 2 * each + 30
+    shares = F.map_from_arrays(F.lit([r["lang"] for r in counts]), F.lit(
+        [min(1.0, few / r["count"]) for r in counts]))
     thin = rows.where((F.pmod(h, F.lit(1 << 20)) / F.lit(float(1 << 20))) < F.element_at(shares, F.col("lang")))
     size = F.length("text")
     parts = F.array(*[
         F.substr(F.col("text"), (F.lit(1) + F.pmod(F.xxhash64(h, F.lit(k)), F.greatest(
             size - WINDOW + 1, F.lit(1)))).cast("int"), F.lit(WINDOW)) for k in range(WINDOWS)])
-    sample = thin.select("lang", h.alias("h"), parts.alias("parts")).orderBy("h", "lang").limit(
-        3 * PER_LANGUAGE * len(counts)).collect()
+    once = thin.select("lang", h.alias("h"), parts.alias("parts")).groupBy("lang", "h").agg(
+        F.first("parts").alias("parts"))
+    sample = sorted(once.collect(), key=lambda r: (r["h"], r["lang"]))
     taken: dict[str, int] = {}
     windows, labels = [], []
-    languages = sorted(r["lang"] for r in counts)
+    languages = sorted({r["lang"] for r in sample})
+    number = {lang: k for k, lang in enumerate(languages)}
     for r in sample:
-        if taken.setdefault(r["lang"], 0) < PER_LANGUAGE:
+        if taken.setdefault(r["lang"], 0) < each:
             taken[r["lang"]] += 1
             for part in r["parts"]:
                 windows.append(part.encode()[:WINDOW].ljust(WINDOW, b"\0"))
-                labels.append(languages.index(r["lang"]))
+                labels.append(number[r["lang"]])
     x = np.frombuffer(b"".join(windows), np.uint8).reshape(-1, WINDOW)
     return train(x, np.array(labels), languages)
 

@@ -86,3 +86,22 @@ def test_odd_rows(spark):
     assert {r.lang_pred for r in predicted(docs, none, ["doc_id"]).collect()} == {"und"}
     assert predicted(odd.limit(0), model, ["doc_id"]).collect() == []
     assert fit(docs.limit(0)).languages == []
+
+
+def test_copies_are_one_text_of_the_sample(spark, monkeypatch):
+    seen = {}
+    monkeypatch.setattr(language, "PER_LANGUAGE", 5)
+    monkeypatch.setattr(language, "LANGUAGES", 3)
+    monkeypatch.setattr(language, "SAMPLE", 15)
+    monkeypatch.setattr(language, "train", lambda x, y, names: seen.update(x=x, y=y, names=names))
+    rows = [("copied text " * 20, "en")] * 400 + [(f"english {k} " * 20, "en") for k in range(9)]
+    rows += [(f"deutsch {k} " * 20, "de") for k in range(3)] + [("x" * 200, f"l{k}") for k in range(2)]
+    docs = spark.createDataFrame(rows, "text string, lang string").repartition(3)
+    fit(docs)
+    # four languages share 15 texts, three each
+    assert seen["names"] == ["de", "en", "l0", "l1"]
+    texts = {}
+    for x, y in zip(seen["x"], seen["y"]):
+        texts.setdefault(seen["names"][y], []).append(bytes(x))
+    assert {k: len(v) for k, v in texts.items()} == {"de": 12, "en": 12, "l0": 4, "l1": 4}
+    assert sum(b"copied" in x for x in texts["en"]) <= 4
