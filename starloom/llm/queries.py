@@ -1,6 +1,7 @@
 """All queries of this subpackage."""
 
 from starloom.llm import (  # noqa: F401
+    bpe_query,
     chat_query,
     decontaminate_query,
     language_query,
