@@ -3,7 +3,8 @@
 A word's symbols and the ranks of their neighbouring pairs are kept in a segment tree of minima.
 Its root names the lowest rank, the walk to the first leaf that has it names the leftmost such
 pair; the merge changes three leaves, each in logarithmic time, until no pair has a rank. A run of
-a million letters costs a million times twenty steps, not a million squared.
+a million letters costs a million times twenty steps, not a million squared. Short words that are
+new to a task have their trees side by side in one array and are merged in step.
 
 Read from the vocabulary file (the JSON format of the tokenizers library): byte-level symbols with
 a mark at a word's end, Unicode normalisation NFC, blanks collapsed, letters in lower case one by
@@ -12,7 +13,7 @@ anything else. A file of another kind raises ValueError. Decoding joins the toke
 blanks, end marks included, and leaves out ids that the file does not know.
 
 The file is read by the driver and sent to the tasks (its size does not follow the data). A task
-remembers the ids of the last CACHE chunks between blanks; that changes no result.
+remembers the ids of up to CACHE words, and of as many runs between blanks; that changes no result.
 
 Defined cases: a null text is empty and has no ids; ids of null decode to the empty text. Each row
 is worked off on its own, so repeated rows and ties need nothing. An empty table gives an empty
@@ -24,7 +25,9 @@ that the library's does not know yet.
 from __future__ import annotations
 
 import json
+import struct
 import unicodedata
+from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -34,7 +37,9 @@ from pyspark import Broadcast
 from pyspark.sql import Column, SparkSession, functions as F
 
 NONE = 1 << 62
-CACHE = 1 << 18
+# Words and runs that a task remembers; characters whose new words it encodes together; how many
+# of them side by side, and up to how many bytes each. A longer word has the tree for itself.
+CACHE, BLOCK, BESIDE, LONGEST = 1 << 19, 1 << 20, 1 << 13, 62
 
 # The steps before the merges that are understood.
 NORMALIZERS = [
@@ -49,31 +54,39 @@ class PairTree:
     """Minima over the ranks of neighbouring pairs, one leaf for each place of a left symbol."""
 
     def __init__(self, ranks: list[int]):
-        self.size = 1 << max(len(ranks) - 1, 0).bit_length()
-        self.least = [NONE] * self.size + ranks + [NONE] * (self.size - len(ranks))
-        for k in range(self.size - 1, 0, -1):
-            self.least[k] = min(self.least[2 * k], self.least[2 * k + 1])
+        self.size = size = 1 << max(len(ranks) - 1, 0).bit_length()
+        level = ranks + [NONE] * (size - len(ranks))
+        self.least = level
+        while len(level) > 1:
+            level = list(map(min, level[::2], level[1::2]))
+            self.least = level + self.least
+        self.least.insert(0, NONE)
 
     def first(self) -> tuple[int, int]:
         """(lowest rank, leftmost place that has it); the rank is NONE if no pair is left."""
-        rank, k = self.least[1], 1
-        while k < self.size:
-            k = 2 * k if self.least[2 * k] == rank else 2 * k + 1
-        return rank, k - self.size
+        least, size, k = self.least, self.size, 1
+        rank = least[1]
+        while k < size:
+            k <<= 1
+            if least[k] != rank:
+                k += 1
+        return rank, k - size
 
     def put(self, place: int, rank: int) -> None:
-        k = place + self.size
-        self.least[k] = rank
+        least, k = self.least, place + self.size
+        least[k] = rank
         while k > 1:
+            beside = least[k ^ 1]
             k >>= 1
-            low = min(self.least[2 * k], self.least[2 * k + 1])
-            if self.least[k] == low:
+            if beside < rank:
+                rank = beside
+            if least[k] == rank:
                 return
-            self.least[k] = low
+            least[k] = rank
 
 
 class Encoder:
-    """The content of a vocabulary file, with the texts of the words met last."""
+    """The content of a vocabulary file, with the ids of the words met last."""
 
     def __init__(self, content: bytes):
         spec = json.loads(content)
@@ -81,10 +94,13 @@ class Encoder:
         _understood(spec)
         vocab, self.end = model["vocab"], model["end_of_word_suffix"]
         self.tokens = {number: token for token, number in vocab.items()}
-        self.ranks, self.merged = {}, []
+        self.ranks, merged = {}, []
         for rank, (left, right) in enumerate(model["merges"]):
             self.ranks.setdefault((vocab[left], vocab[right]), rank)
-            self.merged.append(vocab[left + right])
+            merged.append(vocab[left + right])
+        self.merged = np.array(merged, np.int64)
+        pairs = sorted((left << 32 | right, rank) for (left, right), rank in self.ranks.items())
+        self.pair_keys, self.pair_ranks = (np.array(c, np.int64) for c in zip(*pairs))
         symbols = _byte_symbols()
         self.inner = [vocab[c] for c in symbols]
         self.last = [vocab[c + self.end] for c in symbols]
@@ -93,14 +109,17 @@ class Encoder:
         self.tokens.update({number: token for token, number in self.added.items()})
         longest = sorted(self.added, key=len, reverse=True)
         self.split = regex.compile("(" + "|".join(map(regex.escape, longest)) + ")") if longest else None
-        self.known: dict[str, bytes] = {}
+        # Added tokens stand among the runs of a text as numbers, so that no text is one.
+        self.marks = {number: _packed([number]) for number in self.added.values()}
+        self.known: dict[str | int, bytes] = dict(self.marks)
+        self.words: dict[str, bytes] = {}
 
     def merge(self, symbols: list[int]) -> list[int]:
         """The symbols of a word after all merges, always the leftmost of lowest rank first."""
-        n, ranks = len(symbols), self.ranks
+        n, rank_of = len(symbols), self.ranks.get
         if n < 2:
             return symbols
-        tree = PairTree([ranks.get(pair, NONE) for pair in zip(symbols, symbols[1:])])
+        tree = PairTree([rank_of(pair, NONE) for pair in zip(symbols, symbols[1:])])
         after, before = list(range(1, n + 1)), list(range(-1, n))
         while True:
             rank, at = tree.first()
@@ -108,48 +127,118 @@ class Encoder:
                 break
             gone = after[at]
             right, left = after[gone], before[at]
-            symbols[at], symbols[gone] = self.merged[rank], -1
+            symbols[at], symbols[gone] = int(self.merged[rank]), -1
             after[at], before[right] = right, at
             if right < n:
                 tree.put(gone, NONE)
-                tree.put(at, ranks.get((symbols[at], symbols[right]), NONE))
+                tree.put(at, rank_of((symbols[at], symbols[right]), NONE))
             else:
                 tree.put(at, NONE)
             if left >= 0:
-                tree.put(left, ranks.get((symbols[left], symbols[at]), NONE))
+                tree.put(left, rank_of((symbols[left], symbols[at]), NONE))
         return [s for s in symbols if s >= 0]
 
-    def chunk(self, chunk: str) -> bytes:
-        """Ids of a run without blanks."""
-        ids = []
-        for word in self.word.findall(chunk):
+    def pair_rank(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """Ranks of pairs of symbols; NONE for a pair without one and beside a word's end (-1)."""
+        keys = left << 32 | right
+        at = np.minimum(np.searchsorted(self.pair_keys, keys), len(self.pair_keys) - 1)
+        return np.where((self.pair_keys[at] == keys) & (left >= 0) & (right >= 0), self.pair_ranks[at], NONE)
+
+    def merge_beside(self, words: list[list[int]]) -> list[list[int]]:
+        """`merge` for many words of similar length at once, each with a tree of its own.
+
+        A word stands between two ends (-1), so that a pair with an end is like any other pair
+        without a rank. The arrays are flat: node or place k of word w is at k * n + w.
+        """
+        n, wide = len(words), max(map(len, words)) + 2
+        size = 1 << (wide - 1).bit_length()
+        symbols = np.full((wide, n), -1, np.int64)
+        for k, word in enumerate(words):
+            symbols[1:len(word) + 1, k] = word
+        least = np.full((2 * size, n), NONE)
+        least[size:size + wide - 1] = self.pair_rank(symbols[:-1], symbols[1:])
+        half = size
+        while half > 1:
+            least[half // 2:half] = np.minimum(least[half:2 * half:2], least[half + 1:2 * half:2])
+            half //= 2
+        after, before = (np.repeat(np.arange(wide)[:, None] + d, n, 1) for d in (1, -1))
+        symbols, least, after, before = (x.reshape(-1) for x in (symbols, least, after, before))
+
+        def put(place: np.ndarray, rank: np.ndarray | int) -> None:
+            node = place + size
+            least[node * n + word] = rank
+            while node[0] > 1:
+                low = np.minimum(least[node * n + word], least[(node ^ 1) * n + word])
+                node = node >> 1
+                least[node * n + word] = low
+
+        word = np.arange(n)
+        while True:
+            rank = least[n + word]
+            word, rank = word[rank < NONE], rank[rank < NONE]
+            if not len(word):
+                break
+            node = np.ones(len(word), np.int64)
+            while node[0] < size:
+                node = 2 * node
+                node += least[node * n + word] != rank
+            at = node - size
+            gone, left = after[at * n + word], before[at * n + word]
+            right = after[gone * n + word]
+            symbols[at * n + word], symbols[gone * n + word] = self.merged[rank], -1
+            after[at * n + word], before[right * n + word] = right, at
+            put(gone, NONE)
+            put(at, self.pair_rank(symbols[at * n + word], symbols[right * n + word]))
+            put(left, self.pair_rank(symbols[left * n + word], symbols[at * n + word]))
+        return [[s for s in row if s >= 0] for row in symbols.reshape(wide, n).T.tolist()]
+
+    def learn(self, words: list[str]) -> None:
+        """Encode words that are not known yet; those of similar length together."""
+        classes: dict[int, list[tuple[str, list[int]]]] = {}
+        for word in words:
             raw = word.encode()
-            ids += self.merge([self.inner[b] for b in raw[:-1]] + [self.last[raw[-1]]])
-        found = np.array(ids, "<u4").tobytes()
-        if len(self.known) >= CACHE:
-            self.known.clear()
-        self.known[chunk] = found
-        return found
-
-    def plain(self, text: str) -> bytes:
-        """Ids of a text without added tokens."""
-        known = self.known
-        return b"".join([known[c] if c in known else self.chunk(c) for c in _chunks(text)])
-
-    def encode(self, text: str | None) -> bytes:
-        """Ids of a text, four bytes each, lowest byte first."""
+            symbols = [self.inner[b] for b in raw[:-1]] + [self.last[raw[-1]]]
+            if len(raw) > LONGEST:
+                self.words[word] = _packed(self.merge(symbols))
+            else:
+                classes.setdefault((len(raw) + 1).bit_length(), []).append((word, symbols))
+        for some in classes.values():
+            for k in range(0, len(some), BESIDE):
+                part = some[k:k + BESIDE]
+                for (word, _), ids in zip(part, self.merge_beside([symbols for _, symbols in part])):
+                    self.words[word] = _packed(ids)
+
+    def runs(self, text: str | None) -> list[str | int]:
+        """The runs between blanks of a text, and the numbers of the added tokens in it."""
         if not text:
-            return b""
+            return []
         if self.split is None or not any(t in text for t in self.added):
-            return self.plain(text)
-        return b"".join(
-            np.array([self.added[p]], "<u4").tobytes() if k % 2 else self.plain(p)
-            for k, p in enumerate(self.split.split(text)))
+            return _chunks(text)
+        pieces = self.split.split(text)
+        return [c for k, p in enumerate(pieces) for c in ([self.added[p]] if k % 2 else _chunks(p))]
+
+    def encode(self, texts: list[str | None]) -> list[bytes]:
+        """Ids of texts, four bytes each, lowest byte first."""
+        if len(self.known) > CACHE:
+            self.known = dict(self.marks)
+        if len(self.words) > CACHE:
+            self.words = {}
+        known, words = self.known, self.words
+        runs = [self.runs(t) for t in texts]
+        fresh = {run: self.word.findall(run) for run in set().union(*runs).difference(known)}
+        self.learn(list({w for found in fresh.values() for w in found}.difference(words)))
+        for run, found in fresh.items():
+            known[run] = b"".join([words[w] for w in found])
+        return [b"".join([known[run] for run in text]) for text in runs]
 
     def decode(self, ids) -> str:
         return " ".join([self.tokens[i] for i in ids if i in self.tokens])
 
 
+def _packed(ids: list[int]) -> bytes:
+    return struct.pack(f"<{len(ids)}I", *ids)
+
+
 def _understood(spec: dict) -> None:
     model, before = spec["model"], spec["pre_tokenizer"] or {}
     steps = before.get("pretokenizers", [{}])
@@ -185,6 +274,20 @@ def _chunks(text: str) -> list[str]:
     return text.split()
 
 
+def _blocks(texts: pa.Array) -> Iterator[list[str | None]]:
+    """Texts of about BLOCK characters together; a longer one alone."""
+    block, size = [], 0
+    for text in texts:
+        text = text.as_py()
+        if block and size + len(text or "") > BLOCK:
+            yield block
+            block, size = [], 0
+        block.append(text)
+        size += len(text or "")
+    if block:
+        yield block
+
+
 @lru_cache(maxsize=2)
 def _encoder(content: bytes) -> Encoder:
     return Encoder(content)
@@ -204,7 +307,7 @@ def encoded(text: Column, vocabulary: Broadcast) -> Column:
     @F.arrow_udf("binary")
     def encode(texts: pa.Array) -> pa.Array:
         encoder = _encoder(vocabulary.value)
-        return pa.array((encoder.encode(t.as_py()) for t in texts), pa.binary())
+        return pa.array((ids for block in _blocks(texts) for ids in encoder.encode(block)), pa.binary())
 
     return encode(text)
 

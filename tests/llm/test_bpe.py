@@ -9,6 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
+from starloom.llm import bpe
 from starloom.llm.bpe import Encoder, PairTree, decoded, encoded, id_list, vocabulary
 from starloom.llm.queries import QUERIES
 
@@ -41,9 +42,9 @@ def test_texts_match_the_library(library, encoder):
     rng = random.Random(5)
     letters = "abcdeeettthrs  '.,!\n\téßΣ日😀1́"
     texts = NASTY + ["".join(rng.choice(letters) for _ in range(rng.randrange(60))) for _ in range(3000)]
-    for text in texts:
+    for text, raw in zip(texts, encoder.encode(texts)):
         want = library.encode(text or "", add_special_tokens=False).ids
-        got = numbers(encoder.encode(text))
+        got = numbers(raw)
         assert got == want, text
         assert encoder.decode(got) == library.decode(want, skip_special_tokens=False), text
 
@@ -62,8 +63,9 @@ def test_tree_names_the_leftmost_lowest():
 
 def test_merges_match_a_plain_search(encoder):
     rng = random.Random(3)
-    for _ in range(400):
-        word = [encoder.inner[rng.choice(b"aehinorst")] for _ in range(rng.randrange(1, 40))]
+    words = [[encoder.inner[rng.choice(b"aehinorst")] for _ in range(rng.randrange(1, 40))] for _ in range(400)]
+    together = encoder.merge_beside(words)
+    for word, beside in zip(words, together):
         want = list(word)
         while True:
             ranked = [(encoder.ranks[p], k) for k, p in enumerate(zip(want, want[1:])) if p in encoder.ranks]
@@ -71,7 +73,16 @@ def test_merges_match_a_plain_search(encoder):
                 break
             rank, k = min(ranked)
             want[k:k + 2] = [encoder.merged[rank]]
-        assert encoder.merge(list(word)) == want
+        assert encoder.merge(list(word)) == beside == want
+
+
+def test_what_is_remembered_changes_nothing(encoder, monkeypatch):
+    texts = [t for t in NASTY if t] * 2
+    want = [encoder.encode([t])[0] for t in texts]
+    for name, value in (("CACHE", 3), ("BESIDE", 2), ("LONGEST", 1)):
+        monkeypatch.setattr(bpe, name, value)
+        encoder.known, encoder.words = dict(encoder.marks), {}
+        assert [encoder.encode([t])[0] for t in texts] == want == encoder.encode(texts)
 
 
 def test_columns(spark, library):
