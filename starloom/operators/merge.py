@@ -66,6 +66,34 @@ def insert_ignore(
     return rows if target is None else rows.join(target.select(*key), key, "left_anti")
 
 
+# --- policies with a state that can be stored: states of parts of the rows, in any order, merge
+# into the state of all rows ---
+
+def _state(rows: DataFrame, key: list[str], parts: dict[str, Column]) -> DataFrame:
+    """One row per key; parts named `_newest...` keep their greatest value, others their least."""
+    return rows.groupBy(*key).agg(*[
+        (F.max if name.startswith("_newest") else F.min)(part).alias(name) for name, part in parts.items()
+    ])
+
+
+def merge_states(batch: DataFrame, stored: DataFrame | None, key: list[str]) -> DataFrame:
+    """The state of all rows that either state has seen; a batch that is merged twice counts once."""
+    both = batch if stored is None else batch.unionByName(stored)
+    return _state(both, key, {c: F.col(c) for c in batch.columns if c not in key})
+
+
+def fill_zero_state(rows: DataFrame, key: list[str], order: list[Column], column: str, values: list[str]) -> DataFrame:
+    """The oldest row, and the first positive value of `column` with its order."""
+    positive = F.when(F.col(column) > 0, F.struct(*order, column))
+    return _state(rows, key, {"_oldest": F.struct(*order, *values), "_filled": positive})
+
+
+def fill_zero_result(state: DataFrame, key: list[str], column: str, values: list[str]) -> DataFrame:
+    stored, first = F.col(f"_oldest.{column}"), F.col(f"_filled.{column}")
+    filled = F.when(stored == 0, F.coalesce(first, stored)).otherwise(stored).alias(column)
+    return state.select(*key, *[filled if c == column else F.col(f"_oldest.{c}") for c in values])
+
+
 def fill_zero(
     batch: DataFrame, key: list[str], order: list[str], column: str = "year",
     target: DataFrame | None = None,
@@ -74,15 +102,22 @@ def fill_zero(
     the stored one is 0."""
     values = _values(batch, key, order)
     rows, rank = with_target(batch, target, order)
-    positive = F.when(F.col(column) > 0, F.struct(*rank, column))
-    merged = rows.groupBy(*key).agg(
-        F.min(F.struct(*rank, *values)).alias("_oldest"), F.min(positive).alias("_filled")
-    )
-    stored, first = F.col(f"_oldest.{column}"), F.col(f"_filled.{column}")
-    filled = F.when(stored == 0, F.coalesce(first, stored)).otherwise(stored).alias(column)
-    return merged.select(
-        *key, *[filled if c == column else F.col(f"_oldest.{c}") for c in values]
-    )
+    return fill_zero_result(fill_zero_state(rows, key, rank, column, values), key, column, values)
+
+
+def coalesce_state(rows: DataFrame, key: list[str], order: list[Column], keep: list[str], values: list[str]) -> DataFrame:
+    """The oldest row's `keep`, and of each other column the newest value with its order."""
+    kinds = dict(rows.dtypes)
+    clean = {c: nan_to_null(F.col(c)) for c in values if kinds[c] in ("double", "float")}
+    clean |= {c: blank_to_null(F.col(c)) for c in values if kinds[c] == "string"}
+    rows = rows.withColumns(clean) if clean else rows
+    newest = {f"_newest_{c}": F.when(F.col(c).isNotNull(), F.struct(*order, c)) for c in values if c not in keep}
+    return _state(rows, key, {"_oldest": F.struct(*order, *keep), **newest})
+
+
+def coalesce_result(state: DataFrame, key: list[str], keep: list[str], values: list[str]) -> DataFrame:
+    return state.select(
+        *key, *[F.col(f"_oldest.{c}" if c in keep else f"_newest_{c}.{c}").alias(c) for c in values])
 
 
 def coalesce_newest(
@@ -95,16 +130,9 @@ def coalesce_newest(
     """
     values = _values(batch, key, order)
     rows, rank = with_target(batch, target, order)
-    kinds = dict(rows.dtypes)
-    clean = {c: nan_to_null(F.col(c)) for c in values if kinds[c] in ("double", "float")}
-    clean |= {c: blank_to_null(F.col(c)) for c in values if kinds[c] == "string"}
-    rows = rows.withColumns(clean) if clean else rows
-    merged = rows.groupBy(*key).agg(
-        F.min(F.struct(*rank, *keep)).alias("_oldest"),
-        *[F.max(F.when(F.col(c).isNotNull(), F.struct(*rank, c))).alias(f"_newest_{c}")
-          for c in values if c not in keep],
-    )
-    return merged.select(
-        *key,
-        *[F.col(f"_oldest.{c}" if c in keep else f"_newest_{c}.{c}").alias(c) for c in values],
-    )
+    return coalesce_result(coalesce_state(rows, key, rank, keep, values), key, keep, values)
+
+
+def order_columns(order: list[str]) -> list[Column]:
+    """The order as a state stores it."""
+    return _order(order)

@@ -23,7 +23,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
-from starloom.operators.tables import POLICIES, _filesystem
+from starloom.operators.tables import POLICIES, filesystem
 from starloom.session import kept
 
 COMMITS, BUCKET = "_commits", "_bucket"
@@ -35,7 +35,7 @@ class CommitConflict(RuntimeError):
 
 
 def _children(spark: SparkSession, path: str) -> list[str]:
-    fs, p = _filesystem(spark, path)
+    fs, p = filesystem(spark, path)
     return [s.getPath().getName() for s in fs.listStatus(p)] if fs.exists(p) else []
 
 
@@ -54,7 +54,7 @@ def commit_of(spark: SparkSession, path: str, version: int | None = None) -> dic
         if not known:
             return None
         version = known[-1]
-    fs, p = _filesystem(spark, f"{path}/{COMMITS}/{version}")
+    fs, p = filesystem(spark, f"{path}/{COMMITS}/{version}")
     stream = fs.open(p)
     try:
         return json.loads(spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))
@@ -65,7 +65,7 @@ def commit_of(spark: SparkSession, path: str, version: int | None = None) -> dic
 def _draft(spark: SparkSession, path: str, content: dict) -> str:
     """Write the file of a version under a name that is not a version."""
     draft = f"{path}/{COMMITS}/.draft-{uuid.uuid4().hex}"
-    fs, p = _filesystem(spark, draft)
+    fs, p = filesystem(spark, draft)
     stream = fs.create(p, True)
     try:
         stream.write(bytearray(json.dumps(content).encode()))
@@ -76,8 +76,8 @@ def _draft(spark: SparkSession, path: str, content: dict) -> str:
 
 def _publish(spark: SparkSession, path: str, version: int, draft: str) -> None:
     """Give it its number, unless another load has taken that."""
-    fs, final = _filesystem(spark, f"{path}/{COMMITS}/{version}")
-    _, source = _filesystem(spark, draft)
+    fs, final = filesystem(spark, f"{path}/{COMMITS}/{version}")
+    _, source = filesystem(spark, draft)
     if fs.exists(final) or not fs.rename(source, final):
         fs.delete(source, False)
         raise CommitConflict(f"version {version} of {path} exists already")
@@ -201,6 +201,6 @@ def vacuum(spark: SparkSession, path: str, keep: int = 1) -> list[str]:
             inside = [f"{name}/{n}" for n in _children(spark, f"{path}/{name}") if n.startswith(f"{BUCKET}=")]
             gone += [f for f in inside if f not in held]
     for name in gone:
-        fs, p = _filesystem(spark, f"{path}/{name}")
+        fs, p = filesystem(spark, f"{path}/{name}")
         fs.delete(p, True)
     return gone

@@ -19,19 +19,19 @@ class KeyConflict(ValueError):
     """A batch holds different rows of one key."""
 
 
-def _filesystem(spark: SparkSession, path: str):
+def filesystem(spark: SparkSession, path: str):
     jvm = spark._jvm
     hadoop_path = jvm.org.apache.hadoop.fs.Path(path)
     return hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()), hadoop_path
 
 
 def exists(spark: SparkSession, path: str) -> bool:
-    fs, p = _filesystem(spark, path)
+    fs, p = filesystem(spark, path)
     return fs.exists(p)
 
 
 def drop_table(spark: SparkSession, path: str) -> None:
-    fs, p = _filesystem(spark, path)
+    fs, p = filesystem(spark, path)
     fs.delete(p, True)
 
 
@@ -109,6 +109,7 @@ def _touched(existing: DataFrame, batch: DataFrame, columns: list[str]) -> DataF
 def append_fact(
     df: DataFrame, path: str, key: list[str], partition_by: list[str] | tuple[str, ...] = (),
     drop_first: bool = False, before: Callable[[DataFrame], None] | None = None,
+    conflicts: str | None = None,
 ) -> None:
     """Append the rows whose key is new, creating the table if needed; safe to run again.
 
@@ -117,13 +118,17 @@ def append_fact(
     have no key; they are compared as a whole, and of alike ones as many are stored as the batch
     or the table has, whichever has more. Partition columns must follow from the key: then only
     the partitions between the batch's first and last are read. `before` gets the batch before it
-    is appended: it may refuse it by raising, or load what the batch refers to.
+    is appended: it may refuse it by raising, or load what the batch refers to. With a path for
+    `conflicts`, the different rows of one key are written there, none of them is appended, and
+    the others are.
     """
     spark = df.sparkSession
     if drop_first:
         drop_table(spark, path)
     unknown = reduce(Column.__or__, [F.col(c).isNull() for c in key])
     with kept(df, "batch") as batch:
+        if conflicts is not None:
+            batch = _without_conflicts(batch, unknown, key, conflicts)
         rows, loose = _one_per_key(batch.where(~unknown), key), batch.where(unknown)
         if before is not None:
             before(batch)
@@ -161,6 +166,23 @@ def _one_per_key(rows: DataFrame, key: list[str]) -> DataFrame:
     return both.where(F.when(alike, True).otherwise(stop)).select(*key, "_least.*")
 
 
+def _without_conflicts(batch: DataFrame, unknown: Column, key: list[str], path: str) -> DataFrame:
+    """Write the rows of keys that have different rows to `path`; the other rows."""
+    values = [c for c in batch.columns if c not in key]
+    if not values:
+        return batch
+    known = batch.where(~unknown)
+    row = F.struct(*values)
+    torn = known.groupBy(*key).agg(F.min(row).alias("_least"), F.max(row).alias("_greatest")).where(
+        ~F.col("_least").eqNullSafe(F.col("_greatest"))).select(*key)
+    known.join(torn, key, "left_semi").select(*batch.columns).write.mode("overwrite").parquet(path)
+    torn = batch.sparkSession.read.schema(batch.schema).parquet(path)
+    if torn.isEmpty():
+        return batch
+    return known.join(torn.select(*key).distinct(), key, "left_anti").select(*batch.columns).unionByName(
+        batch.where(unknown))
+
+
 def load_dimension(
     df: DataFrame, path: str, truncate: bool = True, drop_first: bool = False,
     partition_by: list[str] | tuple[str, ...] = (),
@@ -177,8 +199,8 @@ def load_dimension(
 
 def recover(spark: SparkSession, path: str) -> None:
     """Put the old table back if a run stopped between the two renames of `swap_in`."""
-    fs, target = _filesystem(spark, path)
-    _, old_path = _filesystem(spark, f"{path.rstrip('/')}__old")
+    fs, target = filesystem(spark, path)
+    _, old_path = filesystem(spark, f"{path.rstrip('/')}__old")
     if not fs.exists(target) and fs.exists(old_path):
         fs.rename(old_path, target)
 
@@ -195,9 +217,9 @@ def stage_in(
 
 def publish(spark: SparkSession, path: str) -> None:
     """Rename what `stage_in` wrote to `path`; a failure leaves the old table as it was."""
-    fs, target = _filesystem(spark, path)
-    _, fresh_path = _filesystem(spark, f"{path.rstrip('/')}__new")
-    _, old_path = _filesystem(spark, f"{path.rstrip('/')}__old")
+    fs, target = filesystem(spark, path)
+    _, fresh_path = filesystem(spark, f"{path.rstrip('/')}__new")
+    _, old_path = filesystem(spark, f"{path.rstrip('/')}__old")
     fs.delete(old_path, True)
     if fs.exists(target) and not fs.rename(target, old_path):
         raise OSError(f"could not move {path} aside")

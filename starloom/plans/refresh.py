@@ -1,32 +1,39 @@
 """The scheduled refresh: stage new files, check and append the fact, refresh dimensions.
 
 The cost of a run follows its batch: the fact and the times are compared only in the months that
-the batch touches, users are merged once per run, and checks look at the batch before it is
-appended.
+the batch touches, users are merged once per run and only in the hash buckets of the batch's
+users, and checks look at rows before they are stored. When the catalog has changed, the months
+with a play whose matches changed are built again (`plans.matches`).
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from starloom.contracts import PLAY_LOG, STAGED_EVENTS, TIMES
-from starloom.functions.timeparts import calendar_parts
+from starloom.contracts import PLAY_LOG, STAGED_EVENTS, TIMES, TableContract
+from starloom.functions.timeparts import calendar_parts, start_time
 from starloom.operators.merge import last_wins
 from starloom.operators.quality import assert_quality, contract_report, row_checks
-from starloom.operators.tables import append_fact, merge_table, publish, recover, stage_in
-from starloom.plans.plays import (
-    HOURLY, PLAY_COLUMNS, Preset, build_song_dims, build_songplays, layouts, partitioned_by_month,
-    plays_of,
-)
+from starloom.operators.snapshots import merge_snapshot, read_snapshot
+from starloom.operators.tables import append_fact, publish, recover, stage_in
+from starloom.plans.matches import append_keys, journal_of, settle
+from starloom.plans.plays import HOURLY, PLAY_COLUMNS, Preset, build_song_dims, layouts, plays_of
 from starloom.sources.staging import enforce_max_error, stage_lines
 from starloom.streaming.incremental import run_incremental
 
+STAR = ("songplays", "users", "songs", "artists", "times")
 USER_ORDER = ["last_ts", "last_item"]
+# What a kept play must have.
+PLAYS = TableContract(
+    "plays", "", not_null=("ts", "userId", "level", "sessionId"),
+    checks={"user_is_a_number": "try_cast(userId AS int) IS NOT NULL"},
+    max_length={"level": 4, "location": 128, "userAgent": 256},
+)
 
 
-def users_of(events: DataFrame) -> DataFrame:
-    """The newest row of each user of a batch, with the time of that event."""
-    users = plays_of(events).select(
+def users_of(plays: DataFrame) -> DataFrame:
+    """The newest row of each user of some plays, with the time of that play."""
+    users = plays.select(
         F.col("userId").try_cast("int").alias("user_id"),
         F.col("firstName").alias("first_name"),
         F.col("lastName").alias("last_name"),
@@ -40,53 +47,70 @@ def users_of(events: DataFrame) -> DataFrame:
 
 def append_times(plays: DataFrame, path: str, preset: Preset) -> None:
     """Add the start times of a batch that the time dimension does not have yet."""
-    times = plays.select("start_time").distinct()
+    times = plays.select(start_time(F.col("ts"), preset.precision).alias("start_time")).distinct()
+    times = times.where(F.col("start_time").isNotNull())
     rows = times.select("start_time", *calendar_parts(F.col("start_time"), preset.weekday))
     append_fact(rows, path, ["start_time", "year", "month"], TIMES.partition_by)
 
 
+def read_tables(spark: SparkSession, paths: dict[str, str]) -> dict[str, DataFrame]:
+    """The tables that a run has left: users from their newest version, the others from their folders."""
+    return {
+        name: read_snapshot(spark, path) if name == "users" else spark.read.parquet(path)
+        for name, path in paths.items()
+    }
+
+
 def run_hourly(
     spark: SparkSession, log_path: str, catalog: DataFrame, out: str, preset: Preset = HOURLY,
-    staged: bool = True, max_error: int = 0, files_per_batch: int | None = None, **options,
+    staged: bool = True, max_error: int = 0, files_per_batch: int | None = None,
+    dims: dict[str, DataFrame] | None = None, **options,
 ) -> dict[str, str]:
     """One run over the log files that have not been seen.
 
     The lines are staged with the options of `sources.staging.stage_lines`, and a batch with more
-    than `max_error` bad lines stops the run before anything of it is appended; with
-    `staged=False` the files are read plainly. The dimensions of the catalog are rebuilt, checked
-    and swapped; the fact grows by the plays whose key is new. Plays without a song are legal; a
-    missing key is not. The key must be the same in every run and one per row.
+    than `max_error` bad lines stops the run before anything of it is stored; with `staged=False`
+    the files are read plainly. The dimensions of the catalog are rebuilt, checked and swapped
+    (or given as `dims`, if they are kept elsewhere). Plays without a song are legal; a missing key
+    is not. Plays of one session, second and item that differ go to `conflicts`. The fact is as
+    if all plays had been matched with this run's catalog. The key must be the same in every run
+    and one per row, and unmatched plays must be kept.
     """
-    if preset.key != "row":
-        raise ValueError("an incremental fact needs a key that is the same in every run, one per row")
+    if preset.key != "row" or preset.how != "left":
+        raise ValueError("an incremental fact needs a key that is the same in every run, one per "
+                         "row, and its unmatched plays")
     contracts = layouts(preset)
-    paths = {t: f"{out}/{t}" for t in ("songplays", "users", "songs", "artists", "times")}
-    dims = {}
-    for name, table in build_song_dims(catalog, preset).items():
-        recover(spark, paths[name])
-        fresh = stage_in(table, paths[name])
-        assert_quality(contract_report(fresh, contracts[name]))
-        publish(spark, paths[name])
-        dims[name] = spark.read.schema(fresh.schema).parquet(paths[name])
+    paths = {t: f"{out}/{t}" for t in (*STAR, "plays", "play_keys", "matches", "conflicts")}
+    if dims is None:
+        dims = {}
+        for name, table in build_song_dims(catalog, preset).items():
+            recover(spark, paths[name])
+            fresh = stage_in(table, paths[name])
+            assert_quality(contract_report(fresh, contracts[name]))
+            publish(spark, paths[name])
+            dims[name] = spark.read.schema(fresh.schema).parquet(paths[name])
 
     def stage(lines: DataFrame) -> DataFrame:
         rows = stage_lines(lines, STAGED_EVENTS, mapping=options.get("mapping", "exact"),
                            **{k: v for k, v in options.items() if k != "mapping"})
         return enforce_max_error(rows, max_error).select("page", *PLAY_COLUMNS)
 
-    def to_fact(events: DataFrame) -> DataFrame:
-        return partitioned_by_month(build_songplays(plays_of(events), catalog, dims, preset))
-
     def before(batch: DataFrame) -> None:
-        assert_quality(row_checks(batch, contracts["songplays"]))
+        assert_quality(row_checks(batch, PLAYS))
         append_times(batch, paths["times"], preset)
+        append_keys(batch, paths["play_keys"], preset)
+
+    def refresh(plays: DataFrame | None) -> None:
+        settle(spark, paths, plays, catalog, dims, preset,
+               check=lambda fact: assert_quality(row_checks(fact, contracts["songplays"])))
+        if plays is not None:
+            merge_snapshot(users_of(plays), paths["users"], ["user_id"], USER_ORDER, keep_order=True)
 
     run_incremental(
-        spark, log_path, PLAY_LOG, paths["songplays"], f"{out}/_checkpoint",
-        key=["songplay_id", "year", "month"], transform=to_fact, partition_by=["year", "month"],
-        collect=users_of, before=before, stage=stage if staged else None,
-        refresh=lambda users: merge_table(
-            users, paths["users"], ["user_id"], USER_ORDER, keep_order=True),
-        fmt="text" if staged else "json", files_per_batch=files_per_batch,
+        spark, log_path, PLAY_LOG, paths["plays"], f"{out}/_checkpoint",
+        key=["play_id", "year", "month"], transform=lambda rows: journal_of(plays_of(rows), preset),
+        partition_by=["year", "month"], collect=lambda rows: plays_of(rows).select(*PLAY_COLUMNS),
+        before=before, stage=stage if staged else None, refresh=refresh, always=True,
+        fmt="text" if staged else "json", files_per_batch=files_per_batch, conflicts=paths["conflicts"],
     )
-    return paths
+    return {t: paths[t] for t in STAR}

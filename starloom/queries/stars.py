@@ -6,7 +6,8 @@ from pyspark.sql import functions as F
 
 from starloom.contracts import SONG_CATALOG, USERS
 from starloom.operators.merge import last_wins
-from starloom.operators.tables import merge_table, write_json
+from starloom.operators.snapshots import merge_snapshot, read_snapshot
+from starloom.operators.tables import filesystem, write_json
 from starloom.plans import arrivals, plays, query_tables, refresh
 from starloom.queries import shapes
 from starloom.queries.joins import DIMS_SQL, FIRST_SQL, TEMP_SQL
@@ -60,6 +61,16 @@ SONGS_ARRIVED_SQL = """SELECT song_id, arg_min(title, _order) AS title, arg_min(
     FROM arrived GROUP BY song_id"""
 
 
+ARTISTS_ARRIVED_SQL = """SELECT artist_id, arg_min(artist_name, _order) AS artist_name,
+           arg_max(artist_location, _order) FILTER (WHERE trim(artist_location) <> '')
+             AS artist_location,
+           arg_max(artist_latitude, _order) FILTER (WHERE artist_latitude IS NOT NULL)
+             AS artist_latitude,
+           arg_max(artist_longitude, _order) FILTER (WHERE artist_longitude IS NOT NULL)
+             AS artist_longitude
+    FROM arrived GROUP BY artist_id"""
+
+
 @query("pipe_song_dims_repeated", f"WITH {shapes.ARRIVED_SQL} {SONGS_ARRIVED_SQL}")
 def pipe_song_dims_repeated(t):
     """Songs that arrive several times, with other titles, artists, years and durations."""
@@ -67,13 +78,16 @@ def pipe_song_dims_repeated(t):
 
 
 def _arrived_files(t):
-    """The same records as files, the later ones written first and the earlier ones after them,
-    with paths and names that agree with the order of arrival only in part."""
+    """The same records as three drops, each of many files whose paths follow the order and which
+    have one time, with folder names that agree with the order of the drops only in part."""
     root = t.folder("arrived")
     rows = shapes.arrived_catalog(t)
     for part in range(3):
-        lines = rows.where(F.pmod("_order", F.lit(3)) == part).orderBy("_order")
-        lines.drop("_order").coalesce(1).write.json(f"{root}/{'cab'[part]}")
+        drop = f"{root}/{'cab'[part]}"
+        rows.where(F.pmod("_order", F.lit(3)) == part).orderBy("_order").drop("_order").write.json(drop)
+        fs, folder = filesystem(t.spark, drop)
+        for status in fs.listStatus(folder):
+            fs.setTimes(status.getPath(), 1_600_000_000_000 + part * 1000, -1)
     return scan_json(t.spark, root, SONG_CATALOG, arrival=True)
 
 
@@ -86,17 +100,7 @@ def pipe_song_dims_files(t):
     return plays.build_song_dims(_arrived_files(t), plays.UPSERT)["songs"]
 
 
-@query(
-    "pipe_song_dims_artists_files",
-    f"""WITH {_FILE_ORDER} SELECT artist_id, arg_min(artist_name, _order) AS artist_name,
-           arg_max(artist_location, _order) FILTER (WHERE trim(artist_location) <> '')
-             AS artist_location,
-           arg_max(artist_latitude, _order) FILTER (WHERE artist_latitude IS NOT NULL)
-             AS artist_latitude,
-           arg_max(artist_longitude, _order) FILTER (WHERE artist_longitude IS NOT NULL)
-             AS artist_longitude
-    FROM arrived GROUP BY artist_id""",
-)
+@query("pipe_song_dims_artists_files", f"WITH {_FILE_ORDER} {ARTISTS_ARRIVED_SQL}")
 def pipe_song_dims_artists_files(t):
     return plays.build_song_dims(_arrived_files(t), plays.UPSERT)["artists"]
 
@@ -469,22 +473,23 @@ def incremental_dim_refresh(t):
             key=["event_id"], files_per_batch=2,
             collect=lambda batch: last_wins(
                 batch.drop("props"), ["user_id"], ["ts", "event_id"], keep_order=True),
-            refresh=lambda users: merge_table(
-                users, f"{root}/users", ["user_id"], ["ts", "event_id"], keep_order=True),
+            refresh=lambda users: merge_snapshot(
+                users, f"{root}/users", ["user_id"], ["ts", "event_id"], buckets=16, keep_order=True),
         )
-    return t.spark.read.parquet(f"{root}/users")
+    return read_snapshot(t.spark, f"{root}/users")
 
 
-def _hourly(t, dirty=False):
+def _hourly(t, dirty=False, late=False):
     """Two drops of whole sessions, one run after each, and a third run without new files.
 
     With `dirty` there are lines that are cut short, blank lines and a blank column among them.
+    With `late` two of three songs come to the catalog after the plays: one before the second
+    run, one before the third.
     """
     root = t.folder("hourly")
     log, catalog = shapes.play_log(t), shapes.catalog(t)
     if dirty:
         log = log.withColumn("location", F.when(F.col("itemInSession") == 2, " ").otherwise(F.col("location")))
-    paths = {}
     for i in range(2):
         rows = log.where(F.pmod("sessionId", F.lit(2)) == i)
         if dirty:
@@ -496,8 +501,9 @@ def _hourly(t, dirty=False):
             lines.write.mode("append").text(f"{root}/log/drop={i}")
         else:
             _drop(rows, f"{root}/log/drop={i}")
-        paths = refresh.run_hourly(
-            t.spark, f"{root}/log", catalog, f"{root}/out", max_error=10**9 if dirty else 0)
+        known = catalog.where(F.pmod("_order", F.lit(3)) <= i) if late else catalog
+        refresh.run_hourly(
+            t.spark, f"{root}/log", known, f"{root}/out", max_error=10**9 if dirty else 0)
     return refresh.run_hourly(t.spark, f"{root}/log", catalog, f"{root}/out")
 
 
@@ -511,6 +517,12 @@ def pipe_hourly_refresh(t):
     return t.spark.read.parquet(_hourly(t)["songplays"])
 
 
+@query("pipe_hourly_refresh_late", f"{PC} {_keyed_fact_sql(SCHEDULED_MATCH.format(plays='plays'))}")
+def pipe_hourly_refresh_late(t):
+    """Songs that come after their plays: the fact is as if all had been there from the start."""
+    return t.spark.read.parquet(_hourly(t, late=True)["songplays"])
+
+
 _CLEAN = """(SELECT * REPLACE (CASE WHEN itemInSession = 2 THEN NULL ELSE location END AS location)
   FROM plays WHERE itemInSession <> 3) AS p"""
 
@@ -531,8 +543,7 @@ def pipe_hourly_refresh_dirty(t):
     GROUP BY user_id""",
 )
 def pipe_hourly_refresh_users(t):
-    users = t.spark.read.parquet(_hourly(t)["users"])
-    return users.select(*USERS.column_names)
+    return read_snapshot(t.spark, _hourly(t)["users"]).select(*USERS.column_names)
 
 
 @query("pipe_hourly_refresh_times", _times_sql(SECONDS, "dayofweek(start_time)::int"))

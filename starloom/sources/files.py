@@ -32,7 +32,7 @@ ARRIVAL = "_order"
 def arrival_order() -> Column:
     """Where a row of a file scan stands in the order of arrival: the file's time and path, the
     block and the row. Row numbers rise within a block, and are compared in no wider range. Must
-    be selected from the scan itself."""
+    be selected from the scan itself, or from a micro-batch whose stream selects `_metadata`."""
     file = F.col("_metadata")
     return F.struct(
         file["file_modification_time"].alias("time"), file["file_path"].alias("path"),

@@ -58,21 +58,25 @@ def run_incremental(
     stage: Callable[[DataFrame], DataFrame] | None = None,
     fmt: str = "json",
     files_per_batch: int | None = None,
+    always: bool = False,
+    conflicts: str | None = None,
 ) -> None:
     """Append new source files to the fact, then refresh the dimensions once.
 
     `stage` turns the raw batch into rows. `collect` takes what the refresh needs from a batch,
     e.g. the newest row of each key; it is stored under the number of the batch, so that a
     repeated batch replaces its own rows. After the last batch `refresh` gets all of them at
-    once. A run that stops before leaves them to the next run. `before` gets the fact rows of a
-    batch before they are appended and may raise.
+    once. A run that stops before leaves them to the next run; with `always`, a run without new
+    files calls it with None. `before` gets the fact rows of a batch before they are appended and
+    may raise. Different rows of one key stop the run, or go to `conflicts` by batch.
     """
     pending = f"{checkpoint.rstrip('/')}-pending"
 
     def on_batch(batch: DataFrame, number: int) -> None:
         with kept(stage(batch) if stage else batch, "micro-batch") as rows:
             append_fact(
-                transform(rows) if transform else rows, fact, key, partition_by, before=before)
+                transform(rows) if transform else rows, fact, key, partition_by, before=before,
+                conflicts=f"{conflicts}/batch={number}" if conflicts else None)
             if refresh is not None:
                 taken = collect(rows) if collect else rows
                 taken.write.mode("overwrite").parquet(f"{pending}/batch={number}")
@@ -81,3 +85,5 @@ def run_incremental(
     if refresh is not None and exists(spark, pending):
         refresh(spark.read.parquet(pending).drop("batch"))
         drop_table(spark, pending)
+    elif refresh is not None and always:
+        refresh(None)

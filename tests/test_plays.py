@@ -129,7 +129,7 @@ def test_hourly_refresh_in_two_runs_equals_one(spark, events, catalog, tmp_path)
         for i, rows in enumerate(drops):
             write_json(rows, f"{tmp_path}/{out}/log/{i}")
             paths = refresh.run_hourly(spark, f"{tmp_path}/{out}/log", catalog, f"{tmp_path}/{out}/o")
-        return {k: sorted(map(str, spark.read.parquet(v).collect())) for k, v in paths.items()}
+        return {k: sorted(map(str, v.collect())) for k, v in refresh.read_tables(spark, paths).items()}
 
     known = events.where("userId <> ''")
     late, early = known.where("sessionId = 1"), known.where("sessionId = 2")

@@ -115,8 +115,8 @@ def test_a_failed_merge_leaves_the_table(spark, path):
 def test_a_swap_that_stopped_half_way_is_repaired(spark, path):
     df = spark.createDataFrame([(1, 1, "a")], "k int, o int, v string")
     tables.merge_table(df, path, ["k"], ["o"])
-    fs, p = tables._filesystem(spark, path)
-    _, old = tables._filesystem(spark, path + "__old")
+    fs, p = tables.filesystem(spark, path)
+    _, old = tables.filesystem(spark, path + "__old")
     fs.rename(p, old)
     tables.merge_table(spark.createDataFrame([(2, 1, "b")], df.schema), path, ["k"], ["o"])
     assert rows(spark, path) == [(1, "a"), (2, "b")]
