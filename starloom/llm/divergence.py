@@ -116,33 +116,49 @@ def share(count: Column, total: Column, kinds: Column) -> Column:
     return whole.cast("decimal(38,0)").cast("bigint") + F.lit(1)
 
 
+def _added(codes: list[np.ndarray], values: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct codes and the sums of their values."""
+    code, place = np.unique(np.concatenate(codes), return_inverse=True)
+    sums = np.zeros(len(code), np.int64)
+    np.add.at(sums, place, np.concatenate(values))
+    return code, sums
+
+
 def _both(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    held: dict[tuple[str, str, str], int] = {}
+    groups: dict[tuple[str, str], int] = {}
+    codes, values, size = [], [], 0
 
-    def out() -> pa.RecordBatch:
-        flat = [(*key, value) for key, value in held.items()]
-        kinds = [pa.string(), pa.string(), pa.string(), pa.int64()]
+    def out(code: np.ndarray, sums: np.ndarray) -> pa.RecordBatch:
+        names = list(groups)
+        pairs = [(names[a], names[b]) for a, b in zip((code >> 32).tolist(), (code & 0xFFFFFFFF).tolist())]
+        columns = [[a[0] for a, _ in pairs], *zip(*[sorted((a[1], b[1])) for a, b in pairs])]
         return pa.RecordBatch.from_arrays(
-            [pa.array(c, k) for c, k in zip(zip(*flat), kinds)], ["lang", "source", "item", "value"])
+            [*[pa.array(c, pa.string()) for c in columns], pa.array(sums)], ["lang", "source", "item", "value"])
 
     for batch in batches:
-        for lang, uses in zip(batch.column("lang"), batch.column("uses")):
-            uses = sorted((u["source"], u["share"], u["base"]) for u in uses.as_py())
-            names = [u[0] for u in uses]
-            p, b = (np.array([u[k] for u in uses], np.int64) for k in (1, 2))
-            step = max(1, COMPARED // max(len(uses), 1))
-            for start in range(0, len(uses), step):
-                i = np.arange(start, min(start + step, len(uses)))[:, None]
-                more = (np.abs(p[i] - p) - np.abs(p[i] - b) - np.abs(p - b[i]) + np.abs(b[i] - b))
-                for row, k in zip(more.tolist(), i[:, 0].tolist()):
-                    for j in range(k + 1, len(uses)):
-                        key = (lang.as_py(), names[k], names[j])
-                        held[key] = held.get(key, 0) + row[j]
-                    if len(held) >= HELD:
-                        yield out()
-                        held.clear()
-    if held:
-        yield out()
+        uses = batch.column("uses")
+        flat, ends = uses.flatten(), np.cumsum([len(u) for u in uses])
+        share, base = (flat.field(c).to_numpy() for c in ("share", "base"))
+        sources = flat.field("source").to_pylist()
+        for lang, begin, end in zip(batch.column("lang").to_pylist(), [0, *ends[:-1].tolist()], ends.tolist()):
+            p, b = share[begin:end], base[begin:end]
+            group = np.array([groups.setdefault((lang, s), len(groups)) for s in sources[begin:end]])
+            step = max(1, COMPARED // max(end - begin, 1))
+            for start in range(0, end - begin, step):
+                i, j = np.triu_indices(min(step, end - begin - start), 1 + start, end - begin)
+                i = i + start
+                more = np.abs(p[i] - p[j]) - np.abs(p[i] - b[j]) - np.abs(p[j] - b[i]) + np.abs(b[i] - b[j])
+                codes.append(np.minimum(group[i], group[j]) << 32 | np.maximum(group[i], group[j]))
+                values.append(more)
+                size += len(i)
+                if size >= 2 * COMPARED:
+                    code, sums = _added(codes, values)
+                    if len(code) >= COMPARED:
+                        yield out(code, sums)
+                        code, sums = code[:0], sums[:0]
+                    codes, values, size = [code], [sums], len(code)
+    if size:
+        yield out(*_added(codes, values))
 
 
 def _pairs(uses: DataFrame, groups: DataFrame) -> DataFrame:

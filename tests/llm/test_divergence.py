@@ -4,6 +4,8 @@ import random
 import re
 from collections import Counter, defaultdict
 
+import pyarrow as pa
+
 from starloom.llm import divergence
 from starloom.llm.divergence import audited, collapsed, term_counts
 
@@ -102,3 +104,26 @@ def test_large_counts_are_exact(spark):
 
 def test_empty(spark):
     assert audited(spark.createDataFrame([], SCHEMA)).collect() == []
+
+
+def test_pairs_add_up(monkeypatch):
+    rng = random.Random(9)
+    rows = [{"lang": rng.choice("ab"), "uses": [
+        {"source": s, "share": rng.randrange(10**9), "base": rng.randrange(10**6)} for s in rng.sample("uvwxyz", rng.randrange(7))]}
+        for _ in range(200)]
+    kind = pa.struct([("source", pa.string()), ("share", pa.int64()), ("base", pa.int64())])
+    batches = pa.table({"lang": [r["lang"] for r in rows], "uses": pa.array([r["uses"] for r in rows], pa.list_(kind))}
+                       ).to_batches(max_chunksize=30)
+    want = Counter()
+    for r in rows:
+        for a in r["uses"]:
+            for b in r["uses"]:
+                if a["source"] < b["source"]:
+                    p, q, x, y = a["share"], b["share"], a["base"], b["base"]
+                    want[r["lang"], a["source"], b["source"]] += abs(p - q) - abs(p - y) - abs(x - q) + abs(x - y)
+    for compared in (1 << 20, 3):
+        monkeypatch.setattr(divergence, "COMPARED", compared)
+        got = Counter()
+        for r in (r for b in divergence._both(iter(batches)) for r in b.to_pylist()):
+            got[r["lang"], r["source"], r["item"]] += r["value"]
+        assert dict(got) == dict(want)
