@@ -32,6 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
 from starloom.llm.filters import in_filter, key_filter, without
+from starloom.llm.registry import fresh
 from starloom.llm.shingles import _STEP, BLOCK, _pieces, blocks, mixed
 from starloom.llm.tokens import FIRST, INSIDE, NUMBER, tokens
 from starloom.session import written
@@ -231,6 +232,7 @@ def repeats(docs: DataFrame, items: DataFrame, cover: float = COVER) -> DataFram
 
 def clean(docs: DataFrame, items: DataFrame, cover: float = COVER) -> DataFrame:
     """The documents that repeat no item."""
-    found = written(repeats(docs, items, cover).select("text_key").distinct(), "repeats")
-    keyed = docs.withColumn("text_key", F.xxhash64(F.coalesce("text", F.lit(""))))
-    return without(keyed, "text_key", found).select(*docs.columns)
+    key = fresh("text_key", docs.columns)
+    found = written(repeats(docs, items, cover).select(F.col("text_key").alias(key)).distinct(), "repeats")
+    keyed = docs.withColumn(key, F.xxhash64(F.coalesce("text", F.lit(""))))
+    return without(keyed, key, found).select(*docs.columns)

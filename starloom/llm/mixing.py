@@ -13,7 +13,7 @@ that holds a third of all rows is dealt over many tasks. Only sums per slice mee
 Defined cases: a null text or one without words has size 0, takes nothing and has no position.
 Null is a source of its own, the last. Rows that repeat a doc_id are separate documents and are
 placed in order of size. An empty table gives an empty result. Extra columns are ignored by
-`placed` and kept by `training_set`.
+`placed` and kept by `training_set`, which also tells rows apart that are alike in all columns.
 """
 
 from __future__ import annotations
@@ -26,6 +26,7 @@ from starloom.operators.keys import dense_key
 from starloom.session import written
 
 WORD = r"[^\x20\x09-\x0D]+"
+UNFOLD = 1_000_000  # copies of one row that a task unfolds at once
 SLICE_DIGITS = 3  # hexadecimal digits of the random order: 4,096 slices of a source
 
 # Weights of the sources by code point, repeating, and how each changes from the begin (0) to
@@ -127,8 +128,10 @@ def _placed(
     sized: DataFrame, carry: list[str], weights=WEIGHTS, schedules=SCHEDULES, share: float = SHARE,
     limit: float = LIMIT, seed: str = "mix",
 ) -> DataFrame:
-    """`placed`, from (doc_id, source, size) and the columns in `carry`."""
-    key = F.md5(F.concat_ws(":", F.lit(seed), F.coalesce(F.col("doc_id").cast("string"), F.lit("-"))))
+    """`placed`, from (doc_id, source, size) and the columns in `carry`; `_name` stands for the
+    id in the random order, if it is there."""
+    name = F.col("_name") if "_name" in sized.columns else F.coalesce(F.col("doc_id").cast("string"), F.lit("-"))
+    key = F.md5(F.concat_ws(":", F.lit(seed), name))
     keyed = sized.withColumn("key", key).withColumn("slice", F.substring("key", 1, SLICE_DIGITS))
     sized = written(keyed, "sized")
     goal = targets(sized, weights, share, limit)
@@ -178,19 +181,30 @@ def training_set(docs: DataFrame, **options) -> DataFrame:
     """Each document once for every pass, with `pass`, `words` (of its text, from the front)
     and `position`, range-sorted by position. Documents that the mix leaves out are gone.
 
-    Rows with the same doc_id and text are one document here; of their other columns, the
-    smallest values stay.
+    Every row is a document. Rows that are alike in all columns are counted, so that they travel
+    as one, and numbered, so that each has its own place; the number and, without an id, the row's
+    digest stand in the random order, which spreads large groups of them. Columns of the names
+    `pass`, `words` and `position` are replaced, others of any name are kept.
     """
-    keyed = docs.withColumn("_key", F.xxhash64("doc_id", "text"))
     rest = [c for c in docs.columns if c not in ("doc_id", "text")]
-    once = keyed.groupBy("_key").agg(
-        F.first(F.struct("doc_id", "text")).alias("_a"), F.min(F.struct(*rest)).alias("_b"))
+    others = F.to_json(F.struct(*rest)) if rest else F.lit("")
+    rows = docs.select(
+        F.xxhash64("doc_id", "text", others).alias("_row"), F.struct(*docs.columns).alias("_doc"),
+        word_count(F.col("text")).alias("_size"))
     # The plan is made from the sizes alone; the texts are shuffled to meet it, and once more
     # into training order.
-    sized = keyed.withColumn("_size", word_count(F.col("text"))).groupBy("_key").agg(
-        F.first("doc_id").alias("doc_id"), F.min(F.struct(*rest)).alias("_b"), F.first("_size").alias("size"))
-    plan = _placed(sized.select("_key", "doc_id", "_b.source", "size"), ["_key"], **options)
-    plan = plan.select("_key", F.explode("passes").alias("_p")).select("_key", "_p.pass", "_p.words", "_p.position")
-    kept = [F.col(f"_a.{c}") if c in ("doc_id", "text") else F.col(f"_b.{c}")
-            for c in docs.columns if c not in ("pass", "words", "position")]
-    return by_position(once.join(plan, "_key").select(*kept, "pass", "words", "position"))
+    once = rows.groupBy("_row").agg(F.first("_doc").alias("_doc"))
+    counted = rows.select("_row", F.col("_doc.doc_id").alias("doc_id"), F.col("_doc.source").alias("source"),
+                          F.col("_size").alias("size"))
+    counted = counted.groupBy("_row", "doc_id", "source", "size").agg(F.count("*").alias("_copies"))
+    zero, step = F.lit(0).cast("bigint"), F.lit(UNFOLD).cast("bigint")
+    chunks = counted.withColumn("_from", F.explode(F.sequence(zero, F.col("_copies") - 1, step))).hint("rebalance")
+    upto = F.least(F.col("_from") + step, F.col("_copies")) - 1
+    sized = chunks.withColumn("_copy", F.explode(F.sequence(F.col("_from"), upto)))
+    name = F.coalesce(F.col("doc_id").cast("string"), F.concat(F.lit("-"), F.col("_row").cast("string")))
+    name = F.when(F.col("_copy") > 0, F.concat_ws(":", name, F.col("_copy").cast("string"))).otherwise(name)
+    sized = sized.select("_row", "_copy", "doc_id", "source", "size", name.alias("_name"))
+    plan = _placed(sized, ["_row", "_copy"], **options)
+    plan = plan.select("_row", F.explode("passes").alias("_p")).select("_row", "_p.pass", "_p.words", "_p.position")
+    kept = [F.col(f"_doc.`{c}`") for c in docs.columns if c not in ("pass", "words", "position")]
+    return by_position(once.join(plan, "_row").select(*kept, "pass", "words", "position"))

@@ -20,8 +20,8 @@ exact (up to 64-bit hashes). A list of more than LIST entries is dealt over pair
 Defined cases: null text and text without words have an empty set, link with nothing and are
 their own component. Fewer than five words: the whole sequence is the one shingle. Rows that
 repeat a doc_id or a text are rows of their own. A null doc_id takes part but names no
-component: if a component has no other, its id is null. Extra columns are ignored by `linked`
-and kept by `one_per_component`. An empty table gives an empty result.
+component: if a component has no other, its id is null. Extra columns, whatever their names, are
+ignored by `linked` and kept by `one_per_component`. An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from starloom.llm.components import components
-from starloom.llm.filters import bucket_counts, key_filter, split_by_filter, without
+from starloom.llm.filters import bucket_counts, key_filter, split_by_filter
 from starloom.llm.registry import arrow_rows
 from starloom.llm.shingles import WIDTH, shingle_hashes, shingle_sets, words
 from starloom.session import written
@@ -277,11 +277,20 @@ def dealt(lists: DataFrame, limit: int = LIST) -> DataFrame:
 
 def linked(docs: DataFrame, width: int = WIDTH, limit: int = LIST) -> DataFrame:
     """(doc_id, n_shingles, component_id) of every document."""
+    own = F.when(F.col("n") == 0, F.col("doc_id")).otherwise(F.col("component_id"))
+    return _linked(docs, width, limit).select(
+        "doc_id", F.col("n").cast("bigint").alias("n_shingles"), own.alias("component_id"))
+
+
+def _linked(docs: DataFrame, width: int, limit: int) -> DataFrame:
+    """(doc_id, text_key, n, component_id, head) of every document; the head is the first
+    (without id or not, doc_id, text_key) of its component, and null where n is 0."""
     docs = docs.select("doc_id", "text")
     index = written(indexed(docs, width), "index")
     classes = written(
         index.where("n > 0").groupBy("class").agg(
-            F.min("doc_id").alias("smallest"), F.min("text_key").alias("text_key")),
+            F.min("doc_id").alias("smallest"), F.min("text_key").alias("text_key"),
+            F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_key")).alias("head")),
         "classes",
     )
     once = index.where("n > 0").groupBy("class").agg(
@@ -320,14 +329,36 @@ def linked(docs: DataFrame, width: int = WIDTH, limit: int = LIST) -> DataFrame:
     roots = roots.select("node", F.coalesce("to", "root").alias("root"))
     whole = classes.join(roots.select(F.col("node").alias("class"), "root"), "class", "left")
     whole = written(whole.withColumn("root", F.coalesce("root", "class")), "whole")
-    names = whole.groupBy("root").agg(F.min("smallest").alias("component_id"))
-    names = written(whole.join(names, "root").select("class", "component_id"), "names")
-    rows = index.select("doc_id", "n", "class").join(names, "class", "left")
-    own = F.when(F.col("n") == 0, F.col("doc_id")).otherwise(F.col("component_id"))
-    return rows.select("doc_id", F.col("n").cast("bigint").alias("n_shingles"), own.alias("component_id"))
+    names = whole.groupBy("root").agg(F.min("smallest").alias("component_id"), F.min("head").alias("head"))
+    names = written(whole.drop("head").join(names, "root").select("class", "component_id", "head"), "names")
+    return index.select("doc_id", "text_key", "n", "class").join(names, "class", "left").drop("class")
 
 
-def one_per_component(docs: DataFrame, width: int = WIDTH) -> DataFrame:
-    """The documents whose id names their component. Documents without an id stay."""
-    links = written(linked(docs, width), "links")
-    return without(docs, "doc_id", links.where("doc_id <> component_id").select("doc_id"))
+def one_per_component(docs: DataFrame, width: int = WIDTH, limit: int = LIST) -> DataFrame:
+    """Exactly one document of each component: the one with the smallest doc_id, then text key.
+
+    Documents without an id come last. Of rows that repeat both, the one with the smallest source
+    and other columns stays. Documents without words are linked to nothing and all stay.
+    """
+    links = written(_linked(docs, width, limit).where("n > 0"), "links")
+    first = F.col("doc_id").eqNullSafe(F.col("head.doc_id")) & (F.col("text_key") == F.col("head.text_key"))
+    pairs = links.select("doc_id", "text_key", first.alias("first")).groupBy("doc_id", "text_key", "first").agg(
+        F.count("*").alias("n"))
+    # All rows of other pairs go; of a first pair that repeats, one row stays.
+    key = F.xxhash64("doc_id", "text_key")
+    changed = written(
+        pairs.where("not first or n > 1").select(
+            key.alias("key"), F.col("doc_id").alias("of"), F.col("text_key").alias("of_text"), "first"),
+        "changed")
+    rows = docs.select(
+        F.struct(*docs.columns).alias("doc"), F.col("doc_id").cast("bigint").alias("doc_id"),
+        F.xxhash64(F.coalesce("text", F.lit(""))).alias("text_key")).withColumn("key", key)
+    maybe, clear = split_by_filter(rows, "key", key_filter(changed.select("key")))
+    same = F.col("doc_id").eqNullSafe(F.col("of")) & (F.col("text_key") == F.col("of_text"))
+    met = maybe.join(changed.withColumnRenamed("key", "of_key"), (F.col("key") == F.col("of_key")) & same, "left")
+    rest = [c for c in docs.columns if c not in ("doc_id", "text")]
+    rest = sorted(rest, key=lambda c: c != "source")
+    place = F.to_json(F.struct(*[F.col(f"doc.`{c}`") for c in rest])) if rest else F.lit("")
+    again = met.where("first").groupBy("doc_id", "text_key").agg(F.min_by("doc", place).alias("doc"))
+    kept = clear.select("doc").unionByName(met.where("of_key IS NULL").select("doc")).unionByName(again.select("doc"))
+    return kept.select(*[F.col(f"doc.`{c}`") for c in docs.columns])

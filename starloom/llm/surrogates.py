@@ -264,8 +264,13 @@ def entities(text: Column) -> Column:
 
 
 def replaced(docs: DataFrame, key: str = KEY) -> DataFrame:
-    """The documents with surrogates, their columns and `n_entities`."""
-    columns = docs.columns
+    """The documents with surrogates, their columns and `n_entities`, which replaces such a column.
+
+    Other columns of any name are carried along.
+    """
+    columns = [c for c in docs.columns if c.lower() != "n_entities"]
+    rest = [c for c in columns if c != "text"]
+    docs = docs.select("text", F.struct(*rest).alias("_rest")) if rest else docs.select("text", F.lit(None).alias("_rest"))
     hint = hinted(F.col("text"))
     seen = docs.where(hint).withColumn("_found", entities(F.col("text")))
     held = written(
@@ -291,8 +296,9 @@ def replaced(docs: DataFrame, key: str = KEY) -> DataFrame:
         F.array_sort(F.collect_list(F.struct("at", "new"))).alias("new"))
     filled = F.zip_with(
         "_pieces", F.transform("new", lambda x: x["new"]), lambda p, n: F.concat(p, F.coalesce(n, F.lit(""))))
-    done = held.join(lists, "_row").withColumn("text", F.array_join(filled, "")).select(
-        *columns, F.size("_found").cast("bigint").alias("n_entities"))
+    done = held.join(lists, "_row").select(
+        F.array_join(filled, "").alias("text"), "_rest", F.size("_found").cast("bigint").alias("n_entities"))
     none = ~hint | ~F.col("text").rlike(ENTITY)
-    same = docs.where(none).select(*columns, F.lit(0).cast("bigint").alias("n_entities"))
-    return same.unionByName(done)
+    same = docs.where(none).select("text", "_rest", F.lit(0).cast("bigint").alias("n_entities"))
+    both = same.unionByName(done)
+    return both.select(*["text" if c == "text" else F.col(f"_rest.`{c}`") for c in columns], "n_entities")

@@ -103,3 +103,11 @@ def test_query_finds_every_whole_item(spark):
     want = {(d.doc_id, i.item_id) for d in docs for i in items if plain(i.text) in plain(d.text)}
     got = {(r.doc_id, r.item_id) for r in QUERIES["op1_decontaminate_templates"](spark, sf_dir).collect()}
     assert got == want and want
+
+
+def test_clean_keeps_columns_of_any_name(spark):
+    item = "How many loaves does the old baker sell on a long summer morning in town"
+    docs = spark.createDataFrame([(1, "a quite different text", "mine"), (2, item, "mine")],
+                                 "doc_id bigint, text string, text_key string")
+    items = spark.createDataFrame([(1, item)], "item_id bigint, text string")
+    assert [tuple(r) for r in clean(docs, items).collect()] == [(1, "a quite different text", "mine")]

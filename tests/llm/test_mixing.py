@@ -81,6 +81,27 @@ def test_placed_matches_a_plain_loop(spark, shape):
     assert placed(docs.limit(0)).collect() == [] and training_set(docs.limit(0)).collect() == []
 
 
+def test_every_row_is_a_document(spark):
+    """Rows without an id, rows of one id and text, and rows that are alike in all columns."""
+    rows = [(None, "x y", "s", "a"), (None, "x y", "t", "a"), (1, "p q r", "s", "b"), (1, "p q r", "s", "b"),
+            (1, "p q r", "t", "c"), *[(2, "w w", "u", "d")] * 40, (3, "", "s", "e")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, source string, _row string")
+    sample = training_set(docs)
+    assert sample.columns == ["doc_id", "text", "source", "_row", "pass", "words", "position"]
+    _, target = brute_force([r[:3] for r in rows])
+    taken, times = {}, {}
+    for r in sample.collect():
+        taken[r.source] = taken.get(r.source, 0) + r.words
+        times[tuple(r)[:4] + (r["pass"],)] = times.get(tuple(r)[:4] + (r["pass"],), 0) + 1
+    assert all(abs(taken.get(s, 0) - t) <= 1 for s, t in target.items())
+    # as often as it is there, in the first pass of a source that is read whole
+    whole = {s: sum(len(WORD.findall(r[1])) for r in rows if r[2] == s) for s in target}
+    for row in set(rows):
+        if target[row[2]] >= whole[row[2]] and row[1]:
+            assert times[(*row, 0)] == rows.count(row)
+    assert {row[3] for row in times} == {"a", "b", "c", "d"}
+
+
 def test_query_repeats_and_meets_targets(spark):
     from starloom.llm.queries import QUERIES
 

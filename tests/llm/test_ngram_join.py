@@ -97,11 +97,29 @@ def test_odd_rows(spark):
     kept = one_per_component(docs)
     assert kept.columns == docs.columns
     ids = sorted((r.doc_id for r in kept.select("doc_id").collect()), key=str)
-    assert ids == sorted([1, 2, 3, 4, 6, 8, 10, -1, None, None], key=str)
+    assert ids == sorted([1, 2, 3, 4, 6, 8, 10, -1, None], key=str)
     assert linked(docs.limit(0)).collect() == []
     assert one_per_component(docs.limit(0)).collect() == []
 
 
+def test_one_row_of_each_component_stays(spark):
+    """Repeated ids, missing ids and repeated rows lose no text and leave one row of each group."""
+    a = " ".join(f"a{k}" for k in range(40))
+    b = " ".join(f"b{k}" for k in range(40))
+    c = " ".join(f"c{k}" for k in range(40))
+    rows = [(5, a, "s2", "x"), (5, b, "s1", "x"), (3, b + " more", "s1", "x"), (9, a + " one", "s1", "x"),
+            (None, c, "s", "x"), (None, c, "t", "x"), (None, c + " end", "r", "x"), (None, "", "s", "x"), (None, "", "s", "x"),
+            (7, "alone", "s2", "x"), (7, "alone", "s1", "z"), (7, "alone", "s1", "y"), (7, "alone", "s1", "y")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, source string, key string")
+    kept = one_per_component(docs).collect()
+    by = {}
+    for r in kept:
+        by.setdefault((r.text or "")[:2], []).append(tuple(r))
+    assert by["a0"] == [rows[0]] and by["b0"] == [rows[2]] and by["al"] == [rows[11]]
+    assert len(by["c0"]) == 1 and by["c0"][0][1] in (c, c + " end") and len(by[""]) == 2
+    assert len(kept) == 6
+
+
 def test_components(spark):
     edges = [(i, i + 1) for i in range(40)] + [(100, k) for k in range(101, 160)] + [(7, 7), (300, 299)]
     got = {r.node: r.root for r in components(spark.createDataFrame(edges, "a bigint, b bigint")).collect()}

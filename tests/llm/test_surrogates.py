@@ -113,3 +113,13 @@ def test_query_hides_everything_found(spark):
             assert r.text == docs[r.doc_id]
         pairs |= set(zip((x.lower() for x in old), (x.lower() for x in plain.findall(r.text))))
     assert len({a for a, _ in pairs}) == len(pairs) == len({b for _, b in pairs})
+
+
+def test_columns_with_clashing_names(spark):
+    names = ["n_entities", "_found", "_row", "_pieces", "_rest", "new", "value", "text_key"]
+    docs = spark.createDataFrame([(1, "mail jane.doe@x.com", *names), (2, "nothing", *names)],
+                                 "doc_id bigint, text string, " + ", ".join(f"{n} string" for n in names))
+    out = {r.doc_id: r for r in replaced(docs).collect()}
+    assert replaced(docs).columns == ["doc_id", "text", *names[1:], "n_entities"]
+    assert out[1].n_entities == 1 and out[2].n_entities == 0 and "jane" not in out[1].text
+    assert all(out[1][n] == n for n in names[1:])
