@@ -74,6 +74,11 @@ def likeness(a: Column, b: Column) -> Column:
     return F.when(union == 0, F.lit(1.0)).otherwise(common / union)
 
 
+def shortened(sketch: Column) -> Column:
+    """The lower halves of the hashes, enough to tell those of two texts apart."""
+    return F.transform(sketch, lambda h: (h % F.lit(1 << 31)).cast("int"))
+
+
 def fingerprint(sketch: Column) -> Column:
     """16 hexadecimal digits for each hash."""
     return F.array_join(F.transform(sketch, lambda h: F.lpad(F.hex(h), 16, "0")), "")
@@ -108,8 +113,8 @@ def edited_fingerprints(docs: DataFrame) -> DataFrame:
     In the edited text, the last half of the code points (rounded down) is replaced by the first
     as many (or all) of the next document in order of descending doc_id.
 
-    The texts are shuffled once. Each then sends the front of itself and its sketch, which the
-    document before it needs, to that document.
+    The texts are shuffled once. Each then sends the front of itself and its sketch (by the lower
+    32 bits of its hashes), which the document before it needs, to that document.
     """
     rows = docs.select(F.col("doc_id").cast("bigint"), F.coalesce("text", F.lit("")).alias("text"))
     rows = rows.withColumn("key", F.xxhash64("doc_id", "text"))
@@ -121,14 +126,14 @@ def edited_fingerprints(docs: DataFrame) -> DataFrame:
     half = F.floor(F.col("next_of_n") / 2).cast("int")
     sent = own.select(
         F.col("next_of").alias("key"), F.substr(F.col("text"), F.lit(1), half).alias("front"),
-        F.col("sketch").alias("next_sketch"))
+        shortened(F.col("sketch")).alias("next_sketch"))
     # Of several copies of a row, all but the last are followed by a copy.
     half = F.floor(F.col("n") / 2).cast("int")
     copy = F.substr(F.col("text"), F.lit(1), half)
     steps = F.array(F.struct(F.lit(1).cast("bigint").alias("times"), F.col("front").alias("front"),
                              F.col("next_sketch").alias("other")),
                     F.struct((F.col("copies") - 1).alias("times"), copy.alias("front"),
-                             F.col("sketch").alias("other")))
+                             shortened(F.col("sketch")).alias("other")))
     both = own.join(sent, "key").withColumn("step", F.explode(F.filter(steps, lambda s: s["times"] > 0)))
     kept = F.substr(F.col("text"), F.lit(1), (F.col("n") - half).cast("int"))
     both = both.select("doc_id", "n", "sketch", "step.times", "step.other",
@@ -139,6 +144,6 @@ def edited_fingerprints(docs: DataFrame) -> DataFrame:
         fingerprint(F.col("sketch")).alias("fingerprint"),
         fingerprint(F.col("edited_sketch")).alias("edited_fingerprint"),
         likeness(F.col("sketch"), F.col("edited_sketch")).alias("near_edited"),
-        likeness(F.col("sketch"), F.col("other")).alias("near_next"), "times",
+        likeness(shortened(F.col("sketch")), F.col("other")).alias("near_next"), "times",
     )
     return out.withColumn("times", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("times")))).drop("times")
