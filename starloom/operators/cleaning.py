@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import re
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import StringType
 
 from starloom.functions.text import blank_to_null, empty_to_null
+from starloom.operators.tables import filesystem
 
 
 def rename(df: DataFrame, names: dict[str, str]) -> DataFrame:
@@ -63,14 +65,37 @@ def any_column_rlike(df: DataFrame, pattern: str) -> DataFrame:
     return df.where(reduce(Column.__or__, hits))
 
 
-def latest_window(df: DataFrame, ts: str, interval: str = "1 week") -> DataFrame:
+def newest_month(df: DataFrame, ts: str, path: str) -> tuple[int, int] | None:
+    """The newest of the folders year=.../month=... that holds a time; None if none does.
+
+    The folders are listed, not read. From the newest on, each is asked for one row with a time, so
+    as a rule a single file is opened.
+    """
+    fs, folders = filesystem(df.sparkSession, f"{path.rstrip('/')}/year=*/month=*")
+    names = [status.getPath().toString() for status in fs.globStatus(folders) or []]
+    found = [re.search(r"/year=(\d+)/month=(\d+)$", name) for name in names]
+    for year, month in sorted({(int(f[1]), int(f[2])) for f in found if f}, reverse=True):
+        rows = df.where((F.col("year") == year) & (F.col("month") == month) & F.col(ts).isNotNull())
+        if not rows.isEmpty():
+            return year, month
+    return None
+
+
+def latest_window(df: DataFrame, ts: str, interval: str = "1 week", path: str | None = None) -> DataFrame:
     """Rows no older than `interval` before the newest one.
 
     The newest time is an uncorrelated scalar subquery: one aggregate over one column, whose
     result reaches the scan of `df` as a range filter. If the table has folders by `year` and
-    `month`, only those of the interval are opened.
+    `month`, only those of the interval are opened; with the `path` of those folders, the newest
+    time is looked for in the newest of them alone.
     """
-    newest = df.select(F.max(ts)).scalar()
+    source = df
+    if path is not None:
+        month = newest_month(df, ts, path)
+        if month is None:
+            return df.where(F.lit(False))
+        source = df.where((F.col("year") == month[0]) & (F.col("month") == month[1]))
+    newest = source.select(F.max(ts)).scalar()
     oldest = newest - F.expr(f"INTERVAL {interval}")
     rows = df.where(F.col(ts).between(oldest, newest))
     if {"year", "month"} <= set(df.columns):

@@ -84,8 +84,8 @@ def bucket_table(
     """Save as a bucketed table for joins without a shuffle.
 
     One task writes one bucket, and one joins it later: `largest_bucket_share` tells before
-    whether a hot key makes a bucket too large. `distribute_sort` is the layout for such a key;
-    its joins shuffle, and AQE splits them.
+    whether a hot key makes a bucket too large. `hot_keys.split_table` is the layout for such a
+    key, or `distribute_sort`, whose joins shuffle and are split by AQE.
     """
-    (df.repartition(buckets, *keys).write.mode("overwrite").option("path", path)
-     .bucketBy(buckets, *keys).sortBy(*sort).saveAsTable(table))
+    writer = df.repartition(buckets, *keys).write.mode("overwrite").option("path", path).bucketBy(buckets, *keys)
+    (writer.sortBy(*sort) if sort else writer).saveAsTable(table)

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from starloom.operators import aggregates, keys, layout, merge
+from starloom.operators.identity import append_numbered
+from starloom.operators.snapshots import read_snapshot
 from starloom.plans.plays import plays_of
 from starloom.queries import shapes
 from starloom.queries.registry import query
@@ -197,6 +199,20 @@ def key_dense_copies(t):
     return keys.dense_key(rows, ["event_type"], "id", start=1, unique=False)
 
 
+@query(
+    "key_dense_appended",
+    """SELECT event_id, user_id, row_number() OVER (ORDER BY event_id % 3, ts, event_id) - 1 AS id
+       FROM events""",
+)
+def key_dense_appended(t):
+    """Three batches and a rerun of the second: rows keep their numbers and there is no gap."""
+    path = t.folder("numbered")
+    events = t("events").select("event_id", "user_id", "ts")
+    for i in (0, 1, 2, 1):
+        append_numbered(events.where(F.pmod("event_id", F.lit(3)) == i), path, f"drop-{i}", ["ts", "event_id"])
+    return read_snapshot(t.spark, path).drop("ts")
+
+
 @query(
     "key_monotonic",
     "SELECT event_type, count(*) AS n_rows, count(*) AS n_ids FROM events GROUP BY event_type",

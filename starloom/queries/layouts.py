@@ -6,7 +6,7 @@ import uuid
 
 from pyspark.sql import functions as F
 
-from starloom.operators import layout
+from starloom.operators import hot_keys, layout
 from starloom.queries.registry import query
 
 LINES = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity"]
@@ -65,6 +65,42 @@ def layout_bucketed_join(t):
     return orders.join(lines, orders.o_orderkey == lines.l_orderkey).drop("l_orderkey")
 
 
+def _hot_lines(t):
+    """Lines of which those of every third order are of the first order."""
+    first = t("orders").agg(F.min("o_orderkey")).first()[0]
+    key = F.when(F.col("l_orderkey") % 3 == 0, F.lit(first)).otherwise(F.col("l_orderkey"))
+    return t("lineitem").select(key.alias("l_orderkey"), "l_linenumber", "l_quantity")
+
+
+HOT_LINES_SQL = """SELECT CASE WHEN l_orderkey % 3 = 0 THEN (SELECT min(o_orderkey) FROM orders) ELSE l_orderkey END
+    AS l_orderkey, l_linenumber, l_quantity FROM lineitem"""
+
+
+@query("layout_cluster_hot", HOT_LINES_SQL)
+def layout_cluster_hot(t):
+    """A bucketed table of which one key holds a third of the rows."""
+    lines = _hot_lines(t)
+    hot = hot_keys.shared_hot([(lines, ["l_orderkey"])], 1 / 8)
+    split = hot_keys.split_table(
+        lines, f"hot_{uuid.uuid4().hex}", t.folder("hot"), ["l_orderkey"], ["l_linenumber"], 8, hot)
+    return split.rows(t.spark)
+
+
+@query(
+    "layout_bucketed_join_hot",
+    f"SELECT o_orderkey, o_custkey, l_linenumber, l_quantity FROM orders JOIN ({HOT_LINES_SQL}) AS l "
+    "ON o_orderkey = l_orderkey",
+)
+def layout_bucketed_join_hot(t):
+    """The buckets are joined without a shuffle, the rows of the hot key apart from them."""
+    orders, lines = t("orders").select("o_orderkey", "o_custkey"), _hot_lines(t)
+    hot = hot_keys.shared_hot([(orders, ["o_orderkey"]), (lines, ["l_orderkey"])], 1 / 8)
+    run = uuid.uuid4().hex
+    left = hot_keys.split_table(lines, f"l_{run}", t.folder("l"), ["l_orderkey"], ["l_linenumber"], 8, hot)
+    right = hot_keys.split_table(orders, f"o_{run}", t.folder("o"), ["o_orderkey"], [], 8, hot)
+    return hot_keys.join_split(t.spark, left, right).drop("l_orderkey")
+
+
 @query(
     "layout_repartition_by_columns",
     "SELECT o_orderkey, o_custkey, year(o_orderdate)::int AS year, month(o_orderdate)::int AS month "

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from starloom.contracts import TableContract
 from starloom.operators import tables
+from starloom.operators.snapshots import read_snapshot, replace_snapshot
 from starloom.queries.registry import query
 from starloom.queries.scans import EVENTS, EVENTS_SQL
 from starloom.sources import files
@@ -104,15 +105,35 @@ def load_append_fact_partitioned(t):
 def load_truncate_insert(t):
     """A dimension built from the first half of the orders, then rebuilt from all."""
     path = t.folder("dimension")
+    for rows in _halves(t):
+        replace_snapshot(_dimension(rows), path)
+    return read_snapshot(t.spark, path)
+
+
+def _halves(t):
     orders = t("orders")
-    half = orders.count() // 2
+    return orders.where(F.col("o_orderkey") < orders.count() // 2), orders
 
-    def dimension(rows):
-        return rows.groupBy("o_custkey", "o_orderpriority").agg(F.count("*").alias("n_orders"))
 
-    tables.load_dimension(dimension(orders.where(F.col("o_orderkey") < half)), path)
-    tables.load_dimension(dimension(orders), path)
-    return t.spark.read.parquet(path)
+def _dimension(rows):
+    return rows.groupBy("o_custkey", "o_orderpriority").agg(F.count("*").alias("n_orders"))
+
+
+@query(
+    "load_truncate_insert_versions",
+    """SELECT 1 AS version, o_custkey, o_orderpriority, count(*) AS n_orders FROM orders
+       WHERE o_orderkey < (SELECT count(*) // 2 FROM orders) GROUP BY ALL
+       UNION ALL SELECT 2, o_custkey, o_orderpriority, count(*) FROM orders GROUP BY ALL""",
+)
+def load_truncate_insert_versions(t):
+    """A reader of the old version goes on reading it after the new one is there."""
+    path = t.folder("versions")
+    readers = []
+    for rows in _halves(t):
+        replace_snapshot(_dimension(rows), path)
+        readers.append(read_snapshot(t.spark, path))
+    old, new = (r.withColumn("version", F.lit(k + 1)) for k, r in enumerate(readers))
+    return old.unionByName(new)
 
 
 ORDER_TABLE = TableContract(

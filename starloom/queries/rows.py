@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from starloom.functions.text import blank_to_null
 from starloom.functions.timeparts import on_day, within_years
 from starloom.operators import cleaning
+from starloom.operators.tables import write_table
 from starloom.queries import shapes
 from starloom.queries.registry import query
 from starloom.sources.files import country_codes, port_codes
@@ -155,6 +156,20 @@ def filter_latest_interval(t):
     return cleaning.latest_window(t("events"), "ts").select("event_id", "ts")
 
 
+@query(
+    "filter_latest_interval_folders",
+    "SELECT event_id, ts FROM events WHERE ts BETWEEN (SELECT max(ts) FROM events) "
+    "- INTERVAL '1 week' AND (SELECT max(ts) FROM events)",
+)
+def filter_latest_interval_folders(t):
+    """On a table by month: the newest time is looked for in the newest folder alone."""
+    path = t.folder("events-by-month")
+    rows = t("events").select("event_id", "ts", F.year("ts").alias("year"), F.month("ts").alias("month"))
+    write_table(rows, path, ["year", "month"])
+    stored = t.spark.read.schema("event_id bigint, ts timestamp_ntz, year int, month int").parquet(path)
+    return cleaning.latest_window(stored, "ts", path=path).select("event_id", "ts")
+
+
 @query(
     "filter_valid_code",
     f"""WITH {shapes.PORTS_SQL}, {shapes.COUNTRIES_SQL}, {shapes.ARRIVALS_SQL}

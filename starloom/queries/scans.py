@@ -7,10 +7,11 @@ from pyspark.sql import DataFrame, functions as F
 from starloom.contracts import TableContract
 from starloom.functions.timeparts import timestamp_to_epoch_ms
 from starloom.operators.keys import monotonic_key
-from starloom.operators.tables import write_csv_quoted, write_json, write_table
+from starloom.operators.tables import drop_table, write_csv_quoted, write_json, write_table
 from starloom.queries import shapes
 from starloom.queries.registry import query
 from starloom.sources import files, staging
+from starloom.sources.manifest import replay
 
 EVENTS = TableContract(
     "events",
@@ -111,6 +112,34 @@ def scan_incremental(t):
     return one.unionByName(rest.where(F.col("ts") >= after))
 
 
+_DAY = "strftime(ts, '%Y-%m-%d')"
+
+
+@query(
+    "scan_replay",
+    f"""WITH days AS (SELECT *, {_DAY} AS run, dense_rank() OVER (ORDER BY {_DAY}) AS d FROM events)
+    SELECT event_id, ts, user_id, event_type, CASE WHEN d = 1 THEN value * 2 ELSE value END AS value, props, run
+    FROM days WHERE d <> 3
+    UNION ALL SELECT event_id + 1000000000, ts, user_id, event_type, value, props, run FROM days
+    WHERE d = 2 AND event_id % 2 = 0""",
+)
+def scan_replay(t):
+    """Daily runs of which one is written anew, one gets a late file and one is taken back."""
+    root, table, manifest = t.folder("replayed"), t.folder("replayed-table"), t.folder("manifest")
+    events = t("events").withColumn("day", F.date_format("ts", "yyyy-MM-dd"))
+    (events.hint("rebalance", "day").write.partitionBy("day")
+     .option("timestampNTZFormat", files.MICROS).json(root))
+    replay(t.spark, root, r"/day=([^/]+)/", EVENTS, table, manifest)
+    first, second, third = (r.day for r in events.select("day").distinct().orderBy("day").take(3))
+    write_json(events.where(F.col("day") == first).drop("day").withColumn("value", F.col("value") * 2),
+               f"{root}/day={first}")
+    late = events.where((F.col("day") == second) & (F.col("event_id") % 2 == 0)).drop("day")
+    write_json(late.withColumn("event_id", F.col("event_id") + 1_000_000_000), f"{root}/day={second}/late")
+    drop_table(t.spark, f"{root}/day={third}")
+    replay(t.spark, root, r"/day=([^/]+)/", EVENTS, table, manifest)
+    return t.spark.read.schema(f"{EVENTS.columns}, run string").parquet(table)
+
+
 # --- staging ---
 
 STAGED = TableContract(
@@ -219,6 +248,38 @@ def stage_max_error(t):
     return _shown(staging.enforce_max_error(staged, max_error=t("events").count()))
 
 
+def _faulty_lines(t) -> DataFrame:
+    """Lines that are cut short, lack a required value or hold one of another type."""
+    n = F.col("event_id")
+    rows = t("events").select(
+        n.alias("N"), F.when(F.pmod(n, F.lit(89)) != 3, n).alias("Event_ID"),
+        F.col("user_id").cast("string").alias("User_Id"), F.col("event_type").alias("EVENT_TYPE"),
+        F.when(F.pmod(n, F.lit(83)) == 7, F.lit("x")).otherwise(F.col("value").cast("string")).alias("Value"))
+    whole = F.to_json(F.struct("*"))
+    cut = F.expr("substring(line, 1, length(line) - 5)")
+    return rows.select("N", whole.alias("line")).select(
+        F.when(F.pmod("N", F.lit(97)) == 5, cut).otherwise(F.col("line")).alias("value"))
+
+
+@query(
+    "stage_rejects",
+    f"""SELECT event_id AS n, NULL::VARCHAR AS "column", '{staging.NOT_JSON}' AS reason FROM events WHERE event_id % 97 = 5
+    UNION ALL SELECT event_id, 'event_id', '{staging.EMPTY}' FROM events WHERE event_id % 89 = 3 AND event_id % 97 <> 5
+    UNION ALL SELECT event_id, 'value', '{staging.TYPE}' FROM events WHERE event_id % 83 = 7 AND event_id % 97 <> 5
+    UNION ALL SELECT count(*), 'rows loaded', '' FROM events
+    WHERE NOT (event_id % 97 = 5 OR event_id % 89 = 3 OR event_id % 83 = 7)""",
+)
+def stage_rejects(t):
+    """What is wrong with each line that a load set aside, and how many rows it loaded."""
+    lines = staging.read_lines(t.spark, _written_lines(t, _faulty_lines(t)), "*", arrival=True)
+    path = t.folder("load")
+    staging.load_lines(lines, STAGED, path, **PLAIN)
+    number = F.regexp_extract("text", r'"N":(\d+)', 1).cast("bigint")
+    told = staging.rejects(t.spark, path).select(number.alias("n"), "column", "reason")
+    rows = staging.loaded(t.spark, path, STAGED).agg(F.count("*").alias("n"))
+    return told.unionByName(rows.select("n", F.lit("rows loaded").alias("column"), F.lit("").alias("reason")))
+
+
 @query(
     "stage_replace_invalid_chars",
     "SELECT doc_id, md5(source || '?' || text) AS text_md5, "

@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import functions as F
 
 from starloom.contracts import SONG_CATALOG, USERS
 from starloom.operators.merge import last_wins
 from starloom.operators.snapshots import merge_snapshot, read_snapshot
 from starloom.operators.tables import filesystem, write_json
-from starloom.plans import arrivals, plays, query_tables, refresh
+from starloom.plans import arrivals, catalogs, plays, query_tables, refresh
 from starloom.queries import shapes
 from starloom.queries.joins import DIMS_SQL, FIRST_SQL, TEMP_SQL
 from starloom.queries.registry import query
@@ -432,6 +434,30 @@ def pipe_arrivals_star_demographics(t):
     return arrivals_star(t)["dim_city_demos"]
 
 
+# --- the catalog as a stream of files ---
+
+def _streamed_catalog(t, name):
+    """The arrived catalog in three drops, the newest rows first, merged run by run."""
+    root = t.folder("catalog-stream")
+    rows = shapes.arrived_catalog(t)
+    ordered = replace(SONG_CATALOG, columns=f"{SONG_CATALOG.columns}, _order bigint")
+    for i in (2, 0, 1):
+        write_json(rows.where(F.pmod("_order", F.lit(3)) == i), f"{root}/in/drop={i}")
+        dims = catalogs.run_catalog(
+            t.spark, f"{root}/in", root, order=["_order"], contract=ordered, buckets=8, files_per_batch=2)
+    return dims[name]
+
+
+@query("pipe_song_dims_stream", f"WITH {shapes.ARRIVED_SQL} {SONGS_ARRIVED_SQL}")
+def pipe_song_dims_stream(t):
+    return _streamed_catalog(t, "songs")
+
+
+@query("pipe_song_dims_artists_stream", f"WITH {shapes.ARRIVED_SQL} {ARTISTS_ARRIVED_SQL}")
+def pipe_song_dims_artists_stream(t):
+    return _streamed_catalog(t, "artists")
+
+
 # --- incremental ---
 
 def _drop(rows, path):

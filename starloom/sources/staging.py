@@ -2,19 +2,21 @@
 
 One JSON parse per line yields all fields as text; they are mapped to the columns of a
 contract, cleaned, cut and cast. A line is bad if it is not JSON, if a value does not fit its
-type, or if a NOT NULL column is empty.
+type, or if a NOT NULL column is empty. `load_lines` stores good lines and bad ones, with what is
+wrong with them, in one read.
 """
 
 from __future__ import annotations
 
 import re
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
-from pyspark.sql.types import DataType, DecimalType, IntegralType, StringType
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
+from pyspark.sql.types import DataType, DecimalType, IntegralType, StringType, StructType
 
 from starloom.contracts import TableContract
 from starloom.functions.numbers import fit_decimal
 from starloom.functions.text import blank_to_null, empty_to_null, truncate
+from starloom.operators.tables import drop_table, exists
 from starloom.session import written
 from starloom.sources.files import ARRIVAL, arrival_order
 
@@ -22,6 +24,9 @@ BAD = "_bad"
 # Number of a line. A filter that uses it stays above the parse: without it the optimizer would
 # move the check for bad lines below, and every line would be parsed twice.
 LINE = "_line"
+# A bad line itself, and what is wrong with it: (column, reason) for each fault.
+RAW, ERRORS = "_raw", "_errors"
+NOT_JSON, EMPTY, TYPE = "not a JSON record", "empty, but required", "does not fit the type"
 
 
 def replace_invalid_utf8(text: Column, substitute: str = "�") -> Column:
@@ -101,18 +106,23 @@ def stage_lines(
     length_unit: str = "chars",
     replace_invalid: str | None = "�",
     decimal_mode: str = "truncate",
+    reasons: bool = False,
 ) -> DataFrame:
     """Columns of the contract plus `_bad` and `_line`, from text lines (column `value`).
 
     `mapping` is "auto" (by name, in any letter case), "exact" (by name) or a list of JSON paths
     in column order. Each step is its own projection, so no value is computed twice. Lines
     without a character other than blanks are no lines. The order of arrival is kept, if given.
+    With `reasons`, `_errors` tells what is wrong with a bad line and `_raw` is that line.
     """
     extra = [ARRIVAL] if ARRIVAL in lines.columns else []
+    kept_columns, extra = extra, extra + [RAW] * reasons
     lines = lines.where(F.trim("value", F.lit(" \t\r")) != "")
     if replace_invalid is not None:
         fixed = replace_invalid_utf8(F.col("value"), replace_invalid).alias("value")
-        lines = lines.select(fixed, *extra)
+        lines = lines.select(fixed, *kept_columns)
+    if reasons:
+        lines = lines.withColumn(RAW, F.col("value"))
     fields = list(contract.schema)
     clean = blank_to_null if blanks_as_null else empty_to_null if empty_as_null else None
     rows = _raw_fields(lines, [f.name for f in fields], mapping, extra)
@@ -132,14 +142,87 @@ def stage_lines(
             bad = bad | F.col(f.name).isNull()
         elif f.name in texts:
             bad = bad | (F.col(texts[f.name]).isNotNull() & F.col(f.name).isNull())
+    bad = F.coalesce(bad, F.lit(False))
+    told = [_errors(fields, contract, texts, bad), F.when(bad, F.col(RAW)).alias(RAW)] if reasons else []
     return rows.select(
         *[f.name for f in fields],
-        *extra,
-        F.coalesce(bad, F.lit(False)).alias(BAD),
+        *kept_columns,
+        *told,
+        bad.alias(BAD),
         F.monotonically_increasing_id().alias(LINE),
     )
 
 
+def _errors(fields: list, contract: TableContract, texts: dict[str, str], bad: Column) -> Column:
+    """The faults of a line; of one that is not JSON only that."""
+    def fault(column: str | None, reason: str) -> Column:
+        return F.struct(F.lit(column).cast("string").alias("column"), F.lit(reason).alias("reason"))
+
+    found = []
+    for f in fields:
+        unfit = F.col(texts[f.name]).isNotNull() & F.col(f.name).isNull() if f.name in texts else F.lit(False)
+        if f.name in contract.not_null:
+            found.append(F.when(unfit, fault(f.name, TYPE)).when(F.col(f.name).isNull(), fault(f.name, EMPTY)))
+        elif f.name in texts:
+            found.append(F.when(unfit, fault(f.name, TYPE)))
+    each = F.array_compact(F.array(*found)) if found else F.array(fault(None, NOT_JSON))
+    return F.when(bad, F.when(F.col("_not_json"), F.array(fault(None, NOT_JSON))).otherwise(each)).alias(ERRORS)
+
+
+class TooManyErrors(ValueError):
+    """A load has more bad lines than it may have."""
+
+
+def load_lines(
+    lines: DataFrame, contract: TableContract, path: str, max_error: int | None = None, **options
+) -> tuple[int, int]:
+    """Stage lines into a new table and its rejects; (rows loaded, lines set aside).
+
+    One read parses, counts and writes: good rows under `path/_bad=false`, bad lines under
+    `path/_bad=true`. With more than `max_error` bad lines the load fails; the rejects stay to be
+    looked at, and nothing is loaded. Options as for `stage_lines`.
+    """
+    spark = lines.sparkSession
+    seen = Observation("load")
+    staged = stage_lines(lines, contract, reasons=True, **options).observe(
+        seen, F.count("*").alias("lines"), F.coalesce(F.count_if(BAD), F.lit(0)).alias("bad"))
+    staged.write.partitionBy(BAD).parquet(path)
+    counts = seen.get
+    if max_error is not None and counts["bad"] > max_error:
+        drop_table(spark, f"{path}/{BAD}=false")
+        raise TooManyErrors(f"{counts['bad']} lines could not be loaded, {max_error} may")
+    return counts["lines"] - counts["bad"], counts["bad"]
+
+
+def _part(spark: SparkSession, path: str, bad: bool, schema: StructType) -> DataFrame:
+    folder = f"{path}/{BAD}={str(bad).lower()}"
+    return spark.read.schema(schema).parquet(folder) if exists(spark, folder) else spark.createDataFrame([], schema)
+
+
+def loaded(spark: SparkSession, path: str, contract: TableContract) -> DataFrame:
+    """The rows of a load."""
+    return _part(spark, path, False, contract.schema)
+
+
+REJECTS = (
+    f"{ARRIVAL} struct<time: timestamp, path: string, block: bigint, row: bigint>, "
+    f"{ERRORS} array<struct<column: string, reason: string>>, {RAW} string, {LINE} bigint")
+
+
+def rejects(spark: SparkSession, path: str) -> DataFrame:
+    """(file, block, line, column, reason, text): one row for each fault of a line.
+
+    `line` rises from line to line of a block. File and block are null unless the lines were read
+    with their order of arrival; `column` is null for a line that is not JSON.
+    """
+    rows = _part(spark, path, True, StructType.fromDDL(REJECTS))
+    return rows.select(
+        F.col(f"{ARRIVAL}.path").alias("file"), F.col(f"{ARRIVAL}.block").alias("block"),
+        F.coalesce(f"{ARRIVAL}.row", LINE).alias("line"), F.explode(ERRORS).alias("e"),
+        F.col(RAW).alias("text"),
+    ).select("file", "block", "line", "e.column", "e.reason", "text")
+
+
 def enforce_max_error(staged: DataFrame, max_error: int = 0) -> DataFrame:
     """Drop `_bad` rows, failing if there are more than `max_error`.
 
