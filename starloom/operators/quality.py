@@ -13,6 +13,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from starloom.contracts import TableContract
+from starloom.operators.snapshots import unknown_keys
 
 
 class QualityError(Exception):
@@ -126,6 +127,18 @@ def foreign_key(
     )
 
 
+def foreign_key_in_buckets(
+    child: DataFrame, column: str, path: str, parent_column: str, name: str = "foreign_key"
+) -> DataFrame:
+    """Number of distinct orphan values, against a table in hash buckets of its key.
+
+    Only the buckets of the child's values are read, and only their key column.
+    """
+    lost = unknown_keys(child, [column], path, [parent_column])
+    return lost.agg(F.count("*").alias("violations")).select(
+        F.lit(f"{name}:{column}").alias("check_name"), "violations")
+
+
 def wrong_cardinality(df: DataFrame, group: list[str], expected: int) -> DataFrame:
     """Groups that do not hold exactly `expected` rows."""
     counts = df.groupBy(*group).agg(F.count("*").alias("n"))

@@ -102,17 +102,34 @@ def _read(spark: SparkSession, path: str, commit: dict, names: list[str]) -> Dat
     return spark.read.schema(schema).parquet(*folders) if folders else spark.createDataFrame([], schema)
 
 
-def replace_snapshot(df: DataFrame, path: str) -> int:
-    """Truncate and insert: a new version with the rows of `df`, which may read the old one."""
+def replace_snapshot(
+    df: DataFrame, path: str, key: list[str] | None = None, buckets: int | None = None
+) -> int:
+    """Truncate and insert: a new version with the rows of `df`, which may read the old one.
+
+    With a key and a number of buckets, the new version is in hash buckets of the key.
+    """
     spark = df.sparkSession
     version = (versions(spark, path) or [0])[-1] + 1
     folder = f"v{version}-{uuid.uuid4().hex}"
-    df.write.parquet(f"{path}/{folder}")
-    _commit(spark, path, {"version": version, "schema": df.schema.jsonValue(), "buckets": None,
-                          "folders": {WHOLE: [folder]}})
+    folders = {WHOLE: [folder]}
+    if buckets:
+        folders = _write_buckets(df, path, folder, key, buckets)
+    else:
+        df.write.parquet(f"{path}/{folder}")
+    _commit(spark, path, {"version": version, "schema": df.schema.jsonValue(), "buckets": buckets,
+                          "folders": folders})
     return version
 
 
+def _write_buckets(df: DataFrame, path: str, folder: str, key: list[str], buckets: int) -> dict[str, list[str]]:
+    """Write rows by bucket; {bucket: its folder}."""
+    (df.withColumn(BUCKET, bucket_of(key, buckets)).hint("rebalance", BUCKET)
+     .sortWithinPartitions(BUCKET, *key).write.partitionBy(BUCKET).parquet(f"{path}/{folder}"))
+    names = [n for n in _children(df.sparkSession, f"{path}/{folder}") if n.startswith(f"{BUCKET}=")]
+    return {n.split("=")[1]: [f"{folder}/{n}"] for n in names}
+
+
 def bucket_of(key: list[str], buckets: int):
     return F.pmod(F.xxhash64(*key), F.lit(buckets)).cast("int")
 
@@ -146,11 +163,8 @@ def merge_snapshot(
             return old["version"]
         version = (versions(spark, path) or [0])[-1] + 1 if old is None else old["version"] + 1
         folder = f"v{version}-{uuid.uuid4().hex}"
-        (merged.withColumn(BUCKET, bucket_of(key, buckets)).hint("rebalance", BUCKET)
-         .sortWithinPartitions(BUCKET, *key).write.partitionBy(BUCKET).parquet(f"{path}/{folder}"))
         folders = dict(old["folders"]) if old else {}
-        made = {n.split("=")[1] for n in _children(spark, f"{path}/{folder}") if n.startswith(f"{BUCKET}=")}
-        folders |= {b: [f"{folder}/{BUCKET}={b}"] for b in made}
+        folders |= _write_buckets(merged, path, folder, key, buckets)
         _commit(spark, path, {"version": version, "schema": merged.schema.jsonValue(), "buckets": buckets,
                               "folders": folders})
         return version
@@ -162,11 +176,8 @@ def rebucket(spark: SparkSession, path: str, key: list[str], buckets: int) -> in
     version = old["version"] + 1
     folder = f"v{version}-{uuid.uuid4().hex}"
     rows = _read(spark, path, old, list(old["folders"]))
-    (rows.withColumn(BUCKET, bucket_of(key, buckets)).hint("rebalance", BUCKET)
-     .sortWithinPartitions(BUCKET, *key).write.partitionBy(BUCKET).parquet(f"{path}/{folder}"))
-    made = [n.split("=")[1] for n in _children(spark, f"{path}/{folder}") if n.startswith(f"{BUCKET}=")]
     _commit(spark, path, old | {"version": version, "buckets": buckets,
-                                "folders": {b: [f"{folder}/{BUCKET}={b}"] for b in made}})
+                                "folders": _write_buckets(rows, path, folder, key, buckets)})
     return version
 
 
@@ -182,6 +193,20 @@ def lookup(spark: SparkSession, path: str, key: list[str], values: list) -> Data
     return found
 
 
+def unknown_keys(df: DataFrame, columns: list[str], path: str, key: list[str]) -> DataFrame:
+    """Distinct values of `columns`, without nulls, that a table in buckets of `key` does not hold.
+
+    Of the table, only the key columns of the values' buckets are read.
+    """
+    spark, commit = df.sparkSession, commit_of(df.sparkSession, path)
+    schema = StructType.fromJson(commit["schema"])
+    values = df.select(*[F.col(c).cast(schema[k].dataType).alias(k) for c, k in zip(columns, key)])
+    values = values.dropna("any").distinct().withColumn(BUCKET, bucket_of(key, commit["buckets"]))
+    touched = sorted(r[0] for r in values.select(BUCKET).distinct().collect())
+    known = _read(spark, path, commit, [str(b) for b in touched]).select(*key)
+    return values.drop(BUCKET).join(known, key, "left_anti")
+
+
 def vacuum(spark: SparkSession, path: str, keep: int = 1) -> list[str]:
     """Remove versions but the newest `keep`, data folders that none of those names, and drafts.
 

@@ -13,14 +13,17 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from starloom.contracts import PLAY_LOG, STAGED_EVENTS, TIMES, TableContract
 from starloom.functions.timeparts import calendar_parts, start_time
 from starloom.operators.merge import last_wins
-from starloom.operators.quality import assert_quality, contract_report, row_checks
-from starloom.operators.snapshots import merge_snapshot, read_snapshot
+from starloom.operators.quality import assert_quality, contract_report, foreign_key_in_buckets, row_checks
+from starloom.operators.snapshots import merge_snapshot, read_snapshot, replace_snapshot
 from starloom.operators.tables import append_fact, publish, recover, stage_in
 from starloom.plans.matches import append_keys, journal_of, settle
 from starloom.plans.plays import HOURLY, PLAY_COLUMNS, Preset, build_song_dims, layouts, plays_of
 from starloom.sources.staging import enforce_max_error, stage_lines
 from starloom.streaming.incremental import run_incremental
 
+# Hash buckets of the users and of the keys of songs and artists.
+BUCKETS = 16
+KEYS = {"songs": "song_id", "artists": "artist_id"}
 STAR = ("songplays", "users", "songs", "artists", "times")
 USER_ORDER = ["last_ts", "last_item"]
 # What a kept play must have.
@@ -64,14 +67,15 @@ def read_tables(spark: SparkSession, paths: dict[str, str]) -> dict[str, DataFra
 def run_hourly(
     spark: SparkSession, log_path: str, catalog: DataFrame, out: str, preset: Preset = HOURLY,
     staged: bool = True, max_error: int = 0, files_per_batch: int | None = None,
-    dims: dict[str, DataFrame] | None = None, **options,
+    dims: dict[str, DataFrame] | None = None, keys: dict[str, str] | None = None, **options,
 ) -> dict[str, str]:
     """One run over the log files that have not been seen.
 
     The lines are staged with the options of `sources.staging.stage_lines`, and a batch with more
     than `max_error` bad lines stops the run before anything of it is stored; with `staged=False`
     the files are read plainly. The dimensions of the catalog are rebuilt, checked and swapped
-    (or given as `dims`, if they are kept elsewhere). Plays without a song are legal; a missing key
+    (or given as `dims`, if they are kept elsewhere, with `keys` naming tables in buckets of
+    song_id and artist_id to check the fact against). Plays without a song are legal; a missing key
     is not. Plays of one session, second and item that differ go to `conflicts`. The fact is as
     if all plays had been matched with this run's catalog. The key must be the same in every run
     and one per row, and unmatched plays must be kept.
@@ -89,6 +93,9 @@ def run_hourly(
             assert_quality(contract_report(fresh, contracts[name]))
             publish(spark, paths[name])
             dims[name] = spark.read.schema(fresh.schema).parquet(paths[name])
+            key = contracts["songplays"].foreign_keys[KEYS[name]][1]
+            replace_snapshot(dims[name].select(key).distinct(), f"{out}/{name}_keys", [key], BUCKETS)
+        keys = {KEYS[name]: f"{out}/{name}_keys" for name in dims}
 
     def stage(lines: DataFrame) -> DataFrame:
         rows = stage_lines(lines, STAGED_EVENTS, mapping=options.get("mapping", "exact"),
@@ -100,11 +107,18 @@ def run_hourly(
         append_times(batch, paths["times"], preset)
         append_keys(batch, paths["play_keys"], preset)
 
+    def check(fact: DataFrame) -> None:
+        """Rows by themselves, and their keys against the buckets that hold those keys."""
+        report = row_checks(fact, contracts["songplays"])
+        for column, path in {**(keys or {}), "user_id": paths["users"]}.items():
+            parent = contracts["songplays"].foreign_keys[column][1]
+            report = report.unionByName(foreign_key_in_buckets(fact, column, path, parent))
+        assert_quality(report)
+
     def refresh(plays: DataFrame | None) -> None:
-        settle(spark, paths, plays, catalog, dims, preset,
-               check=lambda fact: assert_quality(row_checks(fact, contracts["songplays"])))
         if plays is not None:
-            merge_snapshot(users_of(plays), paths["users"], ["user_id"], USER_ORDER, keep_order=True)
+            merge_snapshot(users_of(plays), paths["users"], ["user_id"], USER_ORDER, buckets=BUCKETS, keep_order=True)
+        settle(spark, paths, plays, catalog, dims, preset, check)
 
     run_incremental(
         spark, log_path, PLAY_LOG, paths["plays"], f"{out}/_checkpoint",

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from starloom.contracts import TableContract
 from starloom.operators import quality
+from starloom.operators.snapshots import replace_snapshot
 from starloom.queries import shapes
 from starloom.queries.joins import TEMP_SQL, temperature_dim
 from starloom.queries.registry import query
@@ -171,6 +172,18 @@ def dq_foreign_key(t):
     )
 
 
+@query(
+    "dq_foreign_key_buckets",
+    """SELECT 'foreign_key:l_partkey' AS check_name, count(DISTINCT l_partkey) AS violations FROM lineitem
+    WHERE l_partkey NOT IN (SELECT p_partkey FROM part WHERE p_partkey % 5 <> 0)""",
+)
+def dq_foreign_key_buckets(t):
+    """Against keys in buckets, of which every fifth is missing."""
+    path = t.folder("part-keys")
+    replace_snapshot(t("part").select("p_partkey").where("p_partkey % 5 <> 0"), path, ["p_partkey"], 16)
+    return quality.foreign_key_in_buckets(t("lineitem"), "l_partkey", path, "p_partkey")
+
+
 @query(
     "dq_max_length",
     _CAT + "SELECT 'max_length:artist_name' AS check_name, count(*) AS violations FROM catalog "

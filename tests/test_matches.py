@@ -107,6 +107,32 @@ def test_plays_that_contradict_each_other_go_aside(spark, world):
     assert [n for _, n, _ in facts(run([song(1, "T")]))] == [2, 5]
 
 
+def test_a_fact_with_unknown_keys_is_refused(spark, world, tmp_path):
+    """The keys are kept apart from the dimension, and miss an artist that the catalog has."""
+    from starloom.operators.quality import QualityError
+    from starloom.operators.snapshots import replace_snapshot
+
+    drop, run, out = world
+    catalog = spark.createDataFrame([song(1, "T"), song(2, "U", artist="B")], SONG)
+    dims = plays.build_song_dims(catalog, refresh.HOURLY)
+    keys = {"song_id": f"{tmp_path}/song_keys", "artist_id": f"{tmp_path}/artist_keys"}
+    replace_snapshot(dims["songs"].select("song_id"), keys["song_id"], ["song_id"], 4)
+    replace_snapshot(dims["artists"].select("artist_id").where("artist_id = 'ARA'"), keys["artist_id"], ["artist_id"], 4)
+
+    def go():
+        refresh.run_hourly(spark, f"{tmp_path}/log", catalog, out, dims=dims, keys=keys)
+        return spark.read.parquet(f"{out}/songplays").count()
+
+    drop("0", [event(T0, session=1, song="T")])
+    assert go() == 1
+    drop("1", [event(T0 + MONTH, session=2, song="U", artist="B")])
+    with pytest.raises(QualityError, match="foreign_key:artist_id"):
+        go()
+    assert spark.read.parquet(f"{out}/songplays").count() == 1
+    replace_snapshot(dims["artists"].select("artist_id"), keys["artist_id"], ["artist_id"], 4)
+    assert go() == 2
+
+
 def test_changed_keys(spark):
     schema = "match_key bigint, song_id string, artist_id string"
     old = spark.createDataFrame([(1, "a", "x"), (2, "b", "x"), (3, "c", None), (4, "d", "x")], schema)

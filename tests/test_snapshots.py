@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 
 from starloom.operators import snapshots
 from starloom.operators.snapshots import (
-    CommitConflict, commit_of, lookup, merge_snapshot, read_snapshot, rebucket, replace_snapshot, vacuum, versions,
+    CommitConflict, commit_of, lookup, merge_snapshot, read_snapshot, rebucket, replace_snapshot, unknown_keys, vacuum,
+    versions,
 )
 
 SCHEMA = "k bigint, v string, o int"
@@ -132,6 +133,22 @@ def test_untouched_buckets_keep_their_files(spark, path):
     assert len(files_of(path)) == len(before)
 
 
+def test_unknown_keys_read_only_their_buckets(spark, path):
+    rows = spark.createDataFrame([(k, "a", 1) for k in range(400)], SCHEMA)
+    replace_snapshot(rows, path, ["k"], 16)
+    batch = spark.createDataFrame([(5, "x"), (5, "y"), (None, "z")], "of int, x string")
+    lost = unknown_keys(batch, ["of"], path, ["k"])
+    assert lost.collect() == []
+    files = [f for f in lost._jdf.inputFiles()]
+    held = commit_of(spark, path)["folders"]
+    assert files and len({f.split("_bucket=")[1].split("/")[0] for f in files}) == 1 < len(held)
+    scan = lost._jdf.queryExecution().executedPlan().toString()
+    assert "ReadSchema: struct<k:bigint>" in scan
+    batch = spark.createDataFrame([(5,), (1000,), (-3,), (1000,)], "of bigint")
+    assert sorted(r[0] for r in unknown_keys(batch, ["of"], path, ["k"]).collect()) == [-3, 1000]
+    assert unknown_keys(batch.limit(0), ["of"], path, ["k"]).collect() == []
+
+
 def test_empty_batches_null_keys_and_other_numbers_of_buckets(spark, path):
     empty = spark.createDataFrame([], SCHEMA)
     assert merge_snapshot(empty, path, ["k"], ["o"], buckets=4, keep_order=True) == 1
