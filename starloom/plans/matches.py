@@ -20,6 +20,7 @@ from starloom.operators.matching import catalog_of
 from starloom.operators.snapshots import read_snapshot, replace_snapshot
 from starloom.operators.tables import append_fact, exists, write_table
 from starloom.plans.plays import PLAY_COLUMNS, Preset, build_songplays, partitioned_by_month
+from starloom.session import kept
 
 MONTH = ["year", "month"]
 
@@ -105,8 +106,9 @@ def settle(
     if months:
         journal = spark.read.parquet(paths["plays"]).where(in_months(months))
         fact = partitioned_by_month(build_songplays(journal, records, dims, preset))
-        check(fact)
-        write_table(fact, paths["songplays"], MONTH, only_touched=True)
+        with kept(fact, "months") as fact:
+            check(fact)
+            write_table(fact, paths["songplays"], MONTH, only_touched=True)
     if arrived is not None:
         ids = journal_of(arrived, preset).select("play_id", *MONTH).where(~in_months(months) if months else F.lit(True))
         spans = [(r.year, r.month) for r in ids.select(*MONTH).distinct().collect()]

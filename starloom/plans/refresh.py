@@ -18,7 +18,9 @@ from starloom.operators.snapshots import merge_snapshot, read_snapshot, replace_
 from starloom.operators.tables import append_fact, publish, recover, stage_in
 from starloom.plans.matches import append_keys, journal_of, settle
 from starloom.plans.plays import HOURLY, PLAY_COLUMNS, Preset, build_song_dims, layouts, plays_of
-from starloom.sources.staging import enforce_max_error, stage_lines
+from starloom.session import scratch_path
+from starloom.sources.files import arrival_order
+from starloom.sources.staging import enforce_max_error, load_lines, loaded, rejects, stage_lines
 from starloom.streaming.incremental import run_incremental
 
 # Hash buckets of the users and of the keys of songs and artists.
@@ -72,11 +74,11 @@ def run_hourly(
     """One run over the log files that have not been seen.
 
     The lines are staged with the options of `sources.staging.stage_lines`, and a batch with more
-    than `max_error` bad lines stops the run before anything of it is stored; with `staged=False`
-    the files are read plainly. The dimensions of the catalog are rebuilt, checked and swapped
-    (or given as `dims`, if they are kept elsewhere, with `keys` naming tables in buckets of
-    song_id and artist_id to check the fact against). Plays without a song are legal; a missing key
-    is not. Plays of one session, second and item that differ go to `conflicts`. The fact is as
+    than `max_error` bad lines stops the run before anything of it is stored; what is wrong with
+    them is in `rejects`. With `staged=False` the files are read plainly. The dimensions of the
+    catalog are rebuilt, checked and swapped (or given as `dims`, if they are kept elsewhere, with
+    `keys` naming tables in buckets of song_id and artist_id to check the fact against). Plays
+    without a song are legal; a missing key is not. Plays of one session, second and item that differ go to `conflicts`. The fact is as
     if all plays had been matched with this run's catalog. The key must be the same in every run
     and one per row, and unmatched plays must be kept.
     """
@@ -84,7 +86,8 @@ def run_hourly(
         raise ValueError("an incremental fact needs a key that is the same in every run, one per "
                          "row, and its unmatched plays")
     contracts = layouts(preset)
-    paths = {t: f"{out}/{t}" for t in (*STAR, "plays", "play_keys", "matches", "conflicts")}
+    paths = {t: f"{out}/{t}" for t in (*STAR, "plays", "play_keys", "matches", "conflicts", "rejects")}
+    mapped = {"mapping": "exact", **options}
     if dims is None:
         dims = {}
         for name, table in build_song_dims(catalog, preset).items():
@@ -97,10 +100,17 @@ def run_hourly(
             replace_snapshot(dims[name].select(key).distinct(), f"{out}/{name}_keys", [key], BUCKETS)
         keys = {KEYS[name]: f"{out}/{name}_keys" for name in dims}
 
-    def stage(lines: DataFrame) -> DataFrame:
-        rows = stage_lines(lines, STAGED_EVENTS, mapping=options.get("mapping", "exact"),
-                           **{k: v for k, v in options.items() if k != "mapping"})
-        return enforce_max_error(rows, max_error).select("page", *PLAY_COLUMNS)
+    def stage(lines: DataFrame, number: int) -> DataFrame:
+        """Rows of a batch; what could not be loaded goes to the rejects, also if the run stops."""
+        if max_error == 0:
+            rows = stage_lines(lines.select("value"), STAGED_EVENTS, **mapped)
+            return enforce_max_error(rows).select("page", *PLAY_COLUMNS)
+        path = scratch_path(spark, "load")
+        try:
+            load_lines(lines.select("value", arrival_order()), STAGED_EVENTS, path, max_error, **mapped)
+        finally:
+            rejects(spark, path).write.mode("overwrite").parquet(f"{paths['rejects']}/batch={number}")
+        return loaded(spark, path, STAGED_EVENTS).select("page", *PLAY_COLUMNS)
 
     def before(batch: DataFrame) -> None:
         assert_quality(row_checks(batch, PLAYS))

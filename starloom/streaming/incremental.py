@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from starloom.contracts import TableContract
 from starloom.operators.tables import MICROS, append_fact, drop_table, exists
@@ -21,13 +21,14 @@ def file_stream(
     spark: SparkSession, path: str, contract: TableContract, fmt: str = "json",
     files_per_batch: int | None = None,
 ) -> DataFrame:
-    """New files of a folder; with format "text", their lines in column `value`."""
+    """New files of a folder; with format "text", their lines in column `value`, and `_metadata`."""
     reader = spark.readStream.option("recursiveFileLookup", True)
     if fmt != "text":
         reader = reader.schema(contract.schema).option("timestampNTZFormat", MICROS)
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
-    return reader.format(fmt).load(path)
+    rows = reader.format(fmt).load(path)
+    return rows.select("value", F.col("_metadata").alias("_metadata")) if fmt == "text" else rows
 
 
 def run_batches(
@@ -55,7 +56,7 @@ def run_incremental(
     refresh: Callable[[DataFrame], None] | None = None,
     collect: Callable[[DataFrame], DataFrame] | None = None,
     before: Callable[[DataFrame], None] | None = None,
-    stage: Callable[[DataFrame], DataFrame] | None = None,
+    stage: Callable[[DataFrame, int], DataFrame] | None = None,
     fmt: str = "json",
     files_per_batch: int | None = None,
     always: bool = False,
@@ -63,7 +64,7 @@ def run_incremental(
 ) -> None:
     """Append new source files to the fact, then refresh the dimensions once.
 
-    `stage` turns the raw batch into rows. `collect` takes what the refresh needs from a batch,
+    `stage` turns the raw batch of a number into rows. `collect` takes what the refresh needs from a batch,
     e.g. the newest row of each key; it is stored under the number of the batch, so that a
     repeated batch replaces its own rows. After the last batch `refresh` gets all of them at
     once. A run that stops before leaves them to the next run; with `always`, a run without new
@@ -73,7 +74,7 @@ def run_incremental(
     pending = f"{checkpoint.rstrip('/')}-pending"
 
     def on_batch(batch: DataFrame, number: int) -> None:
-        with kept(stage(batch) if stage else batch, "micro-batch") as rows:
+        with kept(stage(batch, number) if stage else batch, "micro-batch") as rows:
             append_fact(
                 transform(rows) if transform else rows, fact, key, partition_by, before=before,
                 conflicts=f"{conflicts}/batch={number}" if conflicts else None)

@@ -58,3 +58,22 @@ def test_no_lines(spark, tmp_path):
     assert load_lines(spark.createDataFrame([], "value string"), ROWS, str(tmp_path / "none"), max_error=0) == (0, 0)
     assert loaded(spark, str(tmp_path / "none"), ROWS).count() == 0 == rejects(spark, str(tmp_path / "none")).count()
     assert os.path.isdir(tmp_path / "none")
+
+
+def test_the_refresh_keeps_its_rejects(spark, tmp_path):
+    from starloom.contracts import SONG_CATALOG
+    from starloom.operators.tables import write_json
+    from starloom.plans import refresh
+    from tests.test_plays import T0, event
+
+    write_json(spark.createDataFrame([event(T0)]), f"{tmp_path}/log/0")
+    spark.createDataFrame([("{cut",), (" ",)], "value string").coalesce(1).write.text(f"{tmp_path}/log/1")
+    catalog = spark.createDataFrame([], SONG_CATALOG.schema)
+    paths = refresh.run_hourly(spark, f"{tmp_path}/log", catalog, f"{tmp_path}/out", max_error=1)
+    assert spark.read.parquet(paths["songplays"]).count() == 1
+    told = spark.read.parquet(f"{tmp_path}/out/rejects").collect()
+    assert [(r.text, r.reason) for r in told] == [("{cut", NOT_JSON)] and "/log/1/" in told[0].file
+    spark.createDataFrame([("{a",), ("{b",)], "value string").write.text(f"{tmp_path}/log/2")
+    with pytest.raises(Exception, match="2 lines could not be loaded"):
+        refresh.run_hourly(spark, f"{tmp_path}/log", catalog, f"{tmp_path}/out", max_error=1)
+    assert spark.read.parquet(f"{tmp_path}/out/rejects").count() == 3
