@@ -8,7 +8,8 @@ Labels say only toxic or not. The grade of a toxic training text is its quantile
 toxic ones, by the number of features that tell toxic from clean texts.
 
 Learning takes a bounded sample: the SAMPLE labelled documents with the lowest keyed hash of each
-label, texts of up to MAX_CHARS. Features are words (letters and digits, in lower case) and their
+label, one text of up to MAX_CHARS each. Features are counted in tasks; to the driver come their
+counts, where a SHARE of the toxic texts has them, and the few that tell of each text. Features are words (letters and digits, in lower case) and their
 first 3 to 8 bytes, which inflected forms share, hashed to 2^BITS buckets, as present or not;
 those enter that speak for toxicity (z of Z or more), that SUPPORT toxic texts and a SHARE of
 them have, and that are in toxic texts in PURITY of their cases. Weights are 0 or more: no word makes a text less toxic. Of near copies in the
@@ -17,7 +18,7 @@ else is on whole texts of all documents.
 
 Defined cases: a null text, or one without known words, has the score 0 and so the prior's
 expected severity. Labels without a document, or null, are ignored; of several labels for one id
-the highest counts. Without labels of both kinds nothing is toxic: all severities are 0.
+the highest counts; of several texts of one id the one with the lowest hash is learned. Without labels of both kinds nothing is toxic: all severities are 0.
 Repeated rows are scored each; a null doc_id is scored like any other. Extra columns are ignored.
 """
 
@@ -32,6 +33,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from starloom.llm.shingles import BLOCK, _pieces, blocks, shingle_sets
 from starloom.llm.tokens import tokens
+from starloom.session import written
 
 GRADES, BITS = 4, 22
 PREFIXES = (3, 4, 5, 6, 7, 8)  # bytes
@@ -124,13 +126,35 @@ def fit_ordinal(rows, cols, n_cols: int, grades: np.ndarray, steps: int = 1500,
     return params[:n_cols], t
 
 
+def _telling(have: np.ndarray, hits: np.ndarray, n: int, positives: int) -> np.ndarray:
+    """Which features enter, that `have` texts of n and `hits` toxic ones of `positives` contain."""
+    rate = positives / n
+    z = (hits - have * rate) / np.sqrt(np.maximum(have * rate * (1 - rate), 1e-9))
+    return (z >= Z) & (hits >= max(SUPPORT, SHARE * positives)) & (hits >= PURITY * have)
+
+
+def _graded(used: np.ndarray, rows: np.ndarray, buckets: np.ndarray, toxic: np.ndarray, odds: float | None) -> Model:
+    """The model of these features, from the (row, bucket) pairs of them that the texts have."""
+    n, positives = len(toxic), int(toxic.sum())
+    signs = np.bincount(rows, minlength=n)
+    cuts = np.quantile(signs[toxic > 0], np.arange(1, GRADES - 1) / (GRADES - 1))
+    grades = np.where(toxic > 0, 1 + np.searchsorted(cuts, signs, "left"), 0)
+    weights, thresholds = fit_ordinal(rows, np.searchsorted(used, buckets), len(used), grades)
+    if odds:
+        thresholds = thresholds + np.log(positives / (n - positives) / odds)
+    return Model(used, weights, thresholds)
+
+
+def _nothing() -> Model:
+    return Model(np.zeros(0, np.int64), np.zeros(0), np.full(GRADES - 1, np.inf))
+
+
 def train(texts: list[str], toxic: np.ndarray, odds: float | None = None) -> Model:
-    """Choose the features, grade the toxic texts, fit. `odds`: of toxic to clean outside the
-    sample."""
-    none = Model(np.zeros(0, np.int64), np.zeros(0), np.full(GRADES - 1, np.inf))
+    """Choose the features, grade the toxic texts, fit: `fit` on a list. `odds`: of toxic to clean
+    outside the sample."""
     n, positives = len(texts), int(toxic.sum())
     if not 0 < positives < n:
-        return none
+        return _nothing()
     # Near copies most likely share their smallest shingle hash; one of them counts.
     smallest = np.zeros(n, np.uint64)
     for k, h in shingle_sets(pa.array(texts, pa.string())):
@@ -143,42 +167,77 @@ def train(texts: list[str], toxic: np.ndarray, odds: float | None = None) -> Mod
     for rows, buckets in _distinct(texts):
         np.add.at(have, buckets, 1)
         np.add.at(hits, buckets[toxic[rows] > 0], 1)
-    rate = positives / n
-    z = (hits - have * rate) / np.sqrt(np.maximum(have * rate * (1 - rate), 1e-9))
-    used = np.flatnonzero((z >= Z) & (hits >= max(SUPPORT, SHARE * positives)) & (hits >= PURITY * have))
-    telling = np.zeros(1 << BITS, bool)
-    telling[used] = True
+    telling = _telling(have, hits, n, positives)
     found = [(rows[telling[b]], b[telling[b]]) for rows, b in _distinct(texts)]
     p_rows, p_buckets = (np.concatenate(x) for x in zip(*found))
-    signs = np.bincount(p_rows, minlength=n)
-    cuts = np.quantile(signs[toxic > 0], np.arange(1, GRADES - 1) / (GRADES - 1))
-    grades = np.where(toxic > 0, 1 + np.searchsorted(cuts, signs, "left"), 0)
-    weights, thresholds = fit_ordinal(p_rows, np.searchsorted(used, p_buckets), len(used), grades)
-    if odds:
-        thresholds = thresholds + np.log(positives / (n - positives) / odds)
-    return Model(used, weights, thresholds)
+    return _graded(np.flatnonzero(telling), p_rows, p_buckets, toxic, odds)
 
 
-def fit(docs: DataFrame, labels: DataFrame, seed: str = "toxicity") -> Model:
-    """Train on a bounded sample of documents with a label."""
-    known = labels.where("doc_id IS NOT NULL AND toxic IS NOT NULL").groupBy("doc_id").agg(
-        F.max("toxic").cast("int").alias("toxic"))
+def _described(texts: DataFrame) -> DataFrame:
+    """(doc_id, toxic, smallest shingle hash, distinct features) of each text of the sample."""
+
+    def describe(batches):
+        for batch in batches:
+            smallest, lists = np.zeros(batch.num_rows, np.int64), []
+            for k, h in shingle_sets(batch.column(2)):
+                smallest[k] = h[:1].view(np.int64)[0] if len(h) else 0
+            for k in range(batch.num_rows):
+                found = [np.unique(b) for _, _, _, b in features(batch.column(2).slice(k, 1))]
+                lists.append(np.unique(np.concatenate([np.zeros(0, np.int64), *found])))
+            ends = np.cumsum([0, *map(len, lists)])
+            column = pa.ListArray.from_arrays(
+                pa.array(ends, pa.int32()), pa.array(np.concatenate([np.zeros(0, np.int64), *lists])))
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), batch.column(1), pa.array(smallest), column],
+                ["doc_id", "toxic", "smallest", "buckets"])
+
+    return texts.select("doc_id", "toxic", "text").mapInArrow(
+        describe, "doc_id bigint, toxic boolean, smallest bigint, buckets array<bigint>")
+
+
+def sample(docs: DataFrame, known: DataFrame, counts: dict[bool, int], seed: str) -> DataFrame:
+    """(doc_id, toxic, text) of at most SAMPLE documents of each label, one row an id."""
     h = F.xxhash64(F.lit(seed), F.col("doc_id"))
-    counts = {r["toxic"]: r["count"] for r in known.groupBy("toxic").count().collect()}
     picked = None
     for toxic, count in counts.items():
         share = min(1.0, 1.3 * SAMPLE / count)
         part = known.where((F.col("toxic") == toxic) & (F.pmod(h, F.lit(1 << 20)) < F.lit(int(share * (1 << 20)) + 1)))
         part = part.orderBy(h, "doc_id").limit(SAMPLE)
         picked = part if picked is None else picked.unionByName(part)
-    if picked is None:
-        return train([], np.zeros(0))
-    # At most SAMPLE ids of each label, so they go to every task and no text is shuffled.
-    texts = docs.select("doc_id", "text").where(F.length("text") <= MAX_CHARS).join(F.broadcast(picked), "doc_id")
-    rows = sorted((r.doc_id, r.text, r.toxic) for r in texts.select("doc_id", "text", "toxic").collect())
-    toxic = sum(c for x, c in counts.items() if x > 0)
-    odds = toxic / max(sum(counts.values()) - toxic, 1)
-    return train([t for _, t, _ in rows], np.array([float(x > 0) for _, _, x in rows]), odds)
+    # At most SAMPLE ids of each label, so they go to every task; rows of one id meet as one
+    # text before they are shuffled.
+    rows = docs.select(F.col("doc_id").cast("bigint"), "text").where(F.length("text") <= MAX_CHARS)
+    return rows.join(F.broadcast(picked), "doc_id").groupBy("doc_id", "toxic").agg(
+        F.min(F.struct(F.xxhash64("text").alias("h"), "text"))["text"].alias("text"))
+
+
+def fit(docs: DataFrame, labels: DataFrame, seed: str = "toxicity") -> Model:
+    """Train on a bounded sample of documents with a label."""
+    known = labels.where("doc_id IS NOT NULL AND toxic IS NOT NULL").groupBy(F.col("doc_id").cast("bigint")).agg(
+        (F.max("toxic") > 0).alias("toxic")).toDF("doc_id", "toxic")
+    counts = {r["toxic"]: r["count"] for r in known.groupBy("toxic").count().collect()}
+    if len(counts) < 2:
+        return _nothing()
+    all_texts = written(_described(sample(docs, known, counts, seed)), "sample")
+    # Near copies most likely share their smallest shingle hash; one of them counts.
+    one = all_texts.groupBy("smallest", "toxic").agg(F.min("doc_id").alias("doc_id")).select("doc_id")
+    texts = all_texts.join(F.broadcast(one), "doc_id")
+    rows = sorted((r.doc_id, r.toxic) for r in texts.select("doc_id", "toxic").collect())
+    toxic = np.array([float(x) for _, x in rows])
+    n, positives = len(rows), int(toxic.sum())
+    if not 0 < positives < n:
+        return _nothing()
+    each = texts.select("toxic", F.explode("buckets").alias("bucket"))
+    found = each.groupBy("bucket").agg(F.count("*").alias("have"), F.count_if("toxic").alias("hits"))
+    found = found.where(F.col("hits") >= max(SUPPORT, SHARE * positives)).orderBy("bucket").collect()
+    table = np.array([tuple(r) for r in found], np.int64).reshape(-1, 3)
+    used = table[_telling(table[:, 1], table[:, 2], n, positives), 0]
+    wanted = docs.sparkSession.createDataFrame([(int(b),) for b in used], "bucket bigint")
+    pairs = texts.select("doc_id", F.explode("buckets").alias("bucket")).join(F.broadcast(wanted), "bucket")
+    place = {doc_id: k for k, (doc_id, _) in enumerate(rows)}
+    pairs = sorted((place[r.doc_id], r.bucket) for r in pairs.select("doc_id", "bucket").collect())
+    at = np.array(pairs, np.int64).reshape(-1, 2)
+    return _graded(used, at[:, 0], at[:, 1], toxic, counts[True] / max(counts[False], 1))
 
 
 def scored(docs: DataFrame, model: Model) -> DataFrame:

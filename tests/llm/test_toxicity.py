@@ -1,4 +1,4 @@
-"""Ordinal regression: held-out labels, scores against a plain sum, ordered thresholds."""
+"""Ordinal regression: labels learned and held out, the fit against one on a list, scores against a plain sum."""
 
 import re
 
@@ -6,7 +6,7 @@ import numpy as np
 import pyarrow as pa
 
 from starloom.llm import shingles, toxicity
-from starloom.llm.toxicity import at_least, fit, fit_ordinal, scored, train
+from starloom.llm.toxicity import at_least, fit, fit_ordinal, sample, scored, train
 
 
 def test_ordinal_fit_recovers_an_order():
@@ -88,6 +88,45 @@ def test_odd_rows(spark):
     assert scored(odd.limit(0), model).collect() == []
 
 
+def tables(spark, texts, toxic):
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    return docs, spark.createDataFrame([(k, int(x)) for k, x in enumerate(toxic)], "doc_id bigint, toxic bigint")
+
+
+def test_fit_in_tasks_is_the_fit_on_a_list(spark):
+    texts, toxic = labelled()
+    got, want = fit(*tables(spark, texts, toxic)), train(texts, toxic, toxic.sum() / (1 - toxic).sum())
+    assert got.buckets.tolist() == want.buckets.tolist() and len(want.buckets)
+    assert np.allclose(got.weights, want.weights) and np.allclose(got.thresholds, want.thresholds)
+
+
+def test_sample_has_one_row_of_an_id(spark):
+    texts, toxic = labelled()
+    docs, labels = tables(spark, texts, toxic)
+    copies = spark.range(20_000).selectExpr("0L AS doc_id", "if(id % 2 = 0, 'vermin again', 'x ' || id) AS text")
+    known = labels.selectExpr("doc_id", "toxic > 0 AS toxic")
+    counts = {True: int(toxic.sum()), False: int((1 - toxic).sum())}
+    rows = sample(docs.unionByName(copies), known, counts, "s").collect()
+    assert sorted(r.doc_id for r in rows) == list(range(len(texts)))
+    few = {k: 10**9 for k in counts}
+    assert sample(docs, known, few, "s").count() < 10
+
+
+def test_scores_are_plain_sums_on_held_out_texts(spark):
+    texts, toxic = labelled()
+    docs, labels = tables(spark, texts, toxic)
+    model = fit(docs.where("doc_id % 8 < 4"), labels)
+    held = docs.where("doc_id % 8 >= 4")
+    weight = dict(zip(model.buckets.tolist(), model.weights.tolist()))
+    rows = {r.doc_id: r for r in scored(held, model).collect()}
+    for k, r in rows.items():
+        seen = {b for _, _, _, bs in toxicity.features(pa.array([texts[k]])) for b in bs.tolist()}
+        p = [1 / (1 + np.exp(t - sum(weight.get(b, 0.0) for b in seen))) for t in model.thresholds]
+        assert np.isclose(r.expected_severity, sum(p)) and np.isclose(r.p_toxic, p[0])
+        assert r.grade == sum(x >= 0.5 for x in p)
+    assert np.mean([rows[k].toxic == bool(toxic[k]) for k in rows]) > 0.95
+
+
 def test_query_finds_toxic_documents(spark):
     from starloom.llm.queries import QUERIES
 
