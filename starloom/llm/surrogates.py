@@ -2,8 +2,8 @@
 
 Found are e-mail addresses, IP addresses, phone, card, social security and bank account numbers,
 keys and passwords, and names with a title or a common given name. The texts are cut at one
-pattern; entities are written in a normal form (digits only, one letter case), so that an entity
-has one surrogate in the whole corpus, however it is written. The surrogate is drawn from
+pattern; entities are written in a normal form (digits only, one letter case, phones with their
+country code), so that an entity has one surrogate in the whole corpus, however it is written. The surrogate is drawn from
 SHA-256 of (key, kind, normal form, attempt): digits for digits, letters for letters of the same
 script, and so on; a name's given name keeps its gender; titles, country codes, the first digit
 and the check digit rule of cards and the prefixes of keys stay. A surrogate that another entity
@@ -26,6 +26,7 @@ from starloom.session import written
 
 KEY = "surrogate-key"  # production sets its own
 ATTEMPTS = 64
+DRAWS = 4000  # normal forms that one task draws
 
 # Titles and given names by gender, syllables by script.
 TITLES = {"m": "Mr Herr Monsieur Señor Sr господин", "f": "Mrs Ms Miss Frau Madame Señora Sra госпожа",
@@ -42,13 +43,19 @@ CYRILLIC = "ба бе бо ва ве во га го да де до за зе к
 ENDING = {("latin", "m"): "n", ("latin", "f"): "la", ("latin", ""): "ri", ("latin", "s"): "ner",
           ("cyrillic", "m"): "н", ("cyrillic", "f"): "ла", ("cyrillic", ""): "ри", ("cyrillic", "s"): "нко"}
 
+# Country codes of one and two digits; all others have three.
+COUNTRY_CODES = ("1 7 20 27 30 31 32 33 34 36 39 40 41 43 44 45 46 47 48 49 51 52 53 54 55 56 57 58 "
+                 "60 61 62 63 64 65 66 81 82 84 86 90 91 92 93 94 95 98")
+
 _ALL_TITLES = "|".join(" ".join(TITLES.values()).split())
 _ALL_GIVEN = "|".join(" ".join(GIVEN.values()).split())
 _BEGIN, _STOP = r"(?<![\p{L}\p{N}])", r"(?![\p{L}\p{N}])"
 _WORD = r"\p{Lu}\p{L}+"
 PARTS = [
     r"(?<![\p{L}\p{N}._%+-])[\p{L}\p{N}][\p{L}\p{N}._%+-]*+@[\p{L}\p{N}-]++(?:\.[\p{L}\p{N}-]++)+",
-    r"(?<=(?i:password|passwd|pwd|secret|token|api_key|apikey) ?[=:] ?[\"']?)[^\s\"']{6,}+",
+    # after a colon, as in prose, only what has a digit or a sign inside
+    r"(?<=(?i:password|passwd|pwd|secret|token|api_key|apikey) ?[=:] ?[\"']?)"
+    r"(?:(?<==)|(?<== )|(?<=[\"'])|(?=\p{L}*[^\p{L}\s\"'][^\s\"']*[\p{L}\p{N}]))[^\s\"']{6,}+",
     rf"{_BEGIN}(?:AKIA|ASIA)[A-Z0-9]{{16}}{_STOP}",
     rf"{_BEGIN}(?:sk|pk|gh[opsu]|xox[abp])[-_][A-Za-z0-9_-]{{16,}}+",
     rf"{_BEGIN}eyJ[A-Za-z0-9_-]{{8,}}+(?:\.[A-Za-z0-9_-]++){{1,2}}",
@@ -97,15 +104,17 @@ def _digits(value: Column) -> Column:
 
 
 def _country(value: Column) -> Column:
-    """`+` and the country code, where something divides it from the rest."""
-    return F.regexp_extract(value, r"^\+\d{1,3}(?=[ (.-])", 0)
+    """`+` and the country code, however the digits are divided."""
+    return F.regexp_extract(value, rf"^\+(?:{COUNTRY_CODES.replace(' ', '|')}|\d{{3}})", 0)
 
 
 def normal(kind: Column, value: Column) -> Column:
     body = F.substr(value, F.length(_country(value)) + 1)
-    one_case = (value == F.lower(value)) | (value == F.upper(value))
+    one_case = (value == F.lower(value)) | (value == F.upper(value)) | (kind == "email")
+    # ten digits in groups of three, three and four, without a code, are a number of country 1
+    code = F.when(value.startswith("+"), _country(value)).otherwise("+1")
     return (
-        F.when(kind == "phone", F.concat(_country(value), F.lit("|"), _digits(body)))
+        F.when(kind == "phone", F.concat(code, F.lit("|"), _digits(body)))
         .when(kind.isin("card", "ssn"), _digits(value))
         .when(kind == "account", F.replace(value, F.lit(" "), F.lit("")))
         .otherwise(F.when(one_case, F.lower(value)).otherwise(value))
@@ -214,7 +223,12 @@ def draw_all(forms: DataFrame, key: str = KEY) -> DataFrame:
     for attempt in range(ATTEMPTS):
         seed = F.concat_ws("\x1f", F.lit(key), "kind", "normal", F.lit(str(attempt)))
         stream = F.concat(*[F.sha2(F.concat(seed, F.lit(f"\x1f{k}")), 256) for k in range(4)])
-        new = left.withColumn("_stream", stream).select(
+        count = left.count()
+        if not count and done is not None:
+            return done
+        # a draw is work on a few bytes: dealt by rows, as parts by bytes would be one task
+        dealt = left.repartition(max(1, -(-count // DRAWS)), "kind", "normal")
+        new = dealt.withColumn("_stream", stream).select(
             "kind", "normal", drawn(F.col("kind"), F.col("normal"), attempt).alias("surrogate"))
         new = written(new, "drawn")
         first = new.groupBy("kind", "surrogate").agg(F.min("normal").alias("normal"))
@@ -224,8 +238,8 @@ def draw_all(forms: DataFrame, key: str = KEY) -> DataFrame:
         free = written(free.select("kind", "normal", "surrogate"), "free")
         done = free if done is None else done.unionByName(free)
         left = written(left.join(free, ["kind", "normal"], "left_anti"), "left")
-        if not left.limit(1).count():
-            return done
+    if not left.limit(1).count():
+        return done
     raise ValueError(f"some entities have no free surrogate of their format after {ATTEMPTS} draws")
 
 
@@ -242,6 +256,13 @@ def _filled(pattern: Column, text: Column, replaced: str) -> Column:
     return F.aggregate(F.split(pattern, ""), state, step)["out"]
 
 
+def _cased(text: Column, pattern: Column) -> Column:
+    """`text` with capitals where the pattern has them."""
+    return F.array_join(F.zip_with(
+        F.split(text, ""), F.split(pattern, ""),
+        lambda c, p: F.when(p != F.lower(p), F.upper(c)).otherwise(F.coalesce(c, F.lit("")))), "")
+
+
 def replacement(kind: Column, value: Column, surrogates: Column) -> Column:
     """The surrogate as the value was written. `surrogates`: of its units, null for a title."""
     first = F.get(surrogates, F.lit(0))
@@ -253,6 +274,7 @@ def replacement(kind: Column, value: Column, surrogates: Column) -> Column:
     return (
         F.when(kind == "name", F.array_join(parts, " "))
         .when(kind == "phone", F.concat(country, _filled(body, F.substring_index(first, "|", -1), r"\d")))
+        .when(kind == "email", _cased(first, value))
         .when(kind.isin("card", "ssn"), _filled(value, first, r"\d"))
         .when(kind == "account", _filled(value, first, "[^ ]"))
         .otherwise(F.when(big, F.upper(first)).otherwise(first))

@@ -62,6 +62,38 @@ def test_formats_and_coreference(spark):
     assert run(spark, [TEXT], key="other")[0].text != text
 
 
+def test_all_writings_of_an_address_or_number_agree(spark):
+    mails = ["JANE.DOE@x.com", "jane.doe@x.com", "Jane.Doe@X.com"]
+    uk = ["+44 20 7946 0958", "+442079460958", "+44-20-7946-0958"]
+    us = ["+1 (741) 555-3069", "(741) 555-3069", "741-555-3069", "+17415553069"]
+    far = ["+353 21 555 0199", "+353215550199"]
+    got = run(spark, mails + uk + us + far + ["+44 20 7946 0959"])
+    new = [got[k].text for k in range(len(got))]
+    assert all(r.n_entities == 1 for r in got.values())
+    assert len({x.lower() for x in new[:3]}) == 1 and new[1].islower()
+    assert re.fullmatch(r"[A-Z]{4}\.[A-Z]{3}@[a-z]\.com", new[0])
+    assert re.fullmatch(r"[A-Z][a-z]{3}\.[A-Z][a-z]{2}@[A-Z]\.com", new[2])
+    digits = [re.sub(r"\D", "", x) for x in new]
+    assert len(set(digits[3:6])) == 1 and len({d[-10:] for d in digits[6:10]}) == 1 and len(set(digits[10:12])) == 1
+    assert digits[3].startswith("44") and digits[10].startswith("353") and digits[12] != digits[3]
+    assert [re.sub(r"\d", "0", x) for x in new[3:]] == [
+        re.sub(r"\d", "0", x) for x in uk + us + far + ["+44 20 7946 0959"]]
+
+
+def test_words_after_a_colon_are_no_secrets(spark):
+    texts = ["a token: example of it", "the secret: patience, he said", "token: ab12cd34", "password: hunter.two",
+             "password=hunter", 'secret: "wonderful"']
+    assert [found(spark, t) for t in texts] == [[], [], ["ab12cd34"], ["hunter.two"], ["hunter"], ["wonderful"]]
+
+
+def test_draws_are_dealt_by_rows(spark, monkeypatch):
+    forms = spark.range(300).selectExpr("'secret' AS kind", "concat('abcdef', id) AS normal")
+    whole = {(r.normal, r.surrogate) for r in draw_all(forms).collect()}
+    monkeypatch.setattr(surrogates, "DRAWS", 20)
+    assert {(r.normal, r.surrogate) for r in draw_all(forms).collect()} == whole and len(whole) == 300
+    assert draw_all(forms.limit(0)).collect() == []
+
+
 def test_distinct_in_a_small_space(spark):
     """Nearly all of the space of a format is taken, so most draws clash."""
     forms = [("secret", f"{a}{b}") for a in "abcdefghijklm" for b in "abcdefgh"] + [("ip", "1.2.3.4")]
