@@ -74,6 +74,34 @@ def test_first_word_of_an_item_inside_a_sentence(spark):
     assert all(r.covered == r.windows == 2 for r in found)
 
 
+def test_names_that_no_list_has(spark):
+    item = "Zoran bakes 12 loaves every morning. How many loaves does Zoran bake in 3 weeks of such work?"
+    other = item.replace("Zoran", "Priya").replace("12", "36").replace("3 weeks", "9 weeks")
+    mixed = item.replace("Zoran", "Priya", 1)
+    two_words = item.replace("Zoran", "Mary Ann")
+    texts = [FILL + other + " " + FILL, FILL + mixed, FILL + two_words, "They say: " + other, FILL, item.replace("Zoran", "He")]
+    found = {r.doc_id: r for r in repeats(docs_of(spark, texts), items_of(spark, [item])).collect()}
+    assert {0, 2, 3} <= set(found) and 4 not in found
+    assert found[0].changed_slots == 3 and found[0].coverage == 1
+    assert found[1].coverage < 1  # two values of one name: only as a copy with another first word
+
+
+def test_slots_agree_over_all_lines(spark):
+    one = "When {} sends a parcel of old books to {} by the slow train in spring"
+    two = "{} waits a whole month before the answer of {} comes back over hill and sea"
+    item = one.format("Anna", "Bob") + ", and then " + two.format("Anna", "Bob")
+    same = one.format("Tom", "Ben") + ", and so then " + two.format("Tom", "Ben")
+    other = one.format("Tom", "Ben") + ", and so then " + two.format("Kate", "Rose")
+    found = repeats(docs_of(spark, [same, other, FILL]), items_of(spark, [item]), cover=0.7)
+    assert [r.doc_id for r in found.collect()] == [0]
+
+
+def test_null_ids_of_items(spark):
+    items = spark.createDataFrame([(None, ITEM)], "item_id bigint, text string")
+    found = repeats(docs_of(spark, [CHANGED, FILL]), items).collect()
+    assert [(r.doc_id, r.item_id) for r in found] == [(0, None)]
+
+
 def test_pieces_of_long_texts_read_alike(monkeypatch):
     text = (FILL + CHANGED + "\n" + "É" * 9 + " Ünd Ört. ") * 40
 
