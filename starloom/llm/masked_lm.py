@@ -10,12 +10,12 @@ the others share buckets by hash. The numbers and buckets grow with the square r
 distinct words, from SIZE and RARE on. A word in a bucket has the probability of its bucket times
 its share of the bucket, (count + UNSEEN) of all counts there plus UNSEEN for each distinct word
 and for one that was never seen; the counts of all words are joined for this, so every word is
-predicted as itself. The network is trained on one text in EVERY (by hash of
-the text, so the training set grows with the corpus) in ROUNDS: every task starts from the same
-weights, learns from its own texts in small batches (numpy, Adagrad) and sends its weights and
-number of words; the weighted mean begins the next round. Only the vocabulary and the weights
-come to the driver. Means are taken in order of the tasks, so that a rerun
-over the same splits gives the same weights.
+predicted as itself. The network is trained on all texts, each once and whole, in ROUNDS: the rows
+of a task are dealt to the rounds in turn, so that copies of one text do not fill a round. In a
+round every task starts from the same weights, learns from its own texts in batches (numpy,
+Adagrad) and sends its weights and number of words; the weighted mean begins the next round. Only
+the vocabulary and the weights come to the driver. Means are taken in order of the tasks, so that
+a rerun over the same splits gives the same weights.
 
 Defined cases: a null text, or one without words, has 0 words, score 0 and a null mean. Beyond
 the ends of a text the window holds a boundary mark. Without any training text the network
@@ -40,7 +40,8 @@ from starloom.session import written
 CLUSTERS, MEMBERS, RARE, DIM = 32, 32, 32, 16
 SIZE = CLUSTERS * MEMBERS
 PLACES = (-2, -1, 1, 2)
-EVERY, ROUNDS, BATCH, RATE = 16, 3, 1024, 0.15
+ROUNDS, RATE = 3, 0.3
+FIRST, SHARE, BATCH = 256, 32, 8192  # words of a batch: the first ones, of those seen, and the most
 COUNTED = 1 << 21  # words that a task counts at once
 SCORED = 8192  # words scored at once
 COUNT_ROWS = 50_000  # rows of an Arrow batch of word counts
@@ -132,21 +133,34 @@ def contexts(ids: np.ndarray, begins: np.ndarray, size: int = SIZE) -> np.ndarra
 
 
 def _hidden(w: Weights, around: np.ndarray) -> np.ndarray:
-    total = w.tables[0][around[0]]
+    total = np.take(w.tables[0], around[0], axis=0)
     for table, ids in zip(w.tables[1:], around[1:]):
-        total = total + table[ids]
-    return np.tanh(total + w.bias)
+        total += np.take(table, ids, axis=0)
+    total += w.bias
+    return np.tanh(total, out=total)
 
 
 def _softmax(x: np.ndarray) -> np.ndarray:
-    x = np.exp(x - x.max(axis=1, keepdims=True))
-    return x / x.sum(axis=1, keepdims=True)
+    """Of each row, in place."""
+    x -= x.max(axis=1, keepdims=True)
+    np.exp(x, out=x)
+    x /= (x @ np.ones(x.shape[1], x.dtype))[:, None]
+    return x
 
 
 def _log_of(x: np.ndarray, at: np.ndarray) -> np.ndarray:
-    """Logarithm of the softmax of each row at one column."""
-    high = x.max(axis=1)
-    return x[np.arange(len(x)), at] - high - np.log(np.exp(x - high[:, None]).sum(axis=1))
+    """Logarithm of the softmax of each row at one column; `x` is used up."""
+    x -= x.max(axis=1, keepdims=True)
+    here = x[np.arange(len(x)), at]
+    np.exp(x, out=x)
+    return here - np.log(x.sum(axis=1))
+
+
+def _by_cluster(cluster: np.ndarray, clusters: int) -> tuple[np.ndarray, list[tuple[int, int, int]]]:
+    """An order of the words by cluster, and (cluster, first, end) of each one that occurs."""
+    order = np.argsort(cluster.astype(np.int16), kind="stable")
+    edges = np.searchsorted(cluster[order], np.arange(clusters + 1)).tolist()
+    return order, [(c, a, b) for c, (a, b) in enumerate(zip(edges, edges[1:])) if a < b]
 
 
 def log_probabilities(w: Weights, ids: np.ndarray, around: np.ndarray) -> np.ndarray:
@@ -155,44 +169,66 @@ def log_probabilities(w: Weights, ids: np.ndarray, around: np.ndarray) -> np.nda
     clusters, members = w.shape
     for a in range(0, len(ids), SCORED):
         part = ids[a:a + SCORED]
-        h = _hidden(w, around[:, a:a + SCORED])
+        order, runs = _by_cluster(part // members, clusters)
+        part = part[order]
         cluster, member = part // members, part % members
+        h = _hidden(w, around[:, a:a + SCORED][:, order])
         found = _log_of(h @ w.top[:-1] + w.top[-1], cluster).astype(np.float64)
-        order = np.argsort(cluster.astype(np.int16), kind="stable")
-        edges = np.searchsorted(cluster[order], np.arange(clusters + 1))
-        for c in range(clusters):
-            rows = order[edges[c]:edges[c + 1]]
-            if len(rows):
-                found[rows] += _log_of(h[rows] @ w.inner[c, :-1] + w.inner[c, -1], member[rows])
-        out[a:a + SCORED] = found
+        for c, first, end in runs:
+            found[first:end] += _log_of(h[first:end] @ w.inner[c, :-1] + w.inner[c, -1], member[first:end])
+        out[a + order] = found
     return out
 
 
+def _step(x: np.ndarray, squares: np.ndarray, grad: np.ndarray, at=...) -> None:
+    """Adagrad, in place, on the rows `at`."""
+    total = squares[at] + grad * grad
+    squares[at] = total
+    x[at] -= RATE * grad / (np.sqrt(total) + 1e-6)
+
+
 def learn(w: Weights, squares: list[np.ndarray], ids: np.ndarray, around: np.ndarray) -> None:
-    """One step on a batch, in place. `squares`: sums of squared gradients."""
+    """One step on a batch, in place. `squares`: sums of squared gradients.
+
+    Only the clusters and the rows of the tables that occur in the batch are touched.
+    """
     n = len(ids)
-    h = _hidden(w, around)
-    _, members = w.shape
+    clusters, members = w.shape
+    order, runs = _by_cluster(ids // members, clusters)
+    ids, around = ids[order], around[:, order]
     cluster, member = ids // members, ids % members
+    h = _hidden(w, around)
     wide = np.concatenate([h, np.ones((n, 1), np.float32)], axis=1)
     p = _softmax(wide @ w.top)
     p[np.arange(n), cluster] -= 1
     back = p @ w.top[:-1].T
-    grads = [np.zeros_like(x) for x in w.parts()]
-    grads[2] = wide.T @ p / n
-    for c in np.unique(cluster):
-        rows = np.flatnonzero(cluster == c)
-        q = _softmax(wide[rows] @ w.inner[c])
-        q[np.arange(len(rows)), member[rows]] -= 1
-        grads[3][c] = wide[rows].T @ q / n
-        back[rows] += q @ w.inner[c, :-1].T
-    back *= 1 - h * h
-    for k, near in enumerate(around):
-        np.add.at(grads[0][k], near, back / n)
-    grads[1] = back.mean(axis=0)
-    for x, g, s in zip(w.parts(), grads, squares):
-        s += g * g
-        x -= RATE * g / (np.sqrt(s) + 1e-6)
+    _step(w.top, squares[2], wide.T @ p / n)
+    for c, first, end in runs:
+        x = wide[first:end]
+        q = _softmax(x @ w.inner[c])
+        q[np.arange(end - first), member[first:end]] -= 1
+        back[first:end] += q @ w.inner[c, :-1].T
+        _step(w.inner[c], squares[3][c], x.T @ q / n)
+    back *= (1 - h * h) / np.float32(n)
+    _step(w.bias, squares[1], back.sum(axis=0))
+    for table, square, near in zip(w.tables, squares[0], around):
+        order = np.argsort(near.astype(np.int16 if w.size < 1 << 15 else np.int32), kind="stable")
+        near = near[order]
+        firsts = np.flatnonzero(np.concatenate([[True], near[1:] != near[:-1]]))
+        _step(table, square, np.add.reduceat(np.take(back, order, axis=0), firsts, axis=0), near[firsts])
+
+
+def teach_words(w: Weights, squares: list[np.ndarray], ids: np.ndarray, around: np.ndarray, seen: int) -> int:
+    """Steps over these words, after `seen` others; how many have been seen then.
+
+    Batches grow with what has been seen, so that few words are enough for some steps.
+    """
+    a = 0
+    while a < len(ids):
+        size = min(max(FIRST, (seen + a) // SHARE), BATCH)
+        learn(w, squares, ids[a:a + size], around[:, a:a + size])
+        a += size
+    return seen + len(ids)
 
 
 def word_counts(docs: DataFrame) -> DataFrame:
@@ -282,9 +318,7 @@ def _round(texts: DataFrame, model: Model) -> Weights:
             for _, offsets, hashes in words(batch.column(0)):
                 ids = numbers(hashes, m.vocabulary, m.ids, w.size)
                 around = contexts(ids, offsets, w.size)
-                for a in range(0, len(ids), BATCH):
-                    learn(w, squares, ids[a:a + BATCH], around[:, a:a + BATCH])
-                seen += len(ids)
+                seen = teach_words(w, squares, ids, around, seen)
         if seen:
             yield pa.RecordBatch.from_arrays(
                 [pa.array([TaskContext.get().partitionId()], pa.int32()), pa.array([seen], pa.int64()),
@@ -320,8 +354,9 @@ def fit(docs: DataFrame) -> Model:
     words = word_counts(docs)
     hashes, ids, counts, unseen = vocabulary(words)
     model = Model(hashes, ids, start_weights(counts), unseen, words)
-    texts = docs.where(F.pmod(F.xxhash64("text"), F.lit(EVERY)) == 0).select("text")
-    for _ in range(ROUNDS):
+    dealt = docs.select("text").withColumn("turn", F.pmod(F.monotonically_increasing_id(), F.lit(ROUNDS)))
+    for turn in range(ROUNDS):
+        texts = dealt.where(F.col("turn") == turn).select("text")
         model = replace(model, weights=_round(texts, model))
     return model
 

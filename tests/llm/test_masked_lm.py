@@ -85,8 +85,7 @@ def test_gradient_points_downhill():
     assert (Weights.of(w.flat()).flat() == w.flat()).all()
 
 
-def test_learns_order_from_both_sides(spark, monkeypatch):
-    monkeypatch.setattr(masked_lm, "EVERY", 1)
+def test_learns_order_from_both_sides(spark):
     rng = random.Random(6)
     lines = [" ".join(rng.choice(["red fox runs home", "blue bird sings songs", "old man reads books"]) for _ in range(30))
              for _ in range(120)]
@@ -183,3 +182,64 @@ def test_numbers_grow_with_the_distinct_words():
     for _ in range(30):
         learn(w, squares, ids, around)
     assert log_probabilities(w, ids, around).mean() > before
+
+
+def test_sparse_steps_equal_dense_gradients():
+    """One batch against plain sums over its words, for every table."""
+    rng = np.random.default_rng(4)
+    ids = rng.integers(0, 90, 70)
+    around = contexts(ids, np.array([0, 3, 3, 40, 70]))
+    w = start_weights(rng.random(SIZE))
+    before = Weights.of(w.flat())
+    grads = [np.zeros(x.shape) for x in w.parts()]
+    members = SIZE // CLUSTERS
+    for k, target in enumerate(ids):
+        near = around[:, k]
+        h = np.tanh(sum(t[n] for t, n in zip(before.tables, near)) + before.bias)
+        wide = np.append(h, 1.0)
+        p = np.exp(wide @ before.top)
+        p /= p.sum()
+        p[target // members] -= 1
+        q = np.exp(wide @ before.inner[target // members])
+        q /= q.sum()
+        q[target % members] -= 1
+        back = (before.top[:-1] @ p + before.inner[target // members][:-1] @ q) * (1 - h * h) / len(ids)
+        grads[1] += back
+        grads[2] += np.outer(wide, p) / len(ids)
+        grads[3][target // members] += np.outer(wide, q) / len(ids)
+        for place, n in enumerate(near):
+            grads[0][place, n] += back
+    squares = [np.full_like(x, 1e-4) for x in w.parts()]
+    learn(w, squares, ids, around)
+    for old, new, g in zip(before.parts(), w.parts(), grads):
+        want = old - masked_lm.RATE * g / (np.sqrt(1e-4 + g * g) + 1e-6)
+        assert np.abs(want - new).max() < 1e-3
+
+
+def test_batches_grow_with_the_words_seen(monkeypatch):
+    sizes = []
+    monkeypatch.setattr(masked_lm, "learn", lambda w, s, ids, around: sizes.append(len(ids)))
+    ids, seen = np.zeros(40_000, np.int64), 0
+    for _ in range(10):
+        seen = masked_lm.teach_words(None, None, ids, np.zeros((4, len(ids)), np.int64), seen)
+    assert seen == sum(sizes) == 400_000
+    assert sizes[0] == masked_lm.FIRST and max(sizes) == masked_lm.BATCH
+
+
+def test_every_text_is_learned_once(spark, monkeypatch):
+    """All rows of all tasks, copies and a text of a third of all words among them."""
+    seen = []
+    plain = masked_lm._round
+
+    def kept(texts, model):
+        seen.append([r.text for r in texts.collect()])
+        return plain(texts, model)
+
+    monkeypatch.setattr(masked_lm, "_round", kept)
+    texts = [f"t{k} a b" for k in range(50)] + ["copy of one"] * 40 + [None, "", "long " * 2000]
+    docs = spark.createDataFrame([(t,) for t in texts], "text string").repartition(4)
+    fit(docs)
+    key = lambda t: (t is None, t or "")
+    assert len(seen) == masked_lm.ROUNDS
+    assert sorted((t for part in seen for t in part), key=key) == sorted(texts, key=key)
+    assert all(0 < part.count("copy of one") < 40 for part in seen)
