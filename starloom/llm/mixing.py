@@ -27,6 +27,7 @@ from starloom.session import written
 
 WORD = r"[^\x20\x09-\x0D]+"
 UNFOLD = 1_000_000  # copies of one row that a task unfolds at once
+PART_BYTES = 128 * 1024 * 1024  # text of a part of the training set
 SLICE_DIGITS = 3  # hexadecimal digits of the random order: 4,096 slices of a source
 
 # Weights of the sources by code point, repeating, and how each changes from the begin (0) to
@@ -190,21 +191,24 @@ def training_set(docs: DataFrame, **options) -> DataFrame:
     others = F.to_json(F.struct(*rest)) if rest else F.lit("")
     rows = docs.select(
         F.xxhash64("doc_id", "text", others).alias("_row"), F.struct(*docs.columns).alias("_doc"),
-        word_count(F.col("text")).alias("_size"))
-    # The plan is made from the sizes alone; the texts are shuffled to meet it, and once more
-    # into training order.
+        word_count(F.col("text")).alias("_size"), F.octet_length("text").cast("bigint").alias("_bytes"))
+    # The plan is made from the sizes alone and written, as the range-sort reads it twice; the
+    # texts are shuffled to meet it, and once more into training order.
     once = rows.groupBy("_row").agg(F.first("_doc").alias("_doc"))
     counted = rows.select("_row", F.col("_doc.doc_id").alias("doc_id"), F.col("_doc.source").alias("source"),
-                          F.col("_size").alias("size"))
-    counted = counted.groupBy("_row", "doc_id", "source", "size").agg(F.count("*").alias("_copies"))
+                          F.col("_size").alias("size"), F.coalesce("_bytes", F.lit(0)).alias("_bytes"))
+    counted = counted.groupBy("_row", "doc_id", "source", "size", "_bytes").agg(F.count("*").alias("_copies"))
     zero, step = F.lit(0).cast("bigint"), F.lit(UNFOLD).cast("bigint")
     chunks = counted.withColumn("_from", F.explode(F.sequence(zero, F.col("_copies") - 1, step))).hint("rebalance")
     upto = F.least(F.col("_from") + step, F.col("_copies")) - 1
     sized = chunks.withColumn("_copy", F.explode(F.sequence(F.col("_from"), upto)))
     name = F.coalesce(F.col("doc_id").cast("string"), F.concat(F.lit("-"), F.col("_row").cast("string")))
     name = F.when(F.col("_copy") > 0, F.concat_ws(":", name, F.col("_copy").cast("string"))).otherwise(name)
-    sized = sized.select("_row", "_copy", "doc_id", "source", "size", name.alias("_name"))
-    plan = _placed(sized, ["_row", "_copy"], **options)
-    plan = plan.select("_row", F.explode("passes").alias("_p")).select("_row", "_p.pass", "_p.words", "_p.position")
+    sized = sized.select("_row", "_copy", "doc_id", "source", "size", name.alias("_name"), "_bytes")
+    plan = _placed(sized, ["_row", "_copy", "_bytes"], **options)
+    plan = plan.select("_row", "_bytes", F.explode("passes").alias("_p"))
+    plan = written(plan.select("_row", "_p.pass", "_p.words", "_p.position", "_bytes"), "plan")
+    total = plan.agg(F.sum("_bytes")).first()[0] or 0
+    parts = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-total // PART_BYTES))
     kept = [F.col(f"_doc.`{c}`") for c in docs.columns if c not in ("pass", "words", "position")]
-    return by_position(once.join(plan, "_row").select(*kept, "pass", "words", "position"))
+    return by_position(once.join(plan, "_row").select(*kept, "pass", "words", "position"), parts)

@@ -7,6 +7,7 @@ from fractions import Fraction
 import pytest
 from pyspark.sql import functions as F
 
+from starloom.llm import mixing
 from starloom.llm.mixing import SCHEDULES, moment, placed, training_set
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -108,3 +109,16 @@ def test_query_repeats_and_meets_targets(spark):
     run = QUERIES["op3_mix_curriculum"]
     first, second = (sorted(map(tuple, run(spark, "/root/testdata/sf0.001").drop("position").collect())) for _ in range(2))
     assert first == second and len(first) == 200
+
+
+def test_parts_follow_the_bytes_of_the_texts(spark, monkeypatch):
+    rows = [(k, "word " * 50, "s") for k in range(200)] + [(None, None, "s")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, source string")
+    least = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert training_set(docs).rdd.getNumPartitions() == least
+    monkeypatch.setattr(mixing, "PART_BYTES", 1000)
+    sample = training_set(docs)
+    read = sum(len(r.text) for r in sample.collect())
+    assert sample.rdd.getNumPartitions() == -(-read // 1000) > least
+    position = [r.position for r in sample.collect()]
+    assert position == sorted(position)
