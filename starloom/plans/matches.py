@@ -18,7 +18,7 @@ from starloom.functions.timeparts import start_time
 from starloom.operators.keys import row_key
 from starloom.operators.matching import catalog_of
 from starloom.operators.snapshots import read_snapshot, replace_snapshot
-from starloom.operators.tables import append_fact, exists, write_table
+from starloom.operators.tables import append_fact, exists, missing_in, write_table
 from starloom.plans.plays import PLAY_COLUMNS, Preset, build_songplays, partitioned_by_month
 from starloom.session import kept
 
@@ -86,8 +86,8 @@ def changed_months(spark: SparkSession, paths: dict[str, str], new: DataFrame) -
 
 
 def in_months(months: list[tuple[int, int]]) -> Column:
-    """A filter on the partition columns alone."""
-    return reduce(Column.__or__, [(F.col("year") == y) & (F.col("month") == m) for y, m in months], F.lit(False))
+    """A filter on the partition columns alone. The month is worked out once a row, not once a month."""
+    return (F.col("year") * 12 + F.col("month")).isin([y * 12 + m for y, m in months])
 
 
 def settle(
@@ -124,4 +124,6 @@ def settle(
 
 def append_keys(journal: DataFrame, path: str, preset: Preset) -> None:
     """Add the match keys of a batch that its months do not have yet."""
-    append_fact(keys_of_plays(journal, preset), path, ["match_key", *MONTH], MONTH)
+    keys = missing_in(keys_of_plays(journal, preset), path, ["match_key", *MONTH], MONTH, journal)
+    if keys is not None:
+        write_table(keys, path, MONTH, mode="append")

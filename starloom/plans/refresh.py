@@ -15,7 +15,7 @@ from starloom.functions.timeparts import calendar_parts, start_time
 from starloom.operators.merge import last_wins
 from starloom.operators.quality import assert_quality, contract_report, foreign_key_in_buckets, row_checks
 from starloom.operators.snapshots import merge_snapshot, read_snapshot, replace_snapshot
-from starloom.operators.tables import append_fact, publish, recover, stage_in
+from starloom.operators.tables import missing_in, publish, recover, stage_in, write_table
 from starloom.plans.matches import append_keys, journal_of, settle
 from starloom.plans.plays import HOURLY, PLAY_COLUMNS, Preset, build_song_dims, layouts, plays_of
 from starloom.session import scratch_path
@@ -53,9 +53,10 @@ def users_of(plays: DataFrame) -> DataFrame:
 def append_times(plays: DataFrame, path: str, preset: Preset) -> None:
     """Add the start times of a batch that the time dimension does not have yet."""
     times = plays.select(start_time(F.col("ts"), preset.precision).alias("start_time")).distinct()
-    times = times.where(F.col("start_time").isNotNull())
-    rows = times.select("start_time", *calendar_parts(F.col("start_time"), preset.weekday))
-    append_fact(rows, path, ["start_time", "year", "month"], TIMES.partition_by)
+    times = missing_in(times.where(F.col("start_time").isNotNull()), path, ["start_time"], list(TIMES.partition_by), plays)
+    if times is not None:
+        rows = times.select("start_time", *calendar_parts(F.col("start_time"), preset.weekday))
+        write_table(rows, path, TIMES.partition_by, mode="append")
 
 
 def read_tables(spark: SparkSession, paths: dict[str, str]) -> dict[str, DataFrame]:
@@ -135,6 +136,6 @@ def run_hourly(
         key=["play_id", "year", "month"], transform=lambda rows: journal_of(plays_of(rows), preset),
         partition_by=["year", "month"], collect=lambda rows: plays_of(rows).select(*PLAY_COLUMNS),
         before=before, stage=stage if staged else None, refresh=refresh, always=True,
-        fmt="text" if staged else "json", files_per_batch=files_per_batch, conflicts=paths["conflicts"],
+        cheap=True, fmt="text" if staged else "json", files_per_batch=files_per_batch, conflicts=paths["conflicts"],
     )
     return {t: paths[t] for t in STAR}

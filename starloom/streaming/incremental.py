@@ -61,6 +61,7 @@ def run_incremental(
     files_per_batch: int | None = None,
     always: bool = False,
     conflicts: str | None = None,
+    cheap: bool = False,
 ) -> None:
     """Append new source files to the fact, then refresh the dimensions once.
 
@@ -69,7 +70,9 @@ def run_incremental(
     repeated batch replaces its own rows. After the last batch `refresh` gets all of them at
     once. A run that stops before leaves them to the next run; with `always`, a run without new
     files calls it with None. `before` gets the fact rows of a batch before they are appended and
-    may raise. Different rows of one key stop the run, or go to `conflicts` by batch.
+    may raise. Different rows of one key stop the run, or go to `conflicts` by batch. With `cheap`
+    the rows of `transform`, which must be the same each time, are made anew for each read and not
+    written once more.
     """
     pending = f"{checkpoint.rstrip('/')}-pending"
 
@@ -77,7 +80,8 @@ def run_incremental(
         with kept(stage(batch, number) if stage else batch, "micro-batch") as rows:
             append_fact(
                 transform(rows) if transform else rows, fact, key, partition_by, before=before,
-                conflicts=f"{conflicts}/batch={number}" if conflicts else None)
+                conflicts=f"{conflicts}/batch={number}" if conflicts else None,
+                stored=cheap or transform is None)
             if refresh is not None:
                 taken = collect(rows) if collect else rows
                 taken.write.mode("overwrite").parquet(f"{pending}/batch={number}")
