@@ -5,8 +5,9 @@ import os
 from pyspark.sql import functions as F
 
 from starloom import session
-from starloom.contracts import PLAY_LOG
+from starloom.contracts import PLAY_LOG, SONG_CATALOG
 from starloom.operators import tables
+from starloom.plans import plays
 from starloom.plans.matches import in_months
 from starloom.sources.files import scan_json
 from starloom.sources.staging import read_lines
@@ -76,3 +77,32 @@ def test_shuffles_begin_with_partitions_for_the_size(spark, tmp_path, monkeypatc
     finally:
         for k, v in before.items():
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def test_several_stars_parse_their_input_once(spark, tmp_path):
+    log, songs = str(tmp_path / "log"), str(tmp_path / "songs")
+    play = dict(artist="a", auth="x", firstName="f", gender="F", itemInSession=1, lastName="l", length=1.0,
+                level="free", location="p", method="PUT", page="NextSong", registration=1.0, sessionId=7,
+                song="s", status=200, ts=1_541_106_106_796, userAgent="u", userId="3")
+    song = dict(num_songs=1, artist_id="A", artist_latitude=1.0, artist_longitude=1.0, artist_location="p",
+                artist_name="a", song_id="S", title="s", duration=1.0, year=2000)
+    tables.write_json(spark.createDataFrame([play], PLAY_LOG.schema), log)
+    tables.write_json(spark.createDataFrame([song], SONG_CATALOG.schema), songs)
+    with plays.stored_inputs(spark, log, songs) as inputs:
+        tables.drop_table(spark, log), tables.drop_table(spark, songs)
+        for name in ("default", "warehouse", "scheduled"):
+            paths = plays.run_play_star(
+                spark, log, songs, f"{tmp_path}/{name}", plays.PRESETS[name], inputs=inputs)
+            fact = spark.read.parquet(paths["songplays"])
+            assert fact.columns == [*plays.SONGPLAYS.column_names, "year", "month"]
+            assert [(r.song_id, r.user_id, r.month) for r in fact.collect()] == [("S", 3, 11)]
+
+
+def test_digests_are_added_after_the_rows_are_moved(spark, tmp_path, monkeypatch):
+    moved, move = [], tables.repartition_by_columns
+    monkeypatch.setattr(tables, "repartition_by_columns", lambda df, c: moved.append(df.columns) or move(df, c))
+    rows = spark.createDataFrame([(1, 2000), (2, 2001)], "k int, year int")
+    fresh = tables.stage_in(rows, str(tmp_path / "t"), ["year"], late=lambda r: r.withColumn("d", F.md5(F.col("k").cast("string"))))
+    assert moved == [["k", "year"]] and fresh.where("d = md5(cast(k as string))").count() == 2
+    tables.write_table(rows, str(tmp_path / "u"), ["year"], gather=False)
+    assert len(moved) == 1
