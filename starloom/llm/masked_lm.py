@@ -44,6 +44,7 @@ ROUNDS, RATE = 3, 0.3
 FIRST, SHARE, BATCH = 256, 32, 8192  # words of a batch: the first ones, of those seen, and the most
 COUNTED = 1 << 21  # words that a task counts at once
 SCORED = 8192  # words scored at once
+EXPONENT = 40.0  # below this, exponentials and their sums, times weights, stay far inside float32
 COUNT_ROWS = 50_000  # rows of an Arrow batch of word counts
 GROUPS = 16  # groups of tasks whose weights are averaged first
 UNSEEN = 0.5  # added to the count of every word of a bucket, and the count of an unseen one
@@ -140,20 +141,45 @@ def _hidden(w: Weights, around: np.ndarray) -> np.ndarray:
     return np.tanh(total, out=total)
 
 
-def _softmax(x: np.ndarray) -> np.ndarray:
-    """Of each row, in place."""
-    x -= x.max(axis=1, keepdims=True)
+def _wide(h: np.ndarray) -> np.ndarray:
+    """With a column of ones, which meets the last row of the output tables."""
+    return np.concatenate([h, np.ones((len(h), 1), np.float32)], axis=1)
+
+
+def _bound(x: np.ndarray, weights: np.ndarray) -> None:
+    """Take its maximum from each row, in place, if an exponential could overflow. Hidden values are
+    at most 1, so the sums of the weights that made the rows bound them without a look at each."""
+    if np.abs(weights).sum(axis=-2).max() > EXPONENT:
+        x -= x.max(axis=1, keepdims=True)
+
+
+def _exps(x: np.ndarray) -> np.ndarray:
+    """Exponentials, in place; the sums of the rows."""
     np.exp(x, out=x)
-    x /= (x @ np.ones(x.shape[1], x.dtype))[:, None]
-    return x
+    return x @ np.ones(x.shape[1], x.dtype)
 
 
-def _log_of(x: np.ndarray, at: np.ndarray) -> np.ndarray:
+def _log_of(x: np.ndarray, at: np.ndarray, weights: np.ndarray) -> np.ndarray:
     """Logarithm of the softmax of each row at one column; `x` is used up."""
-    x -= x.max(axis=1, keepdims=True)
+    _bound(x, weights)
     here = x[np.arange(len(x)), at]
-    np.exp(x, out=x)
-    return here - np.log(x.sum(axis=1))
+    return here - np.log(_exps(x))
+
+
+def _slope(x: np.ndarray, at: np.ndarray, weights: np.ndarray) -> np.ndarray:
+    """The softmax of each row, less 1 at one column, in place and times its sum; one over the sums."""
+    _bound(x, weights)
+    total = _exps(x)
+    x[np.arange(len(x)), at] -= total
+    return (1 / total)[:, None]
+
+
+def _inner(w: Weights, wide: np.ndarray, runs: list[tuple[int, int, int]]) -> np.ndarray:
+    """What the members of its cluster get, for each word; the words are in runs by cluster."""
+    out = np.empty((len(wide), w.shape[1]), np.float32)
+    for c, first, end in runs:
+        np.matmul(wide[first:end], w.inner[c], out=out[first:end])
+    return out
 
 
 def _by_cluster(cluster: np.ndarray, clusters: int) -> tuple[np.ndarray, list[tuple[int, int, int]]]:
@@ -172,10 +198,9 @@ def log_probabilities(w: Weights, ids: np.ndarray, around: np.ndarray) -> np.nda
         order, runs = _by_cluster(part // members, clusters)
         part = part[order]
         cluster, member = part // members, part % members
-        h = _hidden(w, around[:, a:a + SCORED][:, order])
-        found = _log_of(h @ w.top[:-1] + w.top[-1], cluster).astype(np.float64)
-        for c, first, end in runs:
-            found[first:end] += _log_of(h[first:end] @ w.inner[c, :-1] + w.inner[c, -1], member[first:end])
+        wide = _wide(_hidden(w, around[:, a:a + SCORED][:, order]))
+        found = _log_of(wide @ w.top, cluster, w.top).astype(np.float64)
+        found += _log_of(_inner(w, wide, runs), member, w.inner)
         out[a + order] = found
     return out
 
@@ -198,24 +223,30 @@ def learn(w: Weights, squares: list[np.ndarray], ids: np.ndarray, around: np.nda
     ids, around = ids[order], around[:, order]
     cluster, member = ids // members, ids % members
     h = _hidden(w, around)
-    wide = np.concatenate([h, np.ones((n, 1), np.float32)], axis=1)
-    p = _softmax(wide @ w.top)
-    p[np.arange(n), cluster] -= 1
-    back = p @ w.top[:-1].T
-    _step(w.top, squares[2], wide.T @ p / n)
-    for c, first, end in runs:
-        x = wide[first:end]
-        q = _softmax(x @ w.inner[c])
-        q[np.arange(end - first), member[first:end]] -= 1
-        back[first:end] += q @ w.inner[c, :-1].T
-        _step(w.inner[c], squares[3][c], x.T @ q / n)
+    wide = _wide(h)
+    p = wide @ w.top
+    scale = _slope(p, cluster, w.top)
+    back = (p @ w.top[:-1].T) * scale
+    top = (wide * scale).T @ p / n
+    q = _inner(w, wide, runs)
+    scale = _slope(q, member, w.inner)
+    scaled = wide * scale
+    more, inner = np.empty_like(back), np.empty((len(runs), DIM + 1, members), np.float32)
+    for k, (c, first, end) in enumerate(runs):
+        np.matmul(q[first:end], w.inner[c, :-1].T, out=more[first:end])
+        np.matmul(scaled[first:end].T, q[first:end], out=inner[k])
+    back += more * scale
+    _step(w.top, squares[2], top)
+    _step(w.inner, squares[3], inner / n, [c for c, _, _ in runs])
     back *= (1 - h * h) / np.float32(n)
     _step(w.bias, squares[1], back.sum(axis=0))
     for table, square, near in zip(w.tables, squares[0], around):
         order = np.argsort(near.astype(np.int16 if w.size < 1 << 15 else np.int32), kind="stable")
         near = near[order]
         firsts = np.flatnonzero(np.concatenate([[True], near[1:] != near[:-1]]))
-        _step(table, square, np.add.reduceat(np.take(back, order, axis=0), firsts, axis=0), near[firsts])
+        # two sums at once, as the parts of a complex number
+        pairs = np.take(back, order, axis=0).view(np.complex64)
+        _step(table, square, np.add.reduceat(pairs, firsts, axis=0).view(np.float32), near[firsts])
 
 
 def teach_words(w: Weights, squares: list[np.ndarray], ids: np.ndarray, around: np.ndarray, seen: int) -> int:

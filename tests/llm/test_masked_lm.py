@@ -243,3 +243,33 @@ def test_every_text_is_learned_once(spark, monkeypatch):
     assert len(seen) == masked_lm.ROUNDS
     assert sorted((t for part in seen for t in part), key=key) == sorted(texts, key=key)
     assert all(0 < part.count("copy of one") < 40 for part in seen)
+
+
+def test_a_batch_takes_exponentials_once_per_level(monkeypatch):
+    """However many clusters it has; with large weights, maxima keep them finite."""
+    rng = np.random.default_rng(5)
+    ids = rng.integers(0, SIZE, 4000)
+    around = contexts(ids, np.array([0, 1000, 4000]))
+    calls = []
+    plain = np.exp
+    with monkeypatch.context() as m:
+        m.setattr(np, "exp", lambda *a, **k: calls.append(1) or plain(*a, **k))
+        w = start_weights(rng.random(SIZE))
+        learn(w, [np.full_like(x, 1e-4) for x in w.parts()], ids, around)
+        assert len(calls) == 2
+        log_probabilities(w, ids, around)
+        assert len(calls) == 4
+    by_maximum = start_weights(np.ones(SIZE))
+    by_bound = Weights.of(by_maximum.flat())
+    for w, limit in ((by_maximum, 0.0), (by_bound, masked_lm.EXPONENT)):
+        monkeypatch.setattr(masked_lm, "EXPONENT", limit)
+        squares = [np.full_like(x, 1e-4) for x in w.parts()]
+        for _ in range(5):
+            learn(w, squares, ids, around)
+    assert np.abs(by_maximum.flat() - by_bound.flat()).max() < 1e-3
+    for x in (by_bound.top, by_bound.inner):
+        x *= 1e4
+    found = log_probabilities(by_bound, ids, around)
+    assert np.isfinite(found).all() and found.min() < -100 and found.max() <= 0
+    learn(by_bound, [np.full_like(x, 1e-4) for x in by_bound.parts()], ids, around)
+    assert np.isfinite(by_bound.flat()).all()
