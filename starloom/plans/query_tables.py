@@ -9,7 +9,7 @@ from starloom.contracts import (
 )
 from starloom.operators import merge
 from starloom.operators.cleaning import drop_blank
-from starloom.operators.layout import distribute_sort
+from starloom.operators.layout import distribute_merged
 from starloom.session import kept
 from starloom.sources.files import scan_csv
 
@@ -76,6 +76,6 @@ def run_query_tables(spark: SparkSession, source: str, out: str) -> dict[str, st
     with kept(typed_plays(scan_csv(spark, source, EVENT_CSV)), "typed-plays") as plays:
         for contract, build in BUILDERS:
             paths[contract.name] = f"{out}/{contract.name}"
-            table = distribute_sort(build(plays), list(contract.cluster_by), list(contract.sort_by))
+            table = distribute_merged(plays, list(contract.cluster_by), list(contract.sort_by), build)
             table.write.mode("overwrite").parquet(paths[contract.name])
     return paths

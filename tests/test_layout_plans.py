@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from starloom.functions.timeparts import on_day, within_years
-from starloom.operators import aggregates, layout, quality
+from starloom.operators import aggregates, layout, merge, quality
 from starloom.operators.cleaning import latest_window
 from starloom.operators.matching import match_plays
 from starloom.queries import QUERIES
@@ -137,3 +137,22 @@ def test_a_hot_group_is_read_in_order_by_several_tasks(spark, tiny_partitions):
         F.min("id").alias("a"), F.max("id").alias("b")).orderBy("p").collect()
     assert len(parts) > 1
     assert all(x.b < y.a for x, y in zip(parts, parts[1:]))
+
+
+def test_merged_rows_are_shuffled_once_unless_a_key_is_hot(spark, tiny_partitions, monkeypatch):
+    def newest(df):
+        return merge.last_wins(df, ["song", "user"], ["id"])
+
+    even = spark.range(0, 40_000, 1, 8).selectExpr(
+        "concat('song ', id % 5000) AS song", "id % 10000 AS user", "sha2(string(id), 256) AS payload", "id")
+    hot = even.withColumn("song", F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise(F.col("song")))
+    blank = even.withColumn("song", F.when(F.col("id") % 7 > 0, F.col("song")))
+    usual = layout.HOT_SHARE
+    for rows, limit, shuffles in ((even, usual, 1), (hot, usual, 2), (blank, usual, 2), (hot, 2000, 1)):
+        monkeypatch.setattr(layout, "HOT_SHARE", limit)
+        laid = layout.distribute_merged(rows, ["song"], ["song", "user"], newest)
+        assert final_plan(laid).count("Exchange ") == shuffles
+        assert sorted(map(str, laid.collect())) == sorted(map(str, newest(rows).collect()))
+    assert layout.distribute_merged(even.limit(0), ["song"], ["song", "user"], newest).collect() == []
+    parts = layout.distribute_merged(even, ["song"], ["song", "user"], newest).withColumn("p", F.spark_partition_id())
+    assert parts.groupBy("song").agg(F.count_distinct("p").alias("n")).where("n > 1").count() == 0

@@ -124,6 +124,32 @@ def test_query_tables(spark, events, tmp_path):
     assert query_tables.clean_union(events).columns == query_tables.CLEAN_COLUMNS
 
 
+def test_query_tables_shuffle_plays_once_each(spark, tmp_path, monkeypatch):
+    """Only their columns and rows; what is written are the merged tables."""
+    rows = [event(T0 + k, k % 4, str(k % 900 or ""), song=f"S{k % 2900}", session=k // 2)
+            for k in range(6000)]
+    events = spark.createDataFrame([tuple(r.values()) for r in rows], PLAY_LOG.schema)
+    events.drop("userAgent").write.option("header", True).csv(str(tmp_path / "in"))
+    laid, plain = [], query_tables.distribute_merged
+
+    def kept(*args):
+        laid.append(plain(*args)._jdf.queryExecution())
+        return plain(*args)
+
+    monkeypatch.setattr(query_tables, "distribute_merged", kept)
+    paths = query_tables.run_query_tables(spark, str(tmp_path / "in"), str(tmp_path / "out"))
+    for execution in laid:
+        text = execution.executedPlan().toString()
+        assert text.count("Exchange ") == 1
+        assert "Filter atleastnnonnulls" in text.split("Exchange ")[1]
+    assert len(laid) == 3
+    assert not any("artist" in e.executedPlan().toString() for e in laid[2:])
+    want = query_tables.build_query_tables(query_tables.typed_plays(events))
+    for name, path in paths.items():
+        got = spark.read.parquet(path)
+        assert sorted(map(str, got.collect())) == sorted(map(str, want[name].collect())), name
+
+
 def test_hourly_refresh_in_two_runs_equals_one(spark, events, catalog, tmp_path):
     def run(out, drops):
         for i, rows in enumerate(drops):
