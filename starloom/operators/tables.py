@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-from contextlib import nullcontext
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager, nullcontext
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, DataFrameWriter, Row, SparkSession, functions as F
@@ -58,6 +58,48 @@ def write_table(
     writer.parquet(path)
 
 
+@contextmanager
+def beside(
+    df: DataFrame, path: str, partition_by: list[str] | tuple[str, ...],
+    late: Callable[[DataFrame], DataFrame] | None = None,
+) -> Iterator[tuple[DataFrame, str]]:
+    """`df` written once beside the table at `path` and in its layout, to be checked and then moved
+    in: its rows, and the folder they lie in, of which what was not moved is removed afterwards."""
+    spark, folder = df.sparkSession, f"{path.rstrip('/')}__batch"
+    try:
+        write_table(df, folder, partition_by, late=late)
+        yield spark.read.schema((late(df) if late else df).schema).parquet(folder), folder
+    finally:
+        drop_table(spark, folder)
+
+
+def move_in(spark: SparkSession, folder: str, path: str, replace: bool = False) -> None:
+    """Move the files of a table written `beside` the one at `path` into it. With `replace` each
+    folder with files takes the place of the old one; others stay as they are."""
+    fs, source = filesystem(spark, folder)
+    _, target = filesystem(spark, path)
+
+    def rename(old, new) -> None:
+        if not fs.rename(old, new):
+            raise OSError(f"could not move {old.toString()} to {new.toString()}")
+
+    def move(old, new) -> None:
+        found = [s for s in fs.listStatus(old) if s.getPath().getName()[0] not in "_."]
+        folders, files = [s for s in found if s.isDirectory()], [s for s in found if s.isFile()]
+        if files and not folders and new.toString() != target.toString():
+            if replace:
+                fs.delete(new, True)
+            if not fs.exists(new):
+                fs.mkdirs(new.getParent())
+                return rename(old, new)
+        fs.mkdirs(new)
+        for status in found:
+            inside = filesystem(spark, f"{new.toString()}/{status.getPath().getName()}")[1]
+            (move if status.isDirectory() else rename)(status.getPath(), inside)
+
+    move(source, target)
+
+
 def write_csv_quoted(df: DataFrame, path: str) -> None:
     """CSV with a header and every field quoted."""
     (df.write.mode("overwrite").option("header", True).option("quoteAll", True)
@@ -120,6 +162,7 @@ def append_fact(
     df: DataFrame, path: str, key: list[str], partition_by: list[str] | tuple[str, ...] = (),
     drop_first: bool = False, before: Callable[[DataFrame], None] | None = None,
     conflicts: str | None = None, stored: bool = False,
+    hashed: list[str | Column] | None = None, ready: str | None = None,
 ) -> None:
     """Append the rows whose key is new, creating the table if needed; safe to run again.
 
@@ -135,9 +178,11 @@ def append_fact(
 
     First the hashes of the keys alone are counted. Keys whose hash occurs once and not in the
     table are new, and their rows go to the table as they are. Only rows whose hash occurs again
-    are grouped and compared by the key itself.
+    are grouped and compared by the key itself. `hashed` are columns that follow from the key and
+    are cheaper to read and hash. If the batch was written `beside` the table, its folder is given
+    as `ready`: where no key occurs again, its files are moved in instead of being written again.
     """
-    spark = df.sparkSession
+    spark, hashed = df.sparkSession, hashed or key
     if drop_first:
         drop_table(spark, path)
     unknown = reduce(Column.__or__, [F.col(c).isNull() for c in key])
@@ -150,14 +195,20 @@ def append_fact(
                 existing = _touched(existing, batch, list(partition_by))
             elif batch.isEmpty():
                 existing = None
-        with kept(_repeated(batch, existing, unknown, key), "repeated") as repeated:
+        with kept(_repeated(batch, existing, unknown, hashed), "repeated") as repeated:
             known = batch.where(~unknown)
             if repeated.isEmpty():
+                if ready is not None and batch.where(unknown).isEmpty():
+                    if before is not None:
+                        before(batch)
+                    if not there or existing is not None:
+                        move_in(spark, ready, path)
+                    return
                 rows, again = known, known.limit(0)
             else:
-                hashed = known.withColumn(HASH, F.xxhash64(*key))
-                rows = hashed.join(repeated, HASH, "left_anti").select(*batch.columns)
-                again = hashed.join(repeated, HASH, "left_semi").select(*batch.columns)
+                marked = known.withColumn(HASH, F.xxhash64(*hashed))
+                rows = marked.join(repeated, HASH, "left_anti").select(*batch.columns)
+                again = marked.join(repeated, HASH, "left_semi").select(*batch.columns)
             torn = _conflicts(again, key, conflicts) if conflicts is not None else None
             if torn is not None:
                 again = again.join(torn, key, "left_anti").select(*batch.columns)
@@ -181,17 +232,23 @@ def append_fact(
 def missing_in(
     rows: DataFrame, path: str, key: list[str], partition_by: list[str], batch: DataFrame,
 ) -> DataFrame | None:
-    """`rows` whose key the table at `path` lacks, to be appended; all if there is no table.
+    """The keys of `rows` that the table at `path` lacks, each once, to be appended; all if there is
+    no table.
 
-    For distinct rows without a NULL that are made of nothing but their key, so that rows of one
-    key cannot differ. `batch` is what the rows come from: only the partitions between its first
-    and last are read. None if it is empty and the table is there.
+    For tables that are made of nothing but their key, which has the partition columns in it and no
+    NULL. Rows and stored keys are shuffled once, by the partition columns, so that the result needs
+    no gathering before it is written. `batch` is what the rows come from: only the partitions
+    between its first and last are read. None if it is empty and the table is there.
     """
-    spark = rows.sparkSession
-    if not exists(spark, path):
-        return rows
-    existing = _touched(spark.read.parquet(path), batch, partition_by)
-    return None if existing is None else rows.join(existing.select(*key), key, "left_anti")
+    spark, new = rows.sparkSession, F.lit(True).alias("_new")
+    both = rows.select(*key, new)
+    if exists(spark, path):
+        existing = _touched(spark.read.parquet(path), batch, partition_by)
+        if existing is None:
+            return None
+        both = both.unionByName(existing.select(*key, F.lit(False).alias("_new")))
+    keys = repartition_by_columns(both, partition_by).groupBy(*key).agg(F.min("_new").alias("_new"))
+    return keys.where("_new").select(*key)
 
 
 CONFLICT = "different rows of one key"

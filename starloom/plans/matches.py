@@ -12,57 +12,74 @@ from __future__ import annotations
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from starloom.functions.numbers import fit_decimal
 from starloom.functions.timeparts import start_time
 from starloom.operators.keys import row_key
 from starloom.operators.matching import catalog_of
 from starloom.operators.snapshots import read_snapshot, replace_snapshot
-from starloom.operators.tables import append_fact, exists, missing_in, write_table
-from starloom.plans.plays import PLAY_COLUMNS, Preset, build_songplays, partitioned_by_month
-from starloom.session import kept
+from starloom.operators.tables import append_fact, beside, exists, missing_in, move_in, write_table
+from starloom.plans.plays import PLAY_COLUMNS, Preset, build_songplays, partitioned_by_month, with_digest
 
 MONTH = ["year", "month"]
+# The batch that brought a play.
+BATCH = "_batch"
 
 
 def journal_of(plays: DataFrame, preset: Preset) -> DataFrame:
-    """Plays as they are kept: with `play_id`, which does not depend on a match, and their month."""
+    """Plays with their month, as they are kept but for what `with_play_id` adds."""
     rows = plays.select(*PLAY_COLUMNS, start_time(F.col("ts"), preset.precision).alias("start_time"))
+    return partitioned_by_month(rows).drop("start_time")
+
+
+def with_play_id(journal: DataFrame, preset: Preset) -> DataFrame:
+    """The journal with `play_id`, first, which does not depend on a match."""
+    rows = journal.withColumn("start_time", start_time(F.col("ts"), preset.precision))
     rows = row_key(rows, ["sessionId", "start_time", "itemInSession"], "play_id")
-    return partitioned_by_month(rows).select("play_id", *PLAY_COLUMNS, *MONTH)
+    others = [c for c in journal.columns if c not in MONTH]
+    return rows.select("play_id", *others, *MONTH)
+
 
+def play_identity() -> list[str | Column]:
+    """What a `play_id` is made of, as it is stored."""
+    return ["sessionId", F.floor(F.col("ts") / F.lit(1000)), "itemInSession"]
 
-def _keys(preset: Preset, title: Column, artist: Column, length: Column) -> Column:
-    """Hashes of all that a play and a catalog row must agree in; none if a part is null."""
+
+def _keys(preset: Preset, title: Column, artist: Column, length: Column) -> list[Column]:
+    """Hashes of all that a play and a catalog row must agree in; NULL if a part is."""
     if preset.match == "two_step":
-        parts = [F.when(title.isNotNull(), F.xxhash64(F.lit("title"), title)),
-                 F.when(artist.isNotNull(), F.xxhash64(F.lit("artist"), artist))]
-        return F.array_compact(F.array(*parts))
+        return [F.when(title.isNotNull(), F.xxhash64(F.lit("title"), title)),
+                F.when(artist.isNotNull(), F.xxhash64(F.lit("artist"), artist))]
     parts = [title, artist]
     if preset.duration_scale is not None:
         parts.append(fit_decimal(length, preset.duration_scale, preset.duration_mode))
     known = reduce(Column.__and__, [p.isNotNull() for p in parts])
-    return F.array_compact(F.array(F.when(known, F.xxhash64(*parts))))
+    return [F.when(known, F.xxhash64(*parts))]
+
+
+def _by_key(rows: DataFrame, keys: list[Column], *others: str | Column) -> DataFrame:
+    """`others` once for each of the keys, as `match_key`, that is not NULL."""
+    key = keys[0] if len(keys) == 1 else F.explode(F.array(*keys))
+    return rows.select(key.alias("match_key"), *others).where("match_key IS NOT NULL")
 
 
 def keys_of_plays(journal: DataFrame, preset: Preset) -> DataFrame:
-    """(match_key, year, month): the keys that occur in a month, each once."""
-    keys = _keys(preset, F.col("song"), F.col("artist"), F.col("length"))
-    return journal.select(F.explode(keys).alias("match_key"), *MONTH).distinct()
+    """(match_key, year, month): the keys that occur in a month, as often as they do."""
+    return _by_key(journal, _keys(preset, F.col("song"), F.col("artist"), F.col("length")), *MONTH)
 
 
 def matches_of(records: DataFrame, dims: dict[str, DataFrame], preset: Preset) -> DataFrame:
     """(match_key, song_id, artist_id): what the catalog has for each key, each once."""
     if preset.match == "two_step":
         none = F.lit(None).cast("string")
-        songs = dims["songs"].select(F.explode(_keys(preset, F.col("title"), none, none)).alias("match_key"),
-                                     "song_id", "artist_id")
-        artists = dims["artists"].select(F.explode(_keys(preset, none, F.col("artist_name"), none)).alias("match_key"),
-                                         none.alias("song_id"), "artist_id")
+        songs = _by_key(dims["songs"], _keys(preset, F.col("title"), none, none), "song_id", "artist_id")
+        artists = _by_key(dims["artists"], _keys(preset, none, F.col("artist_name"), none),
+                          none.alias("song_id"), "artist_id")
         return songs.unionByName(artists).distinct()
     catalog = records if preset.catalog == "records" else catalog_of(dims["songs"], dims["artists"])
     keys = _keys(preset, F.col("title"), F.col("artist_name"), F.col("duration"))
-    return catalog.select(F.explode(keys).alias("match_key"), "song_id", "artist_id").distinct()
+    return _by_key(catalog, keys, "song_id", "artist_id").distinct()
 
 
 def changed_keys(old: DataFrame, new: DataFrame) -> DataFrame:
@@ -90,33 +107,43 @@ def in_months(months: list[tuple[int, int]]) -> Column:
     return (F.col("year") * 12 + F.col("month")).isin([y * 12 + m for y, m in months])
 
 
+def plays_kept(spark: SparkSession, path: str, months: list[tuple[int, int]], batches: list[int] | None = None) -> DataFrame:
+    """The journal of some months, or what some batches added to it there. Statistics of files tell
+    which have rows of a batch; journals from before batches were numbered have none."""
+    schema = spark.read.parquet(path).schema
+    if BATCH not in schema.names:
+        schema = StructType([StructField(BATCH, LongType()), *schema])
+    rows = spark.read.schema(schema).parquet(path).where(in_months(months))
+    return rows if batches is None else rows.where(F.col(BATCH).isin(batches))
+
+
 def settle(
-    spark: SparkSession, paths: dict[str, str], arrived: DataFrame | None, records: DataFrame,
+    spark: SparkSession, paths: dict[str, str], arrived: dict[int, list[tuple[int, int]]], records: DataFrame,
     dims: dict[str, DataFrame], preset: Preset, check,
 ) -> list[tuple[int, int]]:
     """Bring the fact up to the plays and the catalog; returns the months that were built again.
 
-    `arrived` are the plays of this run, already in the journal. In months whose matches changed
-    all plays are matched again and the month is replaced; elsewhere only the new plays are
-    matched and appended. What was matched with is stored last, so that a run that stops is made
-    good by the next one. `check` gets fact rows before they are stored and may raise.
+    `arrived` are the months of each batch of this run, already in the journal. In months whose
+    matches changed all plays are matched again and the month is replaced; elsewhere only the new
+    plays are matched and appended. Fact rows are written once, beside the fact, checked there and
+    moved in. What was matched with is stored last, so that a run that stops is made good by the
+    next one. `check` gets fact rows before they are stored and may raise.
     """
     found = matches_of(records, dims, preset)
     months = changed_months(spark, paths, found)
+
+    def built(journal: DataFrame):
+        fact = partitioned_by_month(build_songplays(journal, records, dims, preset, keyed=False))
+        return beside(fact, paths["songplays"], MONTH, lambda rows: with_digest(rows, preset))
+
     if months:
-        journal = spark.read.parquet(paths["plays"]).where(in_months(months))
-        fact = partitioned_by_month(build_songplays(journal, records, dims, preset))
-        with kept(fact, "months") as fact:
+        with built(plays_kept(spark, paths["plays"], months)) as (fact, folder):
             check(fact)
-            write_table(fact, paths["songplays"], MONTH, only_touched=True)
-    if arrived is not None:
-        ids = journal_of(arrived, preset).select("play_id", *MONTH).where(~in_months(months) if months else F.lit(True))
-        spans = [(r.year, r.month) for r in ids.select(*MONTH).distinct().collect()]
-        journal = spark.read.parquet(paths["plays"]).where(in_months(spans)) if spans else None
-        if journal is not None:
-            new = journal.join(ids.select("play_id").distinct(), "play_id", "left_semi")
-            fact = partitioned_by_month(build_songplays(new, records, dims, preset))
-            append_fact(fact, paths["songplays"], ["songplay_id", *MONTH], MONTH, before=check)
+            move_in(spark, folder, paths["songplays"], replace=True)
+    spans = sorted({m for batch in arrived.values() for m in batch} - set(months))
+    if spans:
+        with built(plays_kept(spark, paths["plays"], spans, sorted(arrived))) as (fact, folder):
+            append_fact(fact, paths["songplays"], ["songplay_id", *MONTH], MONTH, before=check, stored=True, ready=folder)
     if months or read_snapshot(spark, paths["matches"]) is None:
         replace_snapshot(found, paths["matches"])
     return months
@@ -126,4 +153,4 @@ def append_keys(journal: DataFrame, path: str, preset: Preset) -> None:
     """Add the match keys of a batch that its months do not have yet."""
     keys = missing_in(keys_of_plays(journal, preset), path, ["match_key", *MONTH], MONTH, journal)
     if keys is not None:
-        write_table(keys, path, MONTH, mode="append")
+        write_table(keys, path, MONTH, mode="append", gather=False)

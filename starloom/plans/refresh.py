@@ -16,7 +16,7 @@ from starloom.operators.merge import last_wins
 from starloom.operators.quality import assert_quality, contract_report, foreign_key_in_buckets, row_checks
 from starloom.operators.snapshots import merge_snapshot, read_snapshot, replace_snapshot
 from starloom.operators.tables import missing_in, publish, recover, stage_in, write_table
-from starloom.plans.matches import append_keys, journal_of, settle
+from starloom.plans.matches import BATCH, MONTH, append_keys, journal_of, play_identity, settle, with_play_id
 from starloom.plans.plays import HOURLY, PLAY_COLUMNS, Preset, build_song_dims, layouts, plays_of
 from starloom.session import scratch_path
 from starloom.sources.files import arrival_order
@@ -51,12 +51,18 @@ def users_of(plays: DataFrame) -> DataFrame:
 
 
 def append_times(plays: DataFrame, path: str, preset: Preset) -> None:
-    """Add the start times of a batch that the time dimension does not have yet."""
-    times = plays.select(start_time(F.col("ts"), preset.precision).alias("start_time")).distinct()
-    times = missing_in(times.where(F.col("start_time").isNotNull()), path, ["start_time"], list(TIMES.partition_by), plays)
+    """Add the start times of a batch, which has their months, that the time dimension lacks."""
+    times = plays.select(start_time(F.col("ts"), preset.precision).alias("start_time"), *MONTH)
+    times = missing_in(times.where(F.col("start_time").isNotNull()), path, ["start_time", *MONTH], MONTH, plays)
     if times is not None:
         rows = times.select("start_time", *calendar_parts(F.col("start_time"), preset.weekday))
-        write_table(rows, path, TIMES.partition_by, mode="append")
+        write_table(rows, path, TIMES.partition_by, mode="append", gather=False)
+
+
+def arrivals_of(journal: DataFrame) -> DataFrame:
+    """What the end of a run needs of a batch: the newest row of each of its users and, with no
+    user, its months."""
+    return users_of(journal).unionByName(journal.select(*MONTH).distinct(), allowMissingColumns=True)
 
 
 def read_tables(spark: SparkSession, paths: dict[str, str]) -> dict[str, DataFrame]:
@@ -126,16 +132,22 @@ def run_hourly(
             report = report.unionByName(foreign_key_in_buckets(fact, column, path, parent))
         assert_quality(report)
 
-    def refresh(plays: DataFrame | None) -> None:
-        if plays is not None:
-            merge_snapshot(users_of(plays), paths["users"], ["user_id"], USER_ORDER, buckets=BUCKETS, keep_order=True)
-        settle(spark, paths, plays, catalog, dims, preset, check)
+    def refresh(left: DataFrame | None) -> None:
+        arrived: dict[int, list[tuple[int, int]]] = {}
+        if left is not None:
+            users = left.where(F.col("user_id").isNotNull()).drop(BATCH, *MONTH)
+            merge_snapshot(users, paths["users"], ["user_id"], USER_ORDER, buckets=BUCKETS, keep_order=True)
+            # At most one row per batch and month comes to the driver.
+            for r in left.where(F.col("user_id").isNull()).select(BATCH, *MONTH).collect():
+                arrived.setdefault(r[BATCH], []).append((r.year, r.month))
+        settle(spark, paths, arrived, catalog, dims, preset, check)
 
     run_incremental(
         spark, log_path, PLAY_LOG, paths["plays"], f"{out}/_checkpoint",
         key=["play_id", "year", "month"], transform=lambda rows: journal_of(plays_of(rows), preset),
-        partition_by=["year", "month"], collect=lambda rows: plays_of(rows).select(*PLAY_COLUMNS),
-        before=before, stage=stage if staged else None, refresh=refresh, always=True,
-        cheap=True, fmt="text" if staged else "json", files_per_batch=files_per_batch, conflicts=paths["conflicts"],
+        partition_by=MONTH, collect=arrivals_of, before=before, stage=stage if staged else None,
+        refresh=refresh, always=True, fmt="text" if staged else "json", files_per_batch=files_per_batch,
+        conflicts=paths["conflicts"], laid_out=True, late=lambda rows: with_play_id(rows, preset),
+        hashed=play_identity(), numbered=BATCH,
     )
     return {t: paths[t] for t in STAR}

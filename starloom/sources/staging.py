@@ -90,8 +90,10 @@ def _fit(text: Column, kind: DataType, decimal_mode: str) -> Column:
     if isinstance(kind, StringType):
         return text
     if isinstance(kind, IntegralType):
-        # Whole numbers may be written as 1.5E12 or 338.0.
-        return F.coalesce(text.try_cast(kind), text.try_cast("decimal(38,6)").try_cast(kind))
+        # Whole numbers may be written as 1.5E12 or 338.0. A text with a point is no plain integer,
+        # and a try_cast that fails makes an exception, which costs more than the rest of the line.
+        number = text.try_cast("decimal(38,6)").try_cast(kind)
+        return F.when(F.contains(text, F.lit(".")), number).otherwise(F.coalesce(text.try_cast(kind), number))
     return text.try_cast(kind)
 
 

@@ -10,10 +10,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from starloom.contracts import TableContract
-from starloom.operators.tables import MICROS, append_fact, drop_table, exists
+from starloom.operators.tables import MICROS, append_fact, beside, drop_table, exists
 from starloom.session import kept
 
 
@@ -61,7 +61,10 @@ def run_incremental(
     files_per_batch: int | None = None,
     always: bool = False,
     conflicts: str | None = None,
-    cheap: bool = False,
+    laid_out: bool = False,
+    late: Callable[[DataFrame], DataFrame] | None = None,
+    hashed: list[str | Column] | None = None,
+    numbered: str | None = None,
 ) -> None:
     """Append new source files to the fact, then refresh the dimensions once.
 
@@ -70,25 +73,46 @@ def run_incremental(
     repeated batch replaces its own rows. After the last batch `refresh` gets all of them at
     once. A run that stops before leaves them to the next run; with `always`, a run without new
     files calls it with None. `before` gets the fact rows of a batch before they are appended and
-    may raise. Different rows of one key stop the run, or go to `conflicts` by batch. With `cheap`
-    the rows of `transform`, which must be the same each time, are made anew for each read and not
-    written once more.
+    may raise. Different rows of one key stop the run, or go to `conflicts` by batch. With `laid_out`
+    the rows of `transform` are what is written once: beside the fact and in its layout, with what
+    `late` adds to them after they have been moved, and `collect` gets them. If no key comes again,
+    known by what is `hashed`, these files become the fact's. `numbered` names a column for the
+    number of the batch, in the fact and in what `refresh` gets.
     """
     pending = f"{checkpoint.rstrip('/')}-pending"
 
+    def take(rows: DataFrame, number: int) -> None:
+        if refresh is not None:
+            taken = collect(rows) if collect else rows
+            taken.write.mode("overwrite").parquet(f"{pending}/batch={number}")
+
+    def append(rows: DataFrame, number: int, **options) -> None:
+        append_fact(rows, fact, key, partition_by, hashed=hashed,
+                    conflicts=f"{conflicts}/batch={number}" if conflicts else None, **options)
+
+    def shaped(rows: DataFrame, number: int) -> DataFrame:
+        rows = transform(rows) if transform else rows
+        return rows.withColumn(numbered, F.lit(number).cast("bigint")) if numbered else rows
+
     def on_batch(batch: DataFrame, number: int) -> None:
-        with kept(stage(batch, number) if stage else batch, "micro-batch") as rows:
-            append_fact(
-                transform(rows) if transform else rows, fact, key, partition_by, before=before,
-                conflicts=f"{conflicts}/batch={number}" if conflicts else None,
-                stored=cheap or transform is None)
-            if refresh is not None:
-                taken = collect(rows) if collect else rows
-                taken.write.mode("overwrite").parquet(f"{pending}/batch={number}")
+        rows = stage(batch, number) if stage else batch
+        if laid_out:
+            with beside(shaped(rows, number), fact, partition_by, late) as (stored, folder):
+                def pass_on(checked: DataFrame) -> None:
+                    if before is not None:
+                        before(checked)
+                    take(stored, number)
+
+                append(stored, number, before=pass_on, stored=True, ready=folder)
+            return
+        with kept(rows, "micro-batch") as rows:
+            append(shaped(rows, number), number, before=before, stored=transform is None)
+            take(rows, number)
 
     run_batches(file_stream(spark, source, contract, fmt, files_per_batch), checkpoint, on_batch)
     if refresh is not None and exists(spark, pending):
-        refresh(spark.read.parquet(pending).drop("batch"))
+        left = spark.read.parquet(pending)
+        refresh(left.withColumnRenamed("batch", numbered) if numbered else left.drop("batch"))
         drop_table(spark, pending)
     elif refresh is not None and always:
         refresh(None)
