@@ -119,7 +119,8 @@ def stage_lines(
     """
     extra = [ARRIVAL] if ARRIVAL in lines.columns else []
     kept_columns, extra = extra, extra + [RAW] * reasons
-    lines = lines.where(F.trim("value", F.lit(" \t\r")) != "")
+    # Trimmed on the left, a line with anything else is not read to its end.
+    lines = lines.where(F.ltrim("value", F.lit(" \t\r")) != "")
     if replace_invalid is not None:
         fixed = replace_invalid_utf8(F.col("value"), replace_invalid).alias("value")
         lines = lines.select(fixed, *kept_columns)

@@ -114,3 +114,11 @@ def test_numbers_with_a_point_are_not_cast_in_vain(spark):
     assert [r.ts for r in staged.collect()] == [1500000000000, 338, 338, 0, 1, 0, None, None, 150, 7, 2**63 - 1, None]
     assert [r.itemInSession for r in staged.collect()] == [None, 338, 338, 0, 1, 0, None, None, 150, 7, None, None]
     assert "contains(" in staged._jdf.queryExecution().optimizedPlan().toString().lower()
+
+
+def test_lines_are_not_trimmed_from_their_end(spark):
+    lines = spark.createDataFrame([(" \t\r",), ("",), (' {"ts":"1"} ',), ("\t x",), (None,)], "value string")
+    staged = stage_lines(lines, STAGED_EVENTS, mapping="exact")
+    assert [r.ts for r in staged.collect()] == [1, None]
+    text = staged._jdf.queryExecution().optimizedPlan().toString()
+    assert "(ltrim(value" in text and "(trim(value" not in text
