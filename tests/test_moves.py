@@ -122,3 +122,21 @@ def test_lines_are_not_trimmed_from_their_end(spark):
     assert [r.ts for r in staged.collect()] == [1, None]
     text = staged._jdf.queryExecution().optimizedPlan().toString()
     assert "(ltrim(value" in text and "(trim(value" not in text
+
+
+def test_what_a_killed_run_left_is_not_taken(spark, tmp_path):
+    path = f"{tmp_path}/t"
+    spark.createDataFrame([(7, "old", 7)], SCHEMA).write.partitionBy("m").parquet(f"{path}__batch")
+    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+    try:
+        append(spark, [(1, "a", 1)], path)
+    finally:
+        spark.conf.unset("spark.sql.sources.partitionOverwriteMode")
+    assert rows(spark, path) == [(1, "a", 1)]
+
+
+def test_folders_of_columns_with_an_underscore_are_moved(spark, tmp_path):
+    path = f"{tmp_path}/t"
+    with beside(spark.createDataFrame([(1, 2)], "k int, _p int"), path, ["_p"]) as (_, folder):
+        move_in(spark, folder, path)
+    assert [tuple(r) for r in spark.read.option("basePath", path).parquet(f"{path}/_p=2").collect()] == [(1, 2)]
